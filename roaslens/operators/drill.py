@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from roaslens.config import EngineConfig
 from roaslens.functions.exprs import pct_change, safe_ratio
 from roaslens.operators.impact import (
-    IMPACT_COLUMNS, child_impacts, node_struct, parent_events, select_children, selected_children,
+    IMPACT_COLUMNS, PKEY, all_child_impacts, child_impacts, node_struct, parent_events, select_children,
+    selected_children,
 )
 from roaslens.operators.levels import level_rollup, level_rows
 from roaslens.schema import DIMENSIONS, LEVEL_NAMES, SUM_COLUMNS, dims_of
@@ -38,67 +39,82 @@ def _path_struct(dims: list[str]):
     return F.struct(*[(F.col(d) if d in dims else F.lit(None).cast("string")).alias(d) for d in DIMENSIONS])
 
 
-def drill(levels: DataFrame, cfg: EngineConfig, start_depth: int = 1) -> DrillResult:
-    """Walk levels ``start_depth+1 .. 4`` from every parent of ``start_depth``.
+def _as_parent_key(df: DataFrame, level: int) -> DataFrame:
+    """Key columns of rows of ``level`` seen as parents of the next level."""
+    dims = dims_of(level)
+    return df.withColumns({
+        "plevel": F.lit(level),
+        **{f"p_{d}": (F.col(d) if d in dims else F.lit(None).cast("string")) for d in DIMENSIONS[:3]},
+    })
+
+
+def _join_pkey(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
+    r = right.withColumnsRenamed({k: f"__r_{k}" for k in PKEY})
+    cond = [left["plevel"] == r["__r_plevel"]] + [left[k].eqNullSafe(r[f"__r_{k}"]) for k in PKEY[1:]]
+    return left.join(r, cond, how).drop(*[f"__r_{k}" for k in PKEY])
+
+
+def drill_candidates(levels: DataFrame, cfg: EngineConfig) -> DataFrame:
+    """Selection candidates of every parent at every level (small: <= 2 + 2k rows per parent), cut."""
+    return cut(select_children(all_child_impacts(levels), cfg))
+
+
+def drill(levels: DataFrame, cfg: EngineConfig, start_depth: int = 1, cand: DataFrame | None = None) -> DrillResult:
+    """Walk levels ``start_depth+1 .. 4`` from every row of level ``start_depth``.
 
     ``start_depth=1`` is the per-subsidiary analysis for all subsidiaries at
-    once; ``start_depth=0`` is the unfocused run from the grand total.
+    once; ``start_depth=0`` is the unfocused run from the grand total.  The
+    decomposition and selection of every parent is computed once
+    (``drill_candidates``); the walk itself is reachability: the selected
+    children of the reached parents become the reached parents of the next
+    level (one small join per level).
     """
     if not 0 <= start_depth <= 3:
         raise ValueError("start_depth must be 0..3 (use terminal_focus for a full path)")
-    parents = None          # reached parents of the current level, with trace so far
-    trace_cols: list[str] = []
+    if cand is None:
+        cand = drill_candidates(levels, cfg)
+    sel = selected_children(cand).withColumn("node", node_struct())
+    ev_all = parent_events(cand)
+    reached = _as_parent_key(levels.filter(F.col("level") == start_depth), start_depth).select(
+        *PKEY, F.array().cast("array<struct<level:string,rule:string,selected_path:struct<SUBSIDIARY:string,CHANNEL:string,DIVISION:string,PRODUCT:string>,impact_adj:double,share_childsum:double>>").alias("drill_trace")
+    )
+    all_ranks = [f"rank{k}" for k in range(start_depth + 1, 5)]
     rank_cols: list[str] = []
     events = []
-    sel = None
+    leaves = None
     for child_level in range(start_depth + 1, 5):
-        cdims, pdims = dims_of(child_level), dims_of(child_level - 1)
-        imp = child_impacts(levels, child_level, parents)
-        cand = cut(select_children(imp, child_level, cfg))
-        sel = selected_children(cand)
+        cdims = dims_of(child_level)
         rank = f"rank{child_level}"
-        node = f"node{child_level}"
-        sel = sel.withColumns({rank: F.col("sel_rank").cast("long"), node: node_struct(child_level)})
-
-        ev = parent_events(cand, child_level)
-        paths = sel.groupBy(*pdims).agg(
-            F.array_sort(F.collect_list(F.struct(F.col(rank).alias("r"), _path_struct(cdims).alias("p")))).alias("__paths")
-        ) if pdims else sel.agg(
-            F.array_sort(F.collect_list(F.struct(F.col(rank).alias("r"), _path_struct(cdims).alias("p")))).alias("__paths")
+        got = _join_pkey(sel.filter(F.col("level") == child_level), reached)
+        got = got.withColumns({
+            rank: F.col("sel_rank").cast("long"),
+            "drill_trace": F.concat(F.col("drill_trace"), F.array(F.col("node"))),
+        })
+        paths = sel.filter(F.col("level") == child_level).groupBy(*PKEY).agg(
+            F.array_sort(F.collect_list(F.struct(F.col("sel_rank").alias("r"), _path_struct(cdims).alias("p")))).alias("__paths")
         )
-        if pdims:
-            ev = ev.join(paths, pdims, "left")
-        else:
-            ev = ev.select("*", paths.select("__paths").scalar().alias("__paths"))
-        if parents is not None and rank_cols:
-            ev = ev.join(parents.select(*pdims, *rank_cols), pdims, "left")
+        ev = _join_pkey(ev_all.filter(F.col("lvl") == child_level), reached.select(*PKEY, *rank_cols))
+        ev = _join_pkey(ev, paths, "left")
         ev = ev.withColumns({
-            "lvl": F.lit(child_level),
+            "level": F.lit(LEVEL_NAMES[child_level]),
             "selected_paths": F.coalesce(F.transform("__paths", lambda s: s.getField("p")), F.array()),
-            "parent_path": _path_struct(pdims),
+            "parent_path": F.struct(*[F.col(f"p_{d}").alias(d) for d in DIMENSIONS[:3]], F.lit(None).cast("string").alias("PRODUCT")),
         }).drop("__paths")
-        events.append((ev, list(rank_cols)))
-
-        rank_cols = rank_cols + [rank]
-        trace_cols = trace_cols + [node]
-        if child_level < 4:
-            parents = sel.select(*cdims, *rank_cols, *trace_cols)
-
-    leaves = sel.withColumn("drill_trace", F.array(*[F.col(c) for c in trace_cols])).select(
-        *DIMENSIONS, *SUM_COLUMNS, *IMPACT_COLUMNS, "drill_trace", *rank_cols,
-    )
-    all_ranks = [f"rank{k}" for k in range(start_depth + 1, 5)]
-    ev_frames = []
-    for ev, ranks in events:
         for r in all_ranks:
             if r not in ev.columns:
                 ev = ev.withColumn(r, F.lit(None).cast("long"))
-        ev_frames.append(ev.select(
-            F.col("parent_path").getField("SUBSIDIARY").alias("focus_SUBSIDIARY") if start_depth >= 1 else F.lit(None).cast("string").alias("focus_SUBSIDIARY"),
+        events.append(ev.select(
+            (F.col("p_SUBSIDIARY") if start_depth >= 1 else F.lit(None).cast("string")).alias("focus_SUBSIDIARY"),
             "lvl", "level", "rule", "parent_path", "parent_delta", "top1_share_childsum", "top2_share_childsum",
             "impact_floor", "selected_paths", *all_ranks,
         ))
-    return DrillResult(leaves=leaves, events=reduce(DataFrame.unionByName, ev_frames), start_depth=start_depth)
+        rank_cols = rank_cols + [rank]
+        if child_level < 4:
+            reached = _as_parent_key(got, child_level).select(*PKEY, *rank_cols, "drill_trace")
+        else:
+            leaves = got
+    leaves = leaves.select(*DIMENSIONS, *SUM_COLUMNS, *IMPACT_COLUMNS, "drill_trace", *rank_cols)
+    return DrillResult(leaves=leaves, events=reduce(DataFrame.unionByName, events), start_depth=start_depth)
 
 
 def terminal_focus(levels: DataFrame, focus: dict[str, str]) -> DrillResult:
@@ -109,6 +125,7 @@ def terminal_focus(levels: DataFrame, focus: dict[str, str]) -> DrillResult:
         F.lit(LEVEL_NAMES[4]).alias("level"), F.lit("FOCUS_TERMINAL").alias("rule"), path.alias("selected_path"),
         F.col("Impact_adj").alias("impact_adj"), F.col("Share_childsum").alias("share_childsum"),
     )
+    imp = imp.drop("level")
     leaves = imp.limit(1).withColumn("drill_trace", F.array(node)).select(
         *DIMENSIONS, *SUM_COLUMNS, *IMPACT_COLUMNS, "drill_trace", F.lit(1).cast("long").alias("rank4"),
     )
@@ -228,7 +245,8 @@ class ImpactRun:
 
 
 def run_impact(engine: DataFrame, cfg: EngineConfig, focus: dict[str, str] | None = None,
-               per_subsidiary: bool = True, levels: DataFrame | None = None) -> ImpactRun:
+               per_subsidiary: bool = True, levels: DataFrame | None = None,
+               cand: DataFrame | None = None) -> ImpactRun:
     """Decomposition, drill, candidates and selections.
 
     ``per_subsidiary=True`` reproduces the pipeline (every subsidiary is its own
@@ -243,7 +261,7 @@ def run_impact(engine: DataFrame, cfg: EngineConfig, focus: dict[str, str] | Non
     if start >= 4:
         d = terminal_focus(levels, focus)
     else:
-        d = drill(levels, cfg, start)
+        d = drill(levels, cfg, start, cand)
     cands = candidate_metrics(d.leaves)
     return ImpactRun(
         levels=levels, drill=d, candidates=cands,

@@ -1,13 +1,17 @@
 """LMDI impact of children on their parent's ROAS change.
 
-All parents of one level are decomposed together.  Per-parent quantities
-(parent totals, sum of raw impacts, ...) are computed with ``groupBy`` on the
-parent key and joined back: the aggregation is partial on the map side, and
-AQE turns the join into a broadcast when the per-parent table is small (it
-has one row per parent) or splits a skewed parent otherwise, so a parent that
-owns a third of all children is never processed by a single task.
-
-Selection (D9) needs only the top two children by share and the top three by
+Every parent of every level is decomposed in the same pass: a child row of
+level k (1..4) carries the key of its parent, ``(plevel, p_SUBSIDIARY,
+p_CHANNEL, p_DIVISION)`` with the dims below the parent level null.  Joins and
+groupings use that key, so the four levels share one set of shuffles.
+
+Per-parent quantities (parent totals, sum of raw impacts, ...) are computed
+with ``groupBy`` on the parent key and joined back: the aggregation is partial
+on the map side, and AQE turns the join into a broadcast when the per-parent
+table is small (one row per parent) or splits a skewed parent otherwise, so a
+parent owning a third of all children is never handled by a single task.
+
+Selection (D9) needs only the top two children by share and the top k by
 signed impact per parent; ``row_number() <= k`` is planned as a partial
 ``WindowGroupLimit`` before the shuffle, so each map task ships at most k rows
 per parent.
@@ -22,41 +26,48 @@ from pyspark.sql import functions as F
 
 from roaslens.config import EngineConfig
 from roaslens.functions.exprs import log_mean, log_ratio, safe_ratio
-from roaslens.operators.levels import level_rows
-from roaslens.schema import DIMENSIONS, LEVEL_NAMES, SUM_COLUMNS, dims_of
+from roaslens.schema import DIMENSIONS, LEVEL_NAMES, SUM_COLUMNS
 
 IMPACT_COLUMNS = [
     "Impact_raw", "Impact_adj", "Share_childsum", "Share_parentdelta", "Residual_parent", "Residual_applied_flag",
 ]
+PKEY = ["plevel", "p_SUBSIDIARY", "p_CHANNEL", "p_DIVISION"]
+PARENT_FIELDS = ["parent_delta", "parent_roas_prev", "parent_roas_curr"]
+
+
+def _child_key(df: DataFrame) -> DataFrame:
+    lv = F.col("level")
+    return df.withColumns({
+        "plevel": lv - 1,
+        "p_SUBSIDIARY": F.when(lv >= 2, F.col("SUBSIDIARY")),
+        "p_CHANNEL": F.when(lv >= 3, F.col("CHANNEL")),
+        "p_DIVISION": F.when(lv >= 4, F.col("DIVISION")),
+        # the child's own (deepest non-null) dimension: orders siblings
+        "child_name": F.coalesce(F.col("PRODUCT"), F.col("DIVISION"), F.col("CHANNEL"), F.col("SUBSIDIARY")),
+    })
 
 
-def _join_parent(children: DataFrame, per_parent: DataFrame, pdims: list[str]) -> DataFrame:
-    if pdims:
-        return children.join(per_parent, pdims, "left")
-    # root parent: a one-row frame; attach its columns as scalar subqueries
-    cols = [c for c in per_parent.columns]
-    return children.select("*", *[per_parent.select(c).scalar().alias(c) for c in cols])
+def _join_on_pkey(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Equi-join on the parent key; dims below the parent level are null on both sides."""
+    r = right.withColumnsRenamed({k: f"__r_{k}" for k in PKEY})
+    cond = [left["plevel"] == r["__r_plevel"]] + [left[k].eqNullSafe(r[f"__r_{k}"]) for k in PKEY[1:]]
+    return left.join(r, cond, "left").drop(*[f"__r_{k}" for k in PKEY])
 
 
-def child_impacts(levels: DataFrame, child_level: int, parents: DataFrame | None = None) -> DataFrame:
-    """D1-D7 for every child row of ``child_level`` (1..4).
+def all_child_impacts(levels: DataFrame) -> DataFrame:
+    """D1-D7 for every child row of levels 1..4 (``level`` = child level).
 
-    ``parents`` optionally restricts the parents (a frame keyed by the parent
-    dims, e.g. the parents reached by the drill); extra columns are carried.
-    Output: child dims, missing deeper dims as null, 8 sums, impact columns and
-    parent fields ``parent_delta``, ``parent_roas_prev``, ``parent_roas_curr``.
+    Output: ``level``, 4 dims (null below the level), parent key, child_name,
+    8 sums, the impact columns and the parent fields.
     """
-    cdims, pdims = dims_of(child_level), dims_of(child_level - 1)
-    children = level_rows(levels, child_level)
-    ptot = level_rows(levels, child_level - 1).select(
-        *pdims,
+    children = _child_key(levels.filter(F.col("level") >= 1))
+    ptot = levels.filter(F.col("level") <= 3).select(
+        F.col("level").alias("plevel"),
+        F.col("SUBSIDIARY").alias("p_SUBSIDIARY"), F.col("CHANNEL").alias("p_CHANNEL"), F.col("DIVISION").alias("p_DIVISION"),
         F.col("Revenue_curr_sum").alias("__p_rev_c"), F.col("Revenue_prev_sum").alias("__p_rev_p"),
         F.col("Spend_curr_sum").alias("__p_sp_c"), F.col("Spend_prev_sum").alias("__p_sp_p"),
     )
-    if parents is not None:
-        children = children.join(parents, pdims, "inner")
-    x = _join_parent(children, ptot, pdims)
-
+    x = _join_on_pkey(children, ptot)
     pc = safe_ratio("__p_rev_c", "__p_sp_c")
     pp = safe_ratio("__p_rev_p", "__p_sp_p")
     x = x.withColumns({
@@ -80,12 +91,12 @@ def child_impacts(levels: DataFrame, child_level: int, parents: DataFrame | None
     )
 
     # Residual per parent, allocated by |raw| (or evenly when all raw are 0 / null)
-    s1 = x.groupBy(*pdims).agg(
+    s1 = x.groupBy(*PKEY).agg(
         F.coalesce(F.sum("Impact_raw"), F.lit(0.0)).alias("__sraw"),
         F.coalesce(F.sum(F.abs("Impact_raw")), F.lit(0.0)).alias("__sabs"),
         F.count(F.lit(1)).alias("__n"),
     )
-    x = _join_parent(x, s1, pdims)
+    x = _join_on_pkey(x, s1)
     x = x.withColumn("Residual_parent", F.col("parent_delta") - F.col("__sraw"))
     alloc = (
         F.when(F.col("__sabs") > 0, (F.abs("Impact_raw") / F.col("__sabs")) * F.col("Residual_parent"))
@@ -97,42 +108,39 @@ def child_impacts(levels: DataFrame, child_level: int, parents: DataFrame | None
     })
 
     # shares
-    s2 = x.groupBy(*pdims).agg(F.coalesce(F.sum(F.abs("Impact_adj")), F.lit(0.0)).alias("__sadj"))
-    x = _join_parent(x, s2, pdims)
+    s2 = x.groupBy(*PKEY).agg(F.coalesce(F.sum(F.abs("Impact_adj")), F.lit(0.0)).alias("__sadj"))
+    x = _join_on_pkey(x, s2)
     x = x.withColumns({
         "Share_childsum": F.when(F.col("__sadj") > 0, F.abs("Impact_adj") / F.col("__sadj")).otherwise(F.lit(0.0)),
         "Share_parentdelta": F.when(F.abs("parent_delta") > 0, F.abs("Impact_adj") / F.abs("parent_delta")).otherwise(F.lit(0.0)),
     })
-    missing = [F.lit(None).cast("string").alias(d) for d in DIMENSIONS if d not in cdims]
-    extra = [c for c in (parents.columns if parents is not None else []) if c not in pdims]
-    return x.select(
-        *cdims, *missing, *SUM_COLUMNS, *IMPACT_COLUMNS,
-        "parent_delta", "parent_roas_prev", "parent_roas_curr", *extra,
-    )
+    return x.select("level", *DIMENSIONS, *PKEY, "child_name", *SUM_COLUMNS, *IMPACT_COLUMNS, *PARENT_FIELDS)
+
 
+def child_impacts(levels: DataFrame, child_level: int) -> DataFrame:
+    """Impacts of the children of ``child_level`` only (a filter of the all-level pass)."""
+    return all_child_impacts(levels).filter(F.col("level") == child_level)
 
-def _topk(df: DataFrame, pdims: list[str], order: list[Column], k: int, src: str) -> DataFrame:
-    w = Window.partitionBy(*pdims).orderBy(*order) if pdims else Window.orderBy(*order)
+
+def _topk(df: DataFrame, order: list[Column], k: int, src: str) -> DataFrame:
+    w = Window.partitionBy(*PKEY).orderBy(*order)
     return df.withColumn("sel_rank", F.row_number().over(w)).filter(F.col("sel_rank") <= k).withColumn("__src", F.lit(src))
 
 
-def select_children(impacts: DataFrame, child_level: int, cfg: EngineConfig) -> DataFrame:
-    """Per parent, rule and selected children.
+def select_children(impacts: DataFrame, cfg: EngineConfig) -> DataFrame:
+    """D9 for every parent: candidate rows with the parent's rule and a ``selected`` flag.
 
-    Returns the candidate rows (top-2 by share, top-k negative, top-k positive)
-    with parent-level columns ``rule``, ``top1_share``, ``top2_share``,
-    ``impact_floor`` and a boolean ``selected``; ``sel_rank`` orders the
-    selected children of a parent (1-based).
+    Candidates are the top 2 by share and the top k negative / positive by
+    ``Impact_adj``; ``sel_rank`` orders the selected children of a parent.
     """
-    cdims, pdims = dims_of(child_level), dims_of(child_level - 1)
-    by_dims = [F.col(d).asc() for d in cdims[len(pdims):]]
-    share = _topk(impacts, pdims, [F.col("Share_childsum").desc()] + by_dims, 2, "S")
-    neg = _topk(impacts.filter(F.col("Impact_adj") < 0), pdims, [F.col("Impact_adj").asc()] + by_dims, cfg.wide_top_k, "N")
-    pos = _topk(impacts.filter(F.col("Impact_adj") > 0), pdims, [F.col("Impact_adj").desc()] + by_dims, cfg.wide_top_k, "P")
+    name = F.col("child_name").asc()
+    share = _topk(impacts, [F.col("Share_childsum").desc(), name], 2, "S")
+    neg = _topk(impacts.filter(F.col("Impact_adj") < 0), [F.col("Impact_adj").asc(), name], cfg.wide_top_k, "N")
+    pos = _topk(impacts.filter(F.col("Impact_adj") > 0), [F.col("Impact_adj").desc(), name], cfg.wide_top_k, "P")
     cand = reduce(DataFrame.unionByName, [share, neg, pos])
 
     # at most 2 + 2k rows per parent here: a per-parent window is cheap
-    wp = Window.partitionBy(*pdims) if pdims else Window.partitionBy(F.lit(0))
+    wp = Window.partitionBy(*PKEY)
     is_top = lambda r: (F.col("__src") == "S") & (F.col("sel_rank") == r)
     cand = cand.withColumns({
         "top1_share": F.coalesce(F.max(F.when(is_top(1), F.col("Share_childsum"))).over(wp), F.lit(0.0)),
@@ -164,24 +172,29 @@ def selected_children(cand: DataFrame) -> DataFrame:
     return cand.filter("selected").drop("__src", "selected")
 
 
-def parent_events(cand: DataFrame, child_level: int) -> DataFrame:
-    """One row per visited parent: rule, shares, floor, parent delta (trace event fields)."""
-    pdims = dims_of(child_level - 1)
+def parent_events(cand: DataFrame) -> DataFrame:
+    """One row per parent: rule, shares, floor, parent delta (trace event fields)."""
     return (
         cand.filter((F.col("__src") == "S") & (F.col("sel_rank") == 1))
         .select(
-            *pdims, F.lit(LEVEL_NAMES[child_level]).alias("level"), "rule", "parent_delta",
+            *PKEY, F.col("level").alias("lvl"), "rule", "parent_delta",
             F.col("top1_share").alias("top1_share_childsum"), F.col("top2_share").alias("top2_share_childsum"),
             "impact_floor",
         )
     )
 
 
-def node_struct(child_level: int) -> Column:
-    """Drill-trace node for a selected child of ``child_level``."""
-    cdims = dims_of(child_level)
-    path = F.struct(*[(F.col(d) if d in cdims else F.lit(None).cast("string")).alias(d) for d in DIMENSIONS])
+def node_struct() -> Column:
+    """Drill-trace node of a selected child (its own level and path)."""
+    path = F.struct(*[F.col(d).alias(d) for d in DIMENSIONS])
+    level = F.concat(F.lit("LEVEL"), F.col("level").cast("string"))
     return F.struct(
-        F.lit(LEVEL_NAMES[child_level]).alias("level"), F.col("rule").alias("rule"), path.alias("selected_path"),
+        level.alias("level"), F.col("rule").alias("rule"), path.alias("selected_path"),
         F.col("Impact_adj").alias("impact_adj"), F.col("Share_childsum").alias("share_childsum"),
     )
+
+
+__all__ = [
+    "IMPACT_COLUMNS", "PKEY", "all_child_impacts", "child_impacts", "select_children", "selected_children",
+    "parent_events", "node_struct", "LEVEL_NAMES",
+]

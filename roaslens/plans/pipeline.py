@@ -39,7 +39,7 @@ def analyze(engine: DataFrame, cfg: EngineConfig, levels: DataFrame | None = Non
     """``run_subsidiary_analysis`` for all subsidiaries in one plan."""
     if levels is None:
         levels = cut(level_rollup(engine))
-    run = run_impact(engine, cfg, per_subsidiary=True, levels=levels)
+    run = run_impact(engine, cfg, per_subsidiary=True, levels=levels)  # one cut: all parents' selections
     leaf = level_rows(levels, 4)
 
     def finish(sel: DataFrame, mode: str) -> DataFrame:

@@ -152,13 +152,13 @@ def q_kpi_channel(spark, sf_dir):
 
 def _impact(level):
     def q(spark, sf_dir):
-        return out(child_impacts(report_for(spark, sf_dir).analysis.levels, level).select(*IMPACT_OUT))
+        return out(child_impacts(report_for(spark, sf_dir).analysis.levels, level).select(*IMPACT_OUT))  # noqa: E501
     return q
 
 
 def q_select_children(spark, sf_dir):
     lv = report_for(spark, sf_dir).analysis.levels
-    sel = selected_children(select_children(child_impacts(lv, 3), 3, FULL))
+    sel = selected_children(select_children(child_impacts(lv, 3), FULL))
     return out(sel.select("SUBSIDIARY", "CHANNEL", "DIVISION", "rule", F.col("sel_rank").cast("long").alias("sel_rank"),
                           "Impact_adj", "top1_share", "top2_share", "impact_floor"))
 

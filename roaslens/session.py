@@ -26,6 +26,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("ROASLENS_DRIVER_MEMORY", "8g"))
     )
     for k, v in ENGINE_CONF.items():
@@ -75,4 +76,7 @@ def cut(df: DataFrame) -> DataFrame:
     plan of later levels does not repeat the earlier ones.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)   # computed once, then written
+    out = df.checkpoint(eager=True)
+    df.unpersist()
+    return out
