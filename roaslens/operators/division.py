@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from roaslens.functions.exprs import dsum, fmt_pct, fmt_roas, log_mean, log_ratio, pct_change, safe_ratio
 from roaslens.operators.levels import level_rows
-from roaslens.schema import ENGINE_METRICS, SUM_COLUMNS
+from roaslens.schema import SUM_COLUMNS
 
 DIVISION_COLUMNS = [
     "SUBSIDIARY", "DIVISION", "Revenue_curr_sum", "Revenue_prev_sum", "Spend_curr_sum", "Spend_prev_sum",
@@ -22,13 +22,14 @@ DIVISION_COLUMNS = [
 ]
 
 
-def subsidiary_division_sums(engine: DataFrame) -> DataFrame:
-    return engine.groupBy("SUBSIDIARY", "DIVISION").agg(*[dsum(m).alias(f"{m}_sum") for m in ENGINE_METRICS])
+def subsidiary_division_sums(levels: DataFrame) -> DataFrame:
+    """Sums by (SUBSIDIARY, DIVISION) across channels, from the leaf level (exact decimal sums)."""
+    return level_rows(levels, 4).groupBy("SUBSIDIARY", "DIVISION").agg(*[dsum(c).alias(c) for c in SUM_COLUMNS])
 
 
-def division_parallel(engine: DataFrame, levels: DataFrame) -> DataFrame:
+def division_parallel(levels: DataFrame) -> DataFrame:
     """D15 rows (24 columns incl. summary text) plus ``division_rank`` (D16 order)."""
-    div = subsidiary_division_sums(engine)
+    div = subsidiary_division_sums(levels)
     parent = level_rows(levels, 1).select(
         "SUBSIDIARY",
         safe_ratio("Revenue_curr_sum", "Spend_curr_sum").alias("Parent_roas_curr"),

@@ -56,7 +56,9 @@ def _join_pkey(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFra
 
 def drill_candidates(levels: DataFrame, cfg: EngineConfig) -> DataFrame:
     """Selection candidates of every parent at every level (small: <= 2 + 2k rows per parent), cut."""
-    return cut(select_children(all_child_impacts(levels), cfg))
+    # the impacts are one row per hierarchy node (level-sized, far below the input);
+    # cutting them keeps the three top-k branches from re-planning the aggregates
+    return cut(select_children(cut(all_child_impacts(levels)), cfg))
 
 
 def drill(levels: DataFrame, cfg: EngineConfig, start_depth: int = 1, cand: DataFrame | None = None) -> DrillResult:

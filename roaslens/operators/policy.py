@@ -134,15 +134,25 @@ def _chain(rules: list[Rule], default: tuple[str, str], field: int, tag: Column,
     return expr.otherwise(F.lit(default[0] if field == 1 else default[1]))
 
 
+SIGNAL_COLUMNS = {
+    "__sig_tag": lambda: F.upper(F.coalesce(F.col("tag"), F.lit("NORMAL"))),
+    "__sig_mode": lambda: F.upper(F.coalesce(F.col("mode_tag"), F.lit(""))),
+    "__sig_driver": lambda: F.upper(F.coalesce(F.col("primary_driver"), F.lit("CPC"))),
+    "__sig_ctype": lambda: channel_type(F.col("CHANNEL")),
+}
+
+
 def _signals() -> tuple[Column, Column, Column, Column]:
-    tag = F.upper(F.coalesce(F.col("tag"), F.lit("NORMAL")))
-    mode = F.upper(F.coalesce(F.col("mode_tag"), F.lit("")))
-    driver = F.upper(F.coalesce(F.col("primary_driver"), F.lit("CPC")))
-    return tag, mode, driver, channel_type(F.col("CHANNEL"))
+    """Policy inputs as column references (materialised once by ``with_signals``)."""
+    return tuple(F.col(c) for c in SIGNAL_COLUMNS)  # type: ignore[return-value]
+
+
+def with_signals(df):
+    return df.withColumns({k: f() for k, f in SIGNAL_COLUMNS.items()})
 
 
 def recommended_action(code: bool = False) -> Column:
-    """R10 over columns tag / mode_tag / primary_driver (confirmed) / CHANNEL."""
+    """R10 over columns tag / mode_tag / primary_driver (confirmed) / CHANNEL (after ``with_signals``)."""
     return _chain(ACTION_RULES, ACTION_DEFAULT, 1 if code else 2, *_signals())
 
 
@@ -156,7 +166,7 @@ def enrich_actions(df):
     from roaslens.operators.rootcause import confirmed_driver
 
     df = df.withColumn("rca_primary_driver", F.col("primary_driver"))
-    df = df.withColumn("primary_driver", confirmed_driver())
+    df = with_signals(df.withColumn("primary_driver", confirmed_driver()))
     return df.withColumns({
         "diagnosis_path": F.struct(*[F.col(d) for d in DIMENSIONS]),
         "campaign_diagnosis_mode": F.lit("MANUAL"),
@@ -165,7 +175,7 @@ def enrich_actions(df):
         "checklist_code": action_checklist(code=True),
         "action_checklist": action_checklist(),
         "drill_trace_text": trace_text("drill_trace"),
-    })
+    }).drop(*SIGNAL_COLUMNS)
 
 
 # ------------------------------------------------------------------ SQL rendering (oracle)

@@ -108,6 +108,30 @@ def attach_rca(selected: DataFrame, leaf: DataFrame, mode: str) -> DataFrame:
     }).drop(*[f"__r_{c}" for c in own_sums])
 
 
+def attach_rca_by_list(selected: DataFrame, leaf: DataFrame) -> DataFrame:
+    """R7 / J6 for issues and improvements together.
+
+    ``selected`` has a ``list`` column (``issues`` / ``improvements``); the
+    engine driver (R5) is scored in ISSUE mode for issues and IMPROVE mode for
+    improvements (DEFENSE rows included), as the reference does.
+    """
+    keys = selected.select(*DIMENSIONS).distinct()
+    rca = kpi_ratios(leaf.join(keys, DIMENSIONS, "left_semi")).withColumns({
+        "__drv_issue": engine_driver("ISSUE"), "__drv_improve": engine_driver("IMPROVE"),
+    })
+    rca_lower = {c.lower() for c in RCA_FIELDS}
+    base = selected.drop(*[c for c in selected.columns if c.lower() in rca_lower])
+    rca = rca.select(*DIMENSIONS, *[F.col(c).alias(f"__r_{c}") for c in SUM_COLUMNS],
+                     *[c for c in RCA_FIELDS if c != "primary_driver"], "__drv_issue", "__drv_improve")
+    joined = base.join(rca, DIMENSIONS, "left")
+    drv = F.when(F.col("list") == "issues", F.col("__drv_issue")).otherwise(F.col("__drv_improve"))
+    return joined.withColumns({
+        **{c: F.coalesce(F.col(f"__r_{c}"), F.col(c)) for c in SUM_COLUMNS},
+        "primary_driver": F.coalesce(drv, F.lit("NONE")),
+        "tag": F.coalesce(F.col("tag"), F.lit("UNDEFINED")),
+    }).drop(*[f"__r_{c}" for c in SUM_COLUMNS], "__drv_issue", "__drv_improve")
+
+
 def _argmax_driver(cvr: Column, aov: Column, cpc: Column) -> Column:
     """Largest score; equal scores go to the larger name (CVR > CPC > AOV)."""
     return (

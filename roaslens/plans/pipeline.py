@@ -19,7 +19,7 @@ from roaslens.operators.division import division_blocks, division_headline, divi
 from roaslens.operators.drill import ImpactRun, run_impact
 from roaslens.operators.levels import level_rollup, level_rows
 from roaslens.operators.policy import enrich_actions
-from roaslens.operators.rootcause import attach_rca
+from roaslens.operators.rootcause import attach_rca_by_list
 from roaslens.operators.topics import TOPIC_COLUMNS, report_rows, subsidiary_reports, top3_by_subsidiary
 from roaslens.session import cut
 from roaslens.sinks.report import campaign_table, campaign_view, trace_table, write_report, write_summary
@@ -30,24 +30,33 @@ from roaslens.sources.ingest import build_engine_frame
 class Analysis:
     levels: DataFrame
     run: ImpactRun
-    issues: DataFrame          # selected issue leaves + RCA + actions
-    improvements: DataFrame    # selected improvement / defense leaves + RCA + actions
+    selected: DataFrame        # issues + improvements (column ``list``) with RCA and actions, cut
     subsidiaries: DataFrame    # distinct subsidiaries (A11)
 
+    @property
+    def issues(self) -> DataFrame:
+        return self.selected.filter(F.col("list") == "issues")
+
+    @property
+    def improvements(self) -> DataFrame:
+        return self.selected.filter(F.col("list") == "improvements")
+
 
 def analyze(engine: DataFrame, cfg: EngineConfig, levels: DataFrame | None = None) -> Analysis:
-    """``run_subsidiary_analysis`` for all subsidiaries in one plan."""
+    """``run_subsidiary_analysis`` for all subsidiaries in one plan.
+
+    Cut points: the level rollup, the selection candidates of every parent,
+    and the (at most 6 per subsidiary) selected leaves with RCA and actions.
+    """
     if levels is None:
         levels = cut(level_rollup(engine))
-    run = run_impact(engine, cfg, per_subsidiary=True, levels=levels)  # one cut: all parents' selections
+    run = run_impact(engine, cfg, per_subsidiary=True, levels=levels)
     leaf = level_rows(levels, 4)
-
-    def finish(sel: DataFrame, mode: str) -> DataFrame:
-        x = enrich_actions(attach_rca(sel, leaf, mode))
-        return x.withColumn("diagnosis_subsidiary", F.col("SUBSIDIARY"))
-
+    both = run.issues.withColumn("list", F.lit("issues")).unionByName(
+        run.improvements.withColumn("list", F.lit("improvements")), allowMissingColumns=True)
+    sel = enrich_actions(attach_rca_by_list(both, leaf)).withColumn("diagnosis_subsidiary", F.col("SUBSIDIARY"))
     subs = level_rows(levels, 1).select("SUBSIDIARY").filter(F.col("SUBSIDIARY").isNotNull())
-    return Analysis(levels, run, finish(run.issues, "ISSUE"), finish(run.improvements, "IMPROVE"), subs)
+    return Analysis(levels, run, cut(sel), subs)
 
 
 @dataclass
@@ -64,11 +73,13 @@ def build_report(engine: DataFrame, cfg: EngineConfig, meta: dict[str, Any] | No
     """All report tables as lazy DataFrames (section 3.1 of the design)."""
     a = analyze(engine, cfg)
     levels = a.levels
-    issue_topics = cut(report_rows(a.issues, levels))
-    improve_topics = cut(report_rows(a.improvements, levels))
-    issues_top3 = top3_by_subsidiary(issue_topics, cfg)
-    improvements_top3 = top3_by_subsidiary(improve_topics, cfg)
-    divisions = division_parallel(engine, levels)
+    topics = cut(report_rows(a.selected, levels))
+    top3 = top3_by_subsidiary(topics, cfg)
+    issue_topics = topics.filter(F.col("list") == "issues")
+    improve_topics = topics.filter(F.col("list") == "improvements")
+    issues_top3 = top3.filter(F.col("list") == "issues")
+    improvements_top3 = top3.filter(F.col("list") == "improvements")
+    divisions = division_parallel(levels)
     reports = subsidiary_reports(levels, issues_top3, improvements_top3)
     tables = {
         "issues": campaign_table(a.issues),
@@ -95,7 +106,6 @@ def run_report(spark: SparkSession, raw: DataFrame, cfg: EngineConfig, out_dir:
                fmt: str = "parquet", check_quality: bool = True) -> Report:
     """``run_reporting_pipeline``: raw table -> engine frame (+ meta) -> report -> sinks."""
     engine, meta = build_engine_frame(raw, cfg, check_quality=check_quality)
-    engine = cut(engine)
     rep = build_report(engine, cfg, meta)
     if out_dir:
         write_report(rep.tables, out_dir, fmt)

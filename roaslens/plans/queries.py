@@ -44,8 +44,7 @@ def report_for(spark: SparkSession, sf_dir: str, cfg: EngineConfig = FULL) -> Re
     if rep is None:
         _prepare(spark)
         raw = mapped_long_table(spark, sf_dir, (cfg.curr_year, cfg.prev_year))
-        engine = cut(engine_frame(raw, cfg))
-        rep = build_report(engine, cfg)
+        rep = build_report(engine_frame(raw, cfg), cfg)
         _CACHE[key] = rep
     return rep
 
@@ -114,7 +113,7 @@ def _kpi_sql(level: int) -> str:
 # ------------------------------------------------------------------ Spark builders
 
 def q_engine_frame(spark, sf_dir):
-    return out(report_for(spark, sf_dir).engine.select(*ENGINE_COLUMNS))
+    return out(report_for(spark, sf_dir).engine.select(*ENGINE_COLUMNS))  # lazy: recomputed from the raw tables
 
 
 def q_engine_frame_mtd(spark, sf_dir):
@@ -238,12 +237,12 @@ def q_policy_actions(spark, sf_dir):
 
 def q_division_parallel(spark, sf_dir):
     rep = report_for(spark, sf_dir)
-    return out(division_parallel(rep.engine, rep.analysis.levels))
+    return out(division_parallel(rep.analysis.levels))
 
 
 def q_division_headline(spark, sf_dir):
     rep = report_for(spark, sf_dir)
-    return out(division_headline(division_parallel(rep.engine, rep.analysis.levels)))
+    return out(division_headline(division_parallel(rep.analysis.levels)))
 
 
 TOPIC_NUM = ["diagnosis_subsidiary", *DIMENSIONS, "mode_tag", "topic_roas_curr", "topic_roas_prev", "topic_roas_delta",
