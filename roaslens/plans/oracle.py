@@ -400,20 +400,30 @@ def topics_ctes(mtd: bool = False) -> str:
 
     def pick(name: str, src: str) -> str:
         basis = " OR ".join(f"({k}_curr IS NOT NULL AND {k}_prev IS NOT NULL AND {k}_prev > 0)" for k in ("CVR", "AOV", "CPC"))
-        out = [f"""
-{name}_base AS MATERIALIZED (
+        return diverse_pick_sql(name, f"""
   SELECT t.*, row_number() OVER (PARTITION BY diagnosis_subsidiary
            ORDER BY coalesce(abs(topic_roas_delta), impact_contribution_pct, 0.0) DESC, CHANNEL, DIVISION, PRODUCT) AS metric_rank
   FROM {src} t
-  WHERE ({basis}) OR (topic_roas_delta IS NOT NULL AND abs(topic_roas_delta) >= 0.03)
+  WHERE ({basis}) OR (topic_roas_delta IS NOT NULL AND abs(topic_roas_delta) >= 0.03)""", ["diagnosis_subsidiary"])
+
+    return base + "," + topics("itop", "issues") + "," + topics("mtop", "impr") + "," + pick("ipick", "itop") + "," + pick("mpick", "mtop")
+
+
+def diverse_pick_sql(name: str, base_sql: str, keys: list[str]) -> str:
+    """W11 in SQL: three rounds of 'least (stage, metric_rank)' per key against the picks so far."""
+    kj = " AND ".join(f"st.{k} = b.{k}" for k in keys)
+    kp = ", ".join(keys)
+    if True:
+        out = [f"""
+{name}_base AS MATERIALIZED ({base_sql}
 )"""]
         prev = None
         for r in (1, 2, 3):
             if prev is None:
                 src_sql = f"SELECT b.*, 0 AS stage FROM {name}_base b"
             else:
-                st = (f"SELECT diagnosis_subsidiary, list(CHANNEL) AS chs, list(DIVISION) AS dvs, list(CHANNEL || chr(1) || DIVISION) AS prs, "
-                      f"list(CHANNEL || chr(1) || DIVISION || chr(1) || PRODUCT) AS trs, list(metric_rank) AS rks FROM {prev} GROUP BY 1")
+                st = (f"SELECT {kp}, list(CHANNEL) AS chs, list(DIVISION) AS dvs, list(CHANNEL || chr(1) || DIVISION) AS prs, "
+                      f"list(CHANNEL || chr(1) || DIVISION || chr(1) || PRODUCT) AS trs, list(metric_rank) AS rks FROM {prev} GROUP BY {kp}")
                 new_ch = "NOT coalesce(list_contains(st.chs, b.CHANNEL), FALSE)"
                 new_dv = "NOT coalesce(list_contains(st.dvs, b.DIVISION), FALSE)"
                 new_pr = "NOT coalesce(list_contains(st.prs, b.CHANNEL || chr(1) || b.DIVISION), FALSE)"
@@ -422,10 +432,10 @@ def topics_ctes(mtd: bool = False) -> str:
                 stage = (f"CASE WHEN {new_pr} AND {new_ch} AND {new_dv} THEN 0 WHEN {new_pr} AND ({new_ch} OR {new_dv}) THEN 1 "
                          f"WHEN {new_pr} THEN 2 ELSE 3 END")
                 src_sql = (f"SELECT b.*, {stage} AS stage FROM {name}_base b LEFT JOIN ({st}) st "
-                           f"ON st.diagnosis_subsidiary = b.diagnosis_subsidiary WHERE NOT {dup}")
+                           f"ON {kj} WHERE NOT {dup}")
             out.append(f"""
 {name}_s{r} AS (
-  SELECT * FROM ({src_sql}) QUALIFY row_number() OVER (PARTITION BY diagnosis_subsidiary ORDER BY stage, metric_rank) = 1
+  SELECT * FROM ({src_sql}) QUALIFY row_number() OVER (PARTITION BY {kp} ORDER BY stage, metric_rank) = 1
 ),
 {name}_p{r} AS MATERIALIZED (
   SELECT * EXCLUDE (stage), {r} AS pick_no FROM {name}_s{r} {'' if prev is None else f'UNION ALL SELECT * FROM {prev}'}
@@ -435,4 +445,62 @@ def topics_ctes(mtd: bool = False) -> str:
 {name} AS (SELECT * FROM {prev})""")
         return ",".join(out)
 
-    return base + "," + topics("itop", "issues") + "," + topics("mtop", "impr") + "," + pick("ipick", "itop") + "," + pick("mpick", "mtop")
+
+def _argmax_yoy(mode: str) -> str:
+    iss = f"{mode} = 'ISSUE'"
+    cv, av, cp = "coalesce(cvr_yoy, 0.0)", "coalesce(aov_yoy, 0.0)", "coalesce(cpc_yoy, 0.0)"
+    sc = f"greatest(0.0, CASE WHEN {iss} THEN -{cv} ELSE {cv} END)"
+    sa = f"greatest(0.0, CASE WHEN {iss} THEN -{av} ELSE {av} END)"
+    sp = f"greatest(0.0, CASE WHEN {iss} THEN {cp} ELSE -{cp} END)"
+    return (f"CASE WHEN greatest({sc}, {sa}, {sp}) > 0 THEN {_argmax(sc, sa, sp)} "
+            f"ELSE {_argmax(f'abs({cv})', f'abs({av})', f'abs({cp})')} END")
+
+
+def display_ctes() -> str:
+    """W12-W16 and the report cards."""
+    basis = " OR ".join(f"({k}_curr IS NOT NULL AND {k}_prev IS NOT NULL AND {k}_prev > 0)" for k in ("CVR", "AOV", "CPC"))
+    gate = f"(({basis}) OR (impact_contribution_pct IS NOT NULL AND impact_contribution_pct >= 0.03))"
+    fb = f"""
+fbm AS (
+  SELECT SUBSIDIARY, CHANNEL, DIVISION, PRODUCT, m.mode_tag,
+         Revenue_curr_sum - Revenue_prev_sum AS revenue_delta,
+         {ratio('Spend_curr_sum', 'Clicks_curr_sum')} AS CPC_curr, {ratio('Spend_prev_sum', 'Clicks_prev_sum')} AS CPC_prev,
+         {ratio('Orders_curr_sum', 'Clicks_curr_sum')} AS CVR_curr, {ratio('Orders_prev_sum', 'Clicks_prev_sum')} AS CVR_prev,
+         {ratio('Revenue_curr_sum', 'Orders_curr_sum')} AS AOV_curr, {ratio('Revenue_prev_sum', 'Orders_prev_sum')} AS AOV_prev
+  FROM levels, (VALUES ('ISSUE'), ('IMPROVE')) m(mode_tag) WHERE level = 4
+),
+fbp AS (
+  SELECT *, CASE WHEN mode_tag = 'ISSUE' THEN revenue_delta < 0 ELSE revenue_delta > 0 END AS is_primary,
+         {pct('CVR_curr', 'CVR_prev')} AS cvr_yoy, {pct('AOV_curr', 'AOV_prev')} AS aov_yoy, {pct('CPC_curr', 'CPC_prev')} AS cpc_yoy
+  FROM fbm
+),
+fallback AS MATERIALIZED (
+  SELECT *, SUBSIDIARY AS diagnosis_subsidiary,
+         CASE WHEN den > 0 THEN abs(revenue_delta) / den END AS impact_contribution_pct,
+         CASE WHEN mode_tag = 'ISSUE' THEN CASE WHEN revenue_delta < 0 THEN 'share of decline' ELSE 'offset share' END
+              ELSE CASE WHEN revenue_delta > 0 THEN 'share of improvement' ELSE 'headwind share' END END AS contribution_label,
+         {_argmax_yoy('mode_tag')} AS primary_driver
+  FROM (SELECT *, sum(CASE WHEN is_primary THEN abs(revenue_delta) END) OVER (PARTITION BY SUBSIDIARY, mode_tag) AS den FROM fbp)
+),
+exist AS (
+  SELECT diagnosis_subsidiary, CHANNEL, DIVISION, PRODUCT, 'ISSUE' AS card_mode, impact_contribution_pct, primary_driver,
+         'selected' AS source, 0 AS src, FALSE AS sec, CAST(pick_no AS DOUBLE) AS k, '' AS c, '' AS d, '' AS p
+  FROM ipick WHERE {gate}
+  UNION ALL
+  SELECT diagnosis_subsidiary, CHANNEL, DIVISION, PRODUCT, 'IMPROVE', impact_contribution_pct, primary_driver,
+         'selected', 0, FALSE, CAST(pick_no AS DOUBLE), '', '', ''
+  FROM mpick WHERE {gate}
+),
+fbsel AS (
+  SELECT diagnosis_subsidiary, CHANNEL, DIVISION, PRODUCT, mode_tag AS card_mode, impact_contribution_pct, primary_driver,
+         'fallback' AS source, 1 AS src, NOT is_primary AS sec, -abs(revenue_delta) AS k, CHANNEL AS c, DIVISION AS d, PRODUCT AS p
+  FROM fallback WHERE {gate}
+),
+mcand AS (
+  SELECT * FROM (SELECT * FROM exist UNION ALL SELECT * FROM fbsel)
+  QUALIFY row_number() OVER (PARTITION BY diagnosis_subsidiary, card_mode, CHANNEL, DIVISION, PRODUCT ORDER BY src, sec, k, c, d, p) = 1
+)"""
+    merged = diverse_pick_sql("merged", """
+  SELECT t.*, row_number() OVER (PARTITION BY diagnosis_subsidiary, card_mode ORDER BY src, sec, k, c, d, p) AS metric_rank
+  FROM mcand t""", ["diagnosis_subsidiary", "card_mode"])
+    return topics_ctes() + "," + fb + "," + merged

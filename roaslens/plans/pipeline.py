@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roaslens.config import EngineConfig
+from roaslens.operators.display import existing_topics, fallback_topics, merged_topics, report_cards
 from roaslens.operators.division import division_blocks, division_headline, division_parallel
 from roaslens.operators.drill import ImpactRun, run_impact
 from roaslens.operators.levels import level_rollup, level_rows
@@ -74,13 +75,16 @@ def build_report(engine: DataFrame, cfg: EngineConfig, meta: dict[str, Any] | No
     a = analyze(engine, cfg)
     levels = a.levels
     topics = cut(report_rows(a.selected, levels))
-    top3 = top3_by_subsidiary(topics, cfg)
+    top3 = cut(top3_by_subsidiary(topics, cfg))
     issue_topics = topics.filter(F.col("list") == "issues")
     improve_topics = topics.filter(F.col("list") == "improvements")
     issues_top3 = top3.filter(F.col("list") == "issues")
     improvements_top3 = top3.filter(F.col("list") == "improvements")
     divisions = division_parallel(levels)
     reports = subsidiary_reports(levels, issues_top3, improvements_top3)
+    fallback = fallback_topics(levels)
+    merged = merged_topics(existing_topics(top3, topics, cfg), fallback, cfg)
+    cards = report_cards(levels, reports, merged)
     tables = {
         "issues": campaign_table(a.issues),
         "improvements": campaign_table(a.improvements),
@@ -96,6 +100,9 @@ def build_report(engine: DataFrame, cfg: EngineConfig, meta: dict[str, Any] | No
         "subsidiary_reports": reports,
         "issues_top3_products_by_subsidiary": issues_top3,
         "improvements_top3_products_by_subsidiary": improvements_top3,
+        "fallback_topics": fallback,
+        "merged_topics": merged,
+        "report_cards": cards,
         "issues_top_products": issue_topics.select(*TOPIC_COLUMNS),
         "improvements_top_products": improve_topics.select(*TOPIC_COLUMNS),
     }

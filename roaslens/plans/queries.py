@@ -289,6 +289,25 @@ def q_subsidiary_report(spark, sf_dir):
     ))
 
 
+FALLBACK_OUT = ["diagnosis_subsidiary", *DIMENSIONS, "mode_tag", "revenue_delta", "is_primary", "impact_contribution_pct",
+                "contribution_label", "primary_driver"]
+MERGED_OUT = ["diagnosis_subsidiary", "card_mode", "pick_no", *DIMENSIONS[1:], "source", "impact_contribution_pct", "primary_driver"]
+
+
+def q_fallback_topics(spark, sf_dir):
+    return out(report_for(spark, sf_dir).sections["fallback_topics"].select(*FALLBACK_OUT))
+
+
+def q_merged_topics(spark, sf_dir):
+    return out(report_for(spark, sf_dir).sections["merged_topics"].select(*MERGED_OUT))
+
+
+def q_report_cards(spark, sf_dir):
+    c = report_for(spark, sf_dir).sections["report_cards"]
+    paths = F.array_join(F.transform("topics", lambda t: F.concat_ws("/", t.getField("CHANNEL"), t.getField("DIVISION"), t.getField("PRODUCT"))), " | ")
+    return c.select("SUBSIDIARY", "display_mode", F.size("topics").cast("long").alias("n_topics"), paths.alias("topic_paths"))
+
+
 def q_issues_view(spark, sf_dir):
     a = report_for(spark, sf_dir).analysis
     return campaign_view(a.issues, FULL.curr_year, FULL.prev_year)
@@ -506,6 +525,23 @@ SELECT SUBSIDIARY, mode, {', '.join(KPI)}, n_issues, n_improvements,
        coalesce(CASE WHEN mode = 'ISSUE' THEN ip ELSE mp END, '') AS top3_paths
 FROM rep"""
     q["issues_view"] = _view_sql()
+    fo = ", ".join(O.rnd(c) + f" AS {c}" if c == "impact_contribution_pct" else c for c in FALLBACK_OUT)
+    q["fallback_topics"] = O.display_ctes() + f" SELECT {fo} FROM fallback"
+    mo = ", ".join(O.rnd(c) + f" AS {c}" if c == "impact_contribution_pct" else (f"CAST({c} AS BIGINT) AS {c}" if c == "pick_no" else c) for c in MERGED_OUT)
+    q["merged_topics"] = O.display_ctes() + f" SELECT {mo} FROM merged"
+    q["report_cards"] = O.display_ctes() + """,
+rep_mode AS (
+  SELECT l.SUBSIDIARY,
+         CASE WHEN coalesce(coalesce(""" + O.ratio("l.Revenue_curr_sum", "l.Spend_curr_sum") + " - " + O.ratio("l.Revenue_prev_sum", "l.Spend_prev_sum") + """, l.Revenue_curr_sum - l.Revenue_prev_sum), 0.0) < 0
+              THEN CASE WHEN (SELECT count(*) FROM ipick i WHERE i.diagnosis_subsidiary = l.SUBSIDIARY) > 0 THEN 'ISSUE' ELSE 'IMPROVE' END
+              WHEN (SELECT count(*) FROM mpick i WHERE i.diagnosis_subsidiary = l.SUBSIDIARY) > 0 THEN 'IMPROVE'
+              WHEN (SELECT count(*) FROM ipick i WHERE i.diagnosis_subsidiary = l.SUBSIDIARY) > 0 THEN 'ISSUE' ELSE 'IMPROVE' END AS display_mode
+  FROM levels l WHERE l.level = 1
+)
+SELECT r.SUBSIDIARY, r.display_mode, CAST(count(m.PRODUCT) AS BIGINT) AS n_topics,
+       coalesce(string_agg(m.CHANNEL || '/' || m.DIVISION || '/' || m.PRODUCT, ' | ' ORDER BY m.pick_no), '') AS topic_paths
+FROM rep_mode r LEFT JOIN merged m ON m.diagnosis_subsidiary = r.SUBSIDIARY AND m.card_mode = r.display_mode
+GROUP BY r.SUBSIDIARY, r.display_mode"""
     return q
 
 
@@ -544,6 +580,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top3_diverse": q_top3_diverse,
     "subsidiary_report": q_subsidiary_report,
     "issues_view": q_issues_view,
+    "fallback_topics": q_fallback_topics,
+    "merged_topics": q_merged_topics,
+    "report_cards": q_report_cards,
 }
 
 ORACLE: dict[str, str] = _oracle()

@@ -46,7 +46,7 @@ def test_diverse_pick_equals_sequential_greedy(spark):
         expected[g] = greedy(uniq)
         rows += [(g, i, c, d, p) for i, (c, d, p) in enumerate(uniq)]
     df = spark.createDataFrame(rows, "g int, ord int, CHANNEL string, DIVISION string, PRODUCT string")
-    got = diverse_pick(df, ["g"], [F.col("ord").asc()], 3).orderBy("g", "pick_no").collect()
+    got = diverse_pick(df, ["g"], F.col("ord"), 3).orderBy("g", "pick_no").collect()
     res = {}
     for r in got:
         res.setdefault(r["g"], []).append((r["CHANNEL"], r["DIVISION"], r["PRODUCT"]))
