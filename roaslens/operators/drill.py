@@ -270,3 +270,20 @@ def run_impact(engine: DataFrame, cfg: EngineConfig, focus: dict[str, str] | Non
         issues=select_issues(cands, d.start_depth, cfg),
         improvements=select_improvements(cands, levels, d.start_depth, cfg),
     )
+
+
+def dedupe_campaigns(rows: DataFrame) -> DataFrame:
+    """Merge rows with the same 4-dim key (union helper for several drill runs).
+
+    Sums and impacts add up, the residual flag is OR-ed, traces are kept as a
+    list (one per merged row; a key is reached once per run, so the list is
+    bounded by the number of runs), other columns keep the first value.
+    """
+    add = [*SUM_COLUMNS, "Impact_raw", "Impact_adj", "Residual_parent"]
+    other = [c for c in rows.columns if c not in DIMENSIONS + add + ["Residual_applied_flag", "drill_trace"]]
+    aggs = [F.sum(F.coalesce(F.col(c), F.lit(0.0))).alias(c) for c in add]
+    aggs.append(F.bool_or(F.coalesce(F.col("Residual_applied_flag"), F.lit(False))).alias("Residual_applied_flag"))
+    if "drill_trace" in rows.columns:
+        aggs.append(F.collect_list("drill_trace").alias("drill_traces"))
+    aggs += [F.first(c).alias(c) for c in other]
+    return rows.groupBy(*DIMENSIONS).agg(*aggs)
