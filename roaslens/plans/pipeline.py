@@ -70,9 +70,10 @@ class Report:
     meta: dict[str, Any] = field(default_factory=dict)
 
 
-def build_report(engine: DataFrame, cfg: EngineConfig, meta: dict[str, Any] | None = None) -> Report:
+def build_report(engine: DataFrame, cfg: EngineConfig, meta: dict[str, Any] | None = None,
+                 analysis: Analysis | None = None) -> Report:
     """All report tables as lazy DataFrames (section 3.1 of the design)."""
-    a = analyze(engine, cfg)
+    a = analysis if analysis is not None else analyze(engine, cfg)
     levels = a.levels
     topics = cut(report_rows(a.selected, levels))
     top3 = cut(top3_by_subsidiary(topics, cfg))

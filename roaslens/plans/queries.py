@@ -20,7 +20,8 @@ from roaslens.operators.impact import child_impacts, select_children, selected_c
 from roaslens.operators.levels import kpi_table, level_rows
 from roaslens.operators.rootcause import rca_table
 from roaslens.plans import oracle as O
-from roaslens.plans.pipeline import Report, build_report
+from roaslens.operators.levels import level_rollup
+from roaslens.plans.pipeline import Analysis, Report, analyze, build_report
 from roaslens.schema import DIMENSIONS, ENGINE_COLUMNS, SUM_COLUMNS
 from roaslens.session import apply_engine_conf, cut, ensure_checkpoint_dir
 from roaslens.sinks.report import CAMPAIGN_COLUMNS, campaign_view, trace_table
@@ -30,23 +31,57 @@ from roaslens.sources.mapped import mapped_long_table
 FULL = EngineConfig(curr_year=O.CURR, prev_year=O.PREV, mtd_only=False)
 MTD = EngineConfig(curr_year=O.CURR, prev_year=O.PREV, mtd_only=True)
 
-_CACHE: dict[tuple, Report] = {}
-
-
 def _prepare(spark: SparkSession) -> None:
     apply_engine_conf(spark)
     ensure_checkpoint_dir(spark)
 
 
-def report_for(spark: SparkSession, sf_dir: str, cfg: EngineConfig = FULL) -> Report:
-    key = (spark.sparkContext.applicationId, sf_dir, cfg)
-    rep = _CACHE.get(key)
-    if rep is None:
+class Run:
+    """One comparison over one data directory; each stage is built on first use only."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, cfg: EngineConfig) -> None:
         _prepare(spark)
-        raw = mapped_long_table(spark, sf_dir, (cfg.curr_year, cfg.prev_year))
-        rep = build_report(engine_frame(raw, cfg), cfg)
-        _CACHE[key] = rep
-    return rep
+        self.cfg = cfg
+        self.engine = engine_frame(mapped_long_table(spark, sf_dir, (cfg.curr_year, cfg.prev_year)), cfg)
+        self._levels = self._analysis = self._report = None
+
+    @property
+    def levels(self) -> DataFrame:
+        if self._levels is None:
+            self._levels = cut(level_rollup(self.engine))
+        return self._levels
+
+    @property
+    def analysis(self) -> Analysis:
+        if self._analysis is None:
+            self._analysis = analyze(self.engine, self.cfg, self.levels)
+        return self._analysis
+
+    @property
+    def report(self) -> Report:
+        if self._report is None:
+            self._report = build_report(self.engine, self.cfg, analysis=self.analysis)
+        return self._report
+
+    # Report-like accessors
+    @property
+    def sections(self):
+        return self.report.sections
+
+    @property
+    def tables(self):
+        return self.report.tables
+
+
+_CACHE: dict[tuple, Run] = {}
+
+
+def report_for(spark: SparkSession, sf_dir: str, cfg: EngineConfig = FULL) -> Run:
+    key = (spark.sparkContext.applicationId, sf_dir, cfg)
+    run = _CACHE.get(key)
+    if run is None:
+        run = _CACHE[key] = Run(spark, sf_dir, cfg)
+    return run
 
 
 # Columns computed with logarithms or floating-point sums (order-dependent); they
@@ -138,25 +173,25 @@ def q_mtd_cutoff(spark, sf_dir):
 
 
 def q_level_rollup(spark, sf_dir):
-    return out(report_for(spark, sf_dir).analysis.levels)
+    return out(report_for(spark, sf_dir).levels)
 
 
 def q_kpi_subsidiary(spark, sf_dir):
-    return out(kpi_table(report_for(spark, sf_dir).analysis.levels, 1))
+    return out(kpi_table(report_for(spark, sf_dir).levels, 1))
 
 
 def q_kpi_channel(spark, sf_dir):
-    return out(kpi_table(report_for(spark, sf_dir).analysis.levels, 2))
+    return out(kpi_table(report_for(spark, sf_dir).levels, 2))
 
 
 def _impact(level):
     def q(spark, sf_dir):
-        return out(child_impacts(report_for(spark, sf_dir).analysis.levels, level).select(*IMPACT_OUT))  # noqa: E501
+        return out(child_impacts(report_for(spark, sf_dir).levels, level).select(*IMPACT_OUT))
     return q
 
 
 def q_select_children(spark, sf_dir):
-    lv = report_for(spark, sf_dir).analysis.levels
+    lv = report_for(spark, sf_dir).levels
     sel = selected_children(select_children(child_impacts(lv, 3), FULL))
     return out(sel.select("SUBSIDIARY", "CHANNEL", "DIVISION", "rule", F.col("sel_rank").cast("long").alias("sel_rank"),
                           "Impact_adj", "top1_share", "top2_share", "impact_floor"))
@@ -191,7 +226,7 @@ def q_candidate_metrics(spark, sf_dir):
 
 
 def q_scope_eligibility(spark, sf_dir):
-    return scope_eligibility(report_for(spark, sf_dir).analysis.levels, FULL)
+    return scope_eligibility(report_for(spark, sf_dir).levels, FULL)
 
 
 SEL_OUT = [*DIMENSIONS, "Impact_adj", "mode_tag", "mode_rank"]
@@ -211,7 +246,7 @@ RCA_OUT = [*DIMENSIONS, *SUM_COLUMNS, "primary_driver", "tag", "dlog_CVR", "dlog
 
 def _rca(mode):
     def q(spark, sf_dir):
-        return out(rca_table(level_rows(report_for(spark, sf_dir).analysis.levels, 4), mode).select(*RCA_OUT))
+        return out(rca_table(level_rows(report_for(spark, sf_dir).levels, 4), mode).select(*RCA_OUT))
     return q
 
 
@@ -236,13 +271,11 @@ def q_policy_actions(spark, sf_dir):
 
 
 def q_division_parallel(spark, sf_dir):
-    rep = report_for(spark, sf_dir)
-    return out(division_parallel(rep.analysis.levels))
+    return out(division_parallel(report_for(spark, sf_dir).levels))
 
 
 def q_division_headline(spark, sf_dir):
-    rep = report_for(spark, sf_dir)
-    return out(division_headline(division_parallel(rep.analysis.levels)))
+    return out(division_headline(division_parallel(report_for(spark, sf_dir).levels)))
 
 
 TOPIC_NUM = ["diagnosis_subsidiary", *DIMENSIONS, "mode_tag", "topic_roas_curr", "topic_roas_prev", "topic_roas_delta",
