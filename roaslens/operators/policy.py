@@ -161,21 +161,57 @@ def action_checklist(code: bool = False) -> Column:
     return _chain(CHECK_RULES, CHECK_DEFAULT, 1 if code else 2, *_signals())
 
 
+TAGS = ("LOW_VOL", "NEW", "GONE", "UNDEFINED")
+
+
+def action_code_expr() -> Column:
+    """R10 as a code: the rule list's first match, written as one short expression."""
+    tag, mode, driver, ctype = _signals()
+    known = driver.isin(*DRIVERS)
+    return (
+        F.when(tag.isin(*TAGS), F.concat(F.lit("TAG_"), tag))
+        .when(mode == "ISSUE", F.when(known, F.concat_ws("_", F.lit("ISSUE"), driver, ctype)).otherwise(F.lit("ISSUE_DEFAULT")))
+        .when(mode.isin("IMPROVE", "DEFENSE"), F.when(known, F.concat_ws("_", F.lit("IMPROVE"), driver, ctype))
+              .when(mode == "DEFENSE", F.lit("DEFENSE_DEFAULT")).otherwise(F.lit("IMPROVE_DEFAULT")))
+        .otherwise(F.lit(ACTION_DEFAULT[0]))
+    )
+
+
+def checklist_code_expr() -> Column:
+    """R11 as a code."""
+    tag, mode, driver, ctype = _signals()
+    return (
+        F.when(tag.isin(*TAGS), F.concat(F.lit("TAG_"), tag))
+        .when(driver.isin(*DRIVERS), F.concat_ws("_", F.when(mode == "ISSUE", F.lit("ISSUE")).otherwise(F.lit("SCALE")), driver, ctype))
+        .otherwise(F.lit(CHECK_DEFAULT[0]))
+    )
+
+
+def _texts(spark, rules, default, code_col: str, text_col: str):
+    rows = [(code, text) for _, code, text in rules] + [default]
+    return spark.createDataFrame(rows, f"{code_col} string, {text_col} string")
+
+
 def enrich_actions(df):
-    """Confirmed driver, actions, checklist, path, diagnosis mode, trace text."""
+    """Confirmed driver, action / checklist codes and texts, path, diagnosis mode, trace text.
+
+    Codes are short expressions; texts come from the rule tables (48 fixed
+    rows, so the broadcast is bounded) through an equi-join.
+    """
     from roaslens.operators.rootcause import confirmed_driver
 
     df = df.withColumn("rca_primary_driver", F.col("primary_driver"))
     df = with_signals(df.withColumn("primary_driver", confirmed_driver()))
-    return df.withColumns({
+    df = df.withColumns({
         "diagnosis_path": F.struct(*[F.col(d) for d in DIMENSIONS]),
         "campaign_diagnosis_mode": F.lit("MANUAL"),
-        "action_code": recommended_action(code=True),
-        "recommended_actions": recommended_action(),
-        "checklist_code": action_checklist(code=True),
-        "action_checklist": action_checklist(),
+        "action_code": action_code_expr(),
+        "checklist_code": checklist_code_expr(),
         "drill_trace_text": trace_text("drill_trace"),
     }).drop(*SIGNAL_COLUMNS)
+    spark = df.sparkSession
+    df = df.join(F.broadcast(_texts(spark, ACTION_RULES, ACTION_DEFAULT, "action_code", "recommended_actions")), "action_code", "left")
+    return df.join(F.broadcast(_texts(spark, CHECK_RULES, CHECK_DEFAULT, "checklist_code", "action_checklist")), "checklist_code", "left")
 
 
 # ------------------------------------------------------------------ SQL rendering (oracle)

@@ -73,3 +73,15 @@ def test_policy_rules_cover_all_paths(spark):
     assert all(r["recommended_actions"] for r in out) and all(r["action_checklist"] for r in out)
     assert len(ACTION_RULES) == 4 + 9 + 1 + 9 + 2 and len(CHECK_RULES) == 4 + 18
     assert rules_sql("action", "code", "t", "m", "d", "c").startswith("CASE WHEN t = 'LOW_VOL'")
+
+
+def test_code_expressions_equal_rule_chains(spark):
+    from roaslens.operators.policy import (action_checklist, action_code_expr, checklist_code_expr, recommended_action,
+                                           with_signals)
+    rows = [(t, m, d, c) for t in ("LOW_VOL", "NEW", "GONE", "UNDEFINED", "NORMAL", None)
+            for m in ("ISSUE", "IMPROVE", "DEFENSE", "", None) for d in ("CPC", "CVR", "AOV", "NONE", None)
+            for c in ("Search", "pmax", "other", None)]
+    df = with_signals(spark.createDataFrame(rows, "tag string, mode_tag string, primary_driver string, CHANNEL string"))
+    got = df.select(action_code_expr().alias("a"), recommended_action(code=True).alias("a2"),
+                    checklist_code_expr().alias("c"), action_checklist(code=True).alias("c2")).collect()
+    assert all(r["a"] == r["a2"] and r["c"] == r["c2"] for r in got)
