@@ -109,6 +109,27 @@ def write_report(tables: dict[str, DataFrame], out_dir: str, fmt: str = "parquet
             raise ValueError(f"unknown format {fmt}")
 
 
+def comparison_window_text(meta: dict[str, Any]) -> str:
+    """The compared windows and the filters applied, from the run metadata."""
+    c, p = meta.get("curr_year"), meta.get("prev_year")
+    if meta.get("mtd_applied"):
+        m = int(meta.get("mtd_month_cutoff", 0))
+        if meta.get("mtd_day_cutoff") is not None:
+            d = int(meta["mtd_day_cutoff"])
+            window = f"{c}-{m:02d}-01..{c}-{m:02d}-{d:02d} vs {p}-{m:02d}-01..{p}-{m:02d}-{d:02d}"
+        else:
+            window = f"{c}-{m:02d} vs {p}-{m:02d} (whole month)"
+    else:
+        window = f"{c} vs {p} (full years)"
+    filters = []
+    if meta.get("objective_filter_applied"):
+        filters.append(f"objective = {meta.get('objective_value')} ({meta.get('objective_rows_after')}/{meta.get('objective_rows_before')} rows)")
+    if meta.get("division_filter_applied"):
+        filters.append(f"division in {', '.join(meta.get('division_filter_values', []))} "
+                       f"({meta.get('division_rows_after')}/{meta.get('division_rows_before')} rows)")
+    return window + ("; " + "; ".join(filters) if filters else "")
+
+
 def write_summary(spark: SparkSession, sections: dict[str, DataFrame], meta: dict[str, Any], out_dir: str) -> None:
     """K1: the summary document as one JSON directory per section plus a meta row."""
     for name, df in sections.items():

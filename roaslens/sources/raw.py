@@ -89,3 +89,33 @@ def read_with_header_discovery(spark: SparkSession, path: str, fmt: str = "csv",
     names = normalize_headers([header_row[c] for c in cols])
     data = lines.filter(F.col("__id") > header_id).drop("__id").dropna(how="all")
     return standardize_known_columns(data.toDF(*names))
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence through the cluster file system (works for local, HDFS and object-store paths)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(p)) or bool(fs.globStatus(p))
+
+
+def read_input(spark: SparkSession, path: str, cfg, fmt: str | None = None, check_quality: bool = True):
+    """Path -> (engine frame, run metadata).
+
+    Text files (csv / tsv / txt) go through header discovery; Parquet, ORC and
+    JSON are read with their own schema.  A missing path raises
+    ``FileNotFoundError``.
+    """
+    from roaslens.sources.ingest import build_engine_frame
+
+    if not path_exists(spark, path):
+        raise FileNotFoundError(f"Input not found: {path}")
+    kind = (fmt or path.rstrip("/").rsplit(".", 1)[-1]).lower()
+    if kind in ("csv", "txt"):
+        raw = read_with_header_discovery(spark, path)
+    elif kind == "tsv":
+        raw = read_with_header_discovery(spark, path, sep="\t")
+    else:
+        raw = standardize_known_columns(select_known_columns(spark.read.format(kind).load(path)) if kind != "parquet"
+                                        else spark.read.parquet(path))
+    return build_engine_frame(raw, cfg, check_quality=check_quality)

@@ -61,3 +61,22 @@ def test_dedupe_campaigns(spark):
     two = row.unionByName(row.withColumn("Residual_applied_flag", F.lit(True)))
     r = dedupe_campaigns(two).collect()
     assert len(r) == 1 and r[0]["Impact_adj"] == 0.5 and r[0]["Residual_applied_flag"] and r[0]["mode_tag"] == "ISSUE"
+
+
+def test_read_input_and_window_text(spark):
+    import pytest
+    from roaslens.sinks.report import comparison_window_text
+    from roaslens.sources.raw import read_input
+    d = tempfile.mkdtemp(prefix="roaslens-in-", dir="/tmp")
+    path = os.path.join(d, "in.csv")
+    with open(path, "w") as f:
+        f.write(HEADER.rsplit(",,", 1)[0] + "\n")
+        f.write("KR,Search,MX,P1,10,100,200,10,CONVERSION,2026,3,5\n")
+        f.write("KR,Search,MX,P1,5,60,200,10,conversion,2025,3,9\n")
+    eng, meta = read_input(spark, path, EngineConfig(2026, 2025, mtd_only=True))
+    r = eng.first()
+    assert r["Spend_curr"] == 10.0 and r["Spend_prev"] == 0.0  # day 9 is after the cutoff (day 5)
+    assert meta["mtd_day_cutoff"] == 5 and meta["objective_rows_after"] == 2
+    assert comparison_window_text(meta).startswith("2026-03-01..2026-03-05 vs 2025-03-01..2025-03-05; objective = CONVERSION (2/2 rows)")
+    with pytest.raises(FileNotFoundError):
+        read_input(spark, os.path.join(d, "missing.csv"), EngineConfig(2026, 2025))
