@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings the engine relies on.  AQE re-plans joins at run time: a join side
@@ -55,28 +55,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
-def materialize(df: DataFrame, reliable: bool = False) -> DataFrame:
-    """Keep an intermediate that several outputs reuse.
-
-    ``reliable=True`` writes it to the shared checkpoint directory (lineage
-    cut, survives executor loss without recomputation); otherwise it is
-    persisted to memory and disk and lost blocks are recomputed from lineage.
-    """
-    if reliable:
-        ensure_checkpoint_dir(df.sparkSession)
-        return df.checkpoint(eager=True)
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+_CUT_SEQ = [0]
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into ``spark.checkpoint.dir``: cuts lineage and plan size.
+    """Write a small intermediate as Parquet under ``spark.checkpoint.dir`` and read it back.
 
-    Used at the few points where one small intermediate feeds several
-    branches (level rollup, per-level drill candidates), so that the logical
-    plan of later levels does not repeat the earlier ones.
+    Cuts lineage and plan size like ``checkpoint()``, in one job, and the
+    re-read carries file-size statistics the planner uses for broadcast
+    decisions.  Used where one small intermediate feeds several branches
+    (level rollup, per-node impacts, drill candidates, selections, topics).
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)   # computed once, then written
-    out = df.checkpoint(eager=True)
-    df.unpersist()
-    return out
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    _CUT_SEQ[0] += 1
+    path = f"{base}/roaslens-cut-{uuid.uuid4().hex}-{_CUT_SEQ[0]}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
