@@ -9,7 +9,6 @@ from roaslens.operators.drill import run_impact, validate_focus
 from roaslens.operators.impact import all_child_impacts, select_children
 from roaslens.operators.levels import level_rollup
 from roaslens.plans.pipeline import build_report
-from roaslens.schema import SUM_COLUMNS
 from roaslens.session import cut
 from roaslens.sources.ingest import engine_frame
 from roaslens.sources.mapped import mapped_long_table
