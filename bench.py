@@ -14,6 +14,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -58,17 +59,47 @@ def run(spark, sf_dir: str) -> dict[str, float]:
     t["drill"] = time.perf_counter() - s
 
     s = time.perf_counter()
+    spark.sparkContext.setJobGroup("full_report", "full report from the raw tables")
     raw2 = mapped_long_table(spark, sf_dir, (FULL.curr_year, FULL.prev_year))
     rep = build_report(engine_frame(raw2, FULL), FULL)
     for df in list(rep.tables.values()) + list(rep.sections.values()):
         noop(df)
     t["full_report"] = time.perf_counter() - s
+    spark.sparkContext.setJobGroup("other", "")
     return t
 
 
+def event_log_stats(log_dir: str, group: str) -> dict[str, int]:
+    """Stages and shuffle bytes of the jobs in ``group``, from Spark's event log (scratch folder)."""
+    stages: set[int] = set()
+    shuffle_write = shuffle_read = 0
+    done: dict[int, dict] = {}
+    files = sorted(os.path.join(r, n) for r, _, names in os.walk(log_dir) for n in names if n.startswith("events_"))
+    for path in files:  # Spark 4 writes rolling logs: a directory of events_* files
+        with open(path) as f:
+            for line in f:
+                ev = json.loads(line)
+                kind = ev.get("Event")
+                if kind == "SparkListenerJobStart" and (ev.get("Properties") or {}).get("spark.jobGroup.id") == group:
+                    stages.update(ev.get("Stage IDs", []))
+                elif kind == "SparkListenerStageCompleted":
+                    info = ev["Stage Info"]
+                    done[info["Stage ID"]] = {a.get("Name"): a.get("Value") for a in info.get("Accumulables", [])}
+    ran = [sid for sid in stages if sid in done]
+    for sid in ran:
+        acc = done[sid]
+        shuffle_write += int(acc.get("internal.metrics.shuffle.write.bytesWritten", 0) or 0)
+        shuffle_read += int(acc.get("internal.metrics.shuffle.read.remoteBytesRead", 0) or 0) + \
+            int(acc.get("internal.metrics.shuffle.read.localBytesRead", 0) or 0)
+    return {"stages": len(ran), "shuffle_write_bytes": shuffle_write, "shuffle_read_bytes": shuffle_read}
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", str(os.cpu_count() or 4)))
+    log_dir = tempfile.mkdtemp(prefix="roaslens-eventlog-", dir="/tmp")
+    if os.environ.get("BENCH_EVENT_LOG", "1") != "0":
+        os.environ["ROASLENS_EVENT_LOG_DIR"] = log_dir
     spark = local_session(cpus, shuffle_partitions=max(4, 2 * cpus), app="roaslens-bench")
     warm = "/root/testdata/sf0.001"
     if os.path.isdir(warm) and os.path.abspath(warm) != os.path.abspath(sf_dir):
@@ -79,6 +110,11 @@ def main() -> None:
         sf_val: float | str = float(sf)
     except ValueError:
         sf_val = sf
+    spark.stop()
+    try:
+        stats = event_log_stats(log_dir, "full_report")
+    except Exception:  # noqa: BLE001 - statistics are optional
+        stats = {}
     print(json.dumps({
         "metric": "full_report_sec",
         "value": round(times["full_report"], 3),
@@ -86,8 +122,10 @@ def main() -> None:
         "queries": {k: round(v, 3) for k, v in times.items()},
         "sf": sf_val,
         "cpus": cpus,
+        "full_report_stages": stats.get("stages"),
+        "full_report_shuffle_write_bytes": stats.get("shuffle_write_bytes"),
+        "full_report_shuffle_read_bytes": stats.get("shuffle_read_bytes"),
     }))
-    spark.stop()
 
 
 if __name__ == "__main__":

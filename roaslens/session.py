@@ -31,6 +31,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     )
     for k, v in ENGINE_CONF.items():
         builder = builder.config(k, v)
+    log_dir = os.environ.get("ROASLENS_EVENT_LOG_DIR")
+    if log_dir:  # stage / shuffle statistics for the bench, written to a scratch folder
+        builder = (builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", f"file://{log_dir}")
+                   .config("spark.eventLog.compress", "false"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
