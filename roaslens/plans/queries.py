@@ -341,6 +341,45 @@ def q_report_cards(spark, sf_dir):
     return c.select("SUBSIDIARY", "display_mode", F.size("topics").cast("long").alias("n_topics"), paths.alias("topic_paths"))
 
 
+def _mtd(spark, sf_dir):
+    return report_for(spark, sf_dir, MTD)
+
+
+def _impact_mtd(level):
+    def q(spark, sf_dir):
+        return out(child_impacts(_mtd(spark, sf_dir).levels, level).select(*IMPACT_OUT))
+    return q
+
+
+def q_drill_leaves_mtd(spark, sf_dir):
+    from roaslens.functions.exprs import trace_text
+    d = _mtd(spark, sf_dir).analysis.run.drill.leaves
+    return out(d.withColumn("drill_trace_text", trace_text("drill_trace")).drop("drill_trace"))
+
+
+def q_drill_trace_events_mtd(spark, sf_dir):
+    from roaslens.functions.exprs import paths_text
+    ev = _mtd(spark, sf_dir).analysis.run.drill.events
+    return out(ev.select(
+        "focus_SUBSIDIARY", F.col("lvl").cast("long").alias("lvl"), "level", "rule",
+        *[F.col("parent_path").getField(d).alias(f"parent_{d}") for d in DIMENSIONS],
+        "parent_delta", "top1_share_childsum", "top2_share_childsum", "impact_floor",
+        paths_text("selected_paths").alias("selected_paths"), "rank2", "rank3",
+    ))
+
+
+def q_issues_top3_mtd(spark, sf_dir):
+    return out(_mtd(spark, sf_dir).analysis.run.issues.select(*SEL_OUT))
+
+
+def q_improvements_top3_mtd(spark, sf_dir):
+    return out(_mtd(spark, sf_dir).analysis.run.improvements.select(*SEL_OUT))
+
+
+def q_rca_join_mtd(spark, sf_dir):
+    return out(_mtd(spark, sf_dir).analysis.selected.select(*CAMPAIGN_COLUMNS))
+
+
 def q_issues_view(spark, sf_dir):
     a = report_for(spark, sf_dir).analysis
     return campaign_view(a.issues, FULL.curr_year, FULL.prev_year)
@@ -348,12 +387,20 @@ def q_issues_view(spark, sf_dir):
 
 # ------------------------------------------------------------------ oracle SQL
 
-def _campaign_sql(src: str) -> str:
+def _campaign_union_sql(mtd: bool) -> str:
+    dbl = set(SUM_COLUMNS) | {"Impact_raw", "Impact_adj", "Share_childsum", "Share_parentdelta", "Residual_parent", "dlog_CVR",
+                              "dlog_AOV", "dlog_CPC", "total_dlog_roas", "CPC_curr", "CPC_prev", "CVR_curr", "CVR_prev",
+                              "AOV_curr", "AOV_prev", "ROAS_curr", "ROAS_prev"}
+    cols = _sql_round(CAMPAIGN_COLUMNS, dbl)
+    return O.enriched_ctes(mtd) + f" SELECT {cols} FROM issues UNION ALL SELECT {cols} FROM impr"
+
+
+def _campaign_sql(src: str, mtd: bool = False) -> str:
     dbl = set(SUM_COLUMNS) | {"Impact_raw", "Impact_adj", "Share_childsum", "Share_parentdelta", "Residual_parent", "dlog_CVR",
                               "dlog_AOV", "dlog_CPC", "total_dlog_roas", "CPC_curr", "CPC_prev", "CVR_curr", "CVR_prev",
                               "AOV_curr", "AOV_prev", "ROAS_curr", "ROAS_prev"}
     cols = [c if c != "tag" else "tag" for c in CAMPAIGN_COLUMNS]
-    return O.enriched_ctes() + f" SELECT {_sql_round(cols, dbl)} FROM {src}"
+    return O.enriched_ctes(mtd) + f" SELECT {_sql_round(cols, dbl)} FROM {src}"
 
 
 def _view_sql() -> str:
@@ -461,6 +508,28 @@ def _division_text_sql() -> str:
             f"WHEN coalesce(Parent_roas_delta, 0.0) > 0 THEN {base} || ', share of the ROAS growth ' || {pct('Contribution_to_growth_pct')} ELSE {base} END")
 
 
+def _events_sql(mtd: bool) -> str:
+    return O.drill_ctes(mtd) + """,
+ev AS (
+  SELECT SUBSIDIARY AS focus_SUBSIDIARY, 2 AS lvl, 'LEVEL2' AS level, rule, SUBSIDIARY AS parent_SUBSIDIARY, NULL AS parent_CHANNEL,
+         NULL AS parent_DIVISION, parent_delta, top1_share AS top1_share_childsum, top2_share AS top2_share_childsum, impact_floor,
+         CAST(NULL AS BIGINT) AS rank2, CAST(NULL AS BIGINT) AS rank3,
+         (SELECT string_agg(s.SUBSIDIARY || '/' || s.CHANNEL, ' ; ' ORDER BY s.sel_rank) FROM sel2 s WHERE s.SUBSIDIARY = r.SUBSIDIARY) AS selected_paths
+  FROM sel2_rule r
+  UNION ALL
+  SELECT r.SUBSIDIARY, 3, 'LEVEL3', r.rule, r.SUBSIDIARY, r.CHANNEL, NULL, r.parent_delta, r.top1_share, r.top2_share, r.impact_floor,
+         p.sel_rank, NULL,
+         (SELECT string_agg(s.SUBSIDIARY || '/' || s.CHANNEL || '/' || s.DIVISION, ' ; ' ORDER BY s.sel_rank) FROM sel3 s WHERE s.SUBSIDIARY = r.SUBSIDIARY AND s.CHANNEL = r.CHANNEL)
+  FROM sel3_rule r JOIN sel2 p ON p.SUBSIDIARY = r.SUBSIDIARY AND p.CHANNEL = r.CHANNEL
+  UNION ALL
+  SELECT r.SUBSIDIARY, 4, 'LEVEL4', r.rule, r.SUBSIDIARY, r.CHANNEL, r.DIVISION, r.parent_delta, r.top1_share, r.top2_share, r.impact_floor,
+         p2.sel_rank, p3.sel_rank,
+         (SELECT string_agg(s.SUBSIDIARY || '/' || s.CHANNEL || '/' || s.DIVISION || '/' || s.PRODUCT, ' ; ' ORDER BY s.sel_rank) FROM sel4 s WHERE s.SUBSIDIARY = r.SUBSIDIARY AND s.CHANNEL = r.CHANNEL AND s.DIVISION = r.DIVISION)
+  FROM sel4_rule r JOIN sel3 p3 ON p3.SUBSIDIARY = r.SUBSIDIARY AND p3.CHANNEL = r.CHANNEL AND p3.DIVISION = r.DIVISION
+  JOIN sel2 p2 ON p2.SUBSIDIARY = r.SUBSIDIARY AND p2.CHANNEL = r.CHANNEL
+)"""
+
+
 def _oracle() -> dict[str, str]:
     q: dict[str, str] = {}
     eng_d = set(ENGINE_COLUMNS[4:])
@@ -491,25 +560,7 @@ SELECT (SELECT m FROM c) AS mtd_month,
     leaf_cols = [*DIMENSIONS, *SUM_COLUMNS, "Impact_raw", "Impact_adj", "Share_childsum", "Share_parentdelta", "Residual_parent",
                  "Residual_applied_flag", "rank2", "rank3", "rank4", "drill_trace_text"]
     q["drill_leaves"] = O.drill_ctes() + f" SELECT {_sql_round(leaf_cols, IMPACT_DOUBLES)} FROM leaves"
-    ev = O.drill_ctes() + """,
-ev AS (
-  SELECT SUBSIDIARY AS focus_SUBSIDIARY, 2 AS lvl, 'LEVEL2' AS level, rule, SUBSIDIARY AS parent_SUBSIDIARY, NULL AS parent_CHANNEL,
-         NULL AS parent_DIVISION, parent_delta, top1_share AS top1_share_childsum, top2_share AS top2_share_childsum, impact_floor,
-         CAST(NULL AS BIGINT) AS rank2, CAST(NULL AS BIGINT) AS rank3,
-         (SELECT string_agg(s.SUBSIDIARY || '/' || s.CHANNEL, ' ; ' ORDER BY s.sel_rank) FROM sel2 s WHERE s.SUBSIDIARY = r.SUBSIDIARY) AS selected_paths
-  FROM sel2_rule r
-  UNION ALL
-  SELECT r.SUBSIDIARY, 3, 'LEVEL3', r.rule, r.SUBSIDIARY, r.CHANNEL, NULL, r.parent_delta, r.top1_share, r.top2_share, r.impact_floor,
-         p.sel_rank, NULL,
-         (SELECT string_agg(s.SUBSIDIARY || '/' || s.CHANNEL || '/' || s.DIVISION, ' ; ' ORDER BY s.sel_rank) FROM sel3 s WHERE s.SUBSIDIARY = r.SUBSIDIARY AND s.CHANNEL = r.CHANNEL)
-  FROM sel3_rule r JOIN sel2 p ON p.SUBSIDIARY = r.SUBSIDIARY AND p.CHANNEL = r.CHANNEL
-  UNION ALL
-  SELECT r.SUBSIDIARY, 4, 'LEVEL4', r.rule, r.SUBSIDIARY, r.CHANNEL, r.DIVISION, r.parent_delta, r.top1_share, r.top2_share, r.impact_floor,
-         p2.sel_rank, p3.sel_rank,
-         (SELECT string_agg(s.SUBSIDIARY || '/' || s.CHANNEL || '/' || s.DIVISION || '/' || s.PRODUCT, ' ; ' ORDER BY s.sel_rank) FROM sel4 s WHERE s.SUBSIDIARY = r.SUBSIDIARY AND s.CHANNEL = r.CHANNEL AND s.DIVISION = r.DIVISION)
-  FROM sel4_rule r JOIN sel3 p3 ON p3.SUBSIDIARY = r.SUBSIDIARY AND p3.CHANNEL = r.CHANNEL AND p3.DIVISION = r.DIVISION
-  JOIN sel2 p2 ON p2.SUBSIDIARY = r.SUBSIDIARY AND p2.CHANNEL = r.CHANNEL
-)"""
+    ev = _events_sql(False)
     evd = {"parent_delta", "top1_share_childsum", "top2_share_childsum", "impact_floor"}
     q["drill_trace_events"] = ev + " SELECT focus_SUBSIDIARY, CAST(lvl AS BIGINT) AS lvl, level, rule, parent_SUBSIDIARY, parent_CHANNEL, parent_DIVISION, CAST(NULL AS VARCHAR) AS parent_PRODUCT, " + \
         _sql_round(["parent_delta", "top1_share_childsum", "top2_share_childsum", "impact_floor"], evd) + ", coalesce(selected_paths, '') AS selected_paths, rank2, rank3 FROM ev"
@@ -558,6 +609,15 @@ SELECT SUBSIDIARY, mode, {', '.join(KPI)}, n_issues, n_improvements,
        coalesce(CASE WHEN mode = 'ISSUE' THEN ip ELSE mp END, '') AS top3_paths
 FROM rep"""
     q["issues_view"] = _view_sql()
+    # month-to-date twins: leaves without previous spend exercise the null-impact paths
+    for name, lv in (("impact_channel_mtd", 2), ("impact_product_mtd", 4)):
+        q[name] = O.engine_ctes(mtd=True) + "," + O.impact_cte("imp", lv) + f" SELECT {_sql_round(IMPACT_OUT, IMPACT_DOUBLES)} FROM imp"
+    q["drill_leaves_mtd"] = O.drill_ctes(True) + f" SELECT {_sql_round(leaf_cols, IMPACT_DOUBLES)} FROM leaves"
+    q["drill_trace_events_mtd"] = _events_sql(True) + " SELECT focus_SUBSIDIARY, CAST(lvl AS BIGINT) AS lvl, level, rule, parent_SUBSIDIARY, parent_CHANNEL, parent_DIVISION, CAST(NULL AS VARCHAR) AS parent_PRODUCT, " + \
+        _sql_round(["parent_delta", "top1_share_childsum", "top2_share_childsum", "impact_floor"], evd) + ", coalesce(selected_paths, '') AS selected_paths, rank2, rank3 FROM ev"
+    q["issues_top3_mtd"] = O.drill_ctes(True) + f" SELECT {_sql_round(SEL_OUT, {'Impact_adj'})} FROM issues_sel"
+    q["improvements_top3_mtd"] = O.drill_ctes(True) + f" SELECT {_sql_round(SEL_OUT, {'Impact_adj'})} FROM impr_sel"
+    q["rca_join_mtd"] = _campaign_union_sql(True)
     fo = ", ".join(O.rnd(c) + f" AS {c}" if c == "impact_contribution_pct" else c for c in FALLBACK_OUT)
     q["fallback_topics"] = O.display_ctes() + f" SELECT {fo} FROM fallback"
     mo = ", ".join(O.rnd(c) + f" AS {c}" if c == "impact_contribution_pct" else (f"CAST({c} AS BIGINT) AS {c}" if c == "pick_no" else c) for c in MERGED_OUT)
@@ -616,6 +676,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fallback_topics": q_fallback_topics,
     "merged_topics": q_merged_topics,
     "report_cards": q_report_cards,
+    "impact_channel_mtd": _impact_mtd(2),
+    "impact_product_mtd": _impact_mtd(4),
+    "drill_leaves_mtd": q_drill_leaves_mtd,
+    "drill_trace_events_mtd": q_drill_trace_events_mtd,
+    "issues_top3_mtd": q_issues_top3_mtd,
+    "improvements_top3_mtd": q_improvements_top3_mtd,
+    "rca_join_mtd": q_rca_join_mtd,
 }
 
 ORACLE: dict[str, str] = _oracle()
