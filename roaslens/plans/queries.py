@@ -385,6 +385,11 @@ def q_issues_view(spark, sf_dir):
     return campaign_view(a.issues, FULL.curr_year, FULL.prev_year)
 
 
+def q_improvements_view(spark, sf_dir):
+    a = report_for(spark, sf_dir).analysis
+    return campaign_view(a.improvements, FULL.curr_year, FULL.prev_year)
+
+
 # ------------------------------------------------------------------ oracle SQL
 
 def _campaign_union_sql(mtd: bool) -> str:
@@ -403,7 +408,7 @@ def _campaign_sql(src: str, mtd: bool = False) -> str:
     return O.enriched_ctes(mtd) + f" SELECT {_sql_round(cols, dbl)} FROM {src}"
 
 
-def _view_sql() -> str:
+def _view_sql(src: str = "issues") -> str:
     def money(x):
         a = f"abs({x})"
         return (f"CASE WHEN {a} IS NULL THEN '$0' WHEN {a} >= 1000000 THEN '$' || printf('%.1f', round({a} / 1000000, 1)) || 'M' "
@@ -428,7 +433,7 @@ SELECT diagnosis_subsidiary AS subsidiary, CHANNEL AS media, DIVISION AS bu, PRO
        {roas(rc)} AS roas_{c}, {roas(rp)} AS roas_{p}, {pct(O.pct(rc, rp))} AS roas_yoy,
        tag, recommended_actions AS action_one, action_checklist AS checklist,
        drill_trace_text AS trace
-FROM issues"""
+FROM {src}"""
 
 
 def _division_sql() -> str:
@@ -609,6 +614,7 @@ SELECT SUBSIDIARY, mode, {', '.join(KPI)}, n_issues, n_improvements,
        coalesce(CASE WHEN mode = 'ISSUE' THEN ip ELSE mp END, '') AS top3_paths
 FROM rep"""
     q["issues_view"] = _view_sql()
+    q["improvements_view"] = _view_sql("impr")
     # month-to-date twins: leaves without previous spend exercise the null-impact paths
     for name, lv in (("impact_channel_mtd", 2), ("impact_product_mtd", 4)):
         q[name] = O.engine_ctes(mtd=True) + "," + O.impact_cte("imp", lv) + f" SELECT {_sql_round(IMPACT_OUT, IMPACT_DOUBLES)} FROM imp"
@@ -673,6 +679,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top3_diverse": q_top3_diverse,
     "subsidiary_report": q_subsidiary_report,
     "issues_view": q_issues_view,
+    "improvements_view": q_improvements_view,
     "fallback_topics": q_fallback_topics,
     "merged_topics": q_merged_topics,
     "report_cards": q_report_cards,
