@@ -86,13 +86,18 @@ def build_report(engine: DataFrame, cfg: EngineConfig, meta: dict[str, Any] | No
     fallback = fallback_topics(levels)
     merged = merged_topics(existing_topics(top3, topics, cfg), fallback, cfg)
     cards = report_cards(levels, reports, merged)
+    # Output order (issues by subsidiary then most negative impact, improvements by most
+    # positive; ties by the dims). The tables hold at most 6 rows per subsidiary.
+    dims = [F.col(d).asc() for d in ("CHANNEL", "DIVISION", "PRODUCT")]
+    iss = a.issues.orderBy(F.col("diagnosis_subsidiary").asc(), F.col("Impact_adj").asc(), *dims)
+    imp = a.improvements.orderBy(F.col("diagnosis_subsidiary").asc(), F.col("Impact_adj").desc(), *dims)
     tables = {
-        "issues": campaign_table(a.issues),
-        "improvements": campaign_table(a.improvements),
-        "issues_view": campaign_view(a.issues, cfg.curr_year, cfg.prev_year),
-        "improvements_view": campaign_view(a.improvements, cfg.curr_year, cfg.prev_year),
-        "division_parallel": divisions.drop("division_rank"),
-        "trace": trace_table(a.run.drill.events),
+        "issues": campaign_table(iss),
+        "improvements": campaign_table(imp),
+        "issues_view": campaign_view(iss, cfg.curr_year, cfg.prev_year),
+        "improvements_view": campaign_view(imp, cfg.curr_year, cfg.prev_year),
+        "division_parallel": divisions.orderBy("SUBSIDIARY", "division_rank").drop("division_rank"),
+        "trace": trace_table(a.run.drill.events).orderBy("step"),
     }
     sections = {
         "subsidiaries_analyzed": a.subsidiaries,
