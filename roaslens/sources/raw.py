@@ -119,3 +119,22 @@ def read_input(spark: SparkSession, path: str, cfg, fmt: str | None = None, chec
         raw = standardize_known_columns(select_known_columns(spark.read.format(kind).load(path)) if kind != "parquet"
                                         else spark.read.parquet(path))
     return build_engine_frame(raw, cfg, check_quality=check_quality)
+
+
+def load_input_frame(spark: SparkSession, path: str, cfg, snapshot_dir: str, run_key: str | None = None,
+                     fmt: str | None = None):
+    """Engine frame from the snapshot when its run key matches, else build it and store it.
+
+    The run key is explicit (default: input path + comparison settings);
+    hashing file metadata, as the reference does, is a single-machine detail.
+    """
+    from roaslens.sinks.report import read_snapshot, write_snapshot
+
+    key = run_key or f"{path}|{cfg.curr_year}|{cfg.prev_year}|{'mtd' if cfg.mtd_only else 'full'}"
+    hit = read_snapshot(spark, snapshot_dir, key)
+    if hit is not None:
+        return hit
+    engine, meta = read_input(spark, path, cfg, fmt=fmt)
+    meta = dict(meta, cache_hit=False)
+    write_snapshot(engine, snapshot_dir, key, meta)
+    return engine, meta

@@ -80,3 +80,17 @@ def test_read_input_and_window_text(spark):
     assert comparison_window_text(meta).startswith("2026-03-01..2026-03-05 vs 2025-03-01..2025-03-05; objective = CONVERSION (2/2 rows)")
     with pytest.raises(FileNotFoundError):
         read_input(spark, os.path.join(d, "missing.csv"), EngineConfig(2026, 2025))
+
+
+def test_load_input_frame_uses_snapshot(spark):
+    from roaslens.sources.raw import load_input_frame
+    d = tempfile.mkdtemp(prefix="roaslens-load-", dir="/tmp")
+    path = os.path.join(d, "in.csv")
+    with open(path, "w") as f:
+        f.write(HEADER.rsplit(",,", 1)[0] + "\n")
+        f.write("KR,Search,MX,P1,10,100,200,10,CONVERSION,2026,3,5\n")
+    cfg = EngineConfig(2026, 2025)
+    e1, m1 = load_input_frame(spark, path, cfg, f"{d}/snap")
+    e2, m2 = load_input_frame(spark, path, cfg, f"{d}/snap")
+    assert m1["cache_hit"] is False and m2["cache_hit"] is True
+    assert e1.collect() == e2.collect()
