@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,32 +47,58 @@ def apply_engine_conf(spark: SparkSession) -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when unset (tests) create one."""
+    """The session's ``spark.checkpoint.dir``, a folder that driver and executors share.
+
+    Only a single-process session (``local[...]``, tests and bench), whose driver is its only
+    executor, may go without the setting; it then gets a folder of its own.  Any other session
+    must name one: executors would not see each other's local files."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="roaslens-ckpt-", dir="/tmp")
+        if not re.fullmatch(r"local(\[[^-\]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        conf_dir = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints-{uuid.uuid4().hex}"
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
 
-_CUT_SEQ = [0]
+_CUTS: dict[str, list[str]] = {}
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write a small intermediate as Parquet under ``spark.checkpoint.dir`` and read it back.
+    """Write an intermediate as Parquet under ``spark.checkpoint.dir`` and read it back.
 
     Cuts lineage and plan size like ``checkpoint()``, in one job, and the
     re-read carries file-size statistics the planner uses for broadcast
-    decisions.  Used where one small intermediate feeds several branches
-    (level rollup, per-node impacts, drill candidates, selections, topics).
-    """
+    decisions.  ``drop_cut`` deletes one early, ``release_cuts`` all of the session."""
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    _CUT_SEQ[0] += 1
-    path = f"{base}/roaslens-cut-{uuid.uuid4().hex}-{_CUT_SEQ[0]}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
+    _CUTS.setdefault(spark.sparkContext.applicationId, []).append(path)
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._cut_path = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def drop_cut(*frames: DataFrame) -> None:
+    """Delete the files of frames returned by ``cut`` that nothing will read again."""
+    for df in frames:
+        path = df._cut_path
+        _CUTS[df.sparkSession.sparkContext.applicationId].remove(path)
+        _delete(df.sparkSession, path)
+
+
+def release_cuts(spark: SparkSession) -> int:
+    """Delete all intermediates this session has written; call it once its results are written."""
+    paths = _CUTS.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        _delete(spark, path)
+    return len(paths)
