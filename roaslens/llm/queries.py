@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roaslens.llm import fingerprint, packing, quality, sharding, simhash, tokenfile
+from roaslens.llm import fingerprint, packing, quality, sharding, simhash, suffix, tokenfile
 from roaslens.llm.common import read_table, text_or_empty
 
 BPE = "byte_bpe_50k.json"
@@ -14,6 +14,7 @@ SEQUENCE, PACK_END = 2048, 0
 FILE_VOCABULARY, FILE_END = 50257, 2
 SHARDS, SHARD_KEY = 24, 20240229
 SHINGLE, MAX_BITS = 3, 2
+MATCH = 200
 POLICY = quality.POLICIES["v1"]
 
 
@@ -44,6 +45,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(parts, SEQUENCE, ("doc_id", "piece", "ids_crc32"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix.remove_repeats(docs, MATCH).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return tokenfile.read_documents(tokenfile.write(docs, public_tokenizers.path(BPE), FILE_VOCABULARY, FILE_END))
@@ -66,5 +72,5 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "row")
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_packing, op5_token_files, op6_simhash, op7_quality, op8_sharding)}
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_packing, op4_suffix_dedup, op5_token_files, op6_simhash, op7_quality, op8_sharding)}
 ORACLE: dict[str, str] = {}
