@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roaslens.llm import fingerprint, packing, quality, sharding, simhash, suffix, tokenfile
+from roaslens.llm import fingerprint, maxent, packing, pieces, quality, sharding, simhash, suffix, tokenfile, warc
 from roaslens.llm.common import read_table, text_or_empty
 
 BPE = "byte_bpe_50k.json"
@@ -15,6 +15,8 @@ FILE_VOCABULARY, FILE_END = 50257, 2
 SHARDS, SHARD_KEY = 24, 20240229
 SHINGLE, MAX_BITS = 3, 2
 MATCH = 200
+PIECE_MODEL = "piece_bpe_32k.model"
+CRAWL_DATE = "2024-01-01T00:00:00Z"
 POLICY = quality.POLICIES["v1"]
 
 
@@ -45,6 +47,14 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(parts, SEQUENCE, ("doc_id", "piece", "ids_crc32"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = warc.derivatives(warc.responses(read_table(spark, sf_dir, "pages").select("page_id", "url", "html"), CRAWL_DATE))
+    return made.select(
+        "page_id", "kind", "record_id", "refers_to", "target_uri", "date", "source_digest", "block_digest", "n_links",
+        F.octet_length("block").cast("long").alias("block_length"), F.octet_length("record").cast("long").alias("record_length"), warc.sha256("record").alias("record_sha256"),
+    )
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return suffix.remove_repeats(docs, MATCH).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
@@ -72,5 +82,19 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "row")
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_packing, op4_suffix_dedup, op5_token_files, op6_simhash, op7_quality, op8_sharding)}
+def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path(PIECE_MODEL)
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = pieces.decode(pieces.encode(docs, model), model)
+    return out.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_pieces"), "n_byte_pieces", F.crc32("ids").alias("ids_crc32"),
+        F.sha2("decoded", 256).alias("decoded_sha256"), (F.col("decoded") == F.translate(text_or_empty("text"), pieces.MARK, " ")).alias("round_trip"), "parity",
+    )
+
+
+def op10_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent.fit_and_score(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_packing, op3_warc, op4_suffix_dedup, op5_token_files, op6_simhash, op7_quality, op8_sharding, op9_pieces, op10_maxent)}
 ORACLE: dict[str, str] = {}
