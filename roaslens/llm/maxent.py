@@ -36,7 +36,7 @@ from roaslens.llm.common import cut, drop_cut, text_or_empty
 
 WAYS, ROWS = 32, 1 << 17
 BATCH, CHUNK = 16384, 512
-RATE = 0.35
+RATE = 0.1
 MIX_FAN_IN = 32
 BLOCK_CHARS = 1 << 24
 END = b"\n"  # no word holds white space
