@@ -10,9 +10,9 @@ Work is in blocks: a scan turns documents into blocks of token numbers with the
 vocabulary; vocabularies are counted over the whole table by one shuffle on the token hash, and each
 block gets the counts of its own tokens back, so no task and not the driver holds the vocabulary.
 Training is distributed gradient descent with mixing: every partition of blocks makes a pass of
-minibatch updates (Adagrad by row) from the same start, the tables are averaged by how often each saw
+minibatch updates (steps that shrink by row) from the same start, the tables are averaged by how often each saw
 a row, in a tree of bounded groups, and the mean starts the next round.  The table's size is fixed by
-``ROWS`` and ``WAYS`` (so the driver and the broadcast hold 8 MB), what is gathered to fit it grows
+``ROWS`` and ``WAYS`` (so the driver and the broadcast hold 2 MB), what is gathered to fit it grows
 with the input.
 
 Tokens are words between ASCII white space, A-Z lowered, then one end a document.  Words are told
@@ -34,9 +34,9 @@ from pyspark.sql import functions as F
 from roaslens.llm.bpe import runs
 from roaslens.llm.common import cut, drop_cut, text_or_empty
 
-WAYS, ROWS = 32, 1 << 17
-BATCH, CHUNK = 16384, 512
-RATE = 0.1
+WAYS, ROWS = 16, 1 << 16
+BATCH, CHUNK = 65536, 512
+RATE = 0.2
 MIX_FAN_IN = 32
 BLOCK_CHARS = 1 << 24
 END = b"\n"  # no word holds white space
@@ -91,7 +91,7 @@ def code_of(hashes: np.ndarray) -> np.ndarray:
 
 
 def features(hashes: np.ndarray, ends: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of the weight table for every token: (n, 4) for the class and (n, 4) for the subclass.
+    """Rows of the weight table for every token: (n, 4) for the class and (n, 3), without the skip, for the subclass.
 
     ``hashes`` are the tokens of whole documents, ``ends`` where each ends, ``first`` the classes."""
     h = hashes.view(np.uint64)
@@ -105,39 +105,42 @@ def features(hashes: np.ndarray, ends: np.ndarray, first: np.ndarray) -> tuple[n
     keys = np.stack((np.full(len(h), 3, np.uint64), one, two * _U(0x9E3779B97F4A7C15) + _U(5), _mix(two) * _U(0x94D049BB133111EB) + one), axis=1)
     for k in range(4):
         keys[:, k] = _mix(keys[:, k] + _U(0xA24BAED4963EE407 * (k + 1) % 2**64))
-    inner = _mix(keys + ((first.astype(np.uint64) + _U(1)) * _U(0xD6E8FEB86659FD93))[:, None])
+    inner = _mix(keys[:, [0, 1, 3]] + ((first.astype(np.uint64) + _U(1)) * _U(0xD6E8FEB86659FD93))[:, None])
     return (keys % _U(ROWS)).astype(np.int64), (inner % _U(ROWS)).astype(np.int64)
 
 
 def _softmax(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    logits = weights[rows[:, 0]]
-    for k in range(1, rows.shape[1]):
-        logits += weights[rows[:, k]]
-    logits -= logits.max(axis=1, keepdims=True)
-    np.exp(logits, out=logits)
-    logits /= logits.sum(axis=1, keepdims=True)
-    return logits
+    out = np.empty((len(rows), WAYS), np.float32)
+    for at in range(0, len(rows), 4096):  # what a core's cache holds
+        part, logits = rows[at : at + 4096], out[at : at + 4096]
+        np.take(weights, part[:, 0], axis=0, out=logits, mode="clip")
+        for k in range(1, rows.shape[1]):
+            logits += weights[part[:, k]]
+        logits -= logits.max(axis=1, keepdims=True)
+        np.exp(logits, out=logits)
+        logits /= logits.sum(axis=1, keepdims=True)
+    return out
 
 
 class Trainer:
     def __init__(self, start: np.ndarray | None):
         self.weights = np.zeros((ROWS, WAYS), np.float32) if start is None else start.astype(np.float32)
         self.seen = np.zeros(ROWS, np.float32)
-        self.squares = np.full(ROWS, 1e-6, np.float32)
 
     def update(self, rows: np.ndarray, target: np.ndarray) -> None:
-        """One minibatch gradient step; the gradient is summed by row before it is applied."""
+        """One minibatch gradient step: the gradient is summed by row, one lane of the softmax at a time,
+        and a row's step shrinks with the root of how often it was seen."""
         error = _softmax(self.weights, rows)
         error[np.arange(len(target)), target] -= 1
-        flat = rows.reshape(-1)
-        order = np.argsort(flat, kind="stable")
-        at = flat[order]
-        first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
-        total = np.add.reduceat(error[order // rows.shape[1]], first, axis=0)
-        row = at[first]
-        self.seen[row] += np.diff(np.append(first, len(at)))
-        self.squares[row] += (total * total).mean(axis=1)
-        self.weights[row] -= (RATE / np.sqrt(self.squares[row]))[:, None] * total
+        lanes = np.ascontiguousarray(error.T)
+        columns = [np.ascontiguousarray(rows[:, k]) for k in range(rows.shape[1])]
+        self.seen += sum(np.bincount(c, minlength=ROWS) for c in columns).astype(np.float32)
+        gradient = np.empty((WAYS, ROWS), np.float32)
+        for lane in range(WAYS):
+            gradient[lane] = sum(np.bincount(c, lanes[lane], ROWS) for c in columns[1:])
+            gradient[lane] += np.bincount(columns[0], lanes[lane], ROWS)
+        gradient *= RATE / np.sqrt(np.maximum(self.seen, 1))
+        self.weights -= gradient.T
 
     def learn(self, hashes: np.ndarray, ends: np.ndarray) -> None:
         code = code_of(hashes)
