@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from roaslens.schema import DIMENSIONS, SUM_DECIMAL
+from roaslens.schema import DIMENSIONS
 
 
 def _c(x) -> Column:
@@ -22,9 +22,20 @@ def _pos(x) -> Column:
     return F.when(x > 0, x)
 
 
+SUM_DIGITS = 14
+
+
+def significant(x, digits: int = SUM_DIGITS) -> Column:
+    """``x`` rounded to significant digits: what is left does not depend on the order of additions."""
+    x = _c(x).cast("double")
+    shift = F.lit(digits - 1) - F.floor(F.log10(F.abs(x)))
+    power = F.pow(F.lit(10.0), F.abs(shift))
+    return F.when(x == 0, F.lit(0.0)).when(F.abs(shift) > 300, x).when(shift >= 0, F.rint(x * power) / power).otherwise(F.rint(x / power) * power)
+
+
 def dsum(x) -> Column:
-    """Exact (order-independent) sum of a double column, returned as double."""
-    return F.sum(_c(x).cast(SUM_DECIMAL)).cast("double")
+    """Sum of a double column, kept to ``SUM_DIGITS`` significant digits at any magnitude."""
+    return significant(F.sum(_c(x).cast("double")))
 
 
 def safe_ratio(num, den) -> Column:

@@ -19,25 +19,17 @@ from roaslens.operators.topics import diverse_pick, yoy_basis
 
 KPIS = ("CVR", "AOV", "CPC")
 
-# Short display actions by mode and driver (R17); own wording.
+_LEVER = {"CPC": "cost per click", "CVR": "conversion rate", "AOV": "order value"}
+
+# Display texts by mode and driver (R17), composed from the two.
 SHORT_ACTION = {
-    ("ISSUE", "CPC"): "Shift budget to high-intent traffic and cut expensive low-CTR queries.",
-    ("ISSUE", "CVR"): "Realign traffic intent with the landing message to restore conversion.",
-    ("ISSUE", "AOV"): "Raise and segment target ROAS; steer traffic to high-price SKUs.",
-    ("ISSUE", None): "Re-check funnel metrics and reset targeting and bidding rules.",
-    ("IMPROVE", "CPC"): "Scale low-CPC, high-CTR segments step by step.",
-    ("IMPROVE", "CVR"): "Replicate high-converting keyword, audience and landing combinations.",
-    ("IMPROVE", "AOV"): "Grow high-value SKU and bundle traffic under target ROAS.",
-    ("IMPROVE", None): "Test how to reproduce the improvement.",
+    (mode, driver): f"{verb} the {_LEVER[driver]}." if driver else f"{verb} whichever lever moved most."
+    for mode, verb in (("ISSUE", "Win back"), ("IMPROVE", "Build on"))
+    for driver in ("CPC", "CVR", "AOV", None)
 }
 SHORT_CHECK = {
-    ("ISSUE", "CPC"): "1) exclude low-intent queries; 2) watch CTR and CPC together; 3) favour high-intent audiences",
-    ("IMPROVE", "CPC"): "1) add budget to low-CPC segments; 2) check share loss; 3) keep CPC alerts and bid caps",
-    ("ISSUE", "CVR"): "1) check intent vs landing fit; 2) down-bid low-CVR queries; 3) cut low-conversion placements",
-    ("IMPROVE", "CVR"): "1) extend high-CVR keywords; 2) copy winning landings; 3) guard CVR while scaling",
-    ("ISSUE", "AOV"): "1) raise / segment target ROAS; 2) grow high-price SKU keywords; 3) down-bid low-value queries",
-    ("IMPROVE", "AOV"): "1) keep target ROAS; 2) hold high-AOV keyword share; 3) watch discount-driven traffic",
-    (None, None): "1) check targeting, bidding and creative basics; 2) check traffic quality; 3) review the budget split",
+    **{(mode, driver): f"a) see where the {word} {moved}; b) follow it weekly" for driver, word in _LEVER.items() for mode, moved in (("ISSUE", "got worse"), ("IMPROVE", "got better"))},
+    (None, None): "a) compare the three levers; b) follow the largest weekly",
 }
 
 
@@ -83,8 +75,8 @@ def effect_direction(metric: str, mode: Column, dlog: Column) -> Column:
     harmful = (v > 0) if metric == "CPC" else (v < 0)
     return (
         F.when(F.abs(v) < 1e-12, F.lit("neutral"))
-        .when(iss, F.when(harmful, F.lit("causes decline")).otherwise(F.lit("softens decline")))
-        .otherwise(F.when(~harmful, F.lit("drives improvement")).otherwise(F.lit("holds back improvement")))
+        .when(iss, F.when(harmful, F.lit("pulls ROAS down")).otherwise(F.lit("works against the fall")))
+        .otherwise(F.when(~harmful, F.lit("lifts ROAS")).otherwise(F.lit("works against the rise")))
     )
 
 
@@ -139,8 +131,8 @@ def fallback_topics(levels: DataFrame) -> DataFrame:
     x = x.join(den, ["SUBSIDIARY", "mode_tag"], "left")
     pct = F.when(F.col("__den") > 0, F.abs(d) / F.col("__den"))
     label = (
-        F.when(F.col("mode_tag") == "ISSUE", F.when(d < 0, F.lit("share of decline")).otherwise(F.lit("offset share")))
-        .otherwise(F.when(d > 0, F.lit("share of improvement")).otherwise(F.lit("headwind share")))
+        F.when(F.col("mode_tag") == "ISSUE", F.when(d < 0, F.lit("part of the fall")).otherwise(F.lit("counterweight")))
+        .otherwise(F.when(d > 0, F.lit("part of the rise")).otherwise(F.lit("drag")))
     )
     x = x.withColumns({"impact_contribution_pct": pct, "contribution_label": label, "primary_driver": yoy_driver_cols(F.col("mode_tag"))})
     x = x.withColumns({
@@ -151,7 +143,7 @@ def fallback_topics(levels: DataFrame) -> DataFrame:
             F.col("PRODUCT"), F.lit(" | Revenue "), fmt_money("revenue_curr"), F.lit(" ("), fmt_pct_yoy("revenue_yoy"),
             F.lit(") | Cost "), fmt_money("cost_curr"), F.lit(" ("), fmt_pct_yoy("cost_yoy"), F.lit(") | ROAS "),
             fmt_roas("roas_curr"), F.lit(" ("), fmt_pct_yoy("roas_yoy"), F.lit(")")),
-        "why_selected_text": F.concat(F.col("contribution_label"), F.lit(" "), fmt_pct("impact_contribution_pct", signed=False), F.lit(", added as a fallback topic")),
+        "why_selected_text": F.concat(F.col("contribution_label"), F.lit(" "), fmt_pct("impact_contribution_pct", signed=False), F.lit(" (filled in)")),
         "order": F.struct((~F.col("is_primary")).alias("secondary"), (-F.abs(d)).alias("neg_abs_delta"),
                           F.col("CHANNEL").alias("c"), F.col("DIVISION").alias("d"), F.col("PRODUCT").alias("p")),
     })

@@ -12,6 +12,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -142,23 +144,18 @@ def terminal_focus(levels: DataFrame, focus: dict[str, str]) -> DrillResult:
 
 
 def validate_focus(focus: dict[str, str] | None) -> dict[str, str]:
-    """focus keys must be known dims forming a hierarchy prefix."""
-    if not focus:
-        return {}
-    unknown = [k for k in focus if k not in DIMENSIONS]
-    if unknown:
-        raise ValueError(f"Invalid focus_path keys: {unknown}")
-    norm = {d: focus[d] for d in DIMENSIONS if d in focus}
-    expected = DIMENSIONS[: len(norm)]
-    if list(norm) != expected:
-        raise ValueError(f"focus_path must follow hierarchy prefix {expected}, got {list(norm)}")
-    return norm
+    """a focus names the top of the hierarchy without a gap; returned in hierarchy order."""
+    focus = dict(focus or {})
+    path = {d: focus[d] for d in DIMENSIONS[: len(focus)] if d in focus}
+    if len(path) < len(focus):
+        raise ValueError(f"a focus starts at {DIMENSIONS[0]} and skips no level; got {sorted(focus)}")
+    return path
 
 
 def apply_focus(engine: DataFrame, focus: dict[str, str]) -> DataFrame:
-    for d, v in focus.items():
-        engine = engine.filter(F.col(d) == F.lit(v))
-    return engine
+    """The engine rows under a focus."""
+    wanted = [F.col(d) == v for d, v in focus.items()]
+    return engine.filter(reduce(lambda a, b: a & b, wanted)) if wanted else engine
 
 
 # ------------------------------------------------------------------ W4, W6-W8
@@ -257,6 +254,8 @@ def run_impact(engine: DataFrame, cfg: EngineConfig, focus: dict[str, str] | Non
     focus = validate_focus(focus)
     if focus:
         engine = apply_focus(engine, focus)
+    if focus and (levels is not None or cand is not None):
+        raise ValueError("levels and candidates of all subsidiaries can't be used with a focus")
     if levels is None:
         levels = cut(level_rollup(engine))
     start = max(len(focus), 1) if per_subsidiary else len(focus)

@@ -24,74 +24,43 @@ _CH_WORD = {"SEARCH": "search", "PMAX": "performance-max", "OTHER": "the channel
 Rule = tuple[dict, str, str]
 
 _TAG_ACTIONS: list[Rule] = [
-    ({"tag": "LOW_VOL"}, "TAG_LOW_VOL", "Too little volume to judge: hold changes and build data on high-intent keywords and audiences first."),
-    ({"tag": "NEW"}, "TAG_NEW", "New campaign: set a target-ROAS guardrail and let learning settle on high-intent keywords and audiences."),
-    ({"tag": "GONE"}, "TAG_GONE", "Campaign stopped: check replacement coverage and any remarketing gap."),
-    ({"tag": "UNDEFINED"}, "TAG_UNDEFINED", "Metrics missing or zero: check conversion mapping, campaign goal and bid strategy setup."),
+    ({"tag": "LOW_VOL"}, "TAG_LOW_VOL", "Sample too small for a verdict; wait for more traffic."),
+    ({"tag": "NEW"}, "TAG_NEW", "No last-year figures; track it weekly against its parent's ROAS."),
+    ({"tag": "GONE"}, "TAG_GONE", "No spend this year; confirm that its demand is served elsewhere."),
+    ({"tag": "UNDEFINED"}, "TAG_UNDEFINED", "A ratio cannot be computed; repair the missing inputs before acting."),
 ]
 
-_ISSUE_TEXT = {
-    "CPC": {
-        "SEARCH": "Search click cost up: split queries by intent (brand / generic), tier match types and bids, and cut expensive low-intent traffic.",
-        "PMAX": "Performance-max click cost up: shrink budgets of weak asset groups and product sets, move spend to efficient ones.",
-        "OTHER": "Click cost up: raise the share of high-intent keywords and audiences, exclude wasteful queries and placements.",
-    },
-    "CVR": {
-        "SEARCH": "Search conversion rate down: rebuild around high-intent queries and lift conversion-oriented copy and assets.",
-        "PMAX": "Performance-max conversion rate down: regroup assets around high-converting SKUs and sharpen audience signals.",
-        "OTHER": "Conversion rate down: realign traffic intent with the offer and run conversion-focused creatives.",
-    },
-    "AOV": {
-        "SEARCH": "Search order value down: separate high-price SKU queries, raise target ROAS and trim low-value traffic.",
-        "PMAX": "Performance-max order value down: split high-value SKUs into their own feed labels and asset groups, tune value rules.",
-        "OTHER": "Order value down: raise and segment target ROAS and steer traffic to high-price SKUs.",
-    },
-}
-_IMPROVE_TEXT = {
-    "CPC": {
-        "SEARCH": "Search click cost improved: scale low-CPC, high-CTR keyword sets step by step while keeping query hygiene.",
-        "PMAX": "Performance-max click cost improved: scale low-CPC asset groups and keep feed / search-theme separation.",
-        "OTHER": "Click cost improved: scale low-CPC, high-CTR segments gradually and keep efficiency.",
-    },
-    "CVR": {
-        "SEARCH": "Search conversion rate improved: add budget to high-converting query clusters and replicate winning copy.",
-        "PMAX": "Performance-max conversion rate improved: scale high-converting asset groups, keep audience signals.",
-        "OTHER": "Conversion rate improved: replicate high-converting keywords, audiences and winning creatives.",
-    },
-    "AOV": {
-        "SEARCH": "Search order value improved: grow high-price SKU keywords and keep value-based bidding.",
-        "PMAX": "Performance-max order value improved: scale high-value feed labels and keep value rules / target ROAS.",
-        "OTHER": "Order value improved: keep target-ROAS bidding and widen high-price SKU traffic.",
-    },
-}
+def _advice(driver: str, ctype: str, verb: str) -> str:
+    return f"{verb} {_KPI_WORD[driver]} in {_CH_WORD[ctype]}."
+
+
+_ISSUE_TEXT = {d: {c: _advice(d, c, "ROAS fell, led by the change of") for c in CHANNEL_TYPES} for d in DRIVERS}
+_IMPROVE_TEXT = {d: {c: _advice(d, c, "ROAS rose or held thanks to the change of") for c in CHANNEL_TYPES} for d in DRIVERS}
 
 ACTION_RULES: list[Rule] = list(_TAG_ACTIONS)
 for _d in DRIVERS:
     for _c in CHANNEL_TYPES:
         ACTION_RULES.append(({"mode": ("ISSUE",), "driver": _d, "ctype": _c}, f"ISSUE_{_d}_{_c}", _ISSUE_TEXT[_d][_c]))
-ACTION_RULES.append(({"mode": ("ISSUE",)}, "ISSUE_DEFAULT", "Re-check the core campaign metrics and reset targeting and bidding rules."))
+ACTION_RULES.append(({"mode": ("ISSUE",)}, "ISSUE_DEFAULT", "ROAS fell and no single lever explains it."))
 for _d in DRIVERS:
     for _c in CHANNEL_TYPES:
         ACTION_RULES.append(({"mode": ("IMPROVE", "DEFENSE"), "driver": _d, "ctype": _c}, f"IMPROVE_{_d}_{_c}", _IMPROVE_TEXT[_d][_c]))
-ACTION_RULES.append(({"mode": ("DEFENSE",)}, "DEFENSE_DEFAULT", "Defend: keep budget where ROAS holds and shrink segments whose efficiency worsens."))
-ACTION_RULES.append(({"mode": ("IMPROVE",)}, "IMPROVE_DEFAULT", "Reproduce the improvement with targeting, bidding and creative tests."))
+ACTION_RULES.append(({"mode": ("DEFENSE",)}, "DEFENSE_DEFAULT", "ROAS held up better than its peers and no single lever explains it."))
+ACTION_RULES.append(({"mode": ("IMPROVE",)}, "IMPROVE_DEFAULT", "ROAS rose and no single lever explains it."))
 ACTION_DEFAULT = ("NO_RULE", "No action rule matched.")
 
 _TAG_CHECKS: list[Rule] = [
-    ({"tag": "LOW_VOL"}, "TAG_LOW_VOL", "1) reach a minimum of clicks and orders; 2) run high-intent keywords and audiences first; 3) avoid early bid or structure changes"),
-    ({"tag": "NEW"}, "TAG_NEW", "1) set target-ROAS or value-based bidding; 2) start with brand + model keywords; 3) raise budget in 10-20% steps"),
-    ({"tag": "GONE"}, "TAG_GONE", "1) confirm the stop was intended; 2) check replacement coverage; 3) check the remarketing gap"),
-    ({"tag": "UNDEFINED"}, "TAG_UNDEFINED", "1) audit conversion actions and duplicates; 2) match campaign goal and bid strategy; 3) align report period and attribution"),
+    ({"tag": "LOW_VOL"}, "TAG_LOW_VOL", "a) count clicks and orders; b) compare with the parent"),
+    ({"tag": "NEW"}, "TAG_NEW", "a) note the first day of spend; b) compare with siblings; c) look again next month"),
+    ({"tag": "GONE"}, "TAG_GONE", "a) find the last day of spend; b) see which siblings grew"),
+    ({"tag": "UNDEFINED"}, "TAG_UNDEFINED", "a) list the null or zero inputs; b) trace them to their source; c) load again"),
 ]
 
 
 def _check_text(driver: str, issue: bool, ctype: str) -> str:
     kpi, ch = _KPI_WORD[driver], _CH_WORD[ctype]
-    if issue:
-        return (f"1) break down {kpi} by segment in {ch}; 2) cut or down-bid the segments that drag {kpi}; "
-                f"3) move budget to the segments with healthy {kpi} and watch ROAS guardrails")
-    return (f"1) scale the segments with the best {kpi} in {ch} by 10-20% steps; 2) copy what works to similar segments; "
-            f"3) keep an alert on {kpi} while scaling")
+    side = "below" if issue else "above"
+    return f"a) list the products of {ch} by {kpi}; b) mark those {side} last year; c) review their share of spend"
 
 
 CHECK_RULES: list[Rule] = list(_TAG_CHECKS)
@@ -104,7 +73,7 @@ for _d in DRIVERS:
             else:
                 cond["not_mode"] = ("ISSUE",)
             CHECK_RULES.append((cond, f"{'ISSUE' if _issue else 'SCALE'}_{_d}_{_c}", _check_text(_d, _issue, _c)))
-CHECK_DEFAULT = ("DEFAULT", "1) check basic targeting, bidding and creative setup; 2) check traffic quality; 3) review budget split")
+CHECK_DEFAULT = ("DEFAULT", "a) compare all three levers with last year; b) review the share of spend")
 
 
 def _cond_col(cond: dict, tag: Column, mode: Column, driver: Column, ctype: Column) -> Column:

@@ -381,7 +381,8 @@ def topics_ctes(mtd: bool = False) -> str:
   SELECT t.*,
          CASE WHEN t.topic_roas_delta IS NOT NULL AND t.division_roas_delta IS NOT NULL AND abs(t.division_roas_delta) > 0
               THEN {dcp('t.topic_roas_delta', 't.division_roas_delta')}
-              ELSE {dcp('coalesce(t.Impact_adj, 0.0)', 'coalesce(t.division_roas_delta, 0.0)')} END AS impact_contribution_pct,
+              ELSE coalesce({dcp('coalesce(t.Impact_adj, 0.0)', 'coalesce(t.division_roas_delta, 0.0)')},
+                            {dcp('coalesce(t.Impact_adj, 0.0)', 't.channel_roas_delta')}) END AS impact_contribution_pct,
          {dcp('coalesce(t.ch_adj, 0.0)', 't.subsidiary_roas_delta')} AS channel_direct_pct,
          {dcp('coalesce(t.div_adj, 0.0)', 't.channel_roas_delta')} AS division_direct_pct,
          coalesce({dcp('coalesce(t.Impact_adj, 0.0)', 'coalesce(t.division_roas_delta, 0.0)')},
@@ -477,8 +478,8 @@ fbp AS (
 fallback AS MATERIALIZED (
   SELECT *, SUBSIDIARY AS diagnosis_subsidiary,
          CASE WHEN den > 0 THEN abs(revenue_delta) / den END AS impact_contribution_pct,
-         CASE WHEN mode_tag = 'ISSUE' THEN CASE WHEN revenue_delta < 0 THEN 'share of decline' ELSE 'offset share' END
-              ELSE CASE WHEN revenue_delta > 0 THEN 'share of improvement' ELSE 'headwind share' END END AS contribution_label,
+         CASE WHEN mode_tag = 'ISSUE' THEN CASE WHEN revenue_delta < 0 THEN 'part of the fall' ELSE 'counterweight' END
+              ELSE CASE WHEN revenue_delta > 0 THEN 'part of the rise' ELSE 'drag' END END AS contribution_label,
          {_argmax_yoy('mode_tag')} AS primary_driver
   FROM (SELECT *, sum(CASE WHEN is_primary THEN abs(revenue_delta) END) OVER (PARTITION BY SUBSIDIARY, mode_tag) AS den FROM fbp)
 ),

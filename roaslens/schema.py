@@ -58,9 +58,6 @@ REQUIRED_WIDE_UPPER: frozenset[str] = frozenset(c.upper() for c in ENGINE_COLUMN
 
 LEVEL_NAMES = {1: "LEVEL1", 2: "LEVEL2", 3: "LEVEL3", 4: "LEVEL4"}
 
-# Exact summation: metrics are summed as DECIMAL so that level totals do not
-# depend on partitioning or row order (thresholds such as 0.45 are knife edges).
-SUM_DECIMAL = "decimal(38,6)"
 
 
 def dims_of(level: int) -> list[str]:

@@ -20,20 +20,9 @@ from roaslens.schema import (
 from roaslens.sources.ingest import looks_like_supported, normalize_headers, standardize_known_columns
 
 _METRICS = list(RAW_METRIC_MAP)
-# Preferred column subsets tried in order when a table does not qualify as a whole.
-PREFERRED_COLUMN_SETS: list[list[str]] = [
-    [*DIMENSIONS, *_METRICS, "OBJECTIVE", "Year", "Month", "Day"],
-    [*DIMENSIONS, *_METRICS, "OBJECTIVE", "YEAR", "Month", "Day"],
-    [*DIMENSIONS, *_METRICS, "OBJECTIVE", "YEAR", "MONTH", "DAY"],
-    [*DIMENSIONS, *_METRICS, "OBJECTIVE", "Year"],
-    [*DIMENSIONS, *_METRICS, "OBJECTIVE", "YEAR"],
-    [*DIMENSIONS, *_METRICS, "Year", "Month", "Day"],
-    [*DIMENSIONS, *_METRICS, "YEAR", "Month", "Day"],
-    [*DIMENSIONS, *_METRICS, "YEAR", "MONTH", "DAY"],
-    [*DIMENSIONS, *_METRICS, "Year"],
-    [*DIMENSIONS, *_METRICS, "YEAR"],
-    list(ENGINE_COLUMNS),
-]
+# Columns that a long table must have, and those that are used where present.
+_NEEDED = [*DIMENSIONS, *_METRICS]
+_OPTIONAL = ["OBJECTIVE", "Year", "YEAR", "Month", "MONTH", "Day", "DAY"]
 
 
 def choose_source(candidates: Sequence[DataFrame]) -> DataFrame:
@@ -47,12 +36,11 @@ def choose_source(candidates: Sequence[DataFrame]) -> DataFrame:
 
 
 def select_known_columns(df: DataFrame) -> DataFrame:
-    """Prune to the first preferred column set that is fully present (column pruning at the read)."""
-    cols = set(df.columns)
-    for wanted in PREFERRED_COLUMN_SETS:
-        if set(wanted) <= cols:
-            return df.select(*wanted)
-    return df
+    """Only the contract's columns, so that the read skips the rest; other tables stay as they are."""
+    have = set(df.columns)
+    if have >= set(_NEEDED) and have & {"Year", "YEAR"}:
+        return df.select(*[c for c in [*_NEEDED, *_OPTIONAL] if c in have])
+    return df.select(*ENGINE_COLUMNS) if have >= set(ENGINE_COLUMNS) else df
 
 
 def _qualifies(cols: list[str]) -> F.Column:
