@@ -58,9 +58,9 @@ def _take(left: np.ndarray, combo: list[int]) -> int:
     return n
 
 
-def _complement(left: np.ndarray, gap: int) -> list[int] | None:
-    """One, two or three lengths left that add up to ``gap``, the longest first."""
-    if gap <= 0:
+def _complement(left: np.ndarray, gap: int, most: int) -> list[int] | None:
+    """One, two or three (at most ``most``) lengths left that add up to ``gap``, the longest first."""
+    if gap <= 0 or not most:
         return None
     if left[gap]:
         return [gap]
@@ -68,13 +68,13 @@ def _complement(left: np.ndarray, gap: int) -> list[int] | None:
     have[0] = False
     there = np.flatnonzero(have)
     there = there[there < gap][::-1]
-    if not len(there):
+    if not len(there) or most < 2:
         return None
     pair = there[have[gap - there]]
     for x in pair:
         if 2 * x != gap or left[x] > 1:
             return [int(x), int(gap - x)]
-    for x in there:
+    for x in there if most > 2 else ():
         rest = int(gap - x)
         y = there[there < rest]
         y = y[have[rest - y]]
@@ -86,7 +86,22 @@ def _complement(left: np.ndarray, gap: int) -> list[int] | None:
 
 
 def plan(counts: dict[int, int], capacity: int) -> list[tuple[list[tuple[int, int]], int]]:
-    """Patterns ``([(length, times), ...], how many sequences)`` that use up ``counts``."""
+    """Patterns ``([(length, times), ...], how many sequences)`` that use up ``counts``.
+
+    Complements of up to three lengths are tried first; where they use up short lengths that best-fit
+    needs, fewer may end with fewer sequences, so the best of three, two, one and none is returned."""
+    floor = -(-sum(k * n for k, n in counts.items()) // capacity)
+    best: list[tuple[list[tuple[int, int]], int]] = []
+    for most in (3, 2, 1, 0):
+        found = _plan(counts, capacity, most)
+        if not best or sum(n for _, n in found) < sum(n for _, n in best):
+            best = found
+        if sum(n for _, n in best) == floor:
+            break
+    return best
+
+
+def _plan(counts: dict[int, int], capacity: int, most: int) -> list[tuple[list[tuple[int, int]], int]]:
     left = np.zeros(capacity + 1, np.int64)
     for length, n in counts.items():
         left[length] = n
@@ -98,7 +113,7 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[list[tuple[int, in
                 found.append(([length], _take(left, [length])))
                 continue
             left[length] -= 1  # the one that opens the sequence
-            combo = _complement(left, capacity - length)
+            combo = _complement(left, capacity - length, most)
             left[length] += 1
             n = _take(left, [length, *combo]) if combo else 0
             if not n:
