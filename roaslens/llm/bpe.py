@@ -2,18 +2,20 @@
 
 The tokenizer's pattern never joins a word to the space after it, so a text is cut before every
 single space and each part is encoded on its own: the ids are those of the whole text, and a part
-seen before comes from a cache.  Texts where a space has white space on both sides, or one at the end
+seen before comes from a cache.  Line ends between two words are tokens of their own and cut likewise.  Texts where a space has white space on both sides, or one at the end
 after white space, are the only ones where such a cut could move a border; they are encoded whole.
 """
 
 from __future__ import annotations
 
+import os
 import re
 
 import numpy as np
 from tokenizers import Tokenizer
 
 _UNSAFE = re.compile(r"\s (?:\s|\Z)")
+_TOUCH = re.compile(r"\s\n|\n\s")  # a line end that is part of a longer run
 _SPACE = re.compile(r"\s")
 _CACHED = 700_000
 _ENCODERS: dict[str, Encoder] = {}
@@ -33,37 +35,42 @@ class Encoder:
     def _learn(self, cache: dict[str, bytes], words: list[str], lead: str) -> None:
         """Words without white space go to the library many at a time, each after a line end: the end is a
         token of its own there, and no such word holds it.  That spares an object a word."""
-        plain = [w for w in words if not _SPACE.search(w)] if lead else []
-        odd = [w for w in words if _SPACE.search(w)] if lead else words
-        for at in range(0, len(plain), 8192):
-            some = plain[at : at + 8192]
-            ids = np.array(self.tokenizer.encode("\n " + "\n ".join(some), add_special_tokens=False).ids, "<u4")
-            ends = np.flatnonzero(ids == self.line_end)
-            if len(ends) != len(some):
-                raise ValueError("the vocabulary joins line ends to words")
-            data, at_byte = ids.tobytes(), (4 * ends).tolist() + [4 * len(ids)]
-            cache.update((w, data[a + 4 : b]) for w, a, b in zip(some, at_byte[:-1], at_byte[1:], strict=True))
+        plain = [w for w in words if not _SPACE.search(w)]
+        odd = [w for w in words if _SPACE.search(w)]
+        groups = [plain[at : at + 512] for at in range(0, len(plain), 512)]
+        joined = ["".join([f"\n{lead}{w}" for w in some]) for some in groups]
+        for at in range(0, len(groups), 16):
+            for some, e in zip(groups[at : at + 16], self.tokenizer.encode_batch_fast(joined[at : at + 16], add_special_tokens=False), strict=False):
+                ids = np.array(e.ids, "<u4")
+                ends = np.flatnonzero(ids == self.line_end)
+                if len(ends) != len(some):
+                    raise ValueError("the vocabulary joins line ends to words")
+                data, at_byte = ids.tobytes(), (4 * ends).tolist() + [4 * len(ids)]
+                cache.update((w, data[a + 4 : b]) for w, a, b in zip(some, at_byte[:-1], at_byte[1:], strict=True))
         for at in range(0, len(odd), 4096):
             some = odd[at : at + 4096]
             cache.update(zip(some, self._ids([lead + w for w in some]), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        split = [None if _UNSAFE.search(t) else t.split(" ") for t in texts]
-        words = {w for s in split if s for w in s[1:]}
-        if len(self.cache) + len(words) > _CACHED:
-            self.cache.clear()
-        if len(self.first) > _CACHED // 8:
-            self.first.clear()
-        self._learn(self.cache, [w for w in words if w not in self.cache], " ")
-        self._learn(self.first, list({s[0] for s in split if s} - self.first.keys() - {""}), "")
+        split = [None if _UNSAFE.search(t) else [x.split(" ") for x in ([t] if _TOUCH.search(t) else t.split("\n"))] for t in texts]
+        lines = [x for s in split if s for x in s]
+        words, starts = {w for x in lines for w in x[1:]}, {x[0] for x in lines}
+        for cache, new, size in ((self.cache, words, _CACHED), (self.first, starts, _CACHED // 4)):
+            if len(cache) + len(new) > size:
+                cache.clear()
+        self._learn(self.cache, [w for w in words if w and w not in self.cache], " ")
+        self._learn(self.first, [w for w in starts if w and w not in self.first], "")
+        if "" not in self.cache:
+            self.cache[""] = self._ids([" "])[0]
         self.first[""] = b""
-        get = self.cache.__getitem__
-        return [self._ids([t])[0] if s is None else self.first[s[0]] + b"".join(map(get, s[1:])) for t, s in zip(texts, split, strict=True)]
+        get, first, line_end = self.cache.__getitem__, self.first, np.array([self.line_end], "<u4").tobytes()
+        return [self._ids([t])[0] if s is None else line_end.join([first[x[0]] + b"".join(map(get, x[1:])) for x in s]) for t, s in zip(texts, split, strict=True)]
 
 
 def encoder(path: str) -> Encoder:
     """The worker's encoder for a vocabulary file; made once, kept with its cache."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the threads; idle ones of the library's own would spin
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
