@@ -29,7 +29,7 @@ from roaslens.llm.common import text_or_empty
 MARK = "▁"
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = range(1, 7)  # piece types of the file format
 _UNIGRAM, _BPE = 1, 2
-_CACHED = 500_000
+_CACHED = 250_000
 
 
 @dataclass
