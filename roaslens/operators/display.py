@@ -1,4 +1,4 @@
-"""Display layer of the report cards.
+"""Display layer of the report cards.
 
 Fallback topics rank every leaf of a subsidiary; they are never ranked with a
 window over the subsidiary.  Instead each row carries a sortable ``order``
@@ -9,13 +9,14 @@ third of all leaves is reduced map-side like any other.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roaslens.config import EngineConfig
 from roaslens.functions.exprs import fmt_money, fmt_pct, fmt_pct_yoy, fmt_roas, pct_change, safe_ratio
 from roaslens.operators.levels import level_rows
 from roaslens.operators.topics import diverse_pick, yoy_basis
+from roaslens.schema import dims_of
 
 KPIS = ("CVR", "AOV", "CPC")
 
@@ -31,18 +32,32 @@ SHORT_CHECK = {
     **{(mode, driver): f"a) see where the {word} {moved}; b) follow it weekly" for driver, word in _LEVER.items() for mode, moved in (("ISSUE", "got worse"), ("IMPROVE", "got better"))},
     (None, None): "a) compare the three levers; b) follow the largest weekly",
 }
+# Next step of the summary line by mode and driver.
+SHORT_NEXT = {
+    (mode, driver): f"{verb} the {_LEVER[driver]}" if driver else f"{verb} the largest lever"
+    for mode, verb in (("ISSUE", "examine"), ("IMPROVE", "extend"))
+    for driver in ("CPC", "CVR", "AOV", None)
+}
 
 
-def short_action(mode: Column, driver: Column) -> Column:
+def _by_mode_and_driver(texts: dict, mode: Column, driver: Column) -> Column:
     m = F.when(F.upper(mode) == "ISSUE", F.lit("ISSUE")).otherwise(F.lit("IMPROVE"))
     d = F.upper(F.coalesce(driver, F.lit("NONE")))
     expr = None
-    for (mm, dd), text in SHORT_ACTION.items():
+    for (mm, dd), text in texts.items():
         cond = (m == mm) & (d == dd) if dd else (m == mm)
         expr = F.when(cond, F.lit(text)) if expr is None else expr.when(cond, F.lit(text))
     return expr
 
 
+def short_action(mode: Column, driver: Column) -> Column:
+    return _by_mode_and_driver(SHORT_ACTION, mode, driver)
+
+
+def short_next(mode: Column, driver: Column) -> Column:
+    return _by_mode_and_driver(SHORT_NEXT, mode, driver)
+
+
 def short_checklist(mode: Column, driver: Column) -> Column:
     m = F.when(F.upper(mode) == "ISSUE", F.lit("ISSUE")).otherwise(F.lit("IMPROVE"))
     d = F.upper(F.coalesce(driver, F.lit("NONE")))
@@ -55,17 +70,31 @@ def short_checklist(mode: Column, driver: Column) -> Column:
     return expr.otherwise(F.lit(SHORT_CHECK[(None, None)]))
 
 
-def yoy_driver_cols(mode: Column) -> Column:
-    """R14 on columns cvr_yoy / aov_yoy / cpc_yoy (null -> 0); ties go to the larger name."""
-    iss = F.upper(mode) == "ISSUE"
-    cvr, aov, cpc = (F.coalesce(F.col(c), F.lit(0.0)) for c in ("cvr_yoy", "aov_yoy", "cpc_yoy"))
-    sc = F.greatest(F.lit(0.0), F.when(iss, -cvr).otherwise(cvr))
-    sa = F.greatest(F.lit(0.0), F.when(iss, -aov).otherwise(aov))
-    sp = F.greatest(F.lit(0.0), F.when(iss, cpc).otherwise(-cpc))
+def _yoy_of(kpi: str) -> Column:
+    return F.coalesce(F.col(f"{kpi.lower()}_yoy"), F.lit(0.0))
+
+
+def _yoy_scores(mode: Column) -> dict[str, Column]:
+    """How far each KPI's YoY moved in the direction of the mode (CPC is good when it falls)."""
+    sign = F.when(F.upper(mode) == "ISSUE", F.lit(-1.0)).otherwise(F.lit(1.0))
+    return {k: F.greatest(F.lit(0.0), _yoy_of(k) * (-sign if k == "CPC" else sign)) for k in KPIS}
+
+
+def _largest(scores: dict[str, Column]) -> Column:
+    """Name of the largest score; ties go to the larger name."""
+    c, a, p = (scores[k] for k in KPIS)
+    return F.when((c >= p) & (c >= a), F.lit("CVR")).when(p >= a, F.lit("CPC")).otherwise(F.lit("AOV"))
 
-    def argmax(c, a, p):
-        return F.when((c >= p) & (c >= a), F.lit("CVR")).when(p >= a, F.lit("CPC")).otherwise(F.lit("AOV"))
-    return F.when(F.greatest(sc, sa, sp) > 0, argmax(sc, sa, sp)).otherwise(argmax(F.abs(cvr), F.abs(aov), F.abs(cpc)))
+
+def yoy_leader(mode: Column) -> Column:
+    """The KPI that moved most in the direction of the mode; null if none did."""
+    scores = _yoy_scores(mode)
+    return F.when(F.greatest(*scores.values()) > 0, _largest(scores))
+
+
+def yoy_driver_cols(mode: Column) -> Column:
+    """R14 on columns cvr_yoy / aov_yoy / cpc_yoy (null -> 0); without a leader the largest change."""
+    return F.coalesce(yoy_leader(mode), _largest({k: F.abs(_yoy_of(k)) for k in KPIS}))
 
 
 def effect_direction(metric: str, mode: Column, dlog: Column) -> Column:
@@ -81,7 +110,7 @@ def effect_direction(metric: str, mode: Column, dlog: Column) -> Column:
 
 
 def kpi_ranking(mode: Column) -> Column:
-    """KPIs ranked by |dlog| desc then name, with approx % and effect direction."""
+    """KPIs ranked by |dlog| desc then name, with approx % and effect direction; null without any dlog."""
     items = F.array(*[
         F.struct(
             (-F.abs(F.coalesce(F.col(f"dlog_{k}"), F.lit(0.0)))).alias("neg_abs"), F.lit(k).alias("metric"),
@@ -89,16 +118,23 @@ def kpi_ranking(mode: Column) -> Column:
             effect_direction(k, mode, F.col(f"dlog_{k}")).alias("direction"),
         ) for k in KPIS
     ])
-    return F.transform(F.array_sort(items), lambda s: s.dropFields("neg_abs"))
+    some = F.greatest(*[F.abs(F.coalesce(F.col(f"dlog_{k}"), F.lit(0.0))) for k in KPIS]) > 0
+    return F.when(some, F.transform(F.array_sort(items), lambda s: s.dropFields("neg_abs")))
 
 
-def leaf_metrics(levels: DataFrame) -> DataFrame:
-    """Metric pack of every leaf (the product rows of the card)."""
-    leaf = level_rows(levels, 4)
+PACK = [
+    "revenue_curr", "revenue_prev", "revenue_delta", "revenue_yoy", "cost_curr", "cost_prev", "cost_yoy", "roas_curr", "roas_prev",
+    "roas_yoy", "CPC_curr", "CPC_prev", "cpc_yoy", "CVR_curr", "CVR_prev", "cvr_yoy", "AOV_curr", "AOV_prev", "aov_yoy",
+]
+
+
+def scope_metrics(levels: DataFrame, level: int) -> DataFrame:
+    """Metric pack (``PACK``) of every row of a level."""
+    scope = level_rows(levels, level)
     rc, rp, sc, sp = (F.col(c) for c in ("Revenue_curr_sum", "Revenue_prev_sum", "Spend_curr_sum", "Spend_prev_sum"))
     cc, cp, oc, op = (F.col(c) for c in ("Clicks_curr_sum", "Clicks_prev_sum", "Orders_curr_sum", "Orders_prev_sum"))
-    x = leaf.select(
-        "SUBSIDIARY", "CHANNEL", "DIVISION", "PRODUCT",
+    x = scope.select(
+        *dims_of(level),
         rc.alias("revenue_curr"), rp.alias("revenue_prev"), (rc - rp).alias("revenue_delta"), pct_change(rc, rp).alias("revenue_yoy"),
         sc.alias("cost_curr"), sp.alias("cost_prev"), pct_change(sc, sp).alias("cost_yoy"),
         safe_ratio(rc, sc).alias("roas_curr"), safe_ratio(rp, sp).alias("roas_prev"),
@@ -114,6 +150,18 @@ def leaf_metrics(levels: DataFrame) -> DataFrame:
     })
 
 
+def contribution_label(mode: Column, delta: Column) -> Column:
+    return F.when(mode == "ISSUE", F.when(delta < 0, F.lit("part of the fall")).otherwise(F.lit("counterweight"))).otherwise(
+        F.when(delta > 0, F.lit("part of the rise")).otherwise(F.lit("drag")))
+
+
+def _figures(prefix: str = "") -> Column:
+    """Revenue, cost and ROAS of a metric pack with their YoY, as one text."""
+    part = lambda word, fmt, curr, yoy: F.concat(F.lit(word + " "), fmt(prefix + curr), F.lit(" ("), fmt_pct_yoy(prefix + yoy), F.lit(")"))
+    return F.concat_ws(" | ", part("Revenue", fmt_money, "revenue_curr", "revenue_yoy"), part("Cost", fmt_money, "cost_curr", "cost_yoy"),
+                       part("ROAS", fmt_roas, "roas_curr", "roas_yoy"))
+
+
 def fallback_topics(levels: DataFrame) -> DataFrame:
     """W12 for both modes: every leaf of a subsidiary as a candidate topic.
 
@@ -122,7 +170,7 @@ def fallback_topics(levels: DataFrame) -> DataFrame:
     primary part (null if 0).  Ties in the reference follow hash order; here
     they are broken by (channel, division, product).
     """
-    m = leaf_metrics(levels)
+    m = scope_metrics(levels, 4)
     x = m.withColumn("mode_tag", F.explode(F.array(F.lit("ISSUE"), F.lit("IMPROVE"))))
     d = F.col("revenue_delta")
     primary = F.when(F.col("mode_tag") == "ISSUE", d < 0).otherwise(d > 0)
@@ -130,19 +178,13 @@ def fallback_topics(levels: DataFrame) -> DataFrame:
     den = x.groupBy("SUBSIDIARY", "mode_tag").agg(F.sum(F.when(F.col("is_primary"), F.abs(d))).alias("__den"))
     x = x.join(den, ["SUBSIDIARY", "mode_tag"], "left")
     pct = F.when(F.col("__den") > 0, F.abs(d) / F.col("__den"))
-    label = (
-        F.when(F.col("mode_tag") == "ISSUE", F.when(d < 0, F.lit("part of the fall")).otherwise(F.lit("counterweight")))
-        .otherwise(F.when(d > 0, F.lit("part of the rise")).otherwise(F.lit("drag")))
-    )
+    label = contribution_label(F.col("mode_tag"), d)
     x = x.withColumns({"impact_contribution_pct": pct, "contribution_label": label, "primary_driver": yoy_driver_cols(F.col("mode_tag"))})
     x = x.withColumns({
         "impact_contribution_text": fmt_pct("impact_contribution_pct", signed=False),
         "recommended_actions": short_action(F.col("mode_tag"), F.col("primary_driver")),
         "action_checklist": short_checklist(F.col("mode_tag"), F.col("primary_driver")),
-        "summary_text": F.concat(
-            F.col("PRODUCT"), F.lit(" | Revenue "), fmt_money("revenue_curr"), F.lit(" ("), fmt_pct_yoy("revenue_yoy"),
-            F.lit(") | Cost "), fmt_money("cost_curr"), F.lit(" ("), fmt_pct_yoy("cost_yoy"), F.lit(") | ROAS "),
-            fmt_roas("roas_curr"), F.lit(" ("), fmt_pct_yoy("roas_yoy"), F.lit(")")),
+        "summary_text": F.concat(F.col("PRODUCT"), F.lit(" | "), _figures()),
         "why_selected_text": F.concat(F.col("contribution_label"), F.lit(" "), fmt_pct("impact_contribution_pct", signed=False), F.lit(" (filled in)")),
         "order": F.struct((~F.col("is_primary")).alias("secondary"), (-F.abs(d)).alias("neg_abs_delta"),
                           F.col("CHANNEL").alias("c"), F.col("DIVISION").alias("d"), F.col("PRODUCT").alias("p")),
@@ -156,16 +198,16 @@ def display_gate(cfg: EngineConfig) -> Column:
     return yoy_basis() | (p.isNotNull() & (p >= cfg.min_topic_roas_abs_delta))
 
 
-def existing_topics(top3: DataFrame, topics: DataFrame, cfg: EngineConfig) -> DataFrame:
-    """The top-3 picks when any exist, else the mode-tagged topics by contribution."""
-    has_top3 = top3.select(F.count(F.lit(1))).scalar() > 0
-    cols = ["diagnosis_subsidiary", "CHANNEL", "DIVISION", "PRODUCT", "mode_tag", "impact_contribution_pct", "primary_driver",
-            "CVR_curr", "CVR_prev", "AOV_curr", "AOV_prev", "CPC_curr", "CPC_prev", "list"]
-    a = top3.filter(has_top3).select(*cols, F.struct(F.lit(0).alias("src"), F.col("pick_no").cast("double").alias("k")).alias("__o"))
+def existing_topics(top3: DataFrame | None, topics: DataFrame, cfg: EngineConfig) -> DataFrame:
+    """The top-3 picks; of a summary without them (``None``) three topics by contribution, per list."""
+    cols = ["diagnosis_subsidiary", "CHANNEL", "DIVISION", "PRODUCT", "mode_tag", "impact_contribution_pct", "primary_driver", "list"]
+    if top3 is not None:
+        return top3.filter(display_gate(cfg)).select(*cols, F.col("pick_no").cast("double").alias("k"))
     exact = F.when(F.col("list") == "issues", F.lit("ISSUE")).otherwise(F.lit("IMPROVE"))
-    b = topics.filter(~has_top3 & (F.col("mode_tag") == exact)).select(
-        *cols, F.struct(F.lit(0).alias("src"), (-F.coalesce(F.col("impact_contribution_pct"), F.lit(0.0))).alias("k")).alias("__o"))
-    return a.unionByName(b).filter(display_gate(cfg))
+    w = Window.partitionBy("diagnosis_subsidiary", "list").orderBy(
+        F.coalesce("impact_contribution_pct", F.lit(0.0)).desc(), "CHANNEL", "DIVISION", "PRODUCT")
+    ranked = topics.filter((F.col("mode_tag") == exact) & display_gate(cfg)).withColumn("__n", F.row_number().over(w))
+    return ranked.filter(F.col("__n") <= 3).select(*cols, F.col("__n").cast("double").alias("k"))
 
 
 def merged_topics(existing: DataFrame, fallback: DataFrame, cfg: EngineConfig) -> DataFrame:
@@ -178,44 +220,79 @@ def merged_topics(existing: DataFrame, fallback: DataFrame, cfg: EngineConfig) -
                         c.alias("c"), d.alias("d"), p.alias("p"))
     blank = F.lit("")
     ex = existing.select(*cols, mode.alias("card_mode"), F.lit("selected").alias("source"),
-                         order(0, F.lit(False), F.col("__o.k"), blank, blank, blank).alias("order"))
+                         order(0, F.lit(False), F.col("k"), blank, blank, blank).alias("order"))
     fb = fallback.filter(display_gate(cfg)).select(
         *cols, F.col("mode_tag").alias("card_mode"), F.lit("fallback").alias("source"),
         order(1, F.col("order.secondary"), F.col("order.neg_abs_delta"), F.col("CHANNEL"), F.col("DIVISION"), F.col("PRODUCT")).alias("order"),
     )
-    both = ex.unionByName(fb)
-    # first occurrence of each (channel, division, product) wins
-    first = both.groupBy("diagnosis_subsidiary", "card_mode", "CHANNEL", "DIVISION", "PRODUCT").agg(
-        F.min(F.struct("order", "source", "impact_contribution_pct", "primary_driver")).alias("__f"))
-    dedup = first.select("diagnosis_subsidiary", "card_mode", "CHANNEL", "DIVISION", "PRODUCT",
-                         F.col("__f.order").alias("order"), F.col("__f.source").alias("source"),
-                         F.col("__f.impact_contribution_pct").alias("impact_contribution_pct"),
-                         F.col("__f.primary_driver").alias("primary_driver"))
-    return diverse_pick(dedup, ["diagnosis_subsidiary", "card_mode"], F.col("order"), 3)
-
-
-def report_cards(levels: DataFrame, reports: DataFrame, merged: DataFrame) -> DataFrame:
-    """One card per subsidiary: display mode, chosen topics, KPI pack, summary line."""
-    sub = level_rows(levels, 1)
-    rc, rp, sc, sp = (F.col(c) for c in ("Revenue_curr_sum", "Revenue_prev_sum", "Spend_curr_sum", "Spend_prev_sum"))
-    kpi = sub.select(
-        "SUBSIDIARY", (rc - rp).alias("revenue_delta"), safe_ratio(rc, sc).alias("roas_curr"),
-        pct_change(safe_ratio(rc, sc), safe_ratio(rp, sp)).alias("roas_yoy"), pct_change(rc, rp).alias("revenue_yoy"),
-    )
+    return diverse_pick(ex.unionByName(fb), ["diagnosis_subsidiary", "card_mode"], F.col("order"), 3)
+
+
+def card_topics(levels: DataFrame, top3: DataFrame, merged: DataFrame) -> DataFrame:
+    """The merged topics with the figures of their channel, division and product, and their texts.
+
+    A topic filled in from the fallback has no RCA of its own: its texts follow from the figures."""
+    keys = ["diagnosis_subsidiary", "card_mode", "CHANNEL", "DIVISION", "PRODUCT"]
+    texts = ["recommended_actions", "action_checklist", "why_selected_text", "summary_text", "kpi_ranking"]
+    yoys = [f"{k.lower()}_yoy" for k in KPIS]
+    own = top3.withColumns({
+        "card_mode": F.when(F.col("list") == "issues", F.lit("ISSUE")).otherwise(F.lit("IMPROVE")), "source": F.lit("selected"),
+    }).select(*keys, "source", *texts, *yoys)
+    x = merged.select(*keys, "pick_no", "source", "impact_contribution_pct", "primary_driver").join(own, [*keys, "source"], "left")
+    for level, name in ((2, "channel"), (3, "division"), (4, "product")):
+        dims = dims_of(level)[1:]
+        pack = scope_metrics(levels, level).select(F.col("SUBSIDIARY").alias("diagnosis_subsidiary"), *dims, F.struct(*PACK).alias(f"{name}_kpi"))
+        x = x.join(pack, ["diagnosis_subsidiary", *dims], "left")
+    mode = F.col("card_mode")
+    x = x.withColumns({c: F.coalesce(c, f"product_kpi.{c}") for c in yoys})
+    x = x.withColumns({
+        "driver": F.coalesce(F.col("primary_driver"), yoy_driver_cols(mode)),
+        "yoy_leader": yoy_leader(mode),
+        "impact_contribution_text": fmt_pct("impact_contribution_pct", signed=False),
+        "contribution_label": contribution_label(mode, F.when(F.col("source") == "fallback", F.col("product_kpi.revenue_delta"))
+                                                 .otherwise(F.when(mode == "ISSUE", F.lit(-1.0)).otherwise(F.lit(1.0)))),
+    })
+    yoy = lambda kpi: F.when(kpi == "CVR", F.col("cvr_yoy")).when(kpi == "AOV", F.col("aov_yoy")).when(kpi == "CPC", F.col("cpc_yoy"))
+    drv, lead = F.col("driver"), F.col("yoy_leader")
+    x = x.withColumns({
+        "recommended_actions": F.coalesce("recommended_actions", short_action(mode, drv)),
+        "action_checklist": F.coalesce("action_checklist", short_checklist(mode, drv)),
+        "why_selected_text": F.coalesce("why_selected_text", F.concat(F.col("contribution_label"), F.lit(" "), F.col("impact_contribution_text"), F.lit(" (filled in)"))),
+        "summary_text": F.coalesce("summary_text", F.concat(F.col("PRODUCT"), F.lit(" | "), _figures("product_kpi."))),
+        "reason_text": F.when(yoy(drv).isNull(), F.concat(drv, F.lit(": last year unknown")))
+                        .when(drv == lead, F.concat(drv, F.lit(" "), fmt_pct(yoy(drv)), F.lit(", more than any other lever")))
+                        .when(lead.isNotNull(), F.concat(drv, F.lit(" "), fmt_pct(yoy(drv)), F.lit("; "), lead, F.lit(" leads with "), fmt_pct(yoy(lead))))
+                        .otherwise(F.concat(drv, F.lit(" "), fmt_pct(yoy(drv)))),
+    })
+    return x.withColumns({
+        "what_text": F.concat(F.col("CHANNEL"), F.lit(": "), _figures("channel_kpi."), F.lit("; "), F.col("DIVISION"), F.lit(": "), _figures("division_kpi.")),
+        "so_what_text": F.concat(F.col("PRODUCT"), F.lit(": "), F.col("contribution_label"), F.lit(" "), F.col("impact_contribution_text"), F.lit(", lever "), drv),
+        "now_what_text": F.col("recommended_actions"),
+    }).drop("primary_driver")
+
+
+def report_cards(levels: DataFrame, reports: DataFrame, topics: DataFrame, headline: DataFrame) -> DataFrame:
+    """One card per subsidiary: display mode, chosen topics with all they hold, KPI pack, summary line."""
     modes = reports.select("SUBSIDIARY", F.col("mode").alias("__rep_mode"))
-    x = kpi.join(modes, "SUBSIDIARY", "left").withColumn(
+    x = scope_metrics(levels, 1).join(modes, "SUBSIDIARY", "left").withColumn(
         "display_mode",
         F.when(F.col("__rep_mode").isin("ISSUE", "IMPROVE"), F.col("__rep_mode"))
         .when(F.col("revenue_delta") < 0, F.lit("ISSUE")).otherwise(F.lit("IMPROVE")),
-    )
-    topics = merged.groupBy(F.col("diagnosis_subsidiary").alias("SUBSIDIARY"), F.col("card_mode").alias("display_mode")).agg(
-        F.array_sort(F.collect_list(F.struct("pick_no", "CHANNEL", "DIVISION", "PRODUCT", "source",
-                                             "impact_contribution_pct", "primary_driver"))).alias("topics"))
-    x = x.join(topics, ["SUBSIDIARY", "display_mode"], "left").withColumn("topics", F.coalesce("topics", F.array()))
+    ).drop("__rep_mode")
+    rest = [c for c in topics.columns if c not in ("pick_no", "diagnosis_subsidiary", "card_mode")]
+    held = topics.groupBy(F.col("diagnosis_subsidiary").alias("SUBSIDIARY"), F.col("card_mode").alias("display_mode")).agg(
+        F.collect_list(F.struct("pick_no", *rest)).alias("topics"))  # at most 3
+    x = x.join(held, ["SUBSIDIARY", "display_mode"], "left").withColumn("topics", F.coalesce(F.array_sort("topics"), F.array()))
+    # The division that drives the change in the card's own direction
+    lead = headline.select(
+        "SUBSIDIARY", F.when(F.col("headline_label") == "DECLINE_DRIVER", F.lit("ISSUE")).otherwise(F.lit("IMPROVE")).alias("display_mode"),
+        "headline_division", "headline_pct")
+    x = x.join(lead, ["SUBSIDIARY", "display_mode"], "left")
     first = F.try_element_at(F.col("topics"), F.lit(1))
-    what = F.concat(F.lit("ROAS "), fmt_roas("roas_curr"), F.lit(" ("), fmt_pct_yoy("roas_yoy"), F.lit("), revenue "), fmt_pct_yoy("revenue_yoy"))
-    so_what = F.when(first.isNull(), F.lit("no topic passes the display gate")).otherwise(F.concat(
-        first.getField("CHANNEL"), F.lit("/"), first.getField("DIVISION"), F.lit("/"), first.getField("PRODUCT"), F.lit(" leads ("),
-        fmt_pct(first.getField("impact_contribution_pct"), signed=False), F.lit(")")))
-    now_what = short_action(F.col("display_mode"), first.getField("primary_driver"))
-    return x.withColumn("summary_line", F.concat_ws(" | ", F.col("SUBSIDIARY"), what, so_what, now_what)).drop("__rep_mode")
+    x = x.withColumns({"top_channel": first.getField("CHANNEL"), "top_driver": F.coalesce(first.getField("driver"), yoy_driver_cols(F.col("display_mode")))})
+    what = F.concat(F.lit("Revenue "), fmt_money("revenue_curr"), F.lit(" ("), fmt_pct_yoy("revenue_yoy"), F.lit("), ROAS "),
+                    fmt_roas("roas_curr"), F.lit(" ("), fmt_pct_yoy("roas_yoy"), F.lit(")"))
+    so_what = F.when(F.col("headline_division").isNull(), F.lit("no division stands out")).otherwise(F.concat(
+        F.when(F.col("display_mode") == "ISSUE", F.lit("falls with ")).otherwise(F.lit("rises with ")), F.concat_ws("/", "top_channel", "headline_division"),
+        F.lit(" ("), fmt_pct("headline_pct", signed=False), F.lit(")")))
+    return x.withColumn("summary_line", F.concat_ws(" | ", F.col("SUBSIDIARY"), what, so_what, short_next(F.col("display_mode"), F.col("top_driver"))))

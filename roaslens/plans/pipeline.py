@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roaslens.config import EngineConfig
-from roaslens.operators.display import existing_topics, fallback_topics, merged_topics, report_cards
+from roaslens.operators.display import card_topics, existing_topics, fallback_topics, merged_topics, report_cards
 from roaslens.operators.division import division_blocks, division_headline, division_parallel
 from roaslens.operators.drill import ImpactRun, run_impact
 from roaslens.operators.levels import level_rollup, level_rows
@@ -81,11 +81,13 @@ def build_report(engine: DataFrame, cfg: EngineConfig, meta: dict[str, Any] | No
     improve_topics = topics.filter(F.col("list") == "improvements")
     issues_top3 = top3.filter(F.col("list") == "issues")
     improvements_top3 = top3.filter(F.col("list") == "improvements")
-    divisions = division_parallel(levels)
-    reports = subsidiary_reports(levels, issues_top3, improvements_top3)
-    fallback = fallback_topics(levels)
-    merged = merged_topics(existing_topics(top3, topics, cfg), fallback, cfg)
-    cards = report_cards(levels, reports, merged)
+    # shared by several outputs: a few rows per subsidiary each
+    divisions = cut(division_parallel(levels))
+    headline = division_headline(divisions)
+    reports = cut(subsidiary_reports(levels, issues_top3, improvements_top3))
+    merged = cut(merged_topics(existing_topics(top3, topics, cfg), fallback_topics(levels), cfg))
+    card_rows = cut(card_topics(levels, top3, merged))
+    cards = report_cards(levels, reports, card_rows, headline)
     # Output order (issues by subsidiary then most negative impact, improvements by most
     # positive; ties by the dims). The tables hold at most 6 rows per subsidiary.
     dims = [F.col(d).asc() for d in ("CHANNEL", "DIVISION", "PRODUCT")]
@@ -102,12 +104,12 @@ def build_report(engine: DataFrame, cfg: EngineConfig, meta: dict[str, Any] | No
     sections = {
         "subsidiaries_analyzed": a.subsidiaries,
         "division_parallel_contribution": division_blocks(divisions, levels),
-        "division_headline": division_headline(divisions),
+        "division_headline": headline,
         "subsidiary_reports": reports,
         "issues_top3_products_by_subsidiary": issues_top3,
         "improvements_top3_products_by_subsidiary": improvements_top3,
-        "fallback_topics": fallback,
         "merged_topics": merged,
+        "card_topics": card_rows,
         "report_cards": cards,
         "issues_top_products": issue_topics.select(*TOPIC_COLUMNS),
         "improvements_top_products": improve_topics.select(*TOPIC_COLUMNS),

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roaslens.config import EngineConfig
+from roaslens.operators.display import fallback_topics
 from roaslens.operators.division import division_headline, division_parallel
 from roaslens.operators.drill import scope_eligibility
 from roaslens.operators.impact import child_impacts, select_children, selected_children
@@ -328,13 +329,27 @@ MERGED_OUT = ["diagnosis_subsidiary", "card_mode", "pick_no", *DIMENSIONS[1:], "
 
 
 def q_fallback_topics(spark, sf_dir):
-    return out(report_for(spark, sf_dir).sections["fallback_topics"].select(*FALLBACK_OUT))
+    return out(fallback_topics(report_for(spark, sf_dir).levels).select(*FALLBACK_OUT))
 
 
 def q_merged_topics(spark, sf_dir):
     return out(report_for(spark, sf_dir).sections["merged_topics"].select(*MERGED_OUT))
 
 
+CARD_OUT = ["diagnosis_subsidiary", "card_mode", "pick_no", "CHANNEL", "DIVISION", "PRODUCT", "source", "contribution_label", "driver", "yoy_leader"]
+CARD_KPI = ["revenue_curr", "revenue_delta", "revenue_yoy", "cost_curr", "cost_yoy", "roas_curr", "roas_yoy", "cvr_yoy", "aov_yoy", "cpc_yoy"]
+
+
+def q_card_topics(spark, sf_dir):
+    rows = report_for(spark, sf_dir).sections["card_topics"]
+    return out(rows.select(*CARD_OUT, *[F.col(f"{s}_kpi.{c}").alias(f"{s}_{c}") for s in ("channel", "division", "product") for c in CARD_KPI]))
+
+
+def q_card_summary(spark, sf_dir):
+    cards = report_for(spark, sf_dir).sections["report_cards"]
+    return out(cards.select("SUBSIDIARY", "display_mode", "headline_division", "headline_pct", "top_channel", "top_driver"))
+
+
 def q_report_cards(spark, sf_dir):
     c = report_for(spark, sf_dir).sections["report_cards"]
     paths = F.array_join(F.transform("topics", lambda t: F.concat_ws("/", t.getField("CHANNEL"), t.getField("DIVISION"), t.getField("PRODUCT"))), " | ")
@@ -628,6 +643,29 @@ FROM rep"""
     q["fallback_topics"] = O.display_ctes() + f" SELECT {fo} FROM fallback"
     mo = ", ".join(O.rnd(c) + f" AS {c}" if c == "impact_contribution_pct" else (f"CAST({c} AS BIGINT) AS {c}" if c == "pick_no" else c) for c in MERGED_OUT)
     q["merged_topics"] = O.display_ctes() + f" SELECT {mo} FROM merged"
+    ratios = {"roas": ("Revenue", "Spend"), "cvr": ("Orders", "Clicks"), "aov": ("Revenue", "Orders"), "cpc": ("Spend", "Clicks")}
+    rr = {k: [O.ratio(f"{n}_{y}_sum", f"{d}_{y}_sum") for y in ("curr", "prev")] for k, (n, d) in ratios.items()}
+    packs = O.display_ctes() + f""",
+packs AS (
+  SELECT level, SUBSIDIARY, CHANNEL, DIVISION, PRODUCT, Revenue_curr_sum AS revenue_curr, Revenue_curr_sum - Revenue_prev_sum AS revenue_delta,
+         {O.pct('Revenue_curr_sum', 'Revenue_prev_sum')} AS revenue_yoy, Spend_curr_sum AS cost_curr, {O.pct('Spend_curr_sum', 'Spend_prev_sum')} AS cost_yoy,
+         {rr['roas'][0]} AS roas_curr, {', '.join(f"{O.pct(*v)} AS {k}_yoy" for k, v in rr.items())}
+  FROM levels
+)"""
+    card = ", ".join(f"{O.rnd(f'{a}.{c}')} AS {s}_{c}" for s, a in (("channel", "ch"), ("division", "dn"), ("product", "pr")) for c in CARD_KPI)
+    up = {k: f"coalesce(pr.{k}_yoy, 0.0) * CASE WHEN (m.card_mode = 'ISSUE') = {'TRUE' if k == 'cpc' else 'FALSE'} THEN 1 ELSE -1 END" for k in ("cvr", "aov", "cpc")}
+    q["card_topics"] = packs + f"""
+SELECT m.diagnosis_subsidiary, m.card_mode, CAST(m.pick_no AS BIGINT) AS pick_no, m.CHANNEL, m.DIVISION, m.PRODUCT, m.source,
+       CASE WHEN m.card_mode = 'ISSUE' THEN CASE WHEN m.source = 'selected' OR pr.revenue_delta < 0 THEN 'part of the fall' ELSE 'counterweight' END
+            WHEN m.source = 'selected' OR pr.revenue_delta > 0 THEN 'part of the rise' ELSE 'drag' END AS contribution_label,
+       m.primary_driver AS driver,
+       CASE WHEN {up['cvr']} > 0 AND {up['cvr']} >= {up['cpc']} AND {up['cvr']} >= {up['aov']} THEN 'CVR'
+            WHEN {up['cpc']} > 0 AND {up['cpc']} >= {up['aov']} THEN 'CPC' WHEN {up['aov']} > 0 THEN 'AOV' END AS yoy_leader,
+       {card}
+FROM merged m
+LEFT JOIN packs ch ON ch.level = 2 AND ch.SUBSIDIARY = m.diagnosis_subsidiary AND ch.CHANNEL = m.CHANNEL
+LEFT JOIN packs dn ON dn.level = 3 AND dn.SUBSIDIARY = m.diagnosis_subsidiary AND dn.CHANNEL = m.CHANNEL AND dn.DIVISION = m.DIVISION
+LEFT JOIN packs pr ON pr.level = 4 AND pr.SUBSIDIARY = m.diagnosis_subsidiary AND pr.CHANNEL = m.CHANNEL AND pr.DIVISION = m.DIVISION AND pr.PRODUCT = m.PRODUCT"""
     q["report_cards"] = O.display_ctes() + """,
 rep_mode AS (
   SELECT l.SUBSIDIARY,
@@ -641,6 +679,18 @@ SELECT r.SUBSIDIARY, r.display_mode, CAST(count(m.PRODUCT) AS BIGINT) AS n_topic
        coalesce(string_agg(m.CHANNEL || '/' || m.DIVISION || '/' || m.PRODUCT, ' | ' ORDER BY m.pick_no), '') AS topic_paths
 FROM rep_mode r LEFT JOIN merged m ON m.diagnosis_subsidiary = r.SUBSIDIARY AND m.card_mode = r.display_mode
 GROUP BY r.SUBSIDIARY, r.display_mode"""
+    cards = q["report_cards"]
+    division_part = _division_sql()[len(O.engine_ctes()):]
+    q["card_summary"] = cards[: cards.index("\nSELECT r.SUBSIDIARY, r.display_mode, CAST(")] + division_part + f"""
+SELECT r.SUBSIDIARY, r.display_mode, h.DIVISION AS headline_division, {O.rnd('h.pct')} AS headline_pct, t.CHANNEL AS top_channel, t.primary_driver AS top_driver
+FROM rep_mode r
+LEFT JOIN merged t ON t.diagnosis_subsidiary = r.SUBSIDIARY AND t.card_mode = r.display_mode AND t.pick_no = 1
+LEFT JOIN (
+  SELECT SUBSIDIARY, DIVISION, division_rank, 'ISSUE' AS mode, Contribution_to_decline_pct AS pct FROM d WHERE Contribution_label = 'DECLINE_DRIVER' AND Contribution_to_decline_pct > 0
+  UNION ALL
+  SELECT SUBSIDIARY, DIVISION, division_rank, 'IMPROVE', Contribution_to_growth_pct FROM d WHERE Contribution_label = 'GROWTH_DRIVER' AND Contribution_to_growth_pct > 0
+) h ON h.SUBSIDIARY = r.SUBSIDIARY AND h.mode = r.display_mode
+QUALIFY row_number() OVER (PARTITION BY r.SUBSIDIARY ORDER BY h.pct DESC, h.division_rank) = 1"""
     return q
 
 
@@ -683,6 +733,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fallback_topics": q_fallback_topics,
     "merged_topics": q_merged_topics,
     "report_cards": q_report_cards,
+    "card_topics": q_card_topics,
+    "card_summary": q_card_summary,
     "impact_channel_mtd": _impact_mtd(2),
     "impact_product_mtd": _impact_mtd(4),
     "drill_leaves_mtd": q_drill_leaves_mtd,

@@ -15,7 +15,7 @@ E = importlib.util.module_from_spec(spec)
 spec.loader.exec_module(E)
 
 NAMES = ["engine_frame", "impact_channel", "select_children", "drill_leaves", "trace_table", "rca_join",
-         "division_parallel", "top3_diverse", "merged_topics", "report_cards", "drill_leaves_mtd"]
+         "division_parallel", "top3_diverse", "merged_topics", "report_cards", "card_topics", "card_summary", "drill_leaves_mtd"]
 
 
 @pytest.fixture(scope="module")
