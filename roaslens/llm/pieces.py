@@ -24,12 +24,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from roaslens.llm.bpe import runs
 from roaslens.llm.common import text_or_empty
 
 MARK = "▁"
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = range(1, 7)  # piece types of the file format
 _UNIGRAM, _BPE = 1, 2
-_CACHED = 250_000
+_CACHED = 500_000  # parts; about 0.1 GB a worker
+_SLICE = 1 << 20  # characters split into parts at a time
+_CUT = re.compile("(?<=[^ ]) (?=[^ ])")
 
 
 @dataclass
@@ -129,7 +132,8 @@ class Codec:
         else:
             self.whole = False
         self.line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        self.cache: dict[str, tuple[bytes, bool]] = {}
+        self.cache: dict[str, bytes] = {}  # parts without their first marker, others as spaces
+        self.differ: set[str] = set()  # parts on which the libraries differ
         self.surface = [bytes([int(p[3:5], 16)]) if kind == _BYTE else b"" if kind == _CONTROL else b" \xe2\x81\x87 " if kind == _UNKNOWN else p.replace(MARK, " ").encode() for p, _, kind in self.model.pieces]
         self.is_byte = np.array([kind == _BYTE for *_, kind in self.model.pieces])
 
@@ -138,26 +142,30 @@ class Codec:
             text = re.sub(" +", " ", text.replace(MARK, " ")).strip(" ")
         return (MARK if self.model.add_prefix and text else "") + text.replace(" ", MARK)
 
-    def _check(self, parts: list[str], ids: list[list[int]]) -> list[bool]:
-        # the peer adds the first marker itself, but none to an empty text
-        theirs = self.peer.encode([p[1:].replace(MARK, " ") for p in parts], num_threads=1)
-        return [(b == [self.peer.piece_to_id(MARK)] if p == MARK else a == b) for p, a, b in zip(parts, theirs, ids, strict=True)]
-
     def _learn(self, parts: list[str]) -> None:
+        """Parts without line ends go to the library many at a time, each after a line end."""
         plain = [p for p in parts if "\n" not in p]
         odd = [p for p in parts if "\n" in p]
-        groups = [plain[i : i + 512] for i in range(0, len(plain), 512)]
         mark = self.line_end[0]
-        for group, e in zip(groups, self.tokenizer.encode_batch_fast(["\n".join(g) for g in groups], add_special_tokens=False), strict=True):
-            ids = np.array(e.ids, np.uint32)
-            found = np.split(ids, np.flatnonzero(ids == mark))
-            found = [found[0].tolist(), *[x[1:].tolist() for x in found[1:]]]
-            self._store(group, found)
-        self._store(odd, [e.ids for e in self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)])
-
-    def _store(self, parts: list[str], ids: list[list[int]]) -> None:
-        for p, x, same in zip(parts, ids, self._check(parts, ids), strict=True):
-            self.cache[p] = (np.array(x, "<u4").tobytes(), same)
+        for at in range(0, len(plain), 512):
+            group = plain[at : at + 512]
+            joined = "".join([f"\n{MARK}{p}" for p in group]).replace(" ", MARK)
+            ids = self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids
+            array = np.array(ids, "<u4")
+            starts = (np.flatnonzero(array == mark) + 1).tolist()
+            if len(starts) != len(group):
+                raise ValueError("the model joins line ends to words")
+            data, ends = array.tobytes(), [x - 1 for x in starts[1:]] + [len(ids)]
+            self._store(group, [ids[a:b] for a, b in zip(starts, ends, strict=True)], [data[4 * a : 4 * b] for a, b in zip(starts, ends, strict=True)])
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast([MARK + p.replace(" ", MARK) for p in odd], add_special_tokens=False)]
+        self._store(odd, ids, [np.array(x, "<u4").tobytes() for x in ids])
+
+    def _store(self, parts: list[str], ids: list[list[int]], data: list[bytes]) -> None:
+        self.cache.update(zip(parts, data, strict=True))
+        # the peer adds the first marker itself, but none to an empty text
+        for p, own, theirs in zip(parts, ids, self.peer.encode(parts, num_threads=1), strict=True):
+            if own != (theirs if p else [self.peer.piece_to_id(MARK)]):
+                self.differ.add(p)
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, bool]]:
         """(ids as little-endian unsigned 32-bit integers, both libraries agree) of each text."""
@@ -166,24 +174,41 @@ class Codec:
             ids = [e.ids for e in self.tokenizer.encode_batch_fast([self._prepare(t) for t in texts], add_special_tokens=False)]
             same = [a == b for a, b in zip(self.peer.encode(texts, num_threads=1), ids, strict=True)]
             return [(np.array(x, "<u4").tobytes(), ok) for x, ok in zip(ids, same, strict=True)]
-        split = [self._parts(t) for t in texts]
-        new = {p for s in split for p in s}
-        if len(self.cache) + len(new) > _CACHED:
-            self.cache.clear()
-        self._learn([p for p in new if p not in self.cache])
+        texts = [t.replace(MARK, " ") for t in texts]
+        if max(map(len, texts), default=0) <= _SLICE:
+            return self._look_up([self._parts(t) for t in texts])
         out = []
-        for s in split:
-            got = [self.cache[p] for p in s]
-            out.append((b"".join([a for a, _ in got]), all([b for _, b in got])))
+        for t in texts:  # a very long text goes slice by slice
+            got = [self._look_up([self._parts(x)])[0] for x in self._slices(t)]
+            out.append((b"".join([ids for ids, _ in got]), all([same for _, same in got])))
         return out
 
-    def _parts(self, text: str) -> list[str]:
+    def _look_up(self, split: list[list[str]]) -> list[tuple[bytes, bool]]:
+        new = {p for s in split for p in s if p not in self.cache}
+        if len(self.cache) + len(new) > _CACHED:
+            self.cache.clear()
+            self.differ.clear()
+            new = {p for s in split for p in s}
+        self._learn(list(new))
+        get = self.cache.__getitem__
+        return [(b"".join(map(get, s)), not self.differ or self.differ.isdisjoint(s)) for s in split]
+
+    @staticmethod
+    def _slices(text: str) -> Iterator[str]:
+        """The text cut at single spaces, each of which is the marker of the part behind it."""
+        at = 0
+        while len(text) - at > _SLICE and (cut := _CUT.search(text, at + _SLICE)):
+            yield text[at : cut.start()]
+            at = cut.end()
+        yield text[at:]
+
+    @staticmethod
+    def _parts(text: str) -> list[str]:
         if not text:
             return []
-        text = text.replace(MARK, " ")
         if "  " in text or text[0] == " " or text[-1] == " ":
-            return re.findall(f"{MARK}+[^{MARK}]*", MARK + text.replace(" ", MARK))
-        return [MARK + w for w in text.split(" ")]
+            return [p[1:] for p in re.findall(" +[^ ]*", " " + text)]
+        return text.split(" ")
 
     def decode(self, ids: np.ndarray) -> str:
         text = b"".join([self.surface[i] for i in ids.tolist()]).decode("utf-8", "replace")
@@ -212,10 +237,8 @@ def encode(docs: DataFrame, model: str, text_col: str = "text", threads: int | N
     def to_ids(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         c = codec(model, threads)
         for s in batches:
-            texts, out = s.tolist(), []
-            for at in range(0, len(texts), 512):
-                out += c.encode(texts[at : at + 512])
-            yield pd.DataFrame(out, columns=["ids", "parity"])
+            for some in runs(s.tolist(), _SLICE):
+                yield pd.DataFrame(c.encode(some), columns=["ids", "parity"])
 
     return docs.withColumn("_e", to_ids(text_or_empty(text_col))).select(*[c for c in docs.columns if c not in ("ids", "parity")], "_e.ids", "_e.parity")
 
@@ -227,7 +250,8 @@ def decode(rows: DataFrame, model: str, ids_col: str = "ids", out: str = "decode
     def to_text(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         c = codec(model)
         for s in batches:
-            ids = [np.frombuffer(x or b"", "<u4") for x in s]
-            yield pd.DataFrame({"text": [c.decode(x) for x in ids], "n_byte_pieces": [int(c.is_byte[x].sum()) for x in ids]})
+            for some in runs([x or b"" for x in s], _SLICE):
+                ids = [np.frombuffer(x, "<u4") for x in some]
+                yield pd.DataFrame({"text": [c.decode(x) for x in ids], "n_byte_pieces": [int(c.is_byte[x].sum()) for x in ids]})
 
     return rows.withColumn("_d", to_text(ids_col)).select("*", F.col("_d.text").alias(out), "_d.n_byte_pieces").drop("_d")

@@ -226,6 +226,13 @@ def test_sharding(docs, empty):
         assert sorted(p.tolist()) == list(range(n)) and (sharding.permute(p, n, 3, back=True) == np.arange(n)).all()
 
 
+def test_pieces_slice_by_slice(monkeypatch):
+    texts = ["", " ", "  ", "a  b ", " x", "one two three four five six", "\u2581 y\u2581\u2581z", "a\nb c\n\n d", "word " * 40]
+    whole = pieces.Codec(public_tokenizers.path("piece_bpe_32k.model")).encode(texts)
+    monkeypatch.setattr(pieces, "_SLICE", 5)
+    assert pieces.Codec(public_tokenizers.path("piece_bpe_32k.model")).encode(texts) == whole
+
+
 def test_pieces_against_the_other_library(docs, empty):
     import sentencepiece
 
