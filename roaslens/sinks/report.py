@@ -8,6 +8,7 @@ driver: the summary document is written as JSON per section.
 from __future__ import annotations
 
 import json
+import uuid
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -139,10 +140,14 @@ def write_summary(spark: SparkSession, sections: dict[str, DataFrame], meta: dic
 
 
 def write_snapshot(engine: DataFrame, path: str, run_key: str, meta: dict[str, Any]) -> None:
-    """K5: engine frame as Parquet/zstd plus a one-row run-key table; write errors are ignored."""
+    """K5: engine frame as Parquet/zstd in a folder of its own, then a one-row table with its run key.
+
+    The row comes last and names the folder, so a key never meets the frame of another run; write
+    errors are ignored.  Frames of former runs stay until the caller removes them."""
+    folder = f"engine-{uuid.uuid4().hex}"
     try:
-        engine.select(*ENGINE_COLUMNS).write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/engine")
-        engine.sparkSession.createDataFrame([(run_key, json.dumps(meta, default=str))], "run_key string, meta string") \
+        engine.select(*ENGINE_COLUMNS).write.option("compression", "zstd").parquet(f"{path}/{folder}")
+        engine.sparkSession.createDataFrame([(run_key, folder, json.dumps(meta, default=str))], "run_key string, folder string, meta string") \
             .write.mode("overwrite").parquet(f"{path}/run")
     except Exception:  # noqa: BLE001 - a failed cache write must not fail the run
         pass
@@ -158,4 +163,4 @@ def read_snapshot(spark: SparkSession, path: str, run_key: str) -> tuple[DataFra
         return None
     meta = json.loads(row["meta"])
     meta["cache_hit"] = True
-    return spark.read.parquet(f"{path}/engine"), meta
+    return spark.read.parquet(f"{path}/{row['folder']}"), meta

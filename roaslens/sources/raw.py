@@ -109,20 +109,30 @@ def read_input(spark: SparkSession, path: str, cfg, fmt: str | None = None, chec
     return build_engine_frame(raw, cfg, check_quality=check_quality)
 
 
+def input_version(spark: SparkSession, path: str) -> str:
+    """Number, size and a hash of names, sizes and times of the files of an input (contents are not read)."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length", "modificationTime")
+    n, size, mark = files.agg(F.count(F.lit(1)), F.sum("length"), F.bit_xor(F.xxhash64("path", "length", "modificationTime"))).first()
+    return f"{n}:{size or 0}:{mark or 0}"
+
+
 def load_input_frame(spark: SparkSession, path: str, cfg, snapshot_dir: str, run_key: str | None = None,
                      fmt: str | None = None):
     """Engine frame from the snapshot when its run key matches, else build it and store it.
 
-    The run key is explicit (default: input path + comparison settings);
-    hashing file metadata, as the reference does, is a single-machine detail.
+    The default run key holds the path, the version of its files (``input_version``) and the
+    comparison settings.  After a store the stored frame is returned, not computed again.
     """
     from roaslens.sinks.report import read_snapshot, write_snapshot
 
-    key = run_key or f"{path}|{cfg.curr_year}|{cfg.prev_year}|{'mtd' if cfg.mtd_only else 'full'}"
+    if not path_exists(spark, path):
+        raise FileNotFoundError(f"Input not found: {path}")
+    key = run_key or f"{path}|{input_version(spark, path)}|{cfg.curr_year}|{cfg.prev_year}|{'mtd' if cfg.mtd_only else 'full'}"
     hit = read_snapshot(spark, snapshot_dir, key)
     if hit is not None:
         return hit
     engine, meta = read_input(spark, path, cfg, fmt=fmt)
     meta = dict(meta, cache_hit=False)
     write_snapshot(engine, snapshot_dir, key, meta)
-    return engine, meta
+    stored = read_snapshot(spark, snapshot_dir, key)
+    return (stored[0] if stored else engine), meta

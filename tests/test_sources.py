@@ -94,3 +94,7 @@ def test_load_input_frame_uses_snapshot(spark):
     e2, m2 = load_input_frame(spark, path, cfg, f"{d}/snap")
     assert m1["cache_hit"] is False and m2["cache_hit"] is True
     assert e1.collect() == e2.collect()
+    with open(path, "a") as f:
+        f.write("KR,Search,MX,P2,10,100,200,10,CONVERSION,2026,3,5\n")
+    e3, m3 = load_input_frame(spark, path, cfg, f"{d}/snap")  # changed input: not the old frame
+    assert m3["cache_hit"] is False and e3.count() == 2
