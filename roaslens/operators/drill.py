@@ -146,7 +146,7 @@ def validate_focus(focus: dict[str, str] | None) -> dict[str, str]:
     focus = dict(focus or {})
     path = {d: focus[d] for d in DIMENSIONS[: len(focus)] if d in focus}
     if len(path) < len(focus):
-        raise ValueError(f"a focus starts at {DIMENSIONS[0]} and skips no level; got {sorted(focus)}")
+        raise ValueError(f"Invalid focus {sorted(focus)}: no prefix of the levels from {DIMENSIONS[0]} down")
     return path
 
 
