@@ -65,6 +65,7 @@ def links(fps: DataFrame, bits: int) -> DataFrame:
     radius = (bits + 1) // 2
     variants = fps.select("fp", F.explode(F.lit(_masks(radius)).cast("array<bigint>")).alias("mask")).select("fp", F.col("fp").bitwiseXOR(F.col("mask")).alias("variant"))
     met = variants.groupBy("variant").agg(F.min("fp").alias("least"), F.max("fp").alias("most"), F.count("*").alias("n")).filter("n > 1")
+    met = cut(met)  # read twice below: written once, or the variants would be made and shuffled twice
     two = met.filter("n = 2").select(F.col("least").alias("a"), F.col("most").alias("b"))
     # owners of a variant with three or more: generated again from its ball, no second shuffle of all variants
     ball = met.filter("n > 2").select("least", "variant", F.explode(F.lit(_masks(radius)).cast("array<bigint>")).alias("mask"))
