@@ -50,7 +50,6 @@ SOURCE_RAW_HEADERS: tuple[str, ...] = (
     "PLATFORM_REVENUE_USD", "META_MOBILE_APP_PURCHASE", "META_WEB_PURCHASE",
     "PLATFORM_VIDEO_VIEWS",
 )
-HEADER_SCAN_MAX_ROWS = 120
 REQUIRED_LONG_UPPER: frozenset[str] = frozenset(
     {"YEAR", *DIMENSIONS, "PLATFORM_SPEND_USD", "PLATFORM_CLICKS", "GROSS_ORDERS", "GROSS_REVENUE"}
 )

@@ -1,22 +1,24 @@
 """Raw sources: candidate tables, header discovery on headerless text files, column subsets.
 
 The spreadsheet decoder of the reference is replaced by Spark readers; what
-remains is its logic for finding the table inside the file: the first row of
-the first 120 that looks like a header, data below it, blank rows dropped.
+remains is its logic for finding the table inside the file: the first row
+that looks like a header, data below it, blank rows dropped.
 Only the single header row reaches the driver (column names are metadata).
 """
 
 from __future__ import annotations
 
+import csv
+import re
 from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from roaslens.schema import (
-    DIMENSIONS, ENGINE_COLUMNS, HEADER_SCAN_MAX_ROWS, RAW_METRIC_MAP, REQUIRED_LONG_UPPER, REQUIRED_WIDE_UPPER,
+    DIMENSIONS, ENGINE_COLUMNS, RAW_METRIC_MAP, REQUIRED_LONG_UPPER, REQUIRED_WIDE_UPPER,
 )
+from roaslens.session import cut
 from roaslens.sources.ingest import looks_like_supported, normalize_headers, standardize_known_columns
 
 _METRICS = list(RAW_METRIC_MAP)
@@ -43,40 +45,63 @@ def select_known_columns(df: DataFrame) -> DataFrame:
     return df.select(*ENGINE_COLUMNS) if have >= set(ENGINE_COLUMNS) else df
 
 
-def _qualifies(cols: list[str]) -> F.Column:
-    vals = F.array(*[F.upper(F.trim(F.col(c))) for c in cols])
-    long_ok = F.forall(F.array(*[F.lit(v) for v in sorted(REQUIRED_LONG_UPPER)]), lambda r: F.array_contains(vals, r))
-    wide_ok = F.forall(F.array(*[F.lit(v) for v in sorted(REQUIRED_WIDE_UPPER)]), lambda r: F.array_contains(vals, r))
-    return long_ok | wide_ok
+def _header_cells(line: F.Column, sep: str) -> F.Column:
+    return F.transform(F.split(line, re.escape(sep), -1), lambda c: F.upper(F.trim(F.replace(c, F.lit('"'), F.lit("")))))
 
 
-def read_with_header_discovery(spark: SparkSession, path: str, fmt: str = "csv", sep: str = ",",
-                               max_scan: int = HEADER_SCAN_MAX_ROWS) -> DataFrame:
-    """S3: headerless read; header = first qualifying row among the first ``max_scan`` rows.
+def _qualifies(cells: F.Column) -> F.Column:
+    def has(names) -> F.Column:
+        return F.size(F.array_except(F.array(*[F.lit(v) for v in sorted(names)]), cells)) == 0
 
-    Falls back to the first row when none qualifies.  Rows after the header
-    are data; all-null rows are dropped; short rows are null-padded by the CSV
-    reader.  The line order is the file order (a single file; the row id is
-    increasing within and across its splits).
+    return has(REQUIRED_LONG_UPPER) | has(REQUIRED_WIDE_UPPER)
+
+
+def _width(line: F.Column, sep: str) -> F.Column:
+    """Fields of a line; a separator inside a quoted field is none."""
+    s = re.escape(sep)
+    bare = F.regexp_replace(line, rf'(^|{s})\s*"(?:[^"\\]|\\.|"")*"', "$1")
+    return F.size(F.split(bare, s, -1))
+
+
+def read_with_header_discovery(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+    """S3: headerless read of a file or folder; in each file, the first row anywhere that looks like a
+    header ends what is no data.
+
+    The columns are those of the first file (by path) with a header; a file with another header raises
+    ``ValueError``, a file without one is all data.  If no file has one, the first row is the header.
+    All-null rows are dropped, short rows null-padded.
+
+    Two passes: one finds header rows and the widest line, one reads the data.  A row's place is its
+    file, the start of its split and its number, so splits may be read in any order.  The driver gets
+    one header; the places, a row a file, are written and joined.
     """
-    # the CSV reader sizes rows by the first line (often a one-cell title): give it an
-    # explicit all-text schema as wide as the widest line, then drop unused trailing columns
-    width = spark.read.text(path).agg(F.max(F.size(F.split("value", sep)))).first()[0] or 1
-    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(int(width))])
-    lines = spark.read.format(fmt).schema(schema).option("header", False).option("sep", sep).load(path)
-    last = lines.agg(F.greatest(*[F.max(F.when(F.col(c).isNotNull(), F.lit(i))) for i, c in enumerate(lines.columns)])).first()[0]
-    cols = lines.columns[: (last if last is not None else 0) + 1]
-    lines = lines.select(*cols).withColumn("__id", F.monotonically_increasing_id())
-    first = lines.orderBy("__id").limit(max_scan)
-    hit = first.filter(_qualifies(cols)).orderBy("__id").limit(1).collect()
-    if not hit:
-        hit = first.limit(1).collect()
-    if not hit:
-        return spark.createDataFrame([], ", ".join(f"`{c}` string" for c in normalize_headers([])) or "c string")
-    header_row, header_id = hit[0], hit[0]["__id"]
-    names = normalize_headers([header_row[c] for c in cols])
-    data = lines.filter(F.col("__id") > header_id).drop("__id").dropna(how="all")
-    return standardize_known_columns(data.toDF(*names))
+    lines = spark.read.text(path).select(
+        F.regexp_replace("value", "^\ufeff", "").alias("__line"), F.col("_metadata.file_path").alias("__file"),
+        F.col("_metadata.file_block_start").alias("__block"), F.monotonically_increasing_id().alias("__id"),
+    )
+    seen = Observation()
+    observed = lines.observe(seen, F.max(_width(F.col("__line"), sep)).alias("width"))
+    hits = cut(observed.withColumn("__cells", _header_cells(F.col("__line"), sep)).filter(_qualifies(F.col("__cells"))))
+    width = seen.get.get("width")
+    if width is None:
+        return spark.createDataFrame([], "c string")
+    at = F.struct("__block", "__id")
+    first = hits.groupBy("__file").agg(F.min(at).alias("__head"), F.min_by("__cells", at).alias("__cells"), F.min_by("__line", at).alias("__top"))
+    heads = cut(first)
+    if heads.select("__cells").distinct().limit(2).count() > 1:
+        raise ValueError(f"files of {path} have different headers")
+    top = heads.orderBy("__file").select("__top", "__file").limit(1).collect()
+    if top:
+        data = lines.join(heads.select("__file", "__head"), "__file", "left").filter(F.col("__head").isNull() | (at > F.col("__head")))
+    else:
+        top = lines.orderBy("__file", "__block", "__id").select("__line", "__file", "__block", "__id").limit(1).collect()
+        _, file, block, row = top[0]
+        data = lines.filter(~((F.col("__file") == file) & (F.col("__block") == block) & (F.col("__id") == row)))
+    header = next(csv.reader([top[0][0]], delimiter=sep), [])
+    names = normalize_headers([*header, *[None] * (width - len(header))])
+    schema = ", ".join(f"_c{i} string" for i in range(len(names)))
+    parsed = data.select(F.from_csv("__line", schema, {"sep": sep}).alias("__row")).select("__row.*")
+    return standardize_known_columns(parsed.dropna(how="all").toDF(*names))
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -98,3 +98,62 @@ def test_load_input_frame_uses_snapshot(spark):
         f.write("KR,Search,MX,P2,10,100,200,10,CONVERSION,2026,3,5\n")
     e3, m3 = load_input_frame(spark, path, cfg, f"{d}/snap")  # changed input: not the old frame
     assert m3["cache_hit"] is False and e3.count() == 2
+
+
+def _write(folder, name, *lines):
+    with open(os.path.join(folder, name), "w") as f:
+        f.write("".join(x + "\n" for x in lines))
+
+
+LONG = HEADER.rsplit(",,", 1)[0]
+
+
+def _row(product, year=2026):
+    return f"KR,Search,MX,{product},10,100,200,10,CONVERSION,{year},3,5"
+
+
+def test_header_far_down(spark):
+    d = tempfile.mkdtemp(prefix="roaslens-csv-", dir="/tmp")
+    _write(d, "in.csv", *[f"note {i}" for i in range(130)], LONG, _row("P1"), _row("P2"))
+    df = read_with_header_discovery(spark, os.path.join(d, "in.csv"))
+    assert df.columns[:4] == ["SUBSIDIARY", "CHANNEL", "DIVISION", "PRODUCT"] and sorted(r.PRODUCT for r in df.collect()) == ["P1", "P2"]
+
+
+def test_header_of_every_file(spark):
+    d = tempfile.mkdtemp(prefix="roaslens-csv-", dir="/tmp")
+    _write(d, "a.csv", "small title", LONG, *[_row(f"A{i}") for i in range(3)])
+    _write(d, "b.csv", "title, with a comma", "more", LONG, *[_row(f"B{i}") for i in range(500)])
+    _write(d, "c.csv", *[_row(f"C{i}") for i in range(2000)])  # larger, without a header: all data
+    got = [r.PRODUCT for r in read_with_header_discovery(spark, d).collect()]
+    assert len(got) == 2503 and len(set(got)) == 2503 and {x[0] for x in got} == set("ABC")
+
+
+def test_header_over_splits(spark):
+    d = tempfile.mkdtemp(prefix="roaslens-csv-", dir="/tmp")
+    _write(d, "in.csv", *[f"note {i}" for i in range(2000)], LONG, *[_row(f"P{i}") for i in range(2000)])
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        assert read_with_header_discovery(spark, d).count() == 2000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
+def test_quoted_separators_and_other_headers(spark):
+    import pytest
+    d = tempfile.mkdtemp(prefix="roaslens-csv-", dir="/tmp")
+    _write(d, "a.csv", LONG, _row('"P,1,2,3,4,5,6"'))
+    df = read_with_header_discovery(spark, d)
+    assert len(df.columns) == 12 and df.first().PRODUCT == "P,1,2,3,4,5,6"
+    _write(d, "b.csv", LONG + ",More", _row("P2") + ",x")
+    with pytest.raises(ValueError):
+        read_with_header_discovery(spark, d)
+
+
+def test_no_header_and_no_rows(spark):
+    d = tempfile.mkdtemp(prefix="roaslens-csv-", dir="/tmp")
+    _write(d, "a.csv", "x,y", "1,2", "", "3")
+    df = read_with_header_discovery(spark, d)
+    assert df.columns == ["x", "y"] and sorted(map(tuple, df.collect()), key=str) == [("1", "2"), ("3", None)]
+    _write(d, "a.csv")
+    assert read_with_header_discovery(spark, d).count() == 0
