@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from roaslens.llm import fingerprint, maxent, packing, pieces, quality, sharding, simhash, suffix, tokenfile, warc
 from roaslens.llm.common import read_table, text_or_empty
+from roaslens.llm.oracle import ORACLE  # noqa: F401  (of the queries below that SQL can express)
 
 BPE = "byte_bpe_50k.json"
 SEQUENCE, PACK_END = 2048, 0
@@ -97,4 +98,3 @@ def op10_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_packing, op3_warc, op4_suffix_dedup, op5_token_files, op6_simhash, op7_quality, op8_sharding, op9_pieces, op10_maxent)}
-ORACLE: dict[str, str] = {}

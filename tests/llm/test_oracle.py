@@ -1,0 +1,34 @@
+"""Queries with a SQL twin against DuckDB, on the small table and on one with nulls, ties and odd characters."""
+
+import duckdb
+import pytest
+
+from roaslens.llm.oracle import ORACLE
+from roaslens.llm.queries import QUERIES
+
+SMALL = "/root/testdata/sf0.001"
+ODD = [
+    (1, None), (2, ""), (3, " \n\t \x0b"), (4, "one two three four five six seven eight " * 9), (5, "X\n\nX\nX $$$ | <>  y"), (6, "𝄞  a b\r\n"),
+    (7, "Ünï, çödé. " * 200), (8, "Ünï, çödé. " * 200), (9, "a" * 1000 + "!?[]`{~}\n" * 40), (10, "\n".join(f"line {i % 7}" for i in range(300))),
+]
+
+
+@pytest.fixture(scope="module")
+def odd(spark, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("odd"))
+    spark.createDataFrame(ODD, "doc_id long, text string").repartition(3).write.parquet(f"{folder}/documents.parquet")
+    return folder
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+@pytest.mark.parametrize("table", ["small", "odd"])
+def test_matches_sql(spark, odd, name, table):
+    folder = SMALL if table == "small" else odd
+    path = f"{folder}/documents.parquet" if table == "small" else f"{folder}/documents.parquet/*.parquet"
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{path}'")
+    want = con.sql(ORACLE[name])
+    got = QUERIES[name](spark, folder)
+    assert sorted(got.columns) == sorted(want.columns)
+    at = [want.columns.index(c) for c in got.columns]
+    assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r[i] for i in at) for r in want.fetchall())
