@@ -20,7 +20,8 @@ equal size merge, so a batch meets a logarithmic number of levels and an entry i
 Equality is that of two independent 64-bit hashes (gram and context, or gram and window).
 
 A null text is empty; texts shorter than ``match`` bytes have no windows; rows equal in id and text are
-copies of each other like any two documents.  Empty tables give empty results, other columns stay.
+copies of each other like any two documents.  Empty tables give empty results, other columns stay,
+but for those named like a result (``n_removed``, ``kept``), which it replaces.
 """
 
 from __future__ import annotations
@@ -203,6 +204,7 @@ def remove_repeats(docs: DataFrame, match: int = 200, gram: int = 64, batches: i
 
     ``as_text``: leave the parts of a character that a cut has split out of ``kept``, so that it is UTF-8."""
     spans = find_repeats(docs, match, gram, batches, group, text_col).withColumnRenamed("k1", "_k1").withColumnRenamed("k2", "_k2")
+    docs = docs.drop("n_bytes", "n_removed", "n_spans", "kept", "kept_sha256")
     k1, k2 = row_key()
     joined = docs.withColumns({"_a": k1, "_b": k2})
     joined = joined.join(spans, (F.col("_a") == F.col("_k1")) & (F.col("_b") == F.col("_k2")), "left")

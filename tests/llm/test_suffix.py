@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from roaslens.llm import suffix
 
@@ -44,7 +45,7 @@ def corpus(seed, match):
 @pytest.mark.parametrize(("match", "gram", "batches", "group"), [(40, 16, 3, 4096), (50, 10, 1, 2), (64, 33, 5, 4)])
 def test_removes_what_brute_force_removes(spark, match, gram, batches, group):
     rows = corpus(match, match)
-    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, kept string").repartition(5).drop("kept")
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, kept string").withColumn("n_removed", F.lit("y")).repartition(5)
     got = suffix.remove_repeats(docs, match, gram, batches, group)
     assert Counter(tuple(r) for r in got.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()) == brute(rows, match)
 
@@ -57,6 +58,6 @@ def test_empty_table(spark):
 def test_levels_are_logarithmic(spark):
     index = suffix.SuffixIndex(spark)
     for b in range(5):
-        index.add(spark.range(b * 10, b * 10 + 12).select(__import__("pyspark.sql.functions", fromlist=["x"]).col("id").alias("gram")))
+        index.add(spark.range(b * 10, b * 10 + 12).select(F.col("id").alias("gram")))
     assert sorted(index.levels) == [1, 4]
     assert sorted(r.gram for r in index.matched().collect()) == [10, 11, 20, 21, 30, 31, 40, 41]
