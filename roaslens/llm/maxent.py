@@ -90,10 +90,8 @@ def code_of(hashes: np.ndarray) -> np.ndarray:
     return (_mix(hashes.astype(np.int64).view(np.uint64)) % _U(WAYS * WAYS)).astype(np.int64)
 
 
-def features(hashes: np.ndarray, ends: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of the weight table for every token: (n, 4) for the class and (n, 3), without the skip, for the subclass.
-
-    ``hashes`` are the tokens of whole documents, ``ends`` where each ends, ``first`` the classes."""
+def history(hashes: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The token before each one and the one before that; ``hashes`` are the tokens of whole documents, ``ends`` where each ends."""
     h = hashes.view(np.uint64)
     start = np.zeros(len(h), bool)
     start[0] = True
@@ -102,11 +100,19 @@ def features(hashes: np.ndarray, ends: np.ndarray, first: np.ndarray) -> tuple[n
     one[start] = _U(1)  # nothing before
     two = np.roll(one, 1)
     two[start] = _U(2)
-    keys = np.stack((np.full(len(h), 3, np.uint64), one, two * _U(0x9E3779B97F4A7C15) + _U(5), _mix(two) * _U(0x94D049BB133111EB) + one), axis=1)
-    for k in range(4):
-        keys[:, k] = _mix(keys[:, k] + _U(0xA24BAED4963EE407 * (k + 1) % 2**64))
-    inner = _mix(keys[:, [0, 1, 3]] + ((first.astype(np.uint64) + _U(1)) * _U(0xD6E8FEB86659FD93))[:, None])
-    return (keys % _U(ROWS)).astype(np.int64), (inner % _U(ROWS)).astype(np.int64)
+    return one, two
+
+
+def features(one: np.ndarray, two: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of the weight table for tokens with this history and these classes (``first``): (n, 4) for the
+    class and (n, 3), without the skip, for the subclass; a batch at a time, as they are wide."""
+    # column by column, each in one stretch of memory; ROWS is a power of two
+    keys = [np.full(len(one), 3, np.uint64), one, two * _U(0x9E3779B97F4A7C15) + _U(5), _mix(two) * _U(0x94D049BB133111EB) + one]
+    keys = [_mix(x + _U(0xA24BAED4963EE407 * (k + 1) % 2**64)) for k, x in enumerate(keys)]
+    own = (first.astype(np.uint64) + _U(1)) * _U(0xD6E8FEB86659FD93)
+    outer = np.stack([x & _U(ROWS - 1) for x in keys])
+    inner = np.stack([_mix(keys[k] + own) & _U(ROWS - 1) for k in (0, 1, 3)])
+    return outer.view(np.int64).T, inner.view(np.int64).T
 
 
 def _softmax(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -132,23 +138,24 @@ class Trainer:
         and a row's step shrinks with the root of how often it was seen."""
         error = _softmax(self.weights, rows)
         error[np.arange(len(target)), target] -= 1
-        lanes = np.ascontiguousarray(error.T)
-        columns = [np.ascontiguousarray(rows[:, k]) for k in range(rows.shape[1])]
-        self.seen += sum(np.bincount(c, minlength=ROWS) for c in columns).astype(np.float32)
+        lanes = np.ascontiguousarray(error.T, np.float64)
+        columns = rows.shape[1]
+        flat = np.ascontiguousarray(rows.T).ravel()
+        self.seen += np.bincount(flat, minlength=ROWS).astype(np.float32)
         gradient = np.empty((WAYS, ROWS), np.float32)
         for lane in range(WAYS):
-            gradient[lane] = sum(np.bincount(c, lanes[lane], ROWS) for c in columns[1:])
-            gradient[lane] += np.bincount(columns[0], lanes[lane], ROWS)
+            gradient[lane] = np.bincount(flat, np.tile(lanes[lane], columns), ROWS)
         gradient *= RATE / np.sqrt(np.maximum(self.seen, 1))
         self.weights -= gradient.T
 
     def learn(self, hashes: np.ndarray, ends: np.ndarray) -> None:
         code = code_of(hashes)
-        outer, inner = features(hashes, ends, code // WAYS)
+        one, two = history(hashes, ends)
         for at in range(0, len(code), BATCH):
             part = slice(at, at + BATCH)
-            self.update(outer[part], code[part] // WAYS)
-            self.update(inner[part], code[part] % WAYS)
+            outer, inner = features(one[part], two[part], code[part] // WAYS)
+            self.update(outer, code[part] // WAYS)
+            self.update(inner, code[part] % WAYS)
 
 
 def train(blocks: DataFrame, rounds: int = 1) -> np.ndarray:
@@ -250,13 +257,14 @@ def score(blocks: DataFrame, counts: DataFrame, total: int, distinct: int, sums:
                 last = 0
                 for upto in cuts.tolist():  # about a million tokens at once, whole documents
                     lo, hi = int(begins[last]), int(ends[upto - 1])
-                    outer, inner = features(hashes[lo:hi], ends[last:upto] - lo, codes[lo:hi] // WAYS)
+                    one, two = history(hashes[lo:hi], ends[last:upto] - lo)
                     last = upto
                     for at in range(0, hi - lo, BATCH):
                         part, own = slice(at, min(at + BATCH, hi - lo)), slice(lo + at, min(lo + at + BATCH, hi))
                         each = np.arange(own.stop - own.start)
-                        value[own] += np.log10(_softmax(table, outer[part])[each, codes[own] // WAYS].astype(np.float64) + 1e-30)
-                        value[own] += np.log10(_softmax(table, inner[part])[each, codes[own] % WAYS].astype(np.float64) + 1e-30)
+                        outer, inner = features(one[part], two[part], codes[own] // WAYS)
+                        value[own] += np.log10(_softmax(table, outer)[each, codes[own] // WAYS].astype(np.float64) + 1e-30)
+                        value[own] += np.log10(_softmax(table, inner)[each, codes[own] % WAYS].astype(np.float64) + 1e-30)
                 base = seen[tokens] - np.log10(total + distinct + 1.0)
                 yield pd.DataFrame({
                     "doc_id": pd.array([None if pd.isna(x) else int(x) for x in b.doc_ids], "Int64"), "held_out": np.asarray(b.held, bool), "n_tokens": ends - begins,

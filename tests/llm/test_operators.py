@@ -286,7 +286,7 @@ def test_model_is_a_distribution_and_learns():
     for _ in range(3):
         t.learn(chain, ends)
     code = maxent.code_of(chain)
-    outer, _ = maxent.features(chain, ends, code // maxent.WAYS)
+    outer, _ = maxent.features(*maxent.history(chain, ends), code // maxent.WAYS)
     p = maxent._softmax(t.weights, outer)
     assert np.allclose(p.sum(axis=1), 1, atol=1e-4)
     share = np.bincount(code // maxent.WAYS, minlength=maxent.WAYS) / len(code)
