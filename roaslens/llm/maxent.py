@@ -10,9 +10,9 @@ Work is in blocks: a scan turns documents into blocks of token numbers with the
 vocabulary; vocabularies are counted over the whole table by one shuffle on the token hash, and each
 block gets the counts of its own tokens back, so no task and not the driver holds the vocabulary.
 Training is distributed gradient descent with mixing: every partition of blocks makes a pass of
-minibatch updates (steps that shrink by row) from the same start, the tables are averaged by how often each saw
+minibatch updates (Adagrad by row) from the same start, the tables are averaged by how often each saw
 a row, in a tree of bounded groups, and the mean starts the next round.  The table's size is fixed by
-``ROWS`` and ``WAYS`` (so the driver and the broadcast hold 2 MB), what is gathered to fit it grows
+``ROWS`` and ``WAYS`` (so the driver and the broadcast hold 8 MB), what is gathered to fit it grows
 with the input.
 
 Tokens are words between ASCII white space, A-Z lowered, then one end a document.  Words are told
@@ -34,9 +34,9 @@ from pyspark.sql import functions as F
 from roaslens.llm.bpe import runs
 from roaslens.llm.common import cut, drop_cut, text_or_empty
 
-WAYS, ROWS = 16, 1 << 16
-BATCH, CHUNK = 65536, 512
-RATE = 0.2
+WAYS, ROWS = 32, 1 << 17
+BATCH, CHUNK = 16384, 512
+RATE = 0.1
 MIX_FAN_IN = 32
 BLOCK_CHARS = 1 << 24
 END = b"\n"  # no word holds white space
@@ -105,13 +105,13 @@ def history(hashes: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def features(one: np.ndarray, two: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Rows of the weight table for tokens with this history and these classes (``first``): (n, 4) for the
-    class and (n, 3), without the skip, for the subclass; a batch at a time, as they are wide."""
+    class and (n, 4) for the subclass; a batch at a time, as they are wide."""
     # column by column, each in one stretch of memory; ROWS is a power of two
     keys = [np.full(len(one), 3, np.uint64), one, two * _U(0x9E3779B97F4A7C15) + _U(5), _mix(two) * _U(0x94D049BB133111EB) + one]
     keys = [_mix(x + _U(0xA24BAED4963EE407 * (k + 1) % 2**64)) for k, x in enumerate(keys)]
     own = (first.astype(np.uint64) + _U(1)) * _U(0xD6E8FEB86659FD93)
     outer = np.stack([x & _U(ROWS - 1) for x in keys])
-    inner = np.stack([_mix(keys[k] + own) & _U(ROWS - 1) for k in (0, 1, 3)])
+    inner = np.stack([_mix(x + own) & _U(ROWS - 1) for x in keys])
     return outer.view(np.int64).T, inner.view(np.int64).T
 
 
@@ -132,21 +132,27 @@ class Trainer:
     def __init__(self, start: np.ndarray | None):
         self.weights = np.zeros((ROWS, WAYS), np.float32) if start is None else start.astype(np.float32)
         self.seen = np.zeros(ROWS, np.float32)
+        self.squares = np.full(ROWS, 1e-6, np.float32)
 
     def update(self, rows: np.ndarray, target: np.ndarray) -> None:
-        """One minibatch gradient step: the gradient is summed by row, one lane of the softmax at a time,
-        and a row's step shrinks with the root of how often it was seen."""
+        """One minibatch gradient step (Adagrad by row): the gradient is summed by row, one lane of the
+        softmax at a time and only over the rows the batch has, before it is applied."""
         error = _softmax(self.weights, rows)
         error[np.arange(len(target)), target] -= 1
         lanes = np.ascontiguousarray(error.T, np.float64)
         columns = rows.shape[1]
         flat = np.ascontiguousarray(rows.T).ravel()
-        self.seen += np.bincount(flat, minlength=ROWS).astype(np.float32)
-        gradient = np.empty((WAYS, ROWS), np.float32)
+        hits = np.bincount(flat, minlength=ROWS)
+        row = np.flatnonzero(hits)
+        place = np.empty(ROWS, np.int64)
+        place[row] = np.arange(len(row))
+        at = place[flat]
+        total = np.empty((len(row), WAYS), np.float32)
         for lane in range(WAYS):
-            gradient[lane] = np.bincount(flat, np.tile(lanes[lane], columns), ROWS)
-        gradient *= RATE / np.sqrt(np.maximum(self.seen, 1))
-        self.weights -= gradient.T
+            total[:, lane] = np.bincount(at, np.tile(lanes[lane], columns), len(row))
+        self.seen[row] += hits[row]
+        self.squares[row] += (total * total).mean(axis=1)
+        self.weights[row] -= (RATE / np.sqrt(self.squares[row]))[:, None] * total
 
     def learn(self, hashes: np.ndarray, ends: np.ndarray) -> None:
         code = code_of(hashes)

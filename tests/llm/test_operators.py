@@ -293,6 +293,31 @@ def test_model_is_a_distribution_and_learns():
     assert np.log(p[np.arange(len(code)), code // maxent.WAYS]).mean() > np.log(share[code // maxent.WAYS]).mean() + 0.3
 
 
+def test_model_is_whole_and_its_update_is_adagrad():
+    assert (maxent.WAYS, maxent.ROWS, maxent.BATCH, maxent.RATE) == (32, 1 << 17, 16384, 0.1)
+    rng = np.random.default_rng(4)
+    one, two, first = rng.integers(1, 50, 3000).astype(np.uint64), rng.integers(1, 50, 3000).astype(np.uint64), rng.integers(0, maxent.WAYS, 3000)
+    outer, inner = maxent.features(one, two, first)
+    assert outer.shape == inner.shape == (3000, 4)
+    skips = {}
+    for a, b, r in zip(two.tolist(), first.tolist(), inner[:, 2].tolist(), strict=True):
+        assert skips.setdefault((a, b), r) == r  # the skip feature depends on the token two back and the class alone
+    weights, squares, seen = np.zeros((maxent.ROWS, maxent.WAYS)), np.full(maxent.ROWS, 1e-6), np.zeros(maxent.ROWS)
+    t = maxent.Trainer(None)
+    for rows in (outer, inner, outer):
+        target = rng.integers(0, maxent.WAYS, len(rows))
+        p = np.exp(weights[rows].sum(axis=1))
+        p /= p.sum(axis=1, keepdims=True)
+        p[np.arange(len(rows)), target] -= 1
+        total = np.zeros_like(weights)
+        np.add.at(total, rows.ravel(), np.repeat(p, 4, axis=0))
+        np.add.at(seen, rows.ravel(), 1)
+        squares += (total * total).mean(axis=1)
+        weights -= (maxent.RATE / np.sqrt(squares))[:, None] * total
+        t.update(rows, target)
+    assert np.allclose(t.weights, weights, atol=1e-4) and (t.seen == seen).all()
+
+
 def test_pipeline_on_small_table(spark):
     import corpus_pipeline as c
 
