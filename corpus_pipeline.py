@@ -23,7 +23,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each near-duplicate component."""
+    """The document with the smallest id (null ids last) of each near-duplicate component."""
     return simhash.keep_one(docs, SHINGLE, MAX_BITS).select(*COLUMNS)
 
 

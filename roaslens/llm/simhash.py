@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roaslens.llm.common import cut, drop_cut, text_or_empty
+from roaslens.llm.common import cut, drop_cut, row_key, text_or_empty
 
 
 def fingerprint(text: str | None, shingle: int) -> int:
@@ -110,12 +110,17 @@ def components(edges: DataFrame) -> DataFrame:
     return held.select(F.col("b").alias("node"), F.col("a").alias("root")).union(held.select(F.col("a"), F.col("a"))).distinct()
 
 
+def rooted(classes: DataFrame, bits: int) -> DataFrame:
+    """``classes`` (one row a fingerprint, column ``fp``) with the ``root`` of each one's component."""
+    roots = cut(components(links(classes, bits)))
+    return classes.join(roots, classes["fp"] == roots["node"], "left").select(*[classes[c] for c in classes.columns], F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int, bits: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, fp, component_id) for every row of ``docs``; component_id is the smallest id reachable."""
     prints = cut(with_fingerprint(docs.select(id_col, text_col), shingle, text_col).select(id_col, "fp"))
     classes = cut(prints.groupBy("fp").agg(F.min(id_col).alias("least_id")))
-    roots = cut(components(links(classes, bits)))
-    named = classes.join(roots, classes["fp"] == roots["node"], "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
+    named = rooted(classes, bits)
     least = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
     return prints.join(named.join(least, "root").select("fp", "component_id"), "fp")
 
@@ -125,9 +130,13 @@ def hex16(col: str) -> Column:
 
 
 def keep_one(docs: DataFrame, shingle: int, bits: int) -> DataFrame:
-    """The rows of ``docs`` whose id is the least of its component; of equal ids the first by text hash."""
-    found = near_duplicates(docs, shingle, bits).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    kept = docs.join(found, docs["doc_id"].eqNullSafe(found["doc_id"]), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
-
-
+    """One row of ``docs`` for each component: that of the least id, null ids last; of equal ids the first by
+    text hash, of equal texts the first by a hash of the whole row.  Ids may be null or repeated."""
+    _, text_hash = row_key()
+    keyed = docs.withColumns({"_text": text_hash, "_row": F.xxhash64(*docs.columns)})
+    key = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("id"), F.col("_text").alias("of_text"), F.col("_row").alias("of_row"))
+    prints = with_fingerprint(keyed.select("doc_id", "text", "_text", "_row"), shingle).select("fp", key.alias("key"))
+    classes = cut(prints.groupBy("fp").agg(F.min("key").alias("key")))
+    found = rooted(classes, bits).groupBy("root").agg(F.min("key").alias("key")).select("key.*")
+    same = keyed["doc_id"].eqNullSafe(found["id"]) & (keyed["_text"] == found["of_text"]) & (keyed["_row"] == found["of_row"])
+    return keyed.join(found, same, "left_semi").dropDuplicates(["doc_id", "_text", "_row"]).select(*docs.columns)

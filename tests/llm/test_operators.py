@@ -123,6 +123,30 @@ def test_simhash_components(docs, empty):
     assert simhash.near_duplicates(empty, 3, 2).count() == 0
 
 
+def test_keep_one_row_a_component(spark):
+    rng = random.Random(8)
+    text = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(40))
+    a, b, c, d, e, f, g = (text() for _ in range(7))
+    rows = [(3, a), (5, a), (5, b)]  # 5's first text goes with 3, its other one stands alone
+    rows += [(None, c), (None, d), (None, d), (None, a), (None, None), (None, "")]  # no ids, texts that differ
+    rows += [(7, e), (7, f), (7, f), (9, f), (None, f), (1, g)]  # one id, unrelated texts
+    rows = [(i, t, f"s{k}") for k, (i, t) in enumerate(rows)]
+    prints = [simhash.fingerprint(t, 3) for _, t, _ in rows]
+    for bits in (1, 2):
+        groups = []  # of row numbers
+        for k, p in enumerate(prints):
+            near = [x for x in groups if any((p ^ prints[j]).bit_count() <= bits for j in x)]
+            groups = [x for x in groups if x not in near] + [[k, *(j for x in near for j in x)]]
+        want = Counter(min(((rows[k][0] is None, rows[k][0] or 0, rows[k][1] or "") for k in x)) for x in groups)
+        assert len(want) == len(groups) == 8
+        docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+        for n in (1, 5):
+            got = simhash.keep_one(docs.repartition(n), 3, bits).collect()
+            assert Counter((r.doc_id is None, r.doc_id or 0, r.text or "") for r in got) == want
+            assert all(tuple(r) in rows for r in got)
+    assert simhash.keep_one(docs.limit(0), 3, 2).count() == 0
+
+
 def test_long_chain_component(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(1000, i) for i in range(500, 600)], "a long, b long")
     roots = {r.node: r.root for r in simhash.components(edges).collect()}
