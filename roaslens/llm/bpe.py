@@ -4,6 +4,8 @@ The tokenizer's pattern never joins a word to the space after it, so a text is c
 single space and each part is encoded on its own: the ids are those of the whole text, and a part
 seen before comes from a cache.  Line ends between two words are tokens of their own and cut likewise.  Texts where a space has white space on both sides, or one at the end
 after white space, are the only ones where such a cut could move a border; they are encoded whole.
+So are texts that hold the string of an added token (``<|endoftext|>``), which the library finds before it
+looks for words and gives that token's id.
 """
 
 from __future__ import annotations
@@ -24,7 +26,9 @@ _ENCODERS: dict[str, Encoder] = {}
 class Encoder:
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.added = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
+        if any(_SPACE.search(x) for x in self.added):
+            raise ValueError("an added token holds white space; texts can't be encoded in parts")
         self.line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
         self.cache: dict[str, bytes] = {}  # parts after a space, without it
         self.first: dict[str, bytes] = {}  # parts at the start of a text
@@ -53,7 +57,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        split = [None if _UNSAFE.search(t) else [x.split(" ") for x in ([t] if _TOUCH.search(t) else t.split("\n"))] for t in texts]
+        split = [None if _UNSAFE.search(t) or any(x in t for x in self.added) else [x.split(" ") for x in ([t] if _TOUCH.search(t) else t.split("\n"))] for t in texts]
         lines = [x for s in split if s for x in s]
         words, starts = {w for x in lines for w in x[1:]}, {x[0] for x in lines}
         for cache, new, size in ((self.cache, words, _CACHED), (self.first, starts, _CACHED // 4)):

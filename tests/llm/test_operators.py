@@ -161,6 +161,22 @@ def whole_ids(end):
     return [t.encode(x or "", add_special_tokens=False).ids + [end] for _, x in corpus()]
 
 
+def test_added_tokens_in_texts(spark):
+    from tokenizers import Tokenizer
+
+    mark = "<|endoftext|>"
+    texts = ["one two", mark, f"one {mark} two", f"a{mark}b\n{mark}\n\n c", f" {mark} ", mark * 3, "<|endoftext|", f"one\n{mark}x {mark[:-1]} two", None, "one two three"]
+    plain = Tokenizer.from_file(BPE)
+    ids = [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert [x.count(50256) for x in ids] == [(t or "").count(mark) for t in texts]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = packing.pieces(table, BPE, 0, 256).collect()
+    assert {r.doc_id: bytes(r.ids) for r in got} == {i: np.array([*x, 0], "<u4").tobytes() for i, x in enumerate(ids)}
+    starts = np.cumsum([0, *(len(x) + 1 for x in ids)]).tolist()
+    read = tokenfile.read_documents(tokenfile.write(table, BPE, 50257, 2)).collect()
+    assert {(r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in read} == {(i, starts[i], len(x) + 1, zlib.crc32(np.array([*x, 2], "<u4").tobytes())) for i, x in enumerate(ids)}
+
+
 def best_fit_decreasing(lengths, capacity):
     gaps = []
     for n in sorted(lengths, reverse=True):
