@@ -52,3 +52,13 @@ def ordered_prefix(df: DataFrame, order: Sequence[str], values: dict[str, str])
     for o, c in cols.items():
         out = out.withColumn(o, (F.col(f"_b_{o}") + F.coalesce(F.sum(c).over(here), F.lit(0))).cast("long"))
     return out.drop("_part", *[f"_b_{o}" for o in cols])
+
+
+def hot_keys(df: DataFrame, key: str, least: int = 10_000, share: int = 1000) -> list:
+    """The values of ``key`` (null too) that more than ``least`` rows and more than one row in ``share`` have: at most
+    ``share`` of them, found by one partial count."""
+    counts = cut(df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")))
+    total = counts.agg(F.sum("_rows")).first()[0] or 0
+    hot = [r[0] for r in counts.filter(F.col("_rows") > max(least, total // share)).select(key).collect()]
+    drop_cut(counts)
+    return hot

@@ -1,4 +1,4 @@
-"""DuckDB SQL of the queries that SQL can express: document fingerprints and the quality ledger."""
+"""DuckDB SQL of the queries that SQL can express: document fingerprints, the quality ledger and chat formatting."""
 
 from __future__ import annotations
 
@@ -79,4 +79,23 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_li
 FROM f
 """
 
-ORACLE = {"op1_fingerprints": FINGERPRINTS, "op7_quality": QUALITY}
+
+def _escaped(col: str) -> str:
+    slashes = rf"replace({col}, '\', '\\')"
+    return rf"replace(replace({slashes}, '### ', '\### '), '</turn>', '\</turn>')"
+
+
+CHAT = rf"""
+WITH c AS (SELECT conv_id, turn, role AS r, text AS t FROM conversations
+           UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+     f AS (SELECT conv_id, turn, r, t, coalesce(r, '') AS role, coalesce(t, '') AS text FROM c),
+     g AS (SELECT conv_id, count(*) AS n_turns,
+                  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, r NULLS FIRST, t NULLS FIRST)) AS turns_sha256,
+                  coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn NULLS FIRST, r NULLS FIRST, t NULLS FIRST), '') AS loss,
+                  sum(length('### ') + length(replace({_escaped("role")}, ':', '\:')) + length(': ') + length({_escaped("text")}) + length('</turn>') + 1) AS formatted
+           FROM f GROUP BY conv_id)
+SELECT conv_id, n_turns, turns_sha256, length(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256, formatted::BIGINT AS formatted_chars
+FROM g
+"""
+
+ORACLE = {"op1_fingerprints": FINGERPRINTS, "op7_quality": QUALITY, "op12_chat": CHAT}
