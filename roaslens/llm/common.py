@@ -62,3 +62,50 @@ def hot_keys(df: DataFrame, key: str, least: int = 10_000, share: int = 1000) ->
     hot = [r[0] for r in counts.filter(F.col("_rows") > max(least, total // share)).select(key).collect()]
     drop_cut(counts)
     return hot
+
+
+def dealt(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """``df`` in range partitions of ``order``, written with their numbers in ``_part``."""
+    return cut(df.repartitionByRange(shuffle_parts(df.sparkSession), *order).withColumn("_part", F.spark_partition_id()))
+
+
+def spanning(ranged: DataFrame, group: str) -> list:
+    """The values of ``group``, the first column of the order in which ``ranged`` was dealt, that lie in more than one
+    range partition: at most two for each partition."""
+    ends = ranged.groupBy("_part").agg(F.min(group).alias("a"), F.max(group).alias("z"))
+    ends = ends.select("_part", F.explode(F.array_distinct(F.array("a", "z"))).alias(group))
+    return [r[0] for r in ends.groupBy(group).count().filter("count > 1").collect()]
+
+
+def running(ranged: DataFrame, group: str, order: Sequence[str], values: dict[str, tuple[str, Column]], spans: list) -> DataFrame:
+    """``ranged`` (of ``dealt``) with, for each ``out: (kind, value)``, the sum or xor of ``value`` over the rows of the
+    group up to this one, and over all of them in ``out_total``.  A group of any size stays split over its range
+    partitions: what comes before a partition is at most two rows a partition, and those are broadcast."""
+    fold = {"sum": F.sum, "xor": F.bit_xor}
+    add = {"sum": lambda a, b: F.coalesce(a, F.lit(0)) + b, "xor": lambda a, b: F.coalesce(a, F.lit(0).cast("long")).bitwiseXOR(b)}
+    whole = Window.partitionBy("_part", group)
+    here = whole.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = ranged
+    for name, (kind, value) in values.items():
+        out = out.withColumns({name: fold[kind](value).over(here), f"{name}_total": fold[kind](value).over(whole)})
+    if not spans:
+        return out
+    parts = ranged.filter(F.col(group).isin(spans)).groupBy(group, "_part").agg(*[fold[k](v).alias(n) for n, (k, v) in values.items()])
+    all_parts = Window.partitionBy(group)
+    before = all_parts.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carry = parts.select(group, "_part", *[fold[k](n).over(before).alias(f"_b_{n}") for n, (k, _) in values.items()], *[fold[k](n).over(all_parts).alias(f"_t_{n}") for n, (k, _) in values.items()])
+    out = out.join(F.broadcast(carry), [group, "_part"], "left")
+    for name, (kind, _) in values.items():
+        out = out.withColumns({name: add[kind](F.col(f"_b_{name}"), F.col(name)), f"{name}_total": F.coalesce(f"_t_{name}", f"{name}_total")})
+    return out.drop(*[f"_{x}_{n}" for x in "bt" for n in values])
+
+
+def join_split(left: DataFrame, right: DataFrame, on: Sequence[str], weight: str, total: int, how: str = "inner", keys: int = 4096) -> DataFrame:
+    """``left`` joined to ``right``, which holds a key once and in ``weight`` no less than its rows in ``left``; the weights
+    sum to ``total``.  Keys with more than a ``keys``-th of it are fewer than ``keys`` and broadcast, so no
+    task of the shuffle join gets more than that share for one key."""
+    heavy = right.filter(F.col(weight) * keys > total)
+    light = right.filter(F.col(weight) * keys <= total)
+    hot = left.join(F.broadcast(heavy), list(on))
+    cold = left.join(F.broadcast(heavy.select(*on)), list(on), "left_anti").join(light, list(on), how)
+    return hot.unionByName(cold)

@@ -1,4 +1,5 @@
-"""DuckDB SQL of the queries that SQL can express: document fingerprints, the quality ledger and chat formatting."""
+"""DuckDB SQL of the queries that SQL can express: document fingerprints, the quality ledger, chat
+formatting and the trie of conversation prefixes."""
 
 from __future__ import annotations
 
@@ -98,4 +99,27 @@ SELECT conv_id, n_turns, turns_sha256, length(loss)::BIGINT AS loss_chars, sha25
 FROM g
 """
 
-ORACLE = {"op1_fingerprints": FINGERPRINTS, "op7_quality": QUALITY, "op12_chat": CHAT}
+#: CRC-32 (reflected, polynomial EDB88320) of a text of ASCII characters.
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({0}, ''), lambda x: ascii(x)::BIGINT)),
+            lambda s, x: list_reduce([xor(s, x), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, z: xor(a >> 1, CASE WHEN a & 1 = 1 THEN 3988292384 ELSE 0 END))))"""
+
+TRIE = f"""
+WITH s AS (SELECT conv_id AS c, turn, coalesce(text, '') AS text, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS said
+           FROM conversations WHERE conv_id IS NOT NULL),
+     t AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, said) AS pos FROM s),
+     k AS (SELECT c, count(*) AS n, ({_CRC.format("c::VARCHAR")} % 6)::BIGINT AS h, c - c % 100 AS b FROM t GROUP BY c),
+     r AS (SELECT k.c, t.pos AS d, t.text, t.said FROM k JOIN t ON t.c = k.b WHERE t.pos <= k.h
+           UNION ALL SELECT k.c, least(k.h, coalesce(base.n, 0)) + t.pos - k.h, t.text, t.said FROM k JOIN t ON t.c = k.c LEFT JOIN k AS base ON base.c = k.b WHERE t.pos > k.h),
+     p AS (SELECT c, d, length(text) AS chars, string_agg(said, '') OVER (PARTITION BY c ORDER BY d) AS key FROM r UNION ALL SELECT c, 0, 0, '' FROM k),
+     e AS (SELECT c, max(d) AS whole FROM p GROUP BY c),
+     n AS (SELECT p.d, p.key, min(p.c) AS c, count(*) AS n_convs, min(p.chars) AS chars, left(p.key, 64 * (p.d - 1)) AS above, max(e.whole) = p.d AS childless,
+                  sha256(coalesce(string_agg(CASE WHEN e.whole = p.d THEN p.c::VARCHAR END, ',' ORDER BY p.c), '')) AS ends_sha256
+           FROM p JOIN e ON e.c = p.c GROUP BY p.d, p.key),
+     u AS (SELECT p.d, p.key, sum((x.n_convs - 1) * x.chars)::BIGINT AS saved_tokens, sum(x.childless::INT)::BIGINT AS n_leaves
+           FROM n AS x JOIN p ON p.c = x.c AND p.d <= x.d GROUP BY p.d, p.key),
+     g AS (SELECT d - 1 AS d, above AS key, count(*) AS n_children FROM n WHERE d > 0 GROUP BY ALL)
+SELECT n.c AS conv_id, n.d::BIGINT AS depth, y.c AS parent_conv_id, n.n_convs, coalesce(g.n_children, 0) AS n_children, u.n_leaves, u.saved_tokens, n.ends_sha256
+FROM n JOIN u ON u.d = n.d AND u.key = n.key LEFT JOIN g ON g.d = n.d AND g.key = n.key LEFT JOIN n AS y ON n.d > 0 AND y.d = n.d - 1 AND y.key = n.above
+"""
+
+ORACLE = {"op1_fingerprints": FINGERPRINTS, "op7_quality": QUALITY, "op12_chat": CHAT, "op13_prefix_trie": TRIE}

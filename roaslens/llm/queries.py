@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roaslens.llm import chat, fingerprint, maxent, packing, pieces, quality, sharding, simhash, suffix, tokenfile, warc
+from roaslens.llm import chat, fingerprint, maxent, packing, pieces, quality, sharding, simhash, suffix, tokenfile, trie, warc
 from roaslens.llm.common import read_table, text_or_empty
 from roaslens.llm.oracle import ORACLE  # noqa: F401  (of the queries below that SQL can express)
 
@@ -107,4 +107,8 @@ def op12_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.round_trip(rows.unionByName(forged))
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_packing, op3_warc, op4_suffix_dedup, op5_token_files, op6_simhash, op7_quality, op8_sharding, op9_pieces, op10_maxent, op12_chat)}
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.trie(read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+
+
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_packing, op3_warc, op4_suffix_dedup, op5_token_files, op6_simhash, op7_quality, op8_sharding, op9_pieces, op10_maxent, op12_chat, op13_prefix_trie)}
