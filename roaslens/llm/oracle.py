@@ -1,5 +1,5 @@
-"""DuckDB SQL of the queries that SQL can express: document fingerprints, the quality ledger, chat
-formatting and the trie of conversation prefixes."""
+"""DuckDB SQL of the queries that SQL can express: document fingerprints, the quality ledger, hard
+negatives, chat formatting and the trie of conversation prefixes."""
 
 from __future__ import annotations
 
@@ -81,6 +81,18 @@ FROM f
 """
 
 
+NEGATIVES = """
+WITH g AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+           FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+     v AS (SELECT row_number() OVER () AS r, vec_id, label, list_resize(e, (SELECT greatest(2, max(len(e))) FROM g), 0) AS e FROM g),
+     s AS (SELECT a.r, a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id, list_dot_product(a.e, b.e)::BIGINT AS score FROM v AS a JOIN v AS b ON a.r <> b.r WHERE a.vec_id % 50 = 0),
+     p AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST) AS k FROM s WHERE same QUALIFY k <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id, (row_number() OVER (PARTITION BY p.r, p.k ORDER BY s.score DESC, s.vec_id NULLS LAST))::INT AS rank, s.vec_id AS negative_id,
+       p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON s.r = p.r AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score
+QUALIFY rank <= 3
+"""
+
 def _escaped(col: str) -> str:
     slashes = rf"replace({col}, '\', '\\')"
     return rf"replace(replace({slashes}, '### ', '\### '), '</turn>', '\</turn>')"
@@ -122,4 +134,4 @@ SELECT n.c AS conv_id, n.d::BIGINT AS depth, y.c AS parent_conv_id, n.n_convs, c
 FROM n JOIN u ON u.d = n.d AND u.key = n.key LEFT JOIN g ON g.d = n.d AND g.key = n.key LEFT JOIN n AS y ON n.d > 0 AND y.d = n.d - 1 AND y.key = n.above
 """
 
-ORACLE = {"op1_fingerprints": FINGERPRINTS, "op7_quality": QUALITY, "op12_chat": CHAT, "op13_prefix_trie": TRIE}
+ORACLE = {"op1_fingerprints": FINGERPRINTS, "op7_quality": QUALITY, "op11_hard_negatives": NEGATIVES, "op12_chat": CHAT, "op13_prefix_trie": TRIE}

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roaslens.llm import chat, fingerprint, maxent, packing, pieces, quality, sharding, simhash, suffix, tokenfile, trie, warc
+from roaslens.llm import chat, fingerprint, maxent, negatives, packing, pieces, quality, sharding, simhash, suffix, tokenfile, trie, warc
 from roaslens.llm.common import read_table, text_or_empty
 from roaslens.llm.oracle import ORACLE  # noqa: F401  (of the queries below that SQL can express)
 
@@ -98,6 +98,10 @@ def op10_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxent.fit_and_score(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+
+
 def op12_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     conv_id, text = FORGED
@@ -111,4 +115,4 @@ def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.trie(read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_packing, op3_warc, op4_suffix_dedup, op5_token_files, op6_simhash, op7_quality, op8_sharding, op9_pieces, op10_maxent, op12_chat, op13_prefix_trie)}
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_packing, op3_warc, op4_suffix_dedup, op5_token_files, op6_simhash, op7_quality, op8_sharding, op9_pieces, op10_maxent, op11_hard_negatives, op12_chat, op13_prefix_trie)}
