@@ -11,12 +11,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
+from typing import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roaslens.config import EngineConfig
-from roaslens.functions.exprs import pct_change, safe_ratio
+from roaslens.functions.exprs import dsum, pct_change, safe_ratio
 from roaslens.operators.impact import (
     IMPACT_COLUMNS, PKEY, all_child_impacts, child_impacts, node_struct, parent_events, select_children,
     selected_children,
@@ -269,18 +270,24 @@ def run_impact(engine: DataFrame, cfg: EngineConfig, focus: dict[str, str] | Non
     )
 
 
-def dedupe_campaigns(rows: DataFrame) -> DataFrame:
+def dedupe_campaigns(rows: DataFrame, order: Sequence[str] = ()) -> DataFrame:
     """Merge rows with the same 4-dim key (union helper for several drill runs).
 
-    Sums and impacts add up, the residual flag is OR-ed, traces are kept as a
-    list (one per merged row; a key is reached once per run, so the list is
-    bounded by the number of runs), other columns keep the first value.
+    ``order`` names the columns that put the rows of a key in order (run, then rank): sums and impacts add up, the
+    residual flag is OR-ed, traces are kept as a list in that order (a key is reached once per run, so
+    the list is bounded by the number of runs), other columns are those of the first row.  All columns break
+    ties, so the result does not depend on partitioning; the list of traces is then sorted too.
     """
     add = [*SUM_COLUMNS, "Impact_raw", "Impact_adj", "Residual_parent"]
     other = [c for c in rows.columns if c not in DIMENSIONS + add + ["Residual_applied_flag", "drill_trace"]]
-    aggs = [F.sum(F.coalesce(F.col(c), F.lit(0.0))).alias(c) for c in add]
+    # nulls first, as in an ascending sort: a struct compares its fields in turn
+    place = F.struct(*[F.col(c) for c in [*order, *[c for c in rows.columns if c not in order]]])
+    aggs = [dsum(F.coalesce(F.col(c), F.lit(0.0))).alias(c) for c in add]
     aggs.append(F.bool_or(F.coalesce(F.col("Residual_applied_flag"), F.lit(False))).alias("Residual_applied_flag"))
     if "drill_trace" in rows.columns:
-        aggs.append(F.collect_list("drill_trace").alias("drill_traces"))
-    aggs += [F.first(c).alias(c) for c in other]
-    return rows.groupBy(*DIMENSIONS).agg(*aggs)
+        traced = F.array_sort(F.collect_list(F.struct(place.alias("place"), F.col("drill_trace").alias("trace"))))
+        aggs.append(F.transform(traced, lambda t: t.getField("trace")).alias("drill_traces"))
+    if other:
+        aggs.append(F.min(place).alias("__first"))
+    out = rows.groupBy(*DIMENSIONS).agg(*aggs)
+    return out.select(*[c for c in out.columns if c != "__first"], *[F.col("__first").getField(c).alias(c) for c in other])

@@ -505,3 +505,121 @@ mcand AS (
   SELECT t.*, row_number() OVER (PARTITION BY diagnosis_subsidiary, card_mode ORDER BY src, sec, k, c, d, p) AS metric_rank
   FROM mcand t""", ["diagnosis_subsidiary", "card_mode"])
     return topics_ctes() + "," + fb + "," + merged
+
+
+# ------------------------------------------------------------------ text sources, focuses
+
+def text_ctes() -> str:
+    """The rows of the exported text table, from the test tables: what is no number is null, and counted."""
+    cents = lambda x: f"floor({x} * 100) / 100"
+    base = raw_cte().split("),\nscoped")[0].replace("l.l_extendedprice * l.l_discount AS", f"{cents('(l.l_extendedprice * l.l_discount)')} AS").replace(
+        "l.l_extendedprice * (1.0 - l.l_discount) AS", f"{cents('(l.l_extendedprice * (1.0 - l.l_discount))')} AS").replace("SELECT r.r_name", "SELECT l.l_orderkey, r.r_name")
+    return base + """),
+scoped AS (SELECT * FROM raw WHERE OBJECTIVE = 'CONVERSION' AND DIVISION IN ('MX', 'VD', 'DA')),
+long AS (
+  SELECT SUBSIDIARY, CHANNEL, lower(DIVISION) AS DIVISION, CASE WHEN l_orderkey % 61 = 0 THEN 'UNKNOWN' ELSE PRODUCT END AS PRODUCT, Year, Month, Day,
+         CASE WHEN l_orderkey % 257 = 0 OR l_orderkey % 61 = 0 THEN 0.0 ELSE PLATFORM_SPEND_USD END AS Spend, GROSS_REVENUE AS Revenue,
+         CASE WHEN l_orderkey % 353 = 0 THEN 0.0 ELSE floor(PLATFORM_CLICKS) END AS Clicks, CASE WHEN l_orderkey % 419 = 0 THEN 0.0 ELSE 1.0 END AS Orders
+  FROM scoped
+)"""
+
+
+def text_queries(full, mtd) -> dict[str, str]:
+    frame = lambda m: engine_ctes(m).replace("WITH " + raw_cte(), "WITH " + text_ctes())
+    cols = ", ".join([*DIMENSIONS, *[f"{m}_{y}" for m in ("Spend", "Revenue", "Clicks", "Orders") for y in ("curr", "prev")]])
+    wide = ", ".join([*[f"floor({m}_{y}) AS {m}_{y}" for m, y in [(m, y) for m in ("Spend", "Revenue", "Clicks", "Orders") for y in ("curr", "prev")] if (m, y) != ("Clicks", "prev")],
+                      "CASE WHEN Spend_curr % 7 < 1 THEN 0.0 ELSE floor(Clicks_prev) END AS Clicks_prev"])
+    return {
+        "text_source_frame": frame(False) + f" SELECT {cols} FROM engine",
+        "text_source_frame_mtd": frame(True) + f" SELECT {cols} FROM engine",
+        "text_source_facts": "WITH " + text_ctes() + f""",
+c AS (SELECT max(Month) AS m FROM long WHERE Year = {mtd.curr_year})
+SELECT (SELECT count(*) FROM raw) AS objective_rows_before, (SELECT count(*) FROM raw WHERE OBJECTIVE = 'CONVERSION') AS objective_rows_after,
+       (SELECT count(*) FROM raw WHERE OBJECTIVE = 'CONVERSION') AS division_rows_before, count(*) AS division_rows_after,
+       count(*) FILTER (WHERE l_orderkey % 257 = 0) AS PLATFORM_SPEND_USD_errors, 0::BIGINT AS GROSS_REVENUE_errors,
+       count(*) FILTER (WHERE l_orderkey % 353 = 0) AS PLATFORM_CLICKS_errors, count(*) FILTER (WHERE l_orderkey % 419 = 0) AS GROSS_ORDERS_errors,
+       (SELECT m FROM c) AS mtd_month, (SELECT max(Day) FROM long WHERE Year = {mtd.curr_year} AND Month = (SELECT m FROM c)) AS mtd_day
+FROM scoped""",
+        "wide_frame": engine_ctes() + f" SELECT {', '.join(DIMENSIONS)}, {wide}, 'wide' AS source_format FROM engine WHERE floor(Spend_curr) > 0",
+    }
+
+
+def focus_ctes() -> str:
+    """Leaves of the drill from every prefix of the hierarchy, the full paths among them."""
+    steps = [x for lv in range(1, 5) for x in (impact_cte(f"imp{lv}", lv), select_cte(f"sel{lv}", f"imp{lv}", lv))]
+    path = lambda a, n: " || '/' || ".join(f"{a}.{d}" for d in DIMENSIONS[:n])
+    impact = ["Impact_raw", "Impact_adj", "Share_childsum", "Share_parentdelta", "Residual_parent", "Residual_applied_flag"]
+    cases = []
+    for depth in range(4):
+        joins = "".join(f" JOIN sel{k} s{k} ON " + " AND ".join(f"s{k}.{d} = s4.{d}" for d in DIMENSIONS[:k]) for k in range(depth + 1, 4))
+        trace = " || ' -> ' || ".join(f"'LEVEL{k}:' || s{k}.rule || ':' || {path(f's{k}', k)}" for k in range(depth + 1, 5))
+        ranks = ", ".join(f"s{k}.sel_rank AS rank{k}" if k > depth else f"CAST(NULL AS BIGINT) AS rank{k}" for k in range(1, 5))
+        focus = ", ".join(f"s4.{d} AS focus_{d}" if i < depth else f"CAST(NULL AS VARCHAR) AS focus_{d}" for i, d in enumerate(DIMENSIONS))
+        cases.append(f"SELECT {depth} AS focus_depth, {focus}, {', '.join(f's4.{c}' for c in [*DIMENSIONS, *SUMS, *impact])}, {ranks}, {trace} AS drill_trace_text FROM sel4 s4{joins}")
+    valid = f"(prc > 0 AND prp > 0 AND {logmean('prc', 'prp')} IS NOT NULL AND {lnr('prc', 'prp')} IS NOT NULL)"
+    terminal = f"""
+t0 AS (SELECT *, {ratio('Revenue_curr_sum', 'Spend_curr_sum')} AS prc, {ratio('Revenue_prev_sum', 'Spend_prev_sum')} AS prp FROM levels WHERE level = 4),
+t1 AS (SELECT *, coalesce(prc, 0.0) - coalesce(prp, 0.0) AS parent_delta FROM t0),
+t2 AS (SELECT *, CASE WHEN {valid} THEN {lnr('prc', 'prp')} * parent_delta ELSE prc - prp END AS Impact_raw FROM t1),
+t3 AS (SELECT *, parent_delta - coalesce(Impact_raw, 0.0) AS Residual_parent FROM t2),
+t4 AS (SELECT *, CASE WHEN abs(Impact_raw) > 0 THEN (abs(Impact_raw) / abs(Impact_raw)) * Residual_parent ELSE Residual_parent / 1 END AS alloc FROM t3),
+t5 AS (SELECT *, Impact_raw + alloc AS Impact_adj, abs(alloc) > 1e-12 AS Residual_applied_flag FROM t4),
+t6 AS (SELECT *, CASE WHEN abs(Impact_adj) > 0 THEN 1.0 ELSE 0.0 END AS Share_childsum, CASE WHEN abs(parent_delta) > 0 THEN abs(Impact_adj) / abs(parent_delta) ELSE 0.0 END AS Share_parentdelta FROM t5)"""
+    focus = ", ".join(f"{d} AS focus_{d}" for d in DIMENSIONS)
+    cases.append(f"SELECT 4, {focus}, {', '.join([*DIMENSIONS, *SUMS, *impact])}, NULL, NULL, NULL, 1, 'LEVEL4:FOCUS_TERMINAL:' || {path('t6', 4)} FROM t6")
+    both = " UNION ALL ".join(cases)
+    eligible = (f"coalesce(({pct('Revenue_curr_sum', 'Revenue_prev_sum')} - {pct('Spend_curr_sum', 'Spend_prev_sum')}) > 0 AND "
+                f"{pct(ratio('Revenue_curr_sum', 'Spend_curr_sum'), ratio('Revenue_prev_sum', 'Spend_prev_sum'))} > 0 AND {pct('Revenue_curr_sum', 'Revenue_prev_sum')} > -0.3, FALSE)")
+    return engine_ctes() + "," + ",".join(steps) + "," + terminal + f""",
+fl AS MATERIALIZED ({both}),
+fs AS (SELECT level, {', '.join(DIMENSIONS)}, {eligible} AS eligible FROM levels WHERE level >= 1),
+fc AS (SELECT *, {pct('Revenue_curr_sum', 'Revenue_prev_sum')} - {pct('Spend_curr_sum', 'Spend_prev_sum')} AS defense, {eligible} AS defender FROM fl),
+fk AS (
+  SELECT fc.*, CASE WHEN coalesce(fc.Impact_adj, 0.0) > 0 THEN 0 WHEN fs.eligible AND fc.defender THEN 1 END AS kind
+  FROM fc JOIN fs ON fs.level = greatest(fc.focus_depth, 1) AND fs.SUBSIDIARY = fc.SUBSIDIARY AND (fc.focus_depth < 2 OR fs.CHANNEL = fc.CHANNEL)
+    AND (fc.focus_depth < 3 OR fs.DIVISION = fc.DIVISION) AND (fc.focus_depth < 4 OR fs.PRODUCT = fc.PRODUCT)
+)"""
+
+
+def focus_queries(rounded, doubles: set[str]) -> dict[str, str]:
+    focus = ["focus_depth", *[f"focus_{d}" for d in DIMENSIONS]]
+    impact = ["Impact_raw", "Impact_adj", "Share_childsum", "Share_parentdelta", "Residual_parent", "Residual_applied_flag"]
+    ranks = [f"rank{k}" for k in range(1, 5)]
+    leaf = [*focus, *DIMENSIONS, *SUMS, *impact, *ranks, "drill_trace_text"]
+    by = f"PARTITION BY {', '.join(focus)}"
+    dims = ", ".join(DIMENSIONS)
+    sel = ", ".join([*focus, *DIMENSIONS, "Impact_adj"])
+    run = ", ".join(f"{c} NULLS FIRST" for c in [*focus, *ranks])
+    first = lambda c: f"first({c} ORDER BY {run}) AS {c}"
+    merged = ", ".join([f"{dsum(c)} AS {c}" for c in SUMS] + [f"{rnd(f'sum(coalesce({c}, 0.0))')} AS {c}" for c in ("Impact_raw", "Impact_adj", "Residual_parent")])
+    shares = ", ".join(f"{rnd(f'first({c} ORDER BY {run})')} AS {c}" for c in ("Share_childsum", "Share_parentdelta"))
+    ctes = focus_ctes()
+    events = []
+    for depth in range(4):
+        for lv in range(depth + 1, 5):
+            on = lambda a, b, k: " AND ".join(f"{a}.{d} = {b}.{d}" for d in DIMENSIONS[:k]) or "TRUE"
+            above = "".join(f" JOIN sel{k} s{k} ON {on(f's{k}', 'r', k)}" for k in range(depth + 1, lv))
+            f_ = ", ".join(f"r.{d} AS focus_{d}" if i < depth else f"NULL AS focus_{d}" for i, d in enumerate(DIMENSIONS))
+            parent = ", ".join(f"r.{d} AS parent_{d}" if i < lv - 1 else f"NULL AS parent_{d}" for i, d in enumerate(DIMENSIONS))
+            path = " || '/' || ".join(f"s.{d}" for d in DIMENSIONS[:lv])
+            paths = f"(SELECT string_agg({path}, ' ; ' ORDER BY s.sel_rank) FROM sel{lv} s WHERE {on('s', 'r', lv - 1)})"
+            rk = ", ".join(f"s{k}.sel_rank AS rank{k}" if depth < k < lv else f"CAST(NULL AS BIGINT) AS rank{k}" for k in range(1, 4))
+            events.append(f"SELECT {depth} AS focus_depth, {f_}, {lv}::BIGINT AS lvl, 'LEVEL{lv}' AS level, r.rule, {parent}, {rnd('r.parent_delta')} AS parent_delta, "
+                          f"{rnd('r.top1_share')} AS top1_share_childsum, {rnd('r.top2_share')} AS top2_share_childsum, {rnd('r.impact_floor')} AS impact_floor, coalesce({paths}, '') AS selected_paths, {rk} "
+                          f"FROM sel{lv}_rule r{above}")
+    f_ = ", ".join(f"{d} AS focus_{d}" for d in DIMENSIONS)
+    events.append(f"SELECT 4, {f_}, 4, 'LEVEL4', 'FOCUS_TERMINAL', SUBSIDIARY, CHANNEL, DIVISION, NULL, {rnd('parent_delta')}, NULL, NULL, NULL, "
+                  f"SUBSIDIARY || '/' || CHANNEL || '/' || DIVISION || '/' || PRODUCT, NULL, NULL, NULL FROM t6")
+    return {
+        "drill_focuses": ctes + f" SELECT {rounded(leaf, doubles)} FROM fl",
+        "focus_events": ctes + " " + " UNION ALL ".join(events),
+        "focus_selections": ctes + f""" SELECT {sel.replace('Impact_adj', rnd('Impact_adj') + ' AS Impact_adj')}, mode_tag, mode_rank FROM (
+  SELECT {sel}, 'ISSUE' AS mode_tag, row_number() OVER ({by} ORDER BY Impact_adj, {dims}) AS mode_rank FROM fl WHERE Impact_adj < 0 QUALIFY mode_rank <= 3
+  UNION ALL
+  SELECT {sel}, CASE kind WHEN 0 THEN 'IMPROVE' ELSE 'DEFENSE' END, row_number() OVER ({by} ORDER BY kind,
+         CASE WHEN kind = 0 THEN -coalesce(Impact_adj, 0.0) ELSE -coalesce(defense, -1e9) END, -coalesce(Impact_adj, 0.0), {dims}) AS mode_rank
+  FROM fk WHERE kind IS NOT NULL QUALIFY mode_rank <= 3)""",
+        "merged_runs": ctes + f""" SELECT {dims}, {merged}, bool_or(coalesce(Residual_applied_flag, FALSE)) AS Residual_applied_flag, {', '.join(first(c) for c in [*focus, *ranks])}, {shares},
+       string_agg(drill_trace_text, ' | ' ORDER BY {run}) AS traces, count(*) AS n_runs
+FROM fl GROUP BY {dims}""",
+    }

@@ -7,7 +7,6 @@ points (level rollup, per-level drill candidates) and at the sinks.
 
 from __future__ import annotations
 
-import datetime as dt
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -23,7 +22,7 @@ from roaslens.operators.policy import enrich_actions
 from roaslens.operators.rootcause import attach_rca_by_list
 from roaslens.operators.topics import TOPIC_COLUMNS, report_rows, subsidiary_reports, top3_by_subsidiary
 from roaslens.session import cut
-from roaslens.sinks.report import campaign_table, campaign_view, trace_table, write_report, write_summary
+from roaslens.sinks.report import campaign_table, campaign_view, output_order, trace_table, write_report, write_summary
 from roaslens.sources.ingest import build_engine_frame
 
 
@@ -88,11 +87,9 @@ def build_report(engine: DataFrame, cfg: EngineConfig, meta: dict[str, Any] | No
     merged = cut(merged_topics(existing_topics(top3, topics, cfg), fallback_topics(levels), cfg))
     card_rows = cut(card_topics(levels, top3, merged))
     cards = report_cards(levels, reports, card_rows, headline)
-    # Output order (issues by subsidiary then most negative impact, improvements by most
-    # positive; ties by the dims). The tables hold at most 6 rows per subsidiary.
-    dims = [F.col(d).asc() for d in ("CHANNEL", "DIVISION", "PRODUCT")]
-    iss = a.issues.orderBy(F.col("diagnosis_subsidiary").asc(), F.col("Impact_adj").asc(), *dims)
-    imp = a.improvements.orderBy(F.col("diagnosis_subsidiary").asc(), F.col("Impact_adj").desc(), *dims)
+    # The tables hold at most 6 rows per subsidiary
+    iss = a.issues.orderBy(*output_order("issues"))
+    imp = a.improvements.orderBy(*output_order("improvements"))
     tables = {
         "issues": campaign_table(iss),
         "improvements": campaign_table(imp),
@@ -126,8 +123,3 @@ def run_report(spark: SparkSession, raw: DataFrame, cfg: EngineConfig, out_dir:
         write_report(rep.tables, out_dir, fmt)
         write_summary(spark, rep.sections, meta, out_dir)
     return rep
-
-
-def default_years(today: dt.date | None = None) -> tuple[int, int]:
-    today = today or dt.date.today()
-    return EngineConfig.resolve_years(None, None, today.year)

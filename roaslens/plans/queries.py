@@ -7,6 +7,7 @@ that the cut points run once per session, not once per query.
 
 from __future__ import annotations
 
+import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,18 +17,22 @@ from pyspark.sql import types as T
 from roaslens.config import EngineConfig
 from roaslens.operators.display import fallback_topics
 from roaslens.operators.division import division_headline, division_parallel
-from roaslens.operators.drill import scope_eligibility
+from roaslens.functions.exprs import paths_text, trace_text
+from roaslens.operators.drill import dedupe_campaigns, scope_eligibility
+from roaslens.operators.focus import FOCUS, RANKS, focus_table, run_focuses
 from roaslens.operators.impact import child_impacts, select_children, selected_children
 from roaslens.operators.levels import kpi_table, level_rows
 from roaslens.operators.rootcause import rca_table
 from roaslens.plans import oracle as O
 from roaslens.operators.levels import level_rollup
 from roaslens.plans.pipeline import Analysis, Report, analyze, build_report
+from roaslens.scale import numbered
 from roaslens.schema import DIMENSIONS, ENGINE_COLUMNS, SUM_COLUMNS
 from roaslens.session import apply_engine_conf, cut, ensure_checkpoint_dir
-from roaslens.sinks.report import CAMPAIGN_COLUMNS, campaign_view, trace_table
-from roaslens.sources.ingest import engine_frame, filter_counts, mtd_cutoff, normalize_long, parse_error_counts, _scoped_input
-from roaslens.sources.mapped import mapped_long_table
+from roaslens.sinks.report import CAMPAIGN_COLUMNS, campaign_view, output_order, trace_table
+from roaslens.sources.ingest import build_engine_frame, engine_frame, filter_counts, mtd_cutoff, normalize_long, parse_error_counts, run_facts, _scoped_input
+from roaslens.sources.mapped import mapped_long_table, month_to_date, text_long_table, write_text_table
+from roaslens.sources.raw import read_candidates
 
 FULL = EngineConfig(curr_year=O.CURR, prev_year=O.PREV, mtd_only=False)
 MTD = EngineConfig(curr_year=O.CURR, prev_year=O.PREV, mtd_only=True)
@@ -43,7 +48,7 @@ class Run:
     def __init__(self, spark: SparkSession, sf_dir: str, cfg: EngineConfig) -> None:
         _prepare(spark)
         self.cfg = cfg
-        self.engine = engine_frame(mapped_long_table(spark, sf_dir, (cfg.curr_year, cfg.prev_year)), cfg)
+        self.engine = _mtd_frame(spark, sf_dir) if cfg.mtd_only else engine_frame(mapped_long_table(spark, sf_dir, (cfg.curr_year, cfg.prev_year)), cfg)
         self._levels = self._analysis = self._report = None
 
     @property
@@ -152,10 +157,17 @@ def q_engine_frame(spark, sf_dir):
     return out(report_for(spark, sf_dir).engine.select(*ENGINE_COLUMNS))  # lazy: recomputed from the raw tables
 
 
+def _mtd_frame(spark, sf_dir):
+    """Month-to-date: the cutoff from the current year's rows alone, then a scan of the month's days in both years."""
+    facts = run_facts(mapped_long_table(spark, sf_dir, (MTD.curr_year,)), MTD.curr_year, quality=False).first()
+    years = (MTD.curr_year, MTD.prev_year)
+    dates = month_to_date(years, facts.mtd_month, facts.mtd_day) if facts.mtd_month else None
+    return engine_frame(mapped_long_table(spark, sf_dir, years, dates), MTD, (facts.mtd_month, facts.mtd_day))
+
+
 def q_engine_frame_mtd(spark, sf_dir):
     _prepare(spark)
-    raw = mapped_long_table(spark, sf_dir, (MTD.curr_year, MTD.prev_year))
-    return out(engine_frame(raw, MTD))
+    return out(_mtd_frame(spark, sf_dir))
 
 
 def q_objective_filter_counts(spark, sf_dir):
@@ -173,6 +185,97 @@ def q_mtd_cutoff(spark, sf_dir):
     return mtd_cutoff(normalize_long(_scoped_input(raw)), MTD.curr_year, MTD.prev_year)
 
 
+_TEXT_TITLES = ("Ad performance export", "Subsidiary,Channel", "")
+
+
+def _text_source(spark, sf_dir):
+    """The given tables as a folder of CSV files with titles, read as the second of two candidates; the first has no header."""
+    _prepare(spark)
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/text-{uuid.uuid4().hex}"
+    made = text_long_table(spark, sf_dir)
+    write_text_table(made, f"{folder}/data", _TEXT_TITLES)
+    write_text_table(made.groupBy("Subsidiary").count(), f"{folder}/overview", ("Overview",), files=1)
+    return read_candidates(spark, [f"{folder}/missing", f"{folder}/overview", f"{folder}/data"], "csv")
+
+
+def q_text_source_frame(spark, sf_dir):
+    return out(build_engine_frame(_text_source(spark, sf_dir), FULL)[0])
+
+
+def q_text_source_frame_mtd(spark, sf_dir):
+    return out(build_engine_frame(_text_source(spark, sf_dir), MTD)[0])
+
+
+def q_text_source_facts(spark, sf_dir):
+    return run_facts(_text_source(spark, sf_dir), MTD.curr_year)
+
+
+def q_wide_frame(spark, sf_dir):
+    """P5: the engine frame of the given tables as a wide text table, with commas and a blank, read back."""
+    made = report_for(spark, sf_dir).engine
+    text = lambda c: F.format_number(F.floor(F.col(c)), 0)
+    wide = made.select(*[F.col(d).alias(d.lower()) for d in DIMENSIONS], *[F.when((F.col("Spend_curr") % 7 < 1) & F.lit(c == "Clicks_prev"), F.lit(" ")).otherwise(text(c)).alias(c) for c in ENGINE_COLUMNS[4:]])
+    frame, meta = build_engine_frame(wide, FULL)
+    return frame.withColumn("source_format", F.lit(meta["source_format"]))
+
+
+def q_issues_ordered(spark, sf_dir):
+    return _ordered(spark, sf_dir, "issues")
+
+
+def q_improvements_ordered(spark, sf_dir):
+    return _ordered(spark, sf_dir, "improvements")
+
+
+def _ordered(spark, sf_dir, name):
+    rows = getattr(report_for(spark, sf_dir).analysis, name)
+    return out(numbered(rows.select("diagnosis_subsidiary", *DIMENSIONS, "Impact_adj", "mode_tag"), output_order(name)))
+
+
+class FocusRun:
+    """All focuses of the data at once: the whole, every subsidiary, channel, division and product."""
+
+    def __init__(self, spark, sf_dir):
+        levels = report_for(spark, sf_dir).levels
+        self.run = run_focuses(levels, FULL, focus_table(levels))
+
+
+_FOCUSED: dict[tuple, FocusRun] = {}
+
+
+def _focused(spark, sf_dir):
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _FOCUSED:
+        _FOCUSED[key] = FocusRun(spark, sf_dir)
+    return _FOCUSED[key].run
+
+
+def q_drill_focuses(spark, sf_dir):
+    return out(_focused(spark, sf_dir).leaves.withColumn("drill_trace_text", trace_text("drill_trace")).drop("drill_trace"))
+
+
+def q_focus_events(spark, sf_dir):
+    ev = _focused(spark, sf_dir).events
+    return out(ev.select(
+        *FOCUS, F.col("lvl").cast("long").alias("lvl"), "level", "rule", *[F.col("parent_path").getField(d).alias(f"parent_{d}") for d in DIMENSIONS],
+        "parent_delta", "top1_share_childsum", "top2_share_childsum", "impact_floor", paths_text("selected_paths").alias("selected_paths"), *RANKS[:3],
+    ))
+
+
+def q_focus_selections(spark, sf_dir):
+    run = _focused(spark, sf_dir)
+    cols = [*FOCUS, *DIMENSIONS, "Impact_adj", "mode_tag", "mode_rank"]
+    return out(run.issues.select(*cols).unionByName(run.improvements.select(*cols)))
+
+
+def q_merged_runs(spark, sf_dir):
+    """The leaves of all runs, one row a leaf, the run with the widest focus first."""
+    rows = _focused(spark, sf_dir).leaves
+    merged = dedupe_campaigns(rows, [*FOCUS, *RANKS])
+    traces = F.array_join(F.transform("drill_traces", lambda t: trace_text(t)), " | ")
+    return out(merged.withColumns({"traces": traces, "n_runs": F.size("drill_traces").cast("long")}).drop("drill_traces"))
+
+
 def q_level_rollup(spark, sf_dir):
     return out(report_for(spark, sf_dir).levels)
 
@@ -679,6 +782,11 @@ SELECT r.SUBSIDIARY, r.display_mode, CAST(count(m.PRODUCT) AS BIGINT) AS n_topic
        coalesce(string_agg(m.CHANNEL || '/' || m.DIVISION || '/' || m.PRODUCT, ' | ' ORDER BY m.pick_no), '') AS topic_paths
 FROM rep_mode r LEFT JOIN merged m ON m.diagnosis_subsidiary = r.SUBSIDIARY AND m.card_mode = r.display_mode
 GROUP BY r.SUBSIDIARY, r.display_mode"""
+    q.update(O.text_queries(FULL, MTD))
+    q.update(O.focus_queries(_sql_round, IMPACT_DOUBLES))
+    for name, src, way in (("issues_ordered", "issues", "ASC"), ("improvements_ordered", "impr", "DESC")):
+        q[name] = O.enriched_ctes() + f""" SELECT diagnosis_subsidiary, {', '.join(DIMENSIONS)}, {O.rnd('Impact_adj')} AS Impact_adj, mode_tag,
+       row_number() OVER (ORDER BY diagnosis_subsidiary, Impact_adj {way}, CHANNEL, DIVISION, PRODUCT) AS position FROM {src}"""
     cards = q["report_cards"]
     division_part = _division_sql()[len(O.engine_ctes()):]
     q["card_summary"] = cards[: cards.index("\nSELECT r.SUBSIDIARY, r.display_mode, CAST(")] + division_part + f"""
@@ -742,6 +850,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "issues_top3_mtd": q_issues_top3_mtd,
     "improvements_top3_mtd": q_improvements_top3_mtd,
     "rca_join_mtd": q_rca_join_mtd,
+    "text_source_frame": q_text_source_frame,
+    "text_source_frame_mtd": q_text_source_frame_mtd,
+    "text_source_facts": q_text_source_facts,
+    "wide_frame": q_wide_frame,
+    "issues_ordered": q_issues_ordered,
+    "improvements_ordered": q_improvements_ordered,
+    "drill_focuses": q_drill_focuses,
+    "focus_events": q_focus_events,
+    "focus_selections": q_focus_selections,
+    "merged_runs": q_merged_runs,
 }
 
 ORACLE: dict[str, str] = _oracle()

@@ -11,10 +11,11 @@ import json
 import uuid
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roaslens.functions.exprs import clean_number, fmt_money, fmt_pct, fmt_roas, paths_text, pct_change, safe_ratio
+from roaslens.scale import numbered
 from roaslens.schema import DIMENSIONS, ENGINE_COLUMNS, SUM_COLUMNS
 
 CAMPAIGN_COLUMNS = [
@@ -58,29 +59,24 @@ def campaign_view(rows: DataFrame, curr_year: int, prev_year: int) -> DataFrame:
 def trace_table(events: DataFrame) -> DataFrame:
     """K4 trace: one row per visited parent, ``step`` numbered in event order.
 
-    Order: subsidiary, level, then the selection ranks of the parent's path.
-    The step number is a per-subsidiary index plus the number of events of
-    the preceding subsidiaries (a running sum over one row per subsidiary),
-    so no window ever spans all events.
-    """
-    order = [F.col("lvl").asc(), *[F.col(c).asc_nulls_first() for c in events.columns if c.startswith("rank")]]
-    w = Window.partitionBy("focus_SUBSIDIARY").orderBy(*order)
-    e = events.withColumn("__i", F.row_number().over(w))
-    counts = e.groupBy("focus_SUBSIDIARY").agg(F.count(F.lit(1)).alias("__n"))
-    offs = counts.withColumn(
-        "__off",
-        F.coalesce(F.sum("__n").over(Window.orderBy(F.col("focus_SUBSIDIARY").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-    ).select("focus_SUBSIDIARY", "__off")
-    e = e.join(offs, e["focus_SUBSIDIARY"].eqNullSafe(offs["focus_SUBSIDIARY"]), "left").drop(offs["focus_SUBSIDIARY"])
+    Order: subsidiary, level, then the selection ranks of the parent's path; no window spans all events."""
+    ranks = [F.col(c).asc_nulls_first() for c in events.columns if c.startswith("rank")]
+    e = numbered(events, [F.col("focus_SUBSIDIARY").asc_nulls_first(), F.col("lvl").asc(), *ranks], "step")
     return e.select(
-        (F.col("__i") + F.col("__off")).cast("long").alias("step"),
-        "focus_SUBSIDIARY", "level", "rule",
+        "step", "focus_SUBSIDIARY", "level", "rule",
         *[F.col("parent_path").getField(d).alias(f"parent_{d}") for d in DIMENSIONS],
         "parent_delta", "top1_share_childsum", "top2_share_childsum", "impact_floor",
         paths_text("selected_paths").alias("selected_paths"),
     )
 
 
+def output_order(name: str) -> list[Column]:
+    """Order of the issues (most negative impact first) and the improvements (most positive first) over all
+    subsidiaries, ties by the dims."""
+    adj = F.col("Impact_adj")
+    return [F.col("diagnosis_subsidiary").asc(), adj.asc() if name == "issues" else adj.desc(), *[F.col(d).asc() for d in ("CHANNEL", "DIVISION", "PRODUCT")]]
+
+
 def clean_for_export(df: DataFrame) -> DataFrame:
     """NaN / inf -> null in double columns; structs and arrays -> JSON text."""
     out = []

@@ -17,15 +17,11 @@ is small, sort-merge otherwise).
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-TABLES = (
-    "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
-    "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
-)
-
 # Fixed values of the test mapping: customer segment -> division code.
 SEGMENT_TO_DIVISION = {"AUTOMOBILE": "MX", "BUILDING": "VD", "FURNITURE": "DA"}
 
@@ -34,13 +30,20 @@ def load_tables(spark: SparkSession, sf_dir: str, names=("region", "nation", "cu
     return {n: spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet") for n in names}
 
 
-def mapped_long_table(spark: SparkSession, sf_dir: str, years: tuple[int, ...] | None = None) -> DataFrame:
-    """Raw long table (raw header names) derived from the test tables."""
+def mapped_long_table(spark: SparkSession, sf_dir: str, years: tuple[int, ...] | None = None,
+                      dates: list[tuple[dt.date, dt.date]] | None = None, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Raw long table (raw header names) derived from the test tables.
+
+    ``years`` and ``dates`` (ranges from the first day up to, not including, the last) restrict the ship
+    date in the scan; ``keys`` are columns of lineitem to carry along."""
     t = load_tables(spark, sf_dir)
     li = t["lineitem"].select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
-        "l_discount", "l_returnflag", "l_shipdate",
+        "l_discount", "l_returnflag", "l_shipdate", *[k for k in keys if k not in ("l_orderkey", "l_partkey", "l_suppkey")],
     )
+    if dates:
+        within = [(F.col("l_shipdate") >= F.lit(lo)) & (F.col("l_shipdate") < F.lit(hi)) for lo, hi in dates]
+        li = li.filter(reduce(lambda a, b: a | b, within))
     if years:
         lo, hi = min(years), max(years)
         li = li.filter(
@@ -79,5 +82,52 @@ def mapped_long_table(spark: SparkSession, sf_dir: str, years: tuple[int, ...] |
             F.year("l_shipdate").alias("Year"),
             F.month("l_shipdate").alias("Month"),
             F.dayofmonth("l_shipdate").alias("Day"),
+            *keys,
         )
     )
+
+
+def month_to_date(years: tuple[int, ...], month: int, day: int | None) -> list[tuple[dt.datetime, dt.datetime]]:
+    """F5 as date ranges: ``month`` of each year up to ``day`` (a day that the month lacks is its last)."""
+    out = []
+    for y in years:
+        first = dt.datetime(y, month, 1)
+        after = dt.datetime(y + month // 12, month % 12 + 1, 1)
+        out.append((first, min(after, first + dt.timedelta(days=day)) if day else after))
+    return out
+
+
+# Fixed values of the text form: one in so many orders has junk, blanks, a unit or no value in a metric.
+JUNK, BLANK, UNIT, NAN = 257, 61, 353, 419
+
+
+def text_long_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mapped table as an export would have it: all text, thousands with commas, years and months inside words, padded
+    dims and objectives, and in some orders values that are no numbers (P6-P9, A9)."""
+    raw = mapped_long_table(spark, sf_dir, keys=("l_orderkey",))
+    order = F.col("l_orderkey")
+
+    def money(c: str):
+        cents = F.floor(F.col(c) * 100).cast("bigint")
+        return F.concat(F.format_number(F.expr(f"floor({c} * 100) div 100"), 0), F.lit("."), F.lpad((cents % 100).cast("string"), 2, "0"))
+
+    odd = lambda n, value, other: F.when(order % n == 0, F.lit(value)).otherwise(other)
+    return raw.select(
+        F.concat(F.lit(" "), "SUBSIDIARY").alias("Subsidiary"), F.col("CHANNEL").alias("channel"), F.concat(F.lower("DIVISION"), F.lit("  ")).alias("DIVISION"),
+        F.when(order % BLANK == 0, F.lit(None)).otherwise(F.col("PRODUCT")).alias("Product"),
+        odd(JUNK, "n/a", odd(BLANK, "  ", money("PLATFORM_SPEND_USD"))).alias("platform_spend_usd"), money("GROSS_REVENUE").alias("Gross_Revenue"),
+        odd(UNIT, "5d", F.col("PLATFORM_CLICKS").cast("bigint").cast("string")).alias("PLATFORM_CLICKS"), odd(NAN, "NaN", F.lit("1")).alias("GROSS_ORDERS"),
+        F.concat(F.lit(" "), F.initcap("OBJECTIVE")).alias("objective"), F.concat(F.lit("FY"), F.col("Year").cast("string")).alias("YEAR"),
+        F.concat(F.lit("m"), F.lpad(F.col("Month").cast("string"), 2, "0")).alias("Month"), F.col("Day").cast("string").alias("day"), F.lit("x").alias("Extra"),
+    )
+
+
+def write_text_table(table: DataFrame, path: str, titles: tuple[str, ...], files: int = 4) -> str:
+    """``table`` as CSV lines in ``files`` files, each with title lines and a header of its own."""
+    cols = [F.col(f"`{c}`").cast("string") for c in table.columns]
+    of = F.pmod(F.xxhash64(*cols), F.lit(files)).cast("int")
+    lines = table.select(of.alias("file"), F.lit(len(titles) + 1).alias("at"), F.to_csv(F.struct(*cols)).alias("value"))
+    for at, line in enumerate([*titles, ",".join(table.columns)]):
+        lines = lines.unionByName(table.sparkSession.range(files).select(F.col("id").cast("int").alias("file"), F.lit(at).alias("at"), F.lit(line).alias("value")))
+    lines.repartition(files, "file").sortWithinPartitions("file", "at").select("file", "value").write.partitionBy("file").text(path)
+    return path

@@ -157,3 +157,82 @@ def test_no_header_and_no_rows(spark):
     assert df.columns == ["x", "y"] and sorted(map(tuple, df.collect()), key=str) == [("1", "2"), ("3", None)]
     _write(d, "a.csv")
     assert read_with_header_discovery(spark, d).count() == 0
+
+
+def test_layout_of_the_second_read_does_not_matter(spark):
+    """Splits and partitions differ between the read that finds the header and the read of the data, and after it."""
+    d = tempfile.mkdtemp(prefix="roaslens-csv-", dir="/tmp")
+    _write(d, "a.csv", *[f"note {i}" for i in range(3000)], LONG, *[_row(f"A{i}") for i in range(3000)])
+    _write(d, "b.csv", "title", LONG, *[_row(f"B{i}") for i in range(700)], LONG, _row("B-last"))
+    from roaslens.sources.raw import discover, read_text_table
+    sizes = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "5k")
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", 31)
+        table = discover(spark, [(d, ",")])[0]
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "60k")
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", 2)
+        df = read_text_table(spark, table)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "9k")
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", 13)
+        got = sorted(r.PRODUCT for r in df.select("PRODUCT").collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", sizes)
+        spark.conf.unset("spark.sql.leafNodeDefaultParallelism")
+    want = [f"A{i}" for i in range(3000)] + [f"B{i}" for i in range(700)] + ["PRODUCT", "B-last"]
+    assert got == sorted(want)  # a later header row is data
+
+
+def test_candidates_in_order_of_preference(spark):
+    import pytest
+    from roaslens.sources.raw import read_candidates, read_input
+    d = tempfile.mkdtemp(prefix="roaslens-csv-", dir="/tmp")
+    for name in ("wrong", "right", "also"):
+        os.mkdir(os.path.join(d, name))
+    _write(os.path.join(d, "wrong"), "a.csv", "x,y", "1,2")
+    _write(os.path.join(d, "right"), "a.csv", "title", LONG + ",Extra", _row("P1") + ",e", _row("P2", 2025) + ",e")
+    _write(os.path.join(d, "also"), "a.csv", LONG, _row("Q1"))
+    paths = [os.path.join(d, n) for n in ("missing", "wrong", "right", "also")]
+    got = read_candidates(spark, paths, "csv")
+    assert sorted(r.PRODUCT for r in got.collect()) == ["P1", "P2"] and "Extra" not in got.columns
+    assert read_input(spark, paths, EngineConfig(2026, 2025), "csv")[0].first().PRODUCT == "P1"
+    assert read_candidates(spark, paths[:2], "csv").columns == ["x", "y"]
+    typed = os.path.join(d, "t.parquet")
+    read_candidates(spark, [paths[3]], "csv").withColumnRenamed("Year", "yEAR").withColumn("junk", F_lit("z")).write.parquet(typed)
+    got = read_candidates(spark, [typed, paths[2]])
+    assert got.columns[-3:] == ["Year", "Month", "Day"] and "junk" not in got.columns
+    assert "junk" not in got._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(FileNotFoundError):
+        read_candidates(spark, [paths[0]])
+
+
+def F_lit(x):
+    from pyspark.sql import functions as F
+    return F.lit(x)
+
+
+def test_names_that_differ_in_case(spark):
+    both = spark.createDataFrame([("a", "b", "c")], "Year string, YEAR string, month string")
+    from roaslens.sources.ingest import standard_names
+    assert standard_names(both.columns) == ["Year", "YEAR", "Month"]
+    rows = [tuple("x" for _ in range(13))]
+    df = spark.createDataFrame(rows, ", ".join(f"c{i} string" for i in range(13))).toDF(*LONG.split(","), "YEAR")
+    assert select_known_columns(df).columns.count("Year") + select_known_columns(df).columns.count("YEAR") == 1
+
+
+def test_text_input_is_scanned_twice_in_all(spark):
+    """One read finds the header, one the data; the facts and the frame come from what that second read wrote."""
+    from roaslens.sources.raw import read_input
+    d = tempfile.mkdtemp(prefix="roaslens-csv-", dir="/tmp")
+    _write(d, "in.csv", "title", LONG, *[_row(f"P{i}") for i in range(50)])
+    seen = []
+    reader = type(spark.read)
+    text = reader.text
+    reader.text = lambda self, *a, **k: seen.append(a) or text(self, *a, **k)
+    try:
+        frame, meta = read_input(spark, d, EngineConfig(2026, 2025, mtd_only=True), "csv")
+    finally:
+        reader.text = text
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert len(seen) == 2 and "Format: Text" not in plan and "text" not in plan.split("FileScan ", 1)[1][:8]
+    assert frame.count() == 50 and meta["mtd_day_cutoff"] == 5 and meta["objective_rows_before"] == 50
