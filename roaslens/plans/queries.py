@@ -7,7 +7,6 @@ that the cut points run once per session, not once per query.
 
 from __future__ import annotations
 
-import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,7 +27,7 @@ from roaslens.operators.levels import level_rollup
 from roaslens.plans.pipeline import Analysis, Report, analyze, build_report
 from roaslens.scale import numbered
 from roaslens.schema import DIMENSIONS, ENGINE_COLUMNS, SUM_COLUMNS
-from roaslens.session import apply_engine_conf, cut, ensure_checkpoint_dir
+from roaslens.session import apply_engine_conf, cut, ensure_checkpoint_dir, scratch_path
 from roaslens.sinks.report import CAMPAIGN_COLUMNS, campaign_view, output_order, trace_table
 from roaslens.sources.ingest import build_engine_frame, engine_frame, filter_counts, mtd_cutoff, normalize_long, parse_error_counts, run_facts, _scoped_input
 from roaslens.sources.mapped import mapped_long_table, month_to_date, text_long_table, write_text_table
@@ -191,7 +190,7 @@ _TEXT_TITLES = ("Ad performance export", "Subsidiary,Channel", "")
 def _text_source(spark, sf_dir):
     """The given tables as a folder of CSV files with titles, read as the second of two candidates; the first has no header."""
     _prepare(spark)
-    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/text-{uuid.uuid4().hex}"
+    folder = scratch_path(spark, "text")
     made = text_long_table(spark, sf_dir)
     write_text_table(made, f"{folder}/data", _TEXT_TITLES)
     write_text_table(made.groupBy("Subsidiary").count(), f"{folder}/overview", ("Overview",), files=1)

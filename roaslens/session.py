@@ -68,6 +68,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 _CUTS: dict[str, list[str]] = {}
 
 
+def scratch_path(spark: SparkSession, kind: str) -> str:
+    """A new path in the shared checkpoint folder, which ``release_cuts`` deletes with the rest of the session's."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+    _CUTS.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write an intermediate as Parquet under ``spark.checkpoint.dir`` and read it back.
 
@@ -75,8 +82,7 @@ def cut(df: DataFrame) -> DataFrame:
     re-read carries file-size statistics the planner uses for broadcast
     decisions.  ``drop_cut`` deletes one early, ``release_cuts`` all of the session."""
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
-    _CUTS.setdefault(spark.sparkContext.applicationId, []).append(path)
+    path = scratch_path(spark, "cut")
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._cut_path = path
