@@ -19,10 +19,27 @@ from tokenizers import Tokenizer
 _UNSAFE = re.compile(r"\s (?:\s|\Z)")
 _TOUCH = re.compile(r"\s\n|\n\s")  # a line end that is part of a longer run
 _SPACE = re.compile(r"\s")
-_CACHED = 1_500_000  # words; about 0.3 GB a worker
+_KEPT = 500_000  # words of a generation of the cache; two of them are about 0.25 GB a worker
 _ENCODERS: dict[str, Encoder] = {}
 
 
+class Cache:
+    """Ids of words in two generations: when the new one is full it becomes the old one, and words that are met again move
+    back, so that frequent words stay."""
+
+    def __init__(self, kept: int):
+        self.kept, self.new, self.old = kept, {}, {}
+
+    def unknown(self, words: set[str]) -> list[str]:
+        """Brings ``words`` into the new generation; returns those that no generation has."""
+        if len(self.new) > self.kept:
+            self.old, self.new = self.new, {}
+        missing = words.difference(self.new)
+        again = {w: self.old[w] for w in missing if w in self.old}
+        self.new.update(again)
+        return list(missing.difference(again)) if again else list(missing)
+
+
 class Encoder:
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
@@ -30,8 +47,9 @@ class Encoder:
         if any(_SPACE.search(x) for x in self.added):
             raise ValueError("an added token holds white space; texts can't be encoded in parts")
         self.line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
-        self.cache: dict[str, bytes] = {}  # parts after a space, without it
-        self.first: dict[str, bytes] = {}  # parts at the start of a text
+        self.space = self._ids([" "])[0]
+        self.cache = Cache(_KEPT)  # parts after a space, without it
+        self.first = Cache(_KEPT // 4)  # parts at the start of a text
 
     def _ids(self, parts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
@@ -39,37 +57,40 @@ class Encoder:
     def _learn(self, cache: dict[str, bytes], words: list[str], lead: str) -> None:
         """Words without white space go to the library many at a time, each after a line end: the end is a
         token of its own there, and no such word holds it.  That spares an object a word."""
-        plain = [w for w in words if not _SPACE.search(w)]
-        odd = [w for w in words if _SPACE.search(w)]
-        groups = [plain[at : at + 512] for at in range(0, len(plain), 512)]
-        joined = ["".join([f"\n{lead}{w}" for w in some]) for some in groups]
+        groups, odd = [words[at : at + 512] for at in range(0, len(words), 512)], []
+        for k, some in enumerate(groups):
+            if _SPACE.search("".join(some)):
+                odd += [w for w in some if _SPACE.search(w)]
+                groups[k] = [w for w in some if not _SPACE.search(w)]
+        between = f"\n{lead}"
+        joined = [between + between.join(some) for some in groups]
         for at in range(0, len(groups), 16):
             for some, e in zip(groups[at : at + 16], self.tokenizer.encode_batch_fast(joined[at : at + 16], add_special_tokens=False), strict=False):
+                if not some:
+                    continue
                 ids = np.array(e.ids, "<u4")
                 ends = np.flatnonzero(ids == self.line_end)
                 if len(ends) != len(some):
                     raise ValueError("the vocabulary joins line ends to words")
                 data, at_byte = ids.tobytes(), (4 * ends).tolist() + [4 * len(ids)]
-                cache.update((w, data[a + 4 : b]) for w, a, b in zip(some, at_byte[:-1], at_byte[1:], strict=True))
+                cache.update([(w, data[a + 4 : b]) for w, a, b in zip(some, at_byte[:-1], at_byte[1:])])
         for at in range(0, len(odd), 4096):
             some = odd[at : at + 4096]
             cache.update(zip(some, self._ids([lead + w for w in some]), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        split = [None if _UNSAFE.search(t) or any(x in t for x in self.added) else [x.split(" ") for x in ([t] if _TOUCH.search(t) else t.split("\n"))] for t in texts]
+        split = [None if _UNSAFE.search(t) or any([x in t for x in self.added]) else [x.split(" ") for x in ([t] if _TOUCH.search(t) else t.split("\n"))] for t in texts]
         lines = [x for s in split if s for x in s]
-        words, starts = {w for x in lines for w in x[1:]}, {x[0] for x in lines}
-        for cache, new, size in ((self.cache, words, _CACHED), (self.first, starts, _CACHED // 4)):
-            if len(cache) + len(new) > size:
-                cache.clear()
-        self._learn(self.cache, [w for w in words if w and w not in self.cache], " ")
-        self._learn(self.first, [w for w in starts if w and w not in self.first], "")
-        if "" not in self.cache:
-            self.cache[""] = self._ids([" "])[0]
-        self.first[""] = b""
-        get, first, line_end = self.cache.__getitem__, self.first, np.array([self.line_end], "<u4").tobytes()
-        return [self._ids([t])[0] if s is None else line_end.join([first[x[0]] + b"".join(map(get, x[1:])) for x in s]) for t, s in zip(texts, split, strict=True)]
+        starts = [x.pop(0) for x in lines]
+        for cache, words, lead, blank in ((self.cache, set().union(*lines), " ", self.space), (self.first, set(starts), "", b"")):
+            words.discard("")
+            unknown = cache.unknown(words)
+            self._learn(cache.new, unknown, lead)
+            cache.new[""] = blank
+        get, first, line_end = self.cache.new.__getitem__, self.first.new, np.array([self.line_end], "<u4").tobytes()
+        begin = iter(starts)
+        return [self._ids([t])[0] if s is None else line_end.join([first[next(begin)] + b"".join(map(get, x)) for x in s]) for t, s in zip(texts, split, strict=True)]
 
 
 def encoder(path: str) -> Encoder:

@@ -13,6 +13,7 @@ packed each; other columns of the documents are not carried (join on the id).
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -25,11 +26,14 @@ from roaslens.llm.bpe import encoder, runs
 from roaslens.llm.common import cut, ordered_prefix, text_or_empty
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
+DIGESTS = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, digests: bool = False) -> DataFrame:
     """Token pieces (``PIECES``; ids as little-endian unsigned 32-bit integers) of all documents, each
-    ended by ``end_id``.  A longer document is cut into full pieces; the first may be shorter."""
+    ended by ``end_id``.  A longer document is cut into full pieces; the first may be shorter.  With ``digests``
+    (``DIGESTS``) only the CRC-32 of the ids leaves the tasks."""
+    value = zlib.crc32 if digests else bytes
 
     def cut_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc, end = encoder(tokenizer), np.array([end_id], "<u4").tobytes()
@@ -41,12 +45,12 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataF
                     n = len(ids) // 4 + 1
                     ids, head = ids + end, n % capacity or capacity
                     cuts = [0, *range(head, n + 1, capacity)]
-                    rows += [(doc_id, k, a, b - a, ids[4 * a : 4 * b]) for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True))]
+                    rows += [(doc_id, k, a, b - a, value(ids[4 * a : 4 * b])) for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True))]
                 at += len(some)
-                out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids"])
+                out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32" if digests else "ids"])
                 yield out.astype({"doc_id": "Int64"})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty("text").alias("text")).mapInPandas(cut_up, PIECES)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty("text").alias("text")).mapInPandas(cut_up, DIGESTS if digests else PIECES)
 
 
 def _take(left: np.ndarray, combo: list[int]) -> int:

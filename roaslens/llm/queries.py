@@ -44,8 +44,7 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    parts = packing.pieces(docs, public_tokenizers.path(BPE), PACK_END, SEQUENCE)
-    parts = parts.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    parts = packing.pieces(docs, public_tokenizers.path(BPE), PACK_END, SEQUENCE, digests=True)
     return packing.pack(parts, SEQUENCE, ("doc_id", "piece", "ids_crc32"))
 
 

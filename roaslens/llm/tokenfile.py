@@ -7,9 +7,12 @@ integers); its head (width, number of documents, ids, blocks, footer offset); ``
 ids is read from the blocks that hold it alone.
 
 Files are written through pyarrow file systems, so a folder may be local-and-shared or a store.
-Each task writes under a name of its own and reports it in its rows; a manifest is written from the
-rows of tasks that were committed, so files of lost or repeated tasks are never read.
-"""
+Each task writes files under names of its own, a new one after ``TOKENS`` ids, and reports them in its rows; a manifest
+is written from the rows of tasks that were committed, so files of lost or repeated tasks are never read.
+
+Documents go by id (null first), equal ids by a hash of the text, which also splits an id that very many rows
+have over tasks; a null text is empty; equal rows are documents each; other columns are not carried.  An empty table gives
+no files."""
 
 from __future__ import annotations
 
@@ -27,10 +30,12 @@ from pyspark.sql import functions as F
 
 from roaslens.llm.bpe import encoder, runs
 from roaslens.llm.common import cut, shuffle_parts, text_or_empty
-from roaslens.session import ensure_checkpoint_dir
+from roaslens.session import scratch_path
 
 MAGIC = b"BITIDS01"
 BLOCK = 1 << 16
+TOKENS = 1 << 28  # ids in a file, after which the task begins another
+_PLAIN = {8: "<u1", 16: "<u2", 32: "<u4"}  # widths whose packed words are plain arrays
 _HEAD = struct.Struct("<5q")
 _U = np.uint64
 
@@ -42,6 +47,8 @@ def width_of(vocabulary: int) -> int:
 
 def pack_bits(ids: np.ndarray, width: int) -> bytes:
     """Ids (padded to a multiple of 64 with zeros) as ``width`` 64-bit words per 64 ids."""
+    if width in _PLAIN:
+        return ids.astype(_PLAIN[width]).tobytes() + bytes(-len(ids) % 64 * width // 8)
     lanes = np.zeros((-(-len(ids) // 64), 64), np.uint64)
     lanes.reshape(-1)[: len(ids)] = ids
     words = np.zeros((len(lanes), width), np.uint64)
@@ -54,6 +61,8 @@ def pack_bits(ids: np.ndarray, width: int) -> bytes:
 
 
 def unpack_bits(data: bytes, width: int, n: int) -> np.ndarray:
+    if width in _PLAIN:
+        return np.frombuffer(data, _PLAIN[width], n).astype(np.uint32)
     words = np.frombuffer(data, "<u8").reshape(-1, width)
     lanes = np.empty((len(words), 64), np.uint32)
     mask = _U((1 << width) - 1)
@@ -78,29 +87,34 @@ class Writer:
         where.create_dir(path.rpartition("/")[0], recursive=True)
         self.out, self.width = where.open_output_stream(path), width
         self.out.write(MAGIC)
-        self.at, self.n, self.held, self.blocks, self.ids, self.ends = len(MAGIC), 0, np.zeros(0, np.uint32), [], [], []
+        self.at, self.n, self.waiting, self.held, self.blocks, self.ids, self.ends = len(MAGIC), 0, 0, [], [], [], []
 
     def _flush(self, ids: np.ndarray) -> None:
+        if int(ids.max()) >> self.width:
+            raise ValueError("an id is outside the vocabulary")
         data = pack_bits(ids, self.width)
         self.blocks.append(self.at)
         self.out.write(data)
         self.at += len(data)
 
-    def add(self, doc_id: int | None, ids: np.ndarray) -> None:
-        if len(ids) and int(ids.max()) >> self.width:
-            raise ValueError("an id is outside the vocabulary")
-        self.n += len(ids)
+    def add(self, doc_id: int | None, *ids: bytes) -> None:
+        """A document from its ids, little-endian unsigned 32-bit integers, in one or several pieces."""
+        self.held += ids
+        n = sum(map(len, ids)) // 4
+        self.n += n
+        self.waiting += n
         self.ids.append(doc_id)
         self.ends.append(self.n)
-        self.held = np.concatenate((self.held, ids))
-        whole = len(self.held) // BLOCK * BLOCK
-        for k in range(0, whole, BLOCK):
-            self._flush(self.held[k : k + BLOCK])
-        self.held = self.held[whole:]
+        if self.waiting >= BLOCK:
+            held = np.frombuffer(b"".join(self.held), "<u4")
+            whole = len(held) // BLOCK * BLOCK
+            for k in range(0, whole, BLOCK):
+                self._flush(held[k : k + BLOCK])
+            self.held, self.waiting = [held[whole:].tobytes()], len(held) - whole
 
     def close(self) -> None:
-        if len(self.held):
-            self._flush(self.held)
+        if self.waiting:
+            self._flush(np.frombuffer(b"".join(self.held), "<u4"))
         null = np.array([x is None for x in self.ids], "<i8")
         ids = np.array([x or 0 for x in self.ids], "<i8")
         for part in (ids, null, np.array(self.ends, "<i8"), np.array(self.blocks, "<i8")):
@@ -148,30 +162,37 @@ def write(docs: DataFrame, tokenizer: str, vocabulary: int, end_id: int, folder:
     """Write all documents in ascending id (nulls first) and return the manifest: (part, file, docs,
     tokens, start), ``start`` being the ids in all files before.  A null text counts as empty."""
     spark = docs.sparkSession
-    folder = folder or f"{ensure_checkpoint_dir(spark).rstrip('/')}/tokens-{uuid.uuid4().hex}"
+    folder = folder or scratch_path(spark, "tokens")
     width = width_of(vocabulary)
 
     def to_file(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc, writer, part = encoder(tokenizer), None, 0
+        enc, end, writer, first, done = encoder(tokenizer), np.array([end_id], "<u4").tobytes(), None, None, 0
+
+        def close() -> pd.DataFrame:
+            writer.close()
+            return pd.DataFrame([(first * 2**20 + done, name, len(writer.ids), writer.n)], columns=["part", "file", "docs", "tokens"])
+
         for pdf in batches:
             at = 0
             for some in runs(pdf["text"].tolist()):
                 rows = pdf.iloc[at : at + len(some)]
                 at += len(some)
-                if writer is None:
-                    part = int(rows["part"].iloc[0])
-                    name = f"{folder}/part-{part:06d}-{uuid.uuid4().hex}.ids"
-                    writer = Writer(name, width)
-                for doc_id, null, ids in zip(rows["doc_id"].tolist(), rows["null"].tolist(), enc.encode(some), strict=True):
-                    writer.add(None if null else doc_id, np.append(np.frombuffer(ids, "<u4"), np.uint32(end_id)))
+                for doc_id, null, part, ids in zip(rows["doc_id"].tolist(), rows["null"].tolist(), rows["part"].tolist(), enc.encode(some), strict=True):
+                    if writer is None:
+                        first, name = part, f"{folder}/part-{part:06d}-{done:06d}-{uuid.uuid4().hex}.ids"
+                        writer = Writer(name, width)
+                    writer.add(None if null else doc_id, ids, end)
+                    if writer.n >= TOKENS:
+                        yield close()
+                        writer, done = None, done + 1
         if writer is not None:
-            writer.close()
-            yield pd.DataFrame([(part, name, len(writer.ids), writer.n)], columns=["part", "file", "docs", "tokens"])
+            yield close()
 
     key = F.col("doc_id").cast("long")
-    rows = docs.select(F.coalesce(key, F.lit(-(2**63))).alias("doc_id"), key.isNull().alias("null"), text_or_empty("text").alias("text"))
-    ranged = rows.repartitionByRange(shuffle_parts(spark), "doc_id", F.col("null").desc()).sortWithinPartitions("doc_id", F.col("null").desc(), F.xxhash64("text"))
-    files = cut(ranged.withColumn("part", F.spark_partition_id()).mapInPandas(to_file, "part int, file string, docs long, tokens long"))
+    rows = docs.select(F.coalesce(key, F.lit(-(2**63))).alias("doc_id"), key.isNull().alias("null"), text_or_empty("text").alias("text")).withColumn("mark", F.xxhash64("text"))
+    order = ["doc_id", F.col("null").desc(), "mark"]
+    ranged = rows.repartitionByRange(shuffle_parts(spark), *order).sortWithinPartitions(*order).drop("mark")
+    files = cut(ranged.withColumn("part", F.spark_partition_id()).mapInPandas(to_file, "part long, file string, docs long, tokens long"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row a file
     return files.withColumn("start", F.coalesce(F.sum("tokens").over(before), F.lit(0)).cast("long"))
 
