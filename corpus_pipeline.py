@@ -41,8 +41,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per token piece, with its sequence and offset."""
-    parts = packing.pieces(docs.select("doc_id", "text"), public_tokenizers.path(BPE), PACK_END, SEQUENCE)
-    parts = parts.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    parts = packing.pieces(docs.select("doc_id", "text"), public_tokenizers.path(BPE), PACK_END, SEQUENCE, digests=True)
     return packing.pack(parts, SEQUENCE, ("doc_id", "piece", "ids_crc32"))
 
 
