@@ -48,6 +48,7 @@ class Encoder:
             raise ValueError("an added token holds white space; texts can't be encoded in parts")
         self.line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
         self.space = self._ids([" "])[0]
+        self.odd: set[str] = set()  # words met that hold white space other than spaces and line ends
         self.cache = Cache(_KEPT)  # parts after a space, without it
         self.first = Cache(_KEPT // 4)  # parts at the start of a text
 
@@ -62,6 +63,7 @@ class Encoder:
             if _SPACE.search("".join(some)):
                 odd += [w for w in some if _SPACE.search(w)]
                 groups[k] = [w for w in some if not _SPACE.search(w)]
+        self.odd.update(odd)
         between = f"\n{lead}"
         joined = [between + between.join(some) for some in groups]
         for at in range(0, len(groups), 16):
@@ -78,19 +80,41 @@ class Encoder:
             some = odd[at : at + 4096]
             cache.update(zip(some, self._ids([lead + w for w in some]), strict=True))
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def _split(self, text: str, careful: bool) -> list[list[str]] | None:
+        """Words of the lines of ``text``; None if it goes whole, one line if line ends touch other white space.  Unless
+        ``careful``, white space is taken to be spaces and line ends."""
+        if any([x in text for x in self.added]) or ((careful or "  " in text or "\n " in text) and _UNSAFE.search(text)):
+            return None
+        touch = _TOUCH.search(text) if careful else " \n" in text or "\n " in text or "\n\n" in text
+        return [x.split(" ") for x in ([text] if touch else text.split("\n"))]
+
+    def encode(self, texts: list[str], careful: bool = False) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        split = [None if _UNSAFE.search(t) or any([x in t for x in self.added]) else [x.split(" ") for x in ([t] if _TOUCH.search(t) else t.split("\n"))] for t in texts]
+        split = [self._split(t, careful) for t in texts]
         lines = [x for s in split if s for x in s]
         starts = [x.pop(0) for x in lines]
+        if len(self.odd) > _KEPT:
+            self.odd, self.cache, self.first = set(), Cache(_KEPT), Cache(_KEPT // 4)
         for cache, words, lead, blank in ((self.cache, set().union(*lines), " ", self.space), (self.first, set(starts), "", b"")):
             words.discard("")
             unknown = cache.unknown(words)
             self._learn(cache.new, unknown, lead)
             cache.new[""] = blank
         get, first, line_end = self.cache.new.__getitem__, self.first.new, np.array([self.line_end], "<u4").tobytes()
-        begin = iter(starts)
-        return [self._ids([t])[0] if s is None else line_end.join([first[next(begin)] + b"".join(map(get, x)) for x in s]) for t, s in zip(texts, split, strict=True)]
+        out, begin = [], iter(starts)
+        for t, s in zip(texts, split, strict=True):
+            if s is None:
+                out.append(self._ids([t])[0])
+                continue
+            heads = [next(begin) for _ in s]
+            if self.odd and not careful and not (self.odd.isdisjoint(heads) and all([self.odd.isdisjoint(x) for x in s])):
+                out.append(None)  # other white space may touch a cut
+                continue
+            out.append(line_end.join([first[h] + b"".join(map(get, x)) for h, x in zip(heads, s)]))
+        again = [k for k, x in enumerate(out) if x is None]
+        for k, ids in zip(again, self.encode([texts[k] for k in again], careful=True) if again else ()):
+            out[k] = ids
+        return out
 
 
 def encoder(path: str) -> Encoder:

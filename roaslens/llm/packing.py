@@ -1,19 +1,26 @@
-"""Best-fit packing of token pieces into sequences by exact complements.
+"""Best-fit packing of token pieces into sequences by exact-complement hashing.
 
 Only the number of pieces of each length decides a packing, and there are at most ``capacity``
-lengths, whatever the data.  ``plan`` works on those counts: for the longest length left, single,
-pair and triple sums that fill its gap exactly are looked up and consumed as often as the counts
-allow; what finds no exact complement is placed best-fit, longest first.  Each of its steps empties a
-length or a gap, so the plan has few rows and goes to all tasks.  Pieces are numbered within their
+lengths, whatever the data.  ``plan`` works on those counts.  An index says for every sum how many single
+lengths, pairs and triples of available lengths make it; it is kept up as lengths run out.  For the longest length
+left, a combination that fills its gap exactly is looked up and consumed as often as the counts allow; of
+several, the one whose lengths are most plentiful.  What is left is placed best-fit, longest first.
+
+Exact complements can use up the short lengths that best-fit needs to close its sequences.  So they are consumed as long
+as best-fit still closes the rest: the plan takes the longest run of them with the fewest sequences in all.
+
+Each step empties a length or a gap, so the plan has few rows and goes to all tasks.  Pieces are numbered within their
 length by one distributed ordering, and the number says sequence and offset.
 
 Null texts count as empty (one piece, the end id); an empty table packs into nothing; equal rows are
-packed each; other columns of the documents are not carried (join on the id).
+packed each; other columns of the documents are not carried (join on the id).  Columns of packed items named like a
+result (``sequence_id``, ``offset``) are replaced.
 """
 
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Iterator
 
@@ -27,6 +34,8 @@ from roaslens.llm.common import cut, ordered_prefix, text_or_empty
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
 DIGESTS = "doc_id long, piece int, start long, length long, ids_crc32 long"
+#: Lengths of the run of exact combinations that ``plan`` weighs.
+STEPS = 32
 
 
 def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, digests: bool = False) -> DataFrame:
@@ -53,99 +62,161 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, digests:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty("text").alias("text")).mapInPandas(cut_up, DIGESTS if digests else PIECES)
 
 
-def _take(left: np.ndarray, combo: list[int]) -> int:
-    """How often ``combo`` can be taken from the counts; takes it."""
-    need = Counter(combo)
-    n = int(min(left[x] // k for x, k in need.items()))
-    for x, k in need.items():
-        left[x] -= n * k
-    return n
+Combos = list[tuple[list[int], int]]
+Patterns = list[tuple[list[tuple[int, int]], int]]
 
 
-def _complement(left: np.ndarray, gap: int, most: int) -> list[int] | None:
-    """One, two or three (at most ``most``) lengths left that add up to ``gap``, the longest first."""
-    if gap <= 0 or not most:
-        return None
-    if left[gap]:
-        return [gap]
-    have = left[: gap + 1] > 0
-    have[0] = False
-    there = np.flatnonzero(have)
-    there = there[there < gap][::-1]
-    if not len(there) or most < 2:
+class Sums:
+    """Available lengths, and for every sum up to ``capacity`` the number of ordered pairs and triples of them that make it."""
+
+    def __init__(self, left: np.ndarray):
+        self.left = left
+        self.single = (left > 0).astype(np.int64)
+        self.single[0] = 0
+        self.pair = np.convolve(self.single, self.single)[: len(left)]
+        self.triple = np.convolve(self.pair, self.single)[: len(left)]
+
+    def _shifted(self, x: np.ndarray, by: int) -> np.ndarray:
+        out = np.zeros_like(x)
+        out[by:] = x[: max(len(x) - by, 0)]
+        return out
+
+    def _remove(self, x: int) -> None:
+        """Length ``x`` has run out: with e its place, (A - e)^2 and (A - e)^3 of A's products."""
+        n = len(self.left)
+        self.triple += 3 * self._shifted(self.single, min(2 * x, n)) - 3 * self._shifted(self.pair, x)
+        self.pair -= 2 * self._shifted(self.single, x)
+        if 2 * x < n:
+            self.pair[2 * x] += 1
+        if 3 * x < n:
+            self.triple[3 * x] -= 1
+        self.single[x] = 0
+
+    def take(self, combo: list[int], most: int | None = None) -> int:
+        """How often ``combo`` can be taken from the counts; takes it."""
+        need = Counter(combo)
+        n = int(min(self.left[x] // k for x, k in need.items()))
+        n = n if most is None else min(n, most)
+        for x, k in need.items():
+            self.left[x] -= n * k
+            if not self.left[x] and self.single[x]:
+                self._remove(x)
+        return n
+
+    def _pair(self, total: int) -> list[int] | None:
+        """The two lengths that make ``total`` and can be taken most often."""
+        if not self.pair[total]:
+            return None
+        a = np.flatnonzero(self.single[1 : total // 2 + 1] & self.single[total - 1 : (total - 1) // 2 : -1][: total // 2]) + 1
+        times = np.minimum(self.left[a], self.left[total - a])
+        times[2 * a == total] //= 2
+        best = int(times.argmax()) if len(a) else 0
+        return [int(total - a[best]), int(a[best])] if len(a) and times[best] else None
+
+    def fill(self, gap: int) -> list[int] | None:
+        """One, two or three lengths left that add up to ``gap``; the fewest, then the most plentiful."""
+        if gap <= 0:
+            return None
+        if self.single[gap]:
+            return [gap]
+        if pair := self._pair(gap):
+            return pair
+        if not self.triple[gap]:
+            return None
+        third = np.flatnonzero(self.single[:gap] * self.pair[gap - np.arange(gap)])
+        for c in third[np.argsort(-self.left[third], kind="stable")].tolist():
+            self.left[c] -= 1
+            combo = self._pair(gap - c)
+            self.left[c] += 1
+            if combo and all(self.left[x] >= k for x, k in Counter([c, *combo]).items()):
+                return sorted([c, *combo], reverse=True)
         return None
-    pair = there[have[gap - there]]
-    for x in pair:
-        if 2 * x != gap or left[x] > 1:
-            return [int(x), int(gap - x)]
-    for x in there if most > 2 else ():
-        rest = int(gap - x)
-        y = there[there < rest]
-        y = y[have[rest - y]]
-        for b in y[:4]:
-            combo = [int(x), int(b), int(rest - b)]
-            if all(left[v] >= k for v, k in Counter(combo).items()):
-                return combo
-    return None
-
-
-def plan(counts: dict[int, int], capacity: int) -> list[tuple[list[tuple[int, int]], int]]:
-    """Patterns ``([(length, times), ...], how many sequences)`` that use up ``counts``.
-
-    Complements of up to three lengths are tried first; where they use up short lengths that best-fit
-    needs, fewer may end with fewer sequences, so the best of three, two, one and none is returned."""
-    floor = -(-sum(k * n for k, n in counts.items()) // capacity)
-    best: list[tuple[list[tuple[int, int]], int]] = []
-    for most in (3, 2, 1, 0):
-        found = _plan(counts, capacity, most)
-        if not best or sum(n for _, n in found) < sum(n for _, n in best):
-            best = found
-        if sum(n for _, n in best) == floor:
-            break
-    return best
-
-
-def _plan(counts: dict[int, int], capacity: int, most: int) -> list[tuple[list[tuple[int, int]], int]]:
-    left = np.zeros(capacity + 1, np.int64)
-    for length, n in counts.items():
-        left[length] = n
-    found: list[tuple[list[int], int]] = []
-    residual = np.zeros_like(left)
+
+
+def complements(left: np.ndarray, capacity: int) -> Combos:
+    """Sequences that are filled exactly, and how often each is: openers from the longest down."""
+    sums, found = Sums(left.copy()), []
     for length in range(capacity, 0, -1):
-        while left[length]:
+        while sums.left[length]:
             if length == capacity:
-                found.append(([length], _take(left, [length])))
+                found.append(([length], sums.take([length])))
                 continue
-            left[length] -= 1  # the one that opens the sequence
-            combo = _complement(left, capacity - length, most)
-            left[length] += 1
-            n = _take(left, [length, *combo]) if combo else 0
+            sums.left[length] -= 1  # the one that opens the sequence
+            combo = sums.fill(capacity - length)
+            sums.left[length] += 1
+            n = sums.take([length, *combo]) if combo else 0
             if not n:
-                residual[length], left[length] = left[length], 0
                 break
             found.append(([length, *combo], n))
-    gaps: dict[int, list[tuple[tuple[tuple[int, int], ...], int]]] = {}  # gap -> patterns with that much room
-    for length in range(capacity, 0, -1):
-        todo = int(residual[length])
+    return found
+
+
+def best_fit(left: np.ndarray, capacity: int) -> Patterns:
+    """What is left, longest first, each length into the sequences with the least room that holds it."""
+    gaps: dict[int, list] = {}  # room -> patterns with that much
+    rooms: list[int] = []  # its keys, ascending
+
+    def put(room: int, pattern: tuple, n: int) -> None:
+        if room not in gaps:
+            insort(rooms, room)
+            gaps[room] = []
+        gaps[room].append((pattern, n))
+
+    for length in np.flatnonzero(left)[::-1].tolist():
+        todo = int(left[length])
         while todo:
-            gap = min((g for g in gaps if g >= length), default=None)
-            if gap is None:  # new sequences, each filled with as many of this length as fit
+            at = bisect_left(rooms, length)
+            if at == len(rooms):  # new sequences, each filled with as many of this length as fit
                 each = min(capacity // length, todo)
                 n = todo // each
-                gaps.setdefault(capacity - each * length, []).append((((length, each),), n))
+                put(capacity - each * length, ((length, each),), n)
                 todo -= n * each
                 continue
-            pattern, n = gaps[gap].pop()
-            each = min(gap // length, todo)
+            room = rooms[at]
+            pattern, n = gaps[room].pop()
+            each = min(room // length, todo)
             use = min(n, todo // each)
             if use < n:
-                gaps[gap].append((pattern, n - use))
-            if not gaps[gap]:
-                del gaps[gap]
-            gaps.setdefault(gap - each * length, []).append(((*pattern, (length, each)), use))
+                gaps[room].append((pattern, n - use))
+            if not gaps[room]:
+                del gaps[room], rooms[at]
+            put(room - each * length, (*pattern, (length, each)), use)
             todo -= use * each
-    out = [(list(Counter(p).items()), n) for p, n in found]
-    return out + [(list(p), n) for held in gaps.values() for p, n in held]
+    return [(list(p), n) for held in gaps.values() for p, n in held]
+
+
+def parts(counts: dict[int, int], capacity: int) -> tuple[Combos, Patterns]:
+    """The run of exact combinations that is consumed, and the best-fit sequences of the rest."""
+    left = np.zeros(capacity + 1, np.int64)
+    for length, n in counts.items():
+        left[length] = n
+    found = complements(left, capacity)
+
+    def rest(k: int) -> np.ndarray:
+        """The counts after the first ``k`` exact combinations."""
+        out = left.copy()
+        for combo, n in found[:k]:
+            np.subtract.at(out, combo, n)
+        return out
+
+    def total(k: int) -> int:
+        return sum(n for _, n in found[:k]) + sum(n for _, n in best_fit(rest(k), capacity))
+
+    steps = sorted({round(len(found) * i / STEPS) for i in range(STEPS + 1)})
+    sizes = {k: total(k) for k in steps}
+    fewest = min(sizes.values())
+    low = max(k for k, n in sizes.items() if n == fewest)
+    high = min((k for k in steps if k > low), default=low)
+    while high - low > 1:  # between two steps: as far as the rest still closes
+        mid = (low + high) // 2
+        low, high = (mid, high) if total(mid) <= fewest else (low, mid)
+    return found[:low], best_fit(rest(low), capacity)
+
+
+def plan(counts: dict[int, int], capacity: int) -> Patterns:
+    """Patterns ``([(length, times), ...], how many sequences)`` that use up ``counts``."""
+    exact, residual = parts(counts, capacity)
+    return [(list(Counter(p).items()), n) for p, n in exact] + residual
 
 
 def placements(patterns: list[tuple[list[tuple[int, int]], int]]) -> np.ndarray:
@@ -165,7 +236,7 @@ def pack(items: DataFrame, capacity: int, order: tuple[str, ...] = ("doc_id", "p
     """``items`` (with ``length`` from 1 to ``capacity``) with ``sequence_id`` and ``offset``.
 
     ``order`` numbers the pieces of a length; rows equal in it may swap places."""
-    items = cut(items)
+    items = cut(items.drop("sequence_id", "offset"))
     counts = {r["length"]: r["n"] for r in items.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most ``capacity`` rows
     if any(not 1 <= k <= capacity for k in counts):
         raise ValueError(f"lengths must be from 1 to {capacity}")

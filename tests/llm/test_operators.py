@@ -371,3 +371,34 @@ def test_pipeline_on_small_table(spark):
     got = c.run(spark, "/root/testdata/sf0.001").collect()
     assert {r.doc_id for r in got} == ids
     assert json.dumps(hashlib.sha256(str(sorted((r.doc_id, r.piece, r.start, r.length) for r in got)).encode()).hexdigest())
+
+
+def test_sums_index_is_kept_up():
+    rng = random.Random(6)
+    left = np.array([0, *[rng.choice([0, 1, 2, 5]) for _ in range(60)]])
+    sums = packing.Sums(left.copy())
+    while (sums.left > 0).any():
+        have = [x for x in range(1, 61) if sums.left[x]]
+        assert sums.pair.tolist() == [sum(a + b == s for a in have for b in have) for s in range(61)]
+        assert sums.triple.tolist() == [sum(a + b + c == s for a in have for b in have for c in have) for s in range(61)]
+        gap = rng.randint(1, 60)
+        combo = sums.fill(gap)
+        if combo:
+            assert sum(combo) == gap and len(combo) <= 3
+        best = 1 if gap in have else 2 if any(sums.left[a] >= 1 + (2 * a == gap) and gap - a in have for a in have) else 3
+        assert combo is None or len(combo) == best
+        assert sums.take(combo or [have[0]], 1) == 1
+
+
+def test_plan_reaches_the_bound_with_pairs_and_triples(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = packing.pieces(docs, BPE, 0, 2048, digests=True).groupBy("length").count().collect()
+    counts = {r.length: r["count"] for r in rows}
+    exact, rest = packing.parts(counts, 2048)
+    assert sum(n for _, n in exact + rest) == -(-sum(k * n for k, n in counts.items()) // 2048) == 481
+    assert all(sum(combo) == 2048 for combo, _ in exact)
+    by = Counter()
+    for combo, n in exact:
+        by[len(combo) - 1] += n
+    assert by[1] and by[2] and by[3]
+    assert sum(n for _, n in packing.best_fit(np.array([counts.get(k, 0) for k in range(2049)]), 2048)) >= 481
