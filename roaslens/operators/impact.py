@@ -7,9 +7,10 @@ groupings use that key, so the four levels share one set of shuffles.
 
 Per-parent quantities (parent totals, sum of raw impacts, ...) are computed
 with ``groupBy`` on the parent key and joined back: the aggregation is partial
-on the map side, and AQE turns the join into a broadcast when the per-parent
-table is small (one row per parent) or splits a skewed parent otherwise, so a
-parent owning a third of all children is never handled by a single task.
+on the map side.  A parent that owns more than ``HOT_CHILDREN`` children and a
+``HOT_SHARE``-th of all is joined apart, by broadcast of its one row (there are
+fewer than ``HOT_SHARE`` such parents), so its children stay spread as they
+were, whatever the adaptive plan does; the others meet in a shuffle.
 
 Selection (D9) needs only the top two children by share and the top k by
 signed impact per parent; ``row_number() <= k`` is planned as a partial
@@ -33,6 +34,7 @@ IMPACT_COLUMNS = [
 ]
 PKEY = ["plevel", "p_SUBSIDIARY", "p_CHANNEL", "p_DIVISION"]
 PARENT_FIELDS = ["parent_delta", "parent_roas_prev", "parent_roas_curr"]
+HOT_CHILDREN, HOT_SHARE = 10_000, 1024
 
 
 def _child_key(df: DataFrame) -> DataFrame:
@@ -47,27 +49,48 @@ def _child_key(df: DataFrame) -> DataFrame:
     })
 
 
-def _join_on_pkey(left: DataFrame, right: DataFrame) -> DataFrame:
+def _join_on_pkey(left: DataFrame, right: DataFrame, hot: bool = False, how: str = "left") -> DataFrame:
     """Equi-join on the parent key; dims below the parent level are null on both sides."""
     r = right.withColumnsRenamed({k: f"__r_{k}" for k in PKEY})
     cond = [left["plevel"] == r["__r_plevel"]] + [left[k].eqNullSafe(r[f"__r_{k}"]) for k in PKEY[1:]]
-    return left.join(r, cond, "left").drop(*[f"__r_{k}" for k in PKEY])
+    return left.join(F.broadcast(r) if hot else r, cond, how).drop(*[f"__r_{k}" for k in PKEY])
 
 
-def all_child_impacts(levels: DataFrame) -> DataFrame:
-    """D1-D7 for every child row of levels 1..4 (``level`` = child level).
+def hot_parents(children: DataFrame) -> DataFrame | None:
+    """The keys of parents with very many children (fewer than ``HOT_SHARE``), or None without any."""
+    counts = children.groupBy(*PKEY).agg(F.count(F.lit(1)).alias("__n"))
+    hot = counts.filter(F.col("__n") > HOT_CHILDREN).orderBy(F.desc("__n")).limit(HOT_SHARE).collect()
+    if not hot:
+        return None
+    total = children.count()
+    rows = [tuple(r[k] for k in PKEY) for r in hot if r["__n"] * HOT_SHARE > total]
+    return children.sparkSession.createDataFrame(rows, "plevel int, p_SUBSIDIARY string, p_CHANNEL string, p_DIVISION string") if rows else None
+
+
+def all_child_impacts(levels: DataFrame, child_level: int | None = None) -> DataFrame:
+    """D1-D7 for every child row of levels 1..4 (``level`` = child level), or of ``child_level`` alone.
 
     Output: ``level``, 4 dims (null below the level), parent key, child_name,
     8 sums, the impact columns and the parent fields.
     """
-    children = _child_key(levels.filter(F.col("level") >= 1))
-    ptot = levels.filter(F.col("level") <= 3).select(
+    of = (F.col("level") >= 1) if child_level is None else (F.col("level") == child_level)
+    children = _child_key(levels.filter(of))
+    above = (F.col("level") <= 3) if child_level is None else (F.col("level") == child_level - 1)
+    ptot = levels.filter(above).select(
         F.col("level").alias("plevel"),
         F.col("SUBSIDIARY").alias("p_SUBSIDIARY"), F.col("CHANNEL").alias("p_CHANNEL"), F.col("DIVISION").alias("p_DIVISION"),
         F.col("Revenue_curr_sum").alias("__p_rev_c"), F.col("Revenue_prev_sum").alias("__p_rev_p"),
         F.col("Spend_curr_sum").alias("__p_sp_c"), F.col("Spend_prev_sum").alias("__p_sp_p"),
     )
-    x = _join_on_pkey(children, ptot)
+    hot = hot_parents(children)
+    if hot is None:
+        return _impacts(children, ptot, False)
+    apart = _impacts(_join_on_pkey(children, hot, True, "left_semi"), _join_on_pkey(ptot, hot, True, "left_semi"), True)
+    return apart.unionByName(_impacts(_join_on_pkey(children, hot, True, "left_anti"), ptot, False))
+
+
+def _impacts(children: DataFrame, ptot: DataFrame, hot: bool) -> DataFrame:
+    x = _join_on_pkey(children, ptot, hot)
     pc = safe_ratio("__p_rev_c", "__p_sp_c")
     pp = safe_ratio("__p_rev_p", "__p_sp_p")
     x = x.withColumns({
@@ -96,7 +119,7 @@ def all_child_impacts(levels: DataFrame) -> DataFrame:
         F.coalesce(F.sum(F.abs("Impact_raw")), F.lit(0.0)).alias("__sabs"),
         F.count(F.lit(1)).alias("__n"),
     )
-    x = _join_on_pkey(x, s1)
+    x = _join_on_pkey(x, s1, hot)
     x = x.withColumn("Residual_parent", F.col("parent_delta") - F.col("__sraw"))
     alloc = (
         F.when(F.col("__sabs") > 0, (F.abs("Impact_raw") / F.col("__sabs")) * F.col("Residual_parent"))
@@ -109,7 +132,7 @@ def all_child_impacts(levels: DataFrame) -> DataFrame:
 
     # shares
     s2 = x.groupBy(*PKEY).agg(F.coalesce(F.sum(F.abs("Impact_adj")), F.lit(0.0)).alias("__sadj"))
-    x = _join_on_pkey(x, s2)
+    x = _join_on_pkey(x, s2, hot)
     x = x.withColumns({
         "Share_childsum": F.when(F.col("__sadj") > 0, F.abs("Impact_adj") / F.col("__sadj")).otherwise(F.lit(0.0)),
         "Share_parentdelta": F.when(F.abs("parent_delta") > 0, F.abs("Impact_adj") / F.abs("parent_delta")).otherwise(F.lit(0.0)),
@@ -118,8 +141,8 @@ def all_child_impacts(levels: DataFrame) -> DataFrame:
 
 
 def child_impacts(levels: DataFrame, child_level: int) -> DataFrame:
-    """Impacts of the children of ``child_level`` only (a filter of the all-level pass)."""
-    return all_child_impacts(levels).filter(F.col("level") == child_level)
+    """Impacts of the children of ``child_level`` only."""
+    return all_child_impacts(levels, child_level)
 
 
 def _topk(df: DataFrame, order: list[Column], k: int, src: str) -> DataFrame:

@@ -36,11 +36,6 @@ def level_rows(levels: DataFrame, level: int) -> DataFrame:
     return levels.filter(F.col("level") == level).select(*dims_of(level), *SUM_COLUMNS)
 
 
-def leaf_sums(engine: DataFrame) -> DataFrame:
-    """A5: 8 sums per 4-dim key (the leaf level without the rollup)."""
-    return engine.groupBy(*DIMENSIONS).agg(*[dsum(m).alias(f"{m}_sum") for m in ENGINE_METRICS])
-
-
 def kpi_pack(df: DataFrame, prefix: str = "") -> list:
     """Revenue / spend / CPC / CVR / AOV / ROAS for both years, YoY and deltas."""
     p = prefix

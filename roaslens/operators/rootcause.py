@@ -88,26 +88,6 @@ def rca_table(leaf: DataFrame, mode: str) -> DataFrame:
     return x.withColumn("primary_driver", engine_driver(mode)).select(*DIMENSIONS, *SUM_COLUMNS, *RCA_FIELDS)
 
 
-def attach_rca(selected: DataFrame, leaf: DataFrame, mode: str) -> DataFrame:
-    """Join the selected leaves to their RCA row; a miss gets NONE / UNDEFINED.
-
-    The RCA side is computed only for the selected keys (semi-join first), so
-    the ratio work scales with the selection, not with the leaf count.
-    """
-    keys = selected.select(*DIMENSIONS).distinct()
-    rca = rca_table(leaf.join(keys, DIMENSIONS, "left_semi"), mode)
-    # Spark resolves names case-insensitively: candidate ``roas_curr`` would clash with ``ROAS_curr``
-    rca_lower = {c.lower() for c in RCA_FIELDS}
-    base = selected.drop(*[c for c in selected.columns if c.lower() in rca_lower])
-    own_sums = [c for c in SUM_COLUMNS]
-    joined = base.join(rca.withColumnsRenamed({c: f"__r_{c}" for c in own_sums}), DIMENSIONS, "left")
-    return joined.withColumns({
-        **{c: F.coalesce(F.col(f"__r_{c}"), F.col(c)) for c in own_sums},
-        "primary_driver": F.coalesce(F.col("primary_driver"), F.lit("NONE")),
-        "tag": F.coalesce(F.col("tag"), F.lit("UNDEFINED")),
-    }).drop(*[f"__r_{c}" for c in own_sums])
-
-
 def attach_rca_by_list(selected: DataFrame, leaf: DataFrame) -> DataFrame:
     """R7 / J6 for issues and improvements together.
 
@@ -161,22 +141,6 @@ def confirmed_driver(mode_col: str = "mode_tag") -> Column:
     )
 
 
-def yoy_driver() -> Column:
-    """Driver from KPI YoY % (display fallback); same tie rule as R8."""
-    def yoy(c, p):
-        return (F.col(c) - F.when(F.col(p) > 0, F.col(p))) / F.when(F.col(p) > 0, F.col(p))
-    cvr, aov, cpc = yoy("CVR_curr", "CVR_prev"), yoy("AOV_curr", "AOV_prev"), yoy("CPC_curr", "CPC_prev")
-    is_issue = F.upper(F.coalesce(F.col("mode_tag"), F.lit(""))) == "ISSUE"
-    sc = F.coalesce(F.when(is_issue, F.when(cvr < 0, -cvr)).otherwise(F.when(cvr > 0, cvr)), F.lit(0.0))
-    sa = F.coalesce(F.when(is_issue, F.when(aov < 0, -aov)).otherwise(F.when(aov > 0, aov)), F.lit(0.0))
-    sp = F.coalesce(F.when(is_issue, F.when(cpc > 0, cpc)).otherwise(F.when(cpc < 0, -cpc)), F.lit(0.0))
-    fc, fa, fp = (F.coalesce(F.abs(v), F.lit(0.0)) for v in (cvr, aov, cpc))
-    return (
-        F.when(F.greatest(sc, sa, sp) > 0, _argmax_driver(sc, sa, sp))
-        .otherwise(_argmax_driver(fc, fa, fp))
-    )
-
-
 def choose_subsidiary_mode(delta: Column, n_issues: Column, n_improves: Column) -> Column:
     """ISSUE or IMPROVE for a subsidiary report."""
     d = F.coalesce(delta, F.lit(0.0))

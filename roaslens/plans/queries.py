@@ -16,21 +16,24 @@ from pyspark.sql import types as T
 from roaslens.config import EngineConfig
 from roaslens.operators.display import fallback_topics
 from roaslens.operators.division import division_headline, division_parallel
+from roaslens.functions.canonical import document
 from roaslens.functions.exprs import paths_text, trace_text
 from roaslens.operators.drill import dedupe_campaigns, scope_eligibility
 from roaslens.operators.focus import FOCUS, RANKS, focus_table, run_focuses
 from roaslens.operators.impact import child_impacts, select_children, selected_children
 from roaslens.operators.levels import kpi_table, level_rows
-from roaslens.operators.rootcause import rca_table
+from roaslens.operators.policy import action_code_expr, checklist_code_expr, with_signals
+from roaslens.operators.rootcause import confirmed_driver, rca_table
 from roaslens.plans import oracle as O
 from roaslens.operators.levels import level_rollup
 from roaslens.plans.pipeline import Analysis, Report, analyze, build_report
 from roaslens.scale import numbered
 from roaslens.schema import DIMENSIONS, ENGINE_COLUMNS, SUM_COLUMNS
 from roaslens.session import apply_engine_conf, cut, ensure_checkpoint_dir, scratch_path
-from roaslens.sinks.report import CAMPAIGN_COLUMNS, campaign_view, output_order, trace_table
+from roaslens.sinks.report import CAMPAIGN_COLUMNS, DECOMPOSITION_METHOD, campaign_view, output_order, trace_table
 from roaslens.sources.ingest import build_engine_frame, engine_frame, filter_counts, mtd_cutoff, normalize_long, parse_error_counts, run_facts, _scoped_input
 from roaslens.sources.mapped import mapped_long_table, month_to_date, text_long_table, write_text_table
+from roaslens.sources.parts import engine_from_parts, refresh
 from roaslens.sources.raw import read_candidates
 
 FULL = EngineConfig(curr_year=O.CURR, prev_year=O.PREV, mtd_only=False)
@@ -209,6 +212,16 @@ def q_text_source_facts(spark, sf_dir):
     return run_facts(_text_source(spark, sf_dir), MTD.curr_year)
 
 
+def q_parts_frame_mtd(spark, sf_dir):
+    """The exported table read year by year into a store of partial sums; the frame comes from the sums."""
+    _prepare(spark)
+    folder = scratch_path(spark, "parts")
+    for y in (MTD.prev_year, MTD.curr_year):
+        mapped_long_table(spark, sf_dir, (y,)).write.mode("append").parquet(f"{folder}/data")
+        refresh(spark, f"{folder}/data", f"{folder}/store", "parquet")
+    return out(engine_from_parts(spark, f"{folder}/store", MTD)[0])
+
+
 def q_wide_frame(spark, sf_dir):
     """P5: the engine frame of the given tables as a wide text table, with commas and a blank, read back."""
     made = report_for(spark, sf_dir).engine
@@ -226,6 +239,34 @@ def q_improvements_ordered(spark, sf_dir):
     return _ordered(spark, sf_dir, "improvements")
 
 
+def q_subsidiary_documents(spark, sf_dir):
+    """Each subsidiary's report as one canonical text, with its top topics, comments and the method."""
+    s = report_for(spark, sf_dir).sections["subsidiary_reports"]
+    topic = s.schema["top3"].dataType
+    s = s.withColumns({"decomposition_method": F.struct(*[F.lit(v).alias(k) for k, v in DECOMPOSITION_METHOD.items()]), "top3": F.coalesce("top3", F.array().cast(topic))})
+    return s.select("SUBSIDIARY", document(s, [c for c in s.columns if c not in ("n_issues", "n_improvements")]).alias("document"))
+
+
+def q_division_documents(spark, sf_dir):
+    s = report_for(spark, sf_dir).sections["division_parallel_contribution"]
+    return s.select("SUBSIDIARY", document(s, s.columns).alias("document"))
+
+
+def q_leaf_documents(spark, sf_dir):
+    """Drilled leaves with their nested trace."""
+    s = report_for(spark, sf_dir).analysis.run.drill.leaves.select(*DIMENSIONS, "Impact_adj", "drill_trace")
+    return s.select(*DIMENSIONS, document(s, s.columns).alias("document"))
+
+
+def q_card_documents(spark, sf_dir):
+    """K6: cards with their nested topics, their figures and texts."""
+    s = report_for(spark, sf_dir).sections["report_cards"]
+    keep = ["pick_no", "CHANNEL", "DIVISION", "PRODUCT", "source", "driver", "yoy_leader", "contribution_label", "impact_contribution_text", "reason_text", "so_what_text", "what_text"]
+    topics = F.transform("topics", lambda t: F.struct(*[t.getField(c).alias(c) for c in keep]))
+    s = s.withColumn("topics", topics)
+    return s.select("SUBSIDIARY", document(s, ["SUBSIDIARY", "display_mode", "topics", "revenue_curr", "revenue_yoy", "roas_curr", "roas_yoy", "headline_division", "headline_pct"]).alias("document"))
+
+
 def _ordered(spark, sf_dir, name):
     rows = getattr(report_for(spark, sf_dir).analysis, name)
     return out(numbered(rows.select("diagnosis_subsidiary", *DIMENSIONS, "Impact_adj", "mode_tag"), output_order(name)))
@@ -373,6 +414,22 @@ def q_policy_actions(spark, sf_dir):
     return a.issues.select(*cols).unionByName(a.improvements.select(*cols))
 
 
+# Channel names by order priority, so that every channel type occurs.
+CHANNEL_NAMES = {"1-URGENT": "Paid search brand", "2-HIGH": " pmax shopping", "3-MEDIUM": "Performance Max EU"}
+
+
+def q_policy_codes(spark, sf_dir):
+    """R9-R12 for every product in all three modes: tag, confirmed driver, channel type and the two codes."""
+    leaf = level_rows(report_for(spark, sf_dir).levels, 4)
+    rows = None
+    for mode in ("ISSUE", "IMPROVE", "DEFENSE"):
+        x = rca_table(leaf, "ISSUE" if mode == "ISSUE" else "IMPROVE").withColumn("mode_tag", F.lit(mode))
+        rows = x if rows is None else rows.unionByName(x)
+    names = F.coalesce(*[F.when(F.col("CHANNEL") == k, F.lit(v)) for k, v in CHANNEL_NAMES.items()], F.col("CHANNEL"))
+    rows = with_signals(rows.withColumns({"CHANNEL": names, "primary_driver": confirmed_driver()}))
+    return rows.select(*DIMENSIONS, "mode_tag", "tag", "primary_driver", F.col("__sig_ctype").alias("channel_type"), action_code_expr().alias("action_code"), checklist_code_expr().alias("checklist_code"))
+
+
 def q_division_parallel(spark, sf_dir):
     return out(division_parallel(report_for(spark, sf_dir).levels))
 
@@ -652,11 +709,130 @@ ev AS (
 )"""
 
 
+def _money_sql(x: str) -> str:
+    a = f"abs({x})"
+    return (f"CASE WHEN {a} IS NULL THEN '$0' WHEN {a} >= 1000000 THEN '$' || printf('%.1f', round({a} / 1000000, 1)) || 'M' "
+            f"WHEN {a} >= 1000 THEN '$' || printf('%.0f', round({a} / 1000, 0)) || 'K' ELSE '$' || printf('%.0f', round({a}, 0)) END")
+
+
+def _pct_sql(x: str) -> str:
+    return f"CASE WHEN {x} IS NULL THEN 'N/A' ELSE printf('%.0f', round({x} * 100, 0) + 0.0) || '%' END"
+
+
+def _yoy_sql(x: str) -> str:
+    return f"CASE WHEN {x} IS NULL THEN 'N/A' ELSE printf('%.0f', round({x} * 100, 0) + 0.0) || '% YoY' END"
+
+
+def _roas_sql(x: str) -> str:
+    return f"CASE WHEN {x} IS NULL THEN 'N/A' ELSE printf('%.1f', round({x}, 1) + 0.0) END"
+
+
+def _num(x: str) -> str:
+    return f"coalesce(printf('%.6f', round({x}, 6) + 0.0), 'null')"
+
+
+def _txt(x: str) -> str:
+    return f"""coalesce('"' || replace(replace({x}, '\\', '\\\\'), '"', '\\"') || '"', 'null')"""
+
+
+def _int(x: str) -> str:
+    return f"coalesce(CAST({x} AS VARCHAR), 'null')"
+
+
+def _obj(items: dict[str, str]) -> str:
+    return "'{' || " + " || ',' || ".join(f"""'"{k}":' || {v}""" for k, v in sorted(items.items())) + " || '}'"
+
+
+def _list(item: str, order: str) -> str:
+    return f"'[' || coalesce(string_agg({item}, ',' ORDER BY {order}), '') || ']'"
+
+
+def _document_sql(kpi_cols: str, packs: str) -> dict[str, str]:
+    """Canonical texts composed in SQL, field by field."""
+    q: dict[str, str] = {}
+    topic = _obj({"pick_no": _int("pick_no"), "CHANNEL": _txt("CHANNEL"), "DIVISION": _txt("DIVISION"), "PRODUCT": _txt("PRODUCT"), "mode_tag": _txt("mode_tag"),
+                  "impact_contribution_pct": _num("impact_contribution_pct"), "impact_contribution_text": _txt(_pct_sql("impact_contribution_pct")), "primary_driver": _txt("primary_driver"),
+                  "topic_roas_delta": _num("topic_roas_delta")})
+    line = ("pick_no || ') ' || CHANNEL || '/' || DIVISION || '/' || PRODUCT || ': share of ROAS {0} ' || " + _pct_sql("impact_contribution_pct") + " || ', lever ' || coalesce(primary_driver, 'NONE')")
+    d0 = "coalesce(r.roas_delta, 0.0)"
+    overall = (f"r.SUBSIDIARY || ' ROAS ' || {_roas_sql('r.roas_curr')} || ' (' || {_yoy_sql('r.roas_yoy')} || '), ' || CASE WHEN {d0} < 0 THEN 'down' WHEN {d0} > 0 THEN 'up' ELSE 'flat' END "
+               f"|| '. Revenue ' || {_money_sql('r.rev_curr')} || ' (' || {_yoy_sql('r.rev_yoy')} || '), spend ' || {_money_sql('r.spend_curr')} || ' (' || {_yoy_sql('r.spend_yoy')} || '). Top 3 ' "
+               "|| CASE WHEN r.mode = 'ISSUE' THEN 'issues' ELSE 'improvements' END || ' by ROAS.'")
+    method = _obj({k: "'\"" + v.replace("'", "''") + "\"'" for k, v in DECOMPOSITION_METHOD.items()})
+    fields = {"SUBSIDIARY": _txt("r.SUBSIDIARY"), "mode": _txt("r.mode"), "top3": "coalesce(r.top3, '[]')", "overall_comment": _txt(overall),
+              "detailed_comment": _txt("CASE WHEN r.top3 IS NULL THEN 'No top 3 selected.' ELSE r.lines END"), "decomposition_method": method, **{k: _num(f"r.{k}") for k in KPI}}
+    q["subsidiary_documents"] = O.topics_ctes() + f""",
+perf AS (SELECT SUBSIDIARY, {kpi_cols} FROM levels WHERE level = 1),
+ni AS (SELECT diagnosis_subsidiary AS SUBSIDIARY, count(*) AS n, {_list(topic, 'pick_no')} AS top3, string_agg({line.format('decline')}, ' | ' ORDER BY pick_no) AS lines FROM ipick GROUP BY 1),
+nm AS (SELECT diagnosis_subsidiary AS SUBSIDIARY, count(*) AS n, {_list(topic, 'pick_no')} AS top3, string_agg({line.format('improvement')}, ' | ' ORDER BY pick_no) AS lines FROM mpick GROUP BY 1),
+md AS (
+  SELECT p.*, ni.top3 AS it, ni.lines AS il, nm.top3 AS mt, nm.lines AS ml,
+         CASE WHEN coalesce(coalesce(p.roas_delta, p.rev_delta), 0.0) < 0 THEN CASE WHEN coalesce(ni.n, 0) > 0 THEN 'ISSUE' ELSE 'IMPROVE' END
+              WHEN coalesce(nm.n, 0) > 0 THEN 'IMPROVE' WHEN coalesce(ni.n, 0) > 0 THEN 'ISSUE' ELSE 'IMPROVE' END AS mode
+  FROM perf p LEFT JOIN ni ON p.SUBSIDIARY = ni.SUBSIDIARY LEFT JOIN nm ON p.SUBSIDIARY = nm.SUBSIDIARY
+),
+r AS (SELECT *, CASE WHEN mode = 'ISSUE' THEN it ELSE mt END AS top3, CASE WHEN mode = 'ISSUE' THEN il ELSE ml END AS lines FROM md)
+SELECT r.SUBSIDIARY, {_obj(fields)} AS document FROM r"""
+
+    row = {c: _num(c) for c in DIV_OUT if c in DIV_DOUBLES} | {c: _txt(c) for c in ("SUBSIDIARY", "DIVISION", "Impact_raw_method", "Contribution_label")}
+    row |= {"Residual_applied_flag": _int("Residual_applied_flag"), "division_rank": _int("division_rank"), "summary_text": _txt(_division_text_sql())}
+    pr = [O.ratio(f"p.Revenue_{y}_sum", f"p.Spend_{y}_sum") for y in ("curr", "prev")]
+    block = {"SUBSIDIARY": _txt("p.SUBSIDIARY"), "Parent_roas_curr": _num(pr[0]), "Parent_roas_prev": _num(pr[1]), "Parent_roas_delta": _num(f"coalesce({pr[0]} - {pr[1]}, 0.0)"),
+             "Parent_roas_yoy_pct": _num(O.pct(*pr)), "rows": "x.held"}
+    q["division_documents"] = _division_sql() + f""",
+x AS (SELECT SUBSIDIARY, {_list(_obj(row), 'division_rank')} AS held FROM d GROUP BY SUBSIDIARY)
+SELECT p.SUBSIDIARY, {_obj(block)} AS document FROM levels p JOIN x ON x.SUBSIDIARY = p.SUBSIDIARY WHERE p.level = 1"""
+
+    def node(a: str, n: int) -> str:
+        path = _obj({d: _txt(f"{a}.{d}") if i < n else "'null'" for i, d in enumerate(DIMENSIONS)})
+        return _obj({"level": f"""'"LEVEL{n}"'""", "rule": _txt(f"{a}.rule"), "selected_path": path, "impact_adj": _num(f"{a}.Impact_adj"), "share_childsum": _num(f"{a}.Share_childsum")})
+    trace = "'[' || " + " || ',' || ".join(node(f"s{k}", k) for k in (2, 3, 4)) + " || ']'"
+    leaf = {**{d: _txt(f"s4.{d}") for d in DIMENSIONS}, "Impact_adj": _num("s4.Impact_adj"), "drill_trace": trace}
+    q["leaf_documents"] = O.drill_ctes() + f"""
+SELECT {', '.join(f's4.{d}' for d in DIMENSIONS)}, {_obj(leaf)} AS document
+FROM sel4 s4 JOIN sel3 s3 ON s3.SUBSIDIARY = s4.SUBSIDIARY AND s3.CHANNEL = s4.CHANNEL AND s3.DIVISION = s4.DIVISION JOIN sel2 s2 ON s2.SUBSIDIARY = s4.SUBSIDIARY AND s2.CHANNEL = s4.CHANNEL"""
+
+    figures = lambda a: (f"'Revenue ' || {_money_sql(a + '.revenue_curr')} || ' (' || {_yoy_sql(a + '.revenue_yoy')} || ') | Cost ' || {_money_sql(a + '.cost_curr')} || ' (' || {_yoy_sql(a + '.cost_yoy')} "
+                         f"|| ') | ROAS ' || {_roas_sql(a + '.roas_curr')} || ' (' || {_yoy_sql(a + '.roas_yoy')} || ')'")
+    up = {k: f"coalesce(pr.{k}_yoy, 0.0) * CASE WHEN (m.card_mode = 'ISSUE') = {'TRUE' if k == 'cpc' else 'FALSE'} THEN 1 ELSE -1 END" for k in ("cvr", "aov", "cpc")}
+    yoy = lambda kpi: f"CASE {kpi} WHEN 'CVR' THEN cvr_yoy WHEN 'AOV' THEN aov_yoy WHEN 'CPC' THEN cpc_yoy END"
+    reason = (f"CASE WHEN {yoy('driver')} IS NULL THEN driver || ': last year unknown' WHEN driver = yoy_leader THEN driver || ' ' || {_pct_sql(yoy('driver'))} || ', more than any other lever' "
+              f"WHEN yoy_leader IS NOT NULL THEN driver || ' ' || {_pct_sql(yoy('driver'))} || '; ' || yoy_leader || ' leads with ' || {_pct_sql(yoy('yoy_leader'))} ELSE driver || ' ' || {_pct_sql(yoy('driver'))} END")
+    item = _obj({"pick_no": _int("pick_no"), **{c: _txt(c) for c in ("CHANNEL", "DIVISION", "PRODUCT", "source", "driver", "yoy_leader", "contribution_label", "what_text")},
+                 "impact_contribution_text": _txt("share"), "reason_text": _txt(reason), "so_what_text": _txt("PRODUCT || ': ' || contribution_label || ' ' || share || ', lever ' || driver")})
+    card = {"SUBSIDIARY": _txt("s.SUBSIDIARY"), "display_mode": _txt("s.display_mode"), "topics": "coalesce(x.held, '[]')", "headline_division": _txt("s.headline_division"), "headline_pct": _num("s.hp"),
+            **{c: _num(f"k.{c}") for c in ("revenue_curr", "revenue_yoy", "roas_curr", "roas_yoy")}}
+    q["card_documents"] = (packs, figures, up, item, card)  # put together with the card summary below
+    return q
+
+
+def _card_documents_sql(parts: tuple, summary: str) -> str:
+    packs, figures, up, item, card = parts
+    return packs + f""",
+ct AS (
+  SELECT m.diagnosis_subsidiary, m.card_mode, CAST(m.pick_no AS BIGINT) AS pick_no, m.CHANNEL, m.DIVISION, m.PRODUCT, m.source, m.primary_driver AS driver, {_pct_sql('m.impact_contribution_pct')} AS share,
+         pr.cvr_yoy, pr.aov_yoy, pr.cpc_yoy,
+         CASE WHEN m.card_mode = 'ISSUE' THEN CASE WHEN m.source = 'selected' OR pr.revenue_delta < 0 THEN 'part of the fall' ELSE 'counterweight' END
+              WHEN m.source = 'selected' OR pr.revenue_delta > 0 THEN 'part of the rise' ELSE 'drag' END AS contribution_label,
+         CASE WHEN {up['cvr']} > 0 AND {up['cvr']} >= {up['cpc']} AND {up['cvr']} >= {up['aov']} THEN 'CVR'
+              WHEN {up['cpc']} > 0 AND {up['cpc']} >= {up['aov']} THEN 'CPC' WHEN {up['aov']} > 0 THEN 'AOV' END AS yoy_leader,
+         m.CHANNEL || ': ' || {figures('ch')} || '; ' || m.DIVISION || ': ' || {figures('dn')} AS what_text
+  FROM merged m
+  LEFT JOIN packs ch ON ch.level = 2 AND ch.SUBSIDIARY = m.diagnosis_subsidiary AND ch.CHANNEL = m.CHANNEL
+  LEFT JOIN packs dn ON dn.level = 3 AND dn.SUBSIDIARY = m.diagnosis_subsidiary AND dn.CHANNEL = m.CHANNEL AND dn.DIVISION = m.DIVISION
+  LEFT JOIN packs pr ON pr.level = 4 AND pr.SUBSIDIARY = m.diagnosis_subsidiary AND pr.CHANNEL = m.CHANNEL AND pr.DIVISION = m.DIVISION AND pr.PRODUCT = m.PRODUCT
+),
+x AS (SELECT diagnosis_subsidiary, card_mode, {_list(item, 'pick_no')} AS held FROM ct GROUP BY ALL)""" + summary + f"""
+SELECT s.SUBSIDIARY, {_obj(card)} AS document
+FROM s JOIN packs k ON k.level = 1 AND k.SUBSIDIARY = s.SUBSIDIARY LEFT JOIN x ON x.diagnosis_subsidiary = s.SUBSIDIARY AND x.card_mode = s.display_mode"""
+
+
 def _oracle() -> dict[str, str]:
     q: dict[str, str] = {}
     eng_d = set(ENGINE_COLUMNS[4:])
     q["engine_frame"] = O.engine_ctes() + f" SELECT {_sql_round(ENGINE_COLUMNS, eng_d)} FROM engine"
     q["engine_frame_mtd"] = O.engine_ctes(mtd=True) + f" SELECT {_sql_round(ENGINE_COLUMNS, eng_d)} FROM engine"
+    q["parts_frame_mtd"] = q["engine_frame_mtd"]
     q["objective_filter_counts"] = "WITH " + O.raw_cte() + """
 SELECT count(*) AS objective_rows_before,
        count(*) FILTER (WHERE upper(trim(OBJECTIVE)) = 'CONVERSION') AS objective_rows_after,
@@ -702,6 +878,17 @@ SELECT (SELECT m FROM c) AS mtd_month,
     q["confirmed_driver"] = O.enriched_ctes() + f" SELECT {cd_cols} FROM issues UNION ALL SELECT {cd_cols} FROM impr"
     pa_cols = f"{', '.join(DIMENSIONS)}, mode_tag, tag, primary_driver, action_code, checklist_code, recommended_actions, action_checklist"
     q["policy_actions"] = O.enriched_ctes() + f" SELECT {pa_cols} FROM issues UNION ALL SELECT {pa_cols} FROM impr"
+    kind = "CASE CHANNEL WHEN '1-URGENT' THEN 'SEARCH' WHEN '2-HIGH' THEN 'PMAX' WHEN '3-MEDIUM' THEN 'PMAX' ELSE 'OTHER' END"
+    named = "CASE CHANNEL " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in CHANNEL_NAMES.items()) + " ELSE CHANNEL END"
+    leaf_rows = "(SELECT * FROM levels WHERE level = 4)"
+    modes = " UNION ALL ".join(f"SELECT *, '{m}' AS mode_tag FROM {O.rca_select(leaf_rows, 'ISSUE' if m == 'ISSUE' else 'IMPROVE')}" for m in ("ISSUE", "IMPROVE", "DEFENSE"))
+    q["policy_codes"] = O.engine_ctes() + f""",
+pm AS ({modes}),
+pc AS (SELECT *, {O.confirmed_sql()} AS driver, {kind} AS kind FROM pm)
+SELECT SUBSIDIARY, {named} AS CHANNEL, DIVISION, PRODUCT, mode_tag, tag, driver AS primary_driver, kind AS channel_type,
+       CASE WHEN tag <> 'NORMAL' THEN 'TAG_' || tag WHEN mode_tag = 'ISSUE' THEN 'ISSUE_' || driver || '_' || kind ELSE 'IMPROVE_' || driver || '_' || kind END AS action_code,
+       CASE WHEN tag <> 'NORMAL' THEN 'TAG_' || tag WHEN mode_tag = 'ISSUE' THEN 'ISSUE_' || driver || '_' || kind ELSE 'SCALE_' || driver || '_' || kind END AS checklist_code
+FROM pc"""
     q["division_parallel"] = _division_sql() + f" SELECT {_sql_round(DIV_OUT, DIV_DOUBLES)}, {_division_text_sql()} AS summary_text FROM d"
     q["division_headline"] = _division_sql() + """,
 h AS (
@@ -783,6 +970,7 @@ FROM rep_mode r LEFT JOIN merged m ON m.diagnosis_subsidiary = r.SUBSIDIARY AND
 GROUP BY r.SUBSIDIARY, r.display_mode"""
     q.update(O.text_queries(FULL, MTD))
     q.update(O.focus_queries(_sql_round, IMPACT_DOUBLES))
+    q.update(_document_sql(kpi_cols, packs))
     for name, src, way in (("issues_ordered", "issues", "ASC"), ("improvements_ordered", "impr", "DESC")):
         q[name] = O.enriched_ctes() + f""" SELECT diagnosis_subsidiary, {', '.join(DIMENSIONS)}, {O.rnd('Impact_adj')} AS Impact_adj, mode_tag,
        row_number() OVER (ORDER BY diagnosis_subsidiary, Impact_adj {way}, CHANNEL, DIVISION, PRODUCT) AS position FROM {src}"""
@@ -798,6 +986,11 @@ LEFT JOIN (
   SELECT SUBSIDIARY, DIVISION, division_rank, 'IMPROVE', Contribution_to_growth_pct FROM d WHERE Contribution_label = 'GROWTH_DRIVER' AND Contribution_to_growth_pct > 0
 ) h ON h.SUBSIDIARY = r.SUBSIDIARY AND h.mode = r.display_mode
 QUALIFY row_number() OVER (PARTITION BY r.SUBSIDIARY ORDER BY h.pct DESC, h.division_rank) = 1"""
+    base = O.display_ctes()
+    whole = q["card_summary"][len(base):]  # its own steps, then the rows, which become the step ``s``
+    steps, rows = whole.rsplit("\nSELECT r.SUBSIDIARY, r.display_mode, h.DIVISION", 1)
+    summary = steps + ",\ns AS (SELECT r.SUBSIDIARY, r.display_mode, h.DIVISION" + rows.replace("AS headline_pct,", "AS headline_pct, h.pct AS hp,") + ")"
+    q["card_documents"] = _card_documents_sql(q["card_documents"], summary)
     return q
 
 
@@ -828,6 +1021,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rca_join_improvements": q_rca_join_improvements,
     "confirmed_driver": q_confirmed_driver,
     "policy_actions": q_policy_actions,
+    "policy_codes": q_policy_codes,
     "division_parallel": q_division_parallel,
     "division_headline": q_division_headline,
     "topic_contribution": q_topic_contribution,
@@ -853,12 +1047,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "text_source_frame_mtd": q_text_source_frame_mtd,
     "text_source_facts": q_text_source_facts,
     "wide_frame": q_wide_frame,
+    "parts_frame_mtd": q_parts_frame_mtd,
     "issues_ordered": q_issues_ordered,
     "improvements_ordered": q_improvements_ordered,
     "drill_focuses": q_drill_focuses,
     "focus_events": q_focus_events,
     "focus_selections": q_focus_selections,
     "merged_runs": q_merged_runs,
+    "subsidiary_documents": q_subsidiary_documents,
+    "division_documents": q_division_documents,
+    "leaf_documents": q_leaf_documents,
+    "card_documents": q_card_documents,
 }
 
 ORACLE: dict[str, str] = _oracle()

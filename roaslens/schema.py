@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# Fixed values of the input and output contract: dimensions, metrics, engine columns, level-sum columns.
 DIMENSIONS: list[str] = ["SUBSIDIARY", "CHANNEL", "DIVISION", "PRODUCT"]
 METRICS: list[str] = ["Spend", "Revenue", "Clicks", "Orders"]
 ENGINE_METRICS: list[str] = [

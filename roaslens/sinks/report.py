@@ -127,12 +127,20 @@ def comparison_window_text(meta: dict[str, Any]) -> str:
     return window + ("; " + "; ".join(filters) if filters else "")
 
 
+#: K1: how the figures of the summary came about, in this project's words.
+DECOMPOSITION_METHOD = {
+    "division_contribution_pct": "share of the subsidiary's ROAS change in its own direction, from Impact_adj",
+    "impact_adj": "Impact_raw plus the residual, dealt to the children by |Impact_raw|",
+    "impact_raw": "log-mean (LMDI) part of the parent's ROAS change; the plain difference where a logarithm is undefined",
+}
+
+
 def write_summary(spark: SparkSession, sections: dict[str, DataFrame], meta: dict[str, Any], out_dir: str) -> None:
     """K1: the summary document as one JSON directory per section plus a meta row."""
     for name, df in sections.items():
         df.write.mode("overwrite").json(f"{out_dir.rstrip('/')}/summary/{name}")
-    spark.createDataFrame([(json.dumps(meta, default=str),)], "comparison_meta string") \
-        .write.mode("overwrite").text(f"{out_dir.rstrip('/')}/summary/comparison_meta")
+    for name, value in (("comparison_meta", meta), ("decomposition_method", DECOMPOSITION_METHOD)):
+        spark.range(1).select(F.lit(json.dumps(value, default=str, sort_keys=True)).alias("value")).write.mode("overwrite").text(f"{out_dir.rstrip('/')}/summary/{name}")
 
 
 def write_snapshot(engine: DataFrame, path: str, run_key: str, meta: dict[str, Any]) -> None:

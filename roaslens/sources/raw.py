@@ -73,9 +73,9 @@ def _width(line: F.Column, sep: str) -> F.Column:
     return F.size(F.split(bare, s, -1))
 
 
-def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of a text file or folder with their place: file, start of the split, number in this read."""
-    return spark.read.text(path).select(
+def _lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """Lines of text files or a folder with their place: file, start of the split, number in this read."""
+    return spark.read.text(path if isinstance(path, str) else list(path)).select(
         F.regexp_replace("value", "^\ufeff", "").alias("__line"), F.col("_metadata.file_path").alias("__file"),
         F.col("_metadata.file_block_start").alias("__block"), F.monotonically_increasing_id().alias("__id"),
     )
@@ -85,7 +85,7 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
 class TextTable:
     """What one read of a text candidate has told: its names, and whether a row looked like a header."""
 
-    path: str
+    path: str | tuple[str, ...]
     sep: str
     names: tuple[str, ...]
     found: bool
@@ -124,14 +124,15 @@ def discover(spark: SparkSession, candidates: Sequence[tuple[str, str]]) -> list
     return out
 
 
-def read_text_table(spark: SparkSession, table: TextTable | None, known_only: bool = False) -> DataFrame:
+def read_text_table(spark: SparkSession, table: TextTable | None, known_only: bool = False, file_column: str | None = None) -> DataFrame:
     """S3: the data of a discovered table, all columns text; all-null rows are dropped, short rows null-padded.
 
     The lines are read once; what is no blank row is written with its place, and only then title rows go: each file is
     data below its own first header row, by places of this same read, so neither splits nor
-    partitions of another read matter.  With ``known_only`` (S5) just the engine's columns are written."""
+    partitions of another read matter.  With ``known_only`` (S5) just the engine's columns are written; ``file_column``
+    adds the path of each row's file."""
     if table is None:
-        return spark.createDataFrame([], "c string")
+        return spark.createDataFrame([], "c string" + (f", {file_column} string" if file_column else ""))
     if not table.names:
         raise ValueError(f"files of {table.path} have different headers")
     names = standard_names(table.names)
@@ -142,7 +143,8 @@ def read_text_table(spark: SparkSession, table: TextTable | None, known_only: bo
     rows = lines.select(F.from_csv("__line", schema, {"sep": table.sep}).alias("__row"), "__file", "__block", "__id", _qualifies(_header_cells(F.col("__line"), table.sep)).alias("__head"))
     rows = rows.filter(F.coalesce(*[F.col(f"__row._c{i}") for i in range(len(names))]).isNotNull())
     held = cut(rows.select("__file", "__block", "__id", "__head", *[F.col(f"__row._c{i}").alias(f"__c{i}") for i in places]))
-    data = [f"__c{i}" for i in places]
+    data = [f"__c{i}" for i in places] + (["__file"] if file_column else [])
+    kept = [*kept, file_column] if file_column else kept
     at = F.struct("__block", "__id")
     if table.found:
         marks = cut(held.groupBy("__file").agg(F.count(F.lit(1)).alias("__rows"), F.min(F.when(F.col("__head"), at)).alias("__top")))

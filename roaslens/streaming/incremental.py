@@ -5,8 +5,8 @@ same row-level normalisation and filters as the batch path (F1, F2, P4, F3),
 and keeps the eight conditional sums per leaf as streaming state
 (``outputMode("complete")``: the state holds one row per leaf, not per input
 row).  The month-to-date window needs the latest month of the whole input,
-which is a batch notion; it is applied per micro-batch on the complete result
-by re-running the batch plan, so the stream supports full-year comparisons.
+which is a batch notion: the stream supports full-year comparisons and refuses
+the other; ``sources.parts`` serves it incrementally.
 """
 
 from __future__ import annotations
@@ -14,7 +14,6 @@ from __future__ import annotations
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roaslens.config import EngineConfig
@@ -31,12 +30,12 @@ def engine_frame_stream(spark: SparkSession, path: str, schema: T.StructType, cf
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     raw = standardize_known_columns(reader.load(path))
     long_df = filter_years(normalize_long(_scoped_input(raw)), cfg.curr_year, cfg.prev_year)
-    # the spend filter (F4) is a filter on the aggregate; in complete mode it is applied by the consumer
+    # with F4, the spend filter, on the aggregate
     return pivot_to_engine(long_df, cfg.curr_year, cfg.prev_year)
 
 
 def report_each_batch(build: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` adapter: the complete engine frame of each trigger -> batch report."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        build(batch.filter(F.col("Spend_curr") > 0), batch_id)
+        build(batch, batch_id)
     return run
