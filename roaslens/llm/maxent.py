@@ -50,6 +50,14 @@ def held_out(id_col: str = "doc_id"):
 BLOCKS = "block long, doc_ids array<long>, held array<boolean>, ends array<int>, vocab array<long>, tf array<int>, tokens binary"
 
 
+class Numbers(dict):
+    """Numbers keys in the order in which they are first asked for."""
+
+    def __missing__(self, key: bytes) -> int:
+        n = self[key] = len(self)
+        return n
+
+
 def token_blocks(docs: DataFrame) -> DataFrame:
     """Blocks (``BLOCKS``): ``tokens`` number the block's ``vocab`` (hashes); ``tf`` counts training tokens."""
 
@@ -59,12 +67,10 @@ def token_blocks(docs: DataFrame) -> DataFrame:
             for some in runs(pdf["text"].tolist(), BLOCK_CHARS):
                 rows = pdf.iloc[done : done + len(some)]
                 done += len(some)
-                number: dict[bytes, int] = {END: 0}
+                number = Numbers({END: 0})
                 parts = []
                 for text in some:
                     words = text.encode("utf-8", "surrogatepass").lower().split()
-                    for w in set(words):
-                        number.setdefault(w, len(number))
                     words.append(END)
                     parts.append(np.fromiter(map(number.__getitem__, words), np.int32, len(words)))
                 tokens, sizes = np.concatenate(parts), np.array([len(x) for x in parts])
