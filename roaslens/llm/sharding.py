@@ -58,8 +58,8 @@ def row_at(shard: int, slot: int, shards: int, n: int, key: int) -> int:
 
 def shard(rows: DataFrame, shards: int, key: int, order: list[str]) -> DataFrame:
     """``rows`` with ``row`` (number in ``order``), ``shard`` and ``slot``.  Rows are range-partitioned and
-    written once; pass the columns that are wanted, not whole texts."""
-    rows = cut(rows)
+    written once; pass the columns that are wanted, not whole texts.  Columns of these three names are replaced."""
+    rows = cut(rows.drop("row", "shard", "slot"))
     n = rows.count()
 
     @F.pandas_udf("shard int, slot long")

@@ -203,7 +203,7 @@ def remove_repeats(docs: DataFrame, match: int = 200, gram: int = 64, batches: i
     """``docs`` with ``n_bytes``, ``n_removed``, ``n_spans``, ``kept`` (the remaining bytes) and ``kept_sha256``.
 
     ``as_text``: leave the parts of a character that a cut has split out of ``kept``, so that it is UTF-8."""
-    spans = find_repeats(docs, match, gram, batches, group, text_col).withColumnRenamed("k1", "_k1").withColumnRenamed("k2", "_k2")
+    spans = find_repeats(docs, match, gram, batches, group, text_col).withColumnsRenamed({"k1": "_k1", "k2": "_k2", "spans": "_spans"})
     docs = docs.drop("n_bytes", "n_removed", "n_spans", "kept", "kept_sha256")
     k1, k2 = row_key()
     joined = docs.withColumns({"_a": k1, "_b": k2})
@@ -223,5 +223,5 @@ def remove_repeats(docs: DataFrame, match: int = 200, gram: int = 64, batches: i
             rows.append((len(data), len(data) - len(kept), len(a), text, hashlib.sha256(kept).hexdigest()))
         return pd.DataFrame(rows, columns=["n_bytes", "n_removed", "n_spans", "kept", "kept_sha256"])
 
-    done = joined.withColumn("_r", apply(text_or_empty(text_col), "spans"))
+    done = joined.withColumn("_r", apply(text_or_empty(text_col), "_spans"))
     return done.select(*docs.columns, "_r.n_bytes", "_r.n_removed", "_r.n_spans", "_r.kept", "_r.kept_sha256")

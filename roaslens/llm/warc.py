@@ -6,8 +6,10 @@ title, language and links, the conversion block is the page's text in UTF-8.  Re
 name-based UUIDs of the source id and the record type, so a repeated or retried run gives the same records.
 
 Null bodies count as empty, null URLs leave the target header out; equal rows give equal records; an
-empty table gives none.  Very long pages are handled one at a time.  Other columns pass through
-``keep``.
+empty table gives none.  Other columns pass through ``keep``; one named like a result is replaced by it.
+
+Markup is read in one pass forward, whatever it looks like: once a search for the end of a tag has failed, none
+behind it is made again, so broken pages of any length take time in proportion.
 """
 
 from __future__ import annotations
@@ -25,22 +27,79 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 VERSION = "WARC/1.1"
-_HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
+_HIDDEN = re.compile(r"<!--|<(script|style|noscript|template)\b", re.I)
 _BREAK = re.compile(r"</?(?:address|article|aside|blockquote|br|dd|div|dl|dt|figure|footer|form|h[1-6]|header|hr|li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul)\b[^>]*>", re.I)
 _TAG = re.compile(r"<[/!?a-zA-Z][^>]*>")
 _SPACES = re.compile(r"[^\S\n]+")
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title", re.S | re.I)
-_LANG = re.compile(r"<html\b[^>]*\blang\s*=\s*[\"']?([\w-]+)", re.I)
-_LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
+_TITLE, _TITLE_END = re.compile(r"<title\b", re.I), re.compile(r"</title", re.I)
+_HTML, _LANG = re.compile(r"<html\b[^>]*", re.I), re.compile(r"(?=\blang\s*=\s*[\"']?([\w-]+))", re.I)
+_ANCHOR, _HREF = re.compile(r"<a\b", re.I), re.compile(r"\bhref\s*=\s*", re.I)
+_VALUE = re.compile(r"\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)")
+_CLOSE = {x: re.compile(rf"</{x}\s*>", re.I) for x in ("script", "style", "noscript", "template")}
+
+
+def visible(page: str) -> str:
+    """The page with a space for each comment and each element whose text is not shown, up to its end or the page's."""
+    out, at, from_ = [], 0, 0
+    open_tags = True  # there may be an end of a tag ahead
+    while m := _HIDDEN.search(page, from_):
+        if m[1] is None:
+            end = page.find("-->", m.end())
+            end = len(page) if end < 0 else end + 3
+        else:
+            head = page.find(">", m.end()) if open_tags else -1
+            if head < 0:
+                open_tags, from_ = False, m.end()
+                continue
+            close = _CLOSE[m[1].lower()].search(page, head + 1)
+            end = close.end() if close else len(page)
+        out += [page[at : m.start()], " "]
+        at = from_ = end
+    return "".join([*out, page[at:]])
 
 
 def text_of(page: str) -> str:
     """Text of a page: markup, scripts and comments out, block elements on lines of their own."""
-    body = _TAG.sub("", _BREAK.sub("\n", _HIDDEN.sub(" ", page)))
+    shown = visible(page)
+    last = shown.rfind(">") + 1  # no tag ends behind it, and each tag before it does
+    body = _TAG.sub("", _BREAK.sub("\n", shown[:last])) + shown[last:]
     lines = (x.strip() for x in _SPACES.sub(" ", html.unescape(body)).split("\n"))
     return "\n".join(x for x in lines if x)
 
 
+def title_of(page: str) -> str | None:
+    """What stands in the first title element, if it is closed."""
+    if not (m := _TITLE.search(page)) or (head := page.find(">", m.end())) < 0 or not (end := _TITLE_END.search(page, head + 1)):
+        return None
+    return page[head + 1 : end.start()]
+
+
+def language_of(page: str) -> str | None:
+    """The last ``lang`` of the first html tag that has one."""
+    for tag in _HTML.finditer(page):
+        if found := [m[1] for m in _LANG.finditer(tag[0])]:
+            return found[-1]
+    return None
+
+
+def links_of(page: str) -> list[str]:
+    """Targets of the links, in order; a quoted one may hold ``>``."""
+    shown, out, at, end = visible(page), [], 0, -1
+    while tag := _ANCHOR.search(shown, at):
+        at = tag.end()
+        if end < at:  # of the tag, searched for once
+            end = shown.find(">", at)
+            end = len(shown) if end < 0 else end
+        for m in _HREF.finditer(shown, at, end):
+            if value := _VALUE.match(shown, m.end()):
+                out.append(html.unescape(value[1] or value[2] or value[3] or ""))
+                at = value.end()
+                break
+        else:
+            at = end
+    return out
+
+
 def digest(data: bytes) -> str:
     return "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
 
@@ -96,12 +155,11 @@ def derive(source: dict) -> list[dict]:
     body = bytes(source["body"] or b"")
     page = body.decode("utf-8", "replace")
     payload = digest(body)
-    title, lang = _TITLE.search(page), _LANG.search(page)
-    links = [html.unescape(a or b or c) for a, b, c in _LINK.findall(_HIDDEN.sub(" ", page))]
+    title, lang, links = title_of(page), language_of(page), links_of(page)
     fields = [("source-payload-digest", payload), ("source-length", str(len(body)))]
     fields += [("http-" + k.strip().lower(), v.strip()) for k, _, v in (x.partition(":") for x in (source["http_headers"] or "").split("\r\n")[1:])]
-    fields += [("title", " ".join(text_of(title[1]).split()))] if title else []
-    fields += [("language", lang[1])] if lang else []
+    fields += [("title", " ".join(text_of(title).split()))] if title is not None else []
+    fields += [("language", lang)] if lang else []
     fields += [("outlink", x) for x in links]
     blocks = {
         "metadata": ("application/warc-fields", "".join(f"{k}: {re.sub(r'[\r\n]+', ' ', v)}\r\n" for k, v in fields).encode("utf-8", "replace")),
@@ -126,7 +184,9 @@ def derivatives(sources: DataFrame, keep: tuple[str, ...] = ("page_id",)) -> Dat
     """Two rows a response: ``keep``, kind, record_id, refers_to, target_uri, date, source_digest,
     block_digest, n_links, block and record (the whole record's bytes)."""
     made = "kind string, record_id string, refers_to string, target_uri string, date string, source_digest string, block_digest string, n_links long, block binary, record binary"
-    schema = T.StructType([sources.schema[c] for c in keep] + T.StructType.fromDDL(made).fields)
+    made = T.StructType.fromDDL(made)
+    keep = tuple(c for c in keep if c not in made.names)
+    schema = T.StructType([sources.schema[c] for c in keep] + made.fields)
     names = schema.names
 
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
