@@ -10,8 +10,12 @@ looks for words and gives that token's id.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import re
+import threading
+import time
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -20,6 +24,7 @@ _UNSAFE = re.compile(r"\s (?:\s|\Z)")
 _TOUCH = re.compile(r"\s\n|\n\s")  # a line end that is part of a longer run
 _SPACE = re.compile(r"\s")
 _KEPT = 500_000  # words of a generation of the cache; two of them are about 0.25 GB a worker
+IDLE = 4.0  # seconds after its last text at which a worker gives its words back, as the next stage may need the memory
 _ENCODERS: dict[str, Encoder] = {}
 
 
@@ -48,10 +53,23 @@ class Encoder:
             raise ValueError("an added token holds white space; texts can't be encoded in parts")
         self.line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
         self.space = self._ids([" "])[0]
+        self.lock, self.used = threading.Lock(), time.monotonic()
+        self.forget()
+
+    def forget(self) -> None:
         self.odd: set[str] = set()  # words met that hold white space other than spaces and line ends
         self.cache = Cache(_KEPT)  # parts after a space, without it
         self.first = Cache(_KEPT // 4)  # parts at the start of a text
 
+    def forget_when_idle(self) -> None:
+        """Runs beside the worker's tasks for as long as the worker lives."""
+        while True:
+            time.sleep(IDLE / 4)
+            with self.lock:
+                if self.cache.new and time.monotonic() - self.used > IDLE:
+                    self.forget()
+                    trim()
+
     def _ids(self, parts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
 
@@ -88,13 +106,19 @@ class Encoder:
         touch = _TOUCH.search(text) if careful else " \n" in text or "\n " in text or "\n\n" in text
         return [x.split(" ") for x in ([text] if touch else text.split("\n"))]
 
-    def encode(self, texts: list[str], careful: bool = False) -> list[bytes]:
+    def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
+        with self.lock:
+            out = self._encode(texts, careful=False)
+            self.used = time.monotonic()
+        return out
+
+    def _encode(self, texts: list[str], careful: bool) -> list[bytes]:
         split = [self._split(t, careful) for t in texts]
         lines = [x for s in split if s for x in s]
         starts = [x.pop(0) for x in lines]
         if len(self.odd) > _KEPT:
-            self.odd, self.cache, self.first = set(), Cache(_KEPT), Cache(_KEPT // 4)
+            self.forget()
         for cache, words, lead, blank in ((self.cache, set().union(*lines), " ", self.space), (self.first, set(starts), "", b"")):
             words.discard("")
             unknown = cache.unknown(words)
@@ -112,16 +136,23 @@ class Encoder:
                 continue
             out.append(line_end.join([first[h] + b"".join(map(get, x)) for h, x in zip(heads, s)]))
         again = [k for k, x in enumerate(out) if x is None]
-        for k, ids in zip(again, self.encode([texts[k] for k in again], careful=True) if again else ()):
+        for k, ids in zip(again, self._encode([texts[k] for k in again], careful=True) if again else ()):
             out[k] = ids
         return out
 
 
+def trim() -> None:
+    """Give freed memory back to the system, where the C library can."""
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def encoder(path: str) -> Encoder:
     """The worker's encoder for a vocabulary file; made once, kept with its cache."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the threads; idle ones of the library's own would spin
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
+        threading.Thread(target=_ENCODERS[path].forget_when_idle, daemon=True).start()
     return _ENCODERS[path]
 
 
