@@ -21,7 +21,7 @@ from roaslens.operators.levels import level_rollup, level_rows
 from roaslens.operators.policy import enrich_actions
 from roaslens.operators.rootcause import attach_rca_by_list
 from roaslens.operators.topics import TOPIC_COLUMNS, report_rows, subsidiary_reports, top3_by_subsidiary
-from roaslens.session import cut
+from roaslens.session import cut, in_parallel
 from roaslens.sinks.report import campaign_table, campaign_view, output_order, trace_table, write_report, write_summary
 from roaslens.sources.ingest import build_engine_frame
 
@@ -75,16 +75,17 @@ def build_report(engine: DataFrame, cfg: EngineConfig, meta: dict[str, Any] | No
     a = analysis if analysis is not None else analyze(engine, cfg)
     levels = a.levels
     topics = cut(report_rows(a.selected, levels))
-    top3 = cut(top3_by_subsidiary(topics, cfg))
+    # shared by several outputs: a few rows per subsidiary each
+    top3, divisions = in_parallel([lambda: cut(top3_by_subsidiary(topics, cfg)), lambda: cut(division_parallel(levels))])
     issue_topics = topics.filter(F.col("list") == "issues")
     improve_topics = topics.filter(F.col("list") == "improvements")
     issues_top3 = top3.filter(F.col("list") == "issues")
     improvements_top3 = top3.filter(F.col("list") == "improvements")
-    # shared by several outputs: a few rows per subsidiary each
-    divisions = cut(division_parallel(levels))
     headline = division_headline(divisions)
-    reports = cut(subsidiary_reports(levels, issues_top3, improvements_top3))
-    merged = cut(merged_topics(existing_topics(top3, topics, cfg), fallback_topics(levels), cfg))
+    reports, merged = in_parallel([
+        lambda: cut(subsidiary_reports(levels, issues_top3, improvements_top3)),
+        lambda: cut(merged_topics(existing_topics(top3, topics, cfg), fallback_topics(levels), cfg)),
+    ])
     card_rows = cut(card_topics(levels, top3, merged))
     cards = report_cards(levels, reports, card_rows, headline)
     # The tables hold at most 6 rows per subsidiary

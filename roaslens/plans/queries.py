@@ -16,8 +16,8 @@ from pyspark.sql import types as T
 from roaslens.config import EngineConfig
 from roaslens.operators.display import fallback_topics
 from roaslens.operators.division import division_headline, division_parallel
-from roaslens.functions.canonical import document
-from roaslens.functions.exprs import paths_text, trace_text
+from roaslens.functions.canonical import canonical, document
+from roaslens.functions.exprs import fmt_driver_metric, fmt_pp, path_key, paths_text, pct_change, safe_ratio, to_float, trace_text, trend, yoy_polarity
 from roaslens.operators.drill import dedupe_campaigns, scope_eligibility
 from roaslens.operators.focus import FOCUS, RANKS, focus_table, run_focuses
 from roaslens.operators.impact import child_impacts, select_children, selected_children
@@ -30,9 +30,9 @@ from roaslens.plans.pipeline import Analysis, Report, analyze, build_report
 from roaslens.scale import numbered
 from roaslens.schema import DIMENSIONS, ENGINE_COLUMNS, SUM_COLUMNS
 from roaslens.session import apply_engine_conf, cut, ensure_checkpoint_dir, scratch_path
-from roaslens.sinks.report import CAMPAIGN_COLUMNS, DECOMPOSITION_METHOD, campaign_view, output_order, trace_table
+from roaslens.sinks.report import CAMPAIGN_COLUMNS, DECOMPOSITION_METHOD, campaign_view, comparison_window_text, output_order, trace_table
 from roaslens.sources.ingest import build_engine_frame, engine_frame, filter_counts, mtd_cutoff, normalize_long, parse_error_counts, run_facts, _scoped_input
-from roaslens.sources.mapped import mapped_long_table, month_to_date, text_long_table, write_text_table
+from roaslens.sources.mapped import mapped_long_table, mapped_mtd_frame, text_long_table, write_text_table
 from roaslens.sources.parts import engine_from_parts, refresh
 from roaslens.sources.raw import read_candidates
 
@@ -50,7 +50,7 @@ class Run:
     def __init__(self, spark: SparkSession, sf_dir: str, cfg: EngineConfig) -> None:
         _prepare(spark)
         self.cfg = cfg
-        self.engine = _mtd_frame(spark, sf_dir) if cfg.mtd_only else engine_frame(mapped_long_table(spark, sf_dir, (cfg.curr_year, cfg.prev_year)), cfg)
+        self.engine = mapped_mtd_frame(spark, sf_dir, cfg) if cfg.mtd_only else engine_frame(mapped_long_table(spark, sf_dir, (cfg.curr_year, cfg.prev_year)), cfg)
         self._levels = self._analysis = self._report = None
 
     @property
@@ -159,17 +159,9 @@ def q_engine_frame(spark, sf_dir):
     return out(report_for(spark, sf_dir).engine.select(*ENGINE_COLUMNS))  # lazy: recomputed from the raw tables
 
 
-def _mtd_frame(spark, sf_dir):
-    """Month-to-date: the cutoff from the current year's rows alone, then a scan of the month's days in both years."""
-    facts = run_facts(mapped_long_table(spark, sf_dir, (MTD.curr_year,)), MTD.curr_year, quality=False).first()
-    years = (MTD.curr_year, MTD.prev_year)
-    dates = month_to_date(years, facts.mtd_month, facts.mtd_day) if facts.mtd_month else None
-    return engine_frame(mapped_long_table(spark, sf_dir, years, dates), MTD, (facts.mtd_month, facts.mtd_day))
-
-
 def q_engine_frame_mtd(spark, sf_dir):
     _prepare(spark)
-    return out(_mtd_frame(spark, sf_dir))
+    return out(mapped_mtd_frame(spark, sf_dir, MTD))
 
 
 def q_objective_filter_counts(spark, sf_dir):
@@ -267,6 +259,42 @@ def q_card_documents(spark, sf_dir):
     return s.select("SUBSIDIARY", document(s, ["SUBSIDIARY", "display_mode", "topics", "revenue_curr", "revenue_yoy", "roas_curr", "roas_yoy", "headline_division", "headline_pct"]).alias("document"))
 
 
+def q_topic_texts(spark, sf_dir):
+    """Texts of every topic, its KPIs in order of their effect, where its drill ended."""
+    s = report_for(spark, sf_dir).sections
+    rows = s["issues_top_products"].unionByName(s["improvements_top_products"])
+    ranking = canonical(F.col("kpi_ranking"), rows.schema["kpi_ranking"].dataType)
+    end = F.concat_ws(":", "final_drill_result.level", "final_drill_result.rule")
+    return rows.select("diagnosis_subsidiary", *DIMENSIONS[1:], "mode_tag", "summary_text", "detail_text", "why_selected_text", "weak_signal", ranking.alias("kpi_ranking"), end.alias("drill_end"))
+
+
+def q_fallback_texts(spark, sf_dir):
+    """Short actions and checklists of every fallback topic, with its summary."""
+    return fallback_topics(report_for(spark, sf_dir).levels).select(
+        "diagnosis_subsidiary", *DIMENSIONS[1:], "mode_tag", "recommended_actions", "action_checklist", "summary_text", "why_selected_text")
+
+
+def q_run_summary(spark, sf_dir):
+    """One line for each subsidiary, and the comparison that it belongs to."""
+    raw = mapped_long_table(spark, sf_dir, (FULL.curr_year, FULL.prev_year))
+    window = comparison_window_text(build_engine_frame(raw, FULL)[1])
+    rep = report_for(spark, sf_dir)
+    lines = rep.sections["report_cards"].select("SUBSIDIARY", "summary_line")
+    return rep.sections["subsidiaries_analyzed"].join(lines, "SUBSIDIARY", "left").withColumn("comparison", F.lit(window))
+
+
+def q_scalar_texts(spark, sf_dir):
+    """X5, X8-X10, X19 on every row of every level."""
+    lv = report_for(spark, sf_dir).levels
+    yoy = {"CPC": pct_change(safe_ratio("Spend_curr_sum", "Clicks_curr_sum"), safe_ratio("Spend_prev_sum", "Clicks_prev_sum")),
+           "CVR": pct_change(safe_ratio("Orders_curr_sum", "Clicks_curr_sum"), safe_ratio("Orders_prev_sum", "Clicks_prev_sum"))}
+    now = {"CPC": safe_ratio("Spend_curr_sum", "Clicks_curr_sum"), "CVR": safe_ratio("Orders_curr_sum", "Clicks_curr_sum"), "AOV": safe_ratio("Revenue_curr_sum", "Orders_curr_sum")}
+    return lv.select(
+        "level", path_key(DIMENSIONS).alias("path"), trend(yoy["CPC"]).alias("cpc_trend"), *[yoy_polarity(F.lit(k), v).alias(f"{k.lower()}_polarity") for k, v in yoy.items()],
+        fmt_pp(yoy["CVR"]).alias("cvr_pp"), *[fmt_driver_metric(F.lit(k), v).alias(f"{k.lower()}_text") for k, v in now.items()], (to_float(yoy["CPC"], -1.0) >= 0).alias("cpc_up"),
+    )
+
+
 def _ordered(spark, sf_dir, name):
     rows = getattr(report_for(spark, sf_dir).analysis, name)
     return out(numbered(rows.select("diagnosis_subsidiary", *DIMENSIONS, "Impact_adj", "mode_tag"), output_order(name)))
@@ -827,6 +855,88 @@ SELECT s.SUBSIDIARY, {_obj(card)} AS document
 FROM s JOIN packs k ON k.level = 1 AND k.SUBSIDIARY = s.SUBSIDIARY LEFT JOIN x ON x.diagnosis_subsidiary = s.SUBSIDIARY AND x.card_mode = s.display_mode"""
 
 
+def _figures_sql(revenue: str, revenue_yoy: str, cost: str, cost_yoy: str, roas: str, roas_yoy: str) -> str:
+    return (f"'Revenue ' || {_money_sql(revenue)} || ' (' || {_yoy_sql(revenue_yoy)} || ') | Cost ' || {_money_sql(cost)} || ' (' || {_yoy_sql(cost_yoy)} || ') | ROAS ' "
+            f"|| {_roas_sql(roas)} || ' (' || {_yoy_sql(roas_yoy)} || ')'")
+
+
+def _run_summary_sql(packs: str, summary: str) -> str:
+    so_what = ("CASE WHEN s.headline_division IS NULL THEN 'no division stands out' ELSE CASE WHEN s.display_mode = 'ISSUE' THEN 'falls with ' ELSE 'rises with ' END "
+               f"|| concat_ws('/', s.top_channel, s.headline_division) || ' (' || {_pct_sql('s.hp')} || ')' END")
+    step = ("CASE WHEN s.display_mode = 'ISSUE' THEN 'examine the ' ELSE 'extend the ' END || CASE s.top_driver WHEN 'CPC' THEN 'cost per click' WHEN 'CVR' THEN 'conversion rate' "
+            "WHEN 'AOV' THEN 'order value' ELSE 'largest lever' END")
+    years = f"Year IN ({FULL.curr_year}, {FULL.prev_year})"
+    return packs + summary + f""",
+w AS (SELECT count(*) AS n, count(*) FILTER (WHERE OBJECTIVE = 'CONVERSION') AS o, count(*) FILTER (WHERE OBJECTIVE = 'CONVERSION' AND DIVISION IN ('MX', 'VD', 'DA')) AS d FROM raw WHERE {years})
+SELECT s.SUBSIDIARY, s.SUBSIDIARY || ' | Revenue ' || {_money_sql('k.revenue_curr')} || ' (' || {_yoy_sql('k.revenue_yoy')} || '), ROAS ' || {_roas_sql('k.roas_curr')} || ' (' || {_yoy_sql('k.roas_yoy')} || ') | '
+       || {so_what} || ' | ' || {step} AS summary_line,
+       (SELECT '{FULL.curr_year} vs {FULL.prev_year} (full years); objective = CONVERSION (' || o || '/' || n || ' rows); division in MX, VD, DA (' || d || '/' || o || ' rows)' FROM w) AS comparison
+FROM s JOIN packs k ON k.level = 1 AND k.SUBSIDIARY = s.SUBSIDIARY"""
+
+
+def _text_sql() -> dict[str, str]:
+    q: dict[str, str] = {}
+    ra, pc = O.ratio, O.pct
+    lever = {"CPC": "cost per click", "CVR": "conversion rate", "AOV": "order value"}
+    named = lambda texts, col, other: f"CASE {col} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in texts.items()) + f" ELSE '{other}' END"
+
+    # scalar functions
+    cpc, cvr, aov = (ra(f"{a}_curr_sum", f"{b}_curr_sum") for a, b in (("Spend", "Clicks"), ("Orders", "Clicks"), ("Revenue", "Orders")))
+    cpc_yoy, cvr_yoy = pc(cpc, ra("Spend_prev_sum", "Clicks_prev_sum")), pc(cvr, ra("Orders_prev_sum", "Clicks_prev_sum"))
+    polarity = lambda x, sign: f"CASE WHEN {x} IS NULL THEN 'na' WHEN abs({x}) < 1e-12 THEN 'neutral' WHEN {sign}{x} > 0 THEN 'positive' ELSE 'negative' END"
+    q["scalar_texts"] = O.engine_ctes() + f"""
+SELECT level, concat_ws('|', {', '.join(DIMENSIONS)}) AS path,
+       CASE WHEN {cpc_yoy} IS NULL THEN 'unknown' WHEN {cpc_yoy} > 1e-9 THEN 'up' WHEN {cpc_yoy} < -1e-9 THEN 'down' ELSE 'flat' END AS cpc_trend,
+       {polarity(cpc_yoy, '-')} AS cpc_polarity, {polarity(cvr_yoy, '')} AS cvr_polarity,
+       CASE WHEN {cvr_yoy} IS NULL THEN 'N/A' ELSE CASE WHEN round({cvr_yoy} * 100, 0) >= 0 THEN '+' ELSE '' END || printf('%.0f', round({cvr_yoy} * 100, 0) + 0.0) || '%p' END AS cvr_pp,
+       CASE WHEN {cpc} IS NULL THEN 'N/A' ELSE '$' || printf('%.2f', round({cpc}, 2)) END AS cpc_text, CASE WHEN {cvr} IS NULL THEN 'N/A' ELSE printf('%.2f', round({cvr} * 100, 2)) || '%' END AS cvr_text,
+       CASE WHEN {aov} IS NULL THEN 'N/A' ELSE {_money_sql(aov)} END AS aov_text, coalesce({cpc_yoy}, -1.0) >= 0 AS cpc_up
+FROM levels"""
+
+    # short texts of the fallback topics
+    roas = [ra(f"l.Revenue_{y}_sum", f"l.Spend_{y}_sum") for y in ("curr", "prev")]
+    figures = _figures_sql("l.Revenue_curr_sum", pc("l.Revenue_curr_sum", "l.Revenue_prev_sum"), "l.Spend_curr_sum", pc("l.Spend_curr_sum", "l.Spend_prev_sum"), roas[0], pc(*roas))
+    q["fallback_texts"] = O.display_ctes() + f"""
+SELECT f.diagnosis_subsidiary, f.CHANNEL, f.DIVISION, f.PRODUCT, f.mode_tag,
+       CASE f.mode_tag WHEN 'ISSUE' THEN 'Win back the ' ELSE 'Build on the ' END || {named(lever, 'f.primary_driver', '?')} || '.' AS recommended_actions,
+       'a) see where the ' || {named(lever, 'f.primary_driver', '?')} || CASE f.mode_tag WHEN 'ISSUE' THEN ' got worse' ELSE ' got better' END || '; b) follow it weekly' AS action_checklist,
+       f.PRODUCT || ' | ' || {figures} AS summary_text, f.contribution_label || ' ' || {_pct_sql('f.impact_contribution_pct')} || ' (filled in)' AS why_selected_text
+FROM fallback f JOIN levels l ON l.level = 4 AND l.SUBSIDIARY = f.SUBSIDIARY AND l.CHANNEL = f.CHANNEL AND l.DIVISION = f.DIVISION AND l.PRODUCT = f.PRODUCT"""
+
+    # texts of the selected topics
+    mode = "CASE WHEN t.mode_tag = 'ISSUE' THEN 'decline' ELSE 'improvement' END"
+    rev_yoy, sp_yoy = pc("t.Revenue_curr_sum", "t.Revenue_prev_sum"), pc("t.Spend_curr_sum", "t.Spend_prev_sum")
+    head = (f"t.PRODUCT || ' | revenue ' || {_money_sql('t.Revenue_curr_sum')} || ' (' || {_yoy_sql(rev_yoy)} || ') | spend ' || {_money_sql('t.Spend_curr_sum')} || ' (' || {_yoy_sql(sp_yoy)} "
+            f"|| ') | ROAS ' || {_roas_sql('t.topic_roas_curr')} || ' (' || {_yoy_sql(pc('t.topic_roas_curr', 't.topic_roas_prev'))} || ')' "
+            f"|| CASE WHEN t.mode_tag = 'ISSUE' THEN ' [decline driver]' WHEN {pc('ch.Revenue_curr_sum', 'ch.Revenue_prev_sum')} < 0 THEN ' [holds up in a shrinking channel]' ELSE '' END")
+    detail = " || chr(10) || ".join([
+        f"'1) channel ' || t.CHANNEL || ': ROAS ' || {_roas_sql(ra('ch.Revenue_curr_sum', 'ch.Spend_curr_sum'))} || ', share of subsidiary ' || {mode} || ' ' || {_pct_sql('t.channel_direct_pct')}",
+        f"'2) division ' || t.DIVISION || ': ROAS ' || {_roas_sql(ra('dv.Revenue_curr_sum', 'dv.Spend_curr_sum'))} || ', share of channel ' || {mode} || ' ' || {_pct_sql('t.division_direct_pct')}",
+        f"'3) product ' || t.PRODUCT || ': share of division ' || {mode} || ' ' || {_pct_sql('t.product_direct_pct')}",
+        f"'4) driver ' || t.evidence_driver || ' YoY ' || {_pct_sql('t.driver_yoy')} || ' vs division ' || {_pct_sql('t.division_driver_yoy')}",
+        "'5) ' || CASE WHEN t.tag = 'NEW' THEN 'no figures last year' WHEN t.tag = 'LOW_VOL' THEN 'few clicks or orders' WHEN t.signal_max_abs < 0.05 THEN 'no lever stands out' ELSE 'main lever: ' || t.evidence_driver END"])
+    why = (f"'explains ' || {_pct_sql('t.impact_contribution_pct')} || ' of the ' || {mode} || ' through ' || coalesce(t.primary_driver, 'NONE') || ' (place ' || t.selection_rank || ' of ' || t.selection_pool_size "
+           "|| ' in ' || t.CHANNEL || '/' || t.DIVISION || CASE t.tag WHEN 'NEW' THEN '; new this year' WHEN 'LOW_VOL' THEN '; small sample' ELSE '' END || ')'")
+
+    def effect(k: str) -> str:
+        harm = f"t.dlog_{k} > 0" if k == "CPC" else f"t.dlog_{k} < 0"
+        d = f"coalesce(t.dlog_{k}, 0.0)"
+        says = (f"CASE WHEN abs({d}) < 1e-12 THEN 'neutral' WHEN t.mode_tag = 'ISSUE' THEN CASE WHEN {harm} THEN 'pulls ROAS down' ELSE 'works against the fall' END "
+                f"WHEN {harm} THEN 'works against the rise' ELSE 'lifts ROAS' END")
+        text = _obj({"approx_pct": f"CAST(CAST(round(abs({d}) * 100) AS INT) AS VARCHAR)", "direction": _txt(says), "metric": f"""'"{k}"'"""})
+        return f"{{'size': -abs({d}), 'name': '{k}', 'text': {text}}}"
+    ranking = (f"CASE WHEN t.signal_max_abs > 0 THEN '[' || array_to_string(list_transform(list_sort([{', '.join(effect(k) for k in ('CVR', 'AOV', 'CPC'))}]), lambda x: x['text']), ',') || ']' ELSE 'null' END")
+    rows = "SELECT * FROM itop UNION ALL BY NAME SELECT * FROM mtop"
+    q["topic_texts"] = O.topics_ctes() + f"""
+SELECT t.diagnosis_subsidiary, t.CHANNEL, t.DIVISION, t.PRODUCT, t.mode_tag, {head} AS summary_text, {detail} AS detail_text, {why} AS why_selected_text, t.signal_max_abs < 0.05 AS weak_signal,
+       {ranking} AS kpi_ranking, 'LEVEL4:' || s4.rule AS drill_end
+FROM ({rows}) t
+JOIN sel4 s4 ON s4.SUBSIDIARY = t.SUBSIDIARY AND s4.CHANNEL = t.CHANNEL AND s4.DIVISION = t.DIVISION AND s4.PRODUCT = t.PRODUCT
+LEFT JOIN levels ch ON ch.level = 2 AND ch.SUBSIDIARY = t.SUBSIDIARY AND ch.CHANNEL = t.CHANNEL
+LEFT JOIN levels dv ON dv.level = 3 AND dv.SUBSIDIARY = t.SUBSIDIARY AND dv.CHANNEL = t.CHANNEL AND dv.DIVISION = t.DIVISION"""
+    return q
+
+
 def _oracle() -> dict[str, str]:
     q: dict[str, str] = {}
     eng_d = set(ENGINE_COLUMNS[4:])
@@ -991,6 +1101,8 @@ QUALIFY row_number() OVER (PARTITION BY r.SUBSIDIARY ORDER BY h.pct DESC, h.divi
     steps, rows = whole.rsplit("\nSELECT r.SUBSIDIARY, r.display_mode, h.DIVISION", 1)
     summary = steps + ",\ns AS (SELECT r.SUBSIDIARY, r.display_mode, h.DIVISION" + rows.replace("AS headline_pct,", "AS headline_pct, h.pct AS hp,") + ")"
     q["card_documents"] = _card_documents_sql(q["card_documents"], summary)
+    q["run_summary"] = _run_summary_sql(packs, summary)
+    q.update(_text_sql())
     return q
 
 
@@ -1058,6 +1170,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "division_documents": q_division_documents,
     "leaf_documents": q_leaf_documents,
     "card_documents": q_card_documents,
+    "topic_texts": q_topic_texts,
+    "fallback_texts": q_fallback_texts,
+    "run_summary": q_run_summary,
+    "scalar_texts": q_scalar_texts,
 }
 
 ORACLE: dict[str, str] = _oracle()

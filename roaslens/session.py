@@ -5,9 +5,14 @@ from __future__ import annotations
 import os
 import re
 import uuid
+from concurrent.futures import ThreadPoolExecutor
+from typing import Callable, Sequence, TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+
 # Settings the engine relies on.  AQE re-plans joins at run time: a join side
 # whose measured shuffle output is below the broadcast threshold is broadcast,
 # larger sides stay sort-merge joins, and skewed partitions are split.
@@ -68,6 +73,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 _CUTS: dict[str, list[str]] = {}
 
 
+def in_parallel(jobs: Sequence[Callable[[], T]], threads: int = 4) -> list[T]:
+    """Results of ``jobs``, each of which starts Spark jobs of its own: small ones overlap in planning and scheduling.
+    Local properties (job group, pool) are those of the caller."""
+    with ThreadPoolExecutor(threads) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(job)) for job in jobs]]
+
+
 def scratch_path(spark: SparkSession, kind: str) -> str:
     """A new path in the shared checkpoint folder, which ``release_cuts`` deletes with the rest of the session's."""
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from functools import partial
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from roaslens.functions.exprs import clean_number, fmt_money, fmt_pct, fmt_roas, paths_text, pct_change, safe_ratio
 from roaslens.scale import numbered
 from roaslens.schema import DIMENSIONS, ENGINE_COLUMNS, SUM_COLUMNS
+from roaslens.session import in_parallel
 
 CAMPAIGN_COLUMNS = [
     "diagnosis_subsidiary", *DIMENSIONS, *SUM_COLUMNS,
@@ -92,18 +94,21 @@ def clean_for_export(df: DataFrame) -> DataFrame:
 
 
 def write_report(tables: dict[str, DataFrame], out_dir: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
-    """K7: every table to ``out_dir/<name>`` (Parquet/zstd, or csv/json)."""
-    for name, df in tables.items():
-        w = df.write.mode(mode)
-        path = f"{out_dir.rstrip('/')}/{name}"
+    """K7: every table to ``out_dir/<name>`` (Parquet/zstd, or csv/json); the tables are small and written side by side."""
+    if fmt not in ("parquet", "csv", "json"):
+        raise ValueError(f"unknown format {fmt}")
+
+    def write(name: str) -> None:
+        df = clean_for_export(tables[name]) if fmt == "csv" else tables[name]
+        w, path = df.write.mode(mode), f"{out_dir.rstrip('/')}/{name}"
         if fmt == "parquet":
             w.option("compression", "zstd").parquet(path)
         elif fmt == "csv":
-            clean_for_export(df).write.mode(mode).option("header", True).csv(path)
-        elif fmt == "json":
-            w.json(path)
+            w.option("header", True).csv(path)
         else:
-            raise ValueError(f"unknown format {fmt}")
+            w.json(path)
+
+    in_parallel([partial(write, name) for name in tables])
 
 
 def comparison_window_text(meta: dict[str, Any]) -> str:
@@ -137,8 +142,7 @@ DECOMPOSITION_METHOD = {
 
 def write_summary(spark: SparkSession, sections: dict[str, DataFrame], meta: dict[str, Any], out_dir: str) -> None:
     """K1: the summary document as one JSON directory per section plus a meta row."""
-    for name, df in sections.items():
-        df.write.mode("overwrite").json(f"{out_dir.rstrip('/')}/summary/{name}")
+    in_parallel([partial(df.write.mode("overwrite").json, f"{out_dir.rstrip('/')}/summary/{name}") for name, df in sections.items()])
     for name, value in (("comparison_meta", meta), ("decomposition_method", DECOMPOSITION_METHOD)):
         spark.range(1).select(F.lit(json.dumps(value, default=str, sort_keys=True)).alias("value")).write.mode("overwrite").text(f"{out_dir.rstrip('/')}/summary/{name}")
 

@@ -22,6 +22,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roaslens.config import EngineConfig
+from roaslens.sources.ingest import engine_frame, run_facts
+
 # Fixed values of the test mapping: customer segment -> division code.
 SEGMENT_TO_DIVISION = {"AUTOMOBILE": "MX", "BUILDING": "VD", "FURNITURE": "DA"}
 
@@ -97,6 +100,14 @@ def month_to_date(years: tuple[int, ...], month: int, day: int | None) -> list[t
     return out
 
 
+def mapped_mtd_frame(spark: SparkSession, sf_dir: str, cfg: EngineConfig) -> DataFrame:
+    """Month-to-date engine frame: the cutoff from the current year's rows alone, then a scan of the month's days in both years."""
+    facts = run_facts(mapped_long_table(spark, sf_dir, (cfg.curr_year,)), cfg.curr_year, quality=False).first()
+    years = (cfg.curr_year, cfg.prev_year)
+    dates = month_to_date(years, facts.mtd_month, facts.mtd_day) if facts.mtd_month else None
+    return engine_frame(mapped_long_table(spark, sf_dir, years, dates), cfg, (facts.mtd_month, facts.mtd_day))
+
+
 # Fixed values of the text form: one in so many orders has junk, blanks, a unit or no value in a metric.
 JUNK, BLANK, UNIT, NAN = 257, 61, 353, 419
 
