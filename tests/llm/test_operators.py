@@ -1,7 +1,5 @@
 """The operators against brute-force versions on a small fixture with nulls, ties and long texts."""
 
-import hashlib
-import json
 import random
 import zlib
 from collections import Counter
@@ -370,7 +368,7 @@ def test_pipeline_on_small_table(spark):
     ids = {r.doc_id for r in docs.select("doc_id").collect()}
     got = c.run(spark, "/root/testdata/sf0.001").collect()
     assert {r.doc_id for r in got} == ids
-    assert json.dumps(hashlib.sha256(str(sorted((r.doc_id, r.piece, r.start, r.length) for r in got)).encode()).hexdigest())
+    assert sum(r.length for r in got) > 0 and len({(r.sequence_id, r.offset) for r in got}) == len(got)
 
 
 def test_sums_index_is_kept_up():
