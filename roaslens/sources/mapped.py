@@ -133,12 +133,16 @@ def text_long_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def write_text_table(table: DataFrame, path: str, titles: tuple[str, ...], files: int = 4) -> str:
-    """``table`` as CSV lines in ``files`` files, each with title lines and a header of its own."""
+def write_text_table(table: DataFrame, path: str, titles: tuple[str, ...], files: int | None = None) -> str:
+    """``table`` as CSV lines, each file with title lines and a header of its own.
+
+    A partition's rows are one file (at most ``files``, if given), written where they are, so that a larger table makes
+    more files and not larger tasks.  One more file has the header alone: an empty table has it too."""
     cols = [F.col(f"`{c}`").cast("string") for c in table.columns]
-    of = F.pmod(F.xxhash64(*cols), F.lit(files)).cast("int")
-    lines = table.select(of.alias("file"), F.lit(len(titles) + 1).alias("at"), F.to_csv(F.struct(*cols)).alias("value"))
-    for at, line in enumerate([*titles, ",".join(table.columns)]):
-        lines = lines.unionByName(table.sparkSession.range(files).select(F.col("id").cast("int").alias("file"), F.lit(at).alias("at"), F.lit(line).alias("value")))
-    lines.repartition(files, "file").sortWithinPartitions("file", "at").select("file", "value").write.partitionBy("file").text(path)
+    head = [F.lit(x) for x in [*titles, ",".join(table.columns)]]
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0  # row of its partition
+    rows = (table.coalesce(files) if files else table).select(first.alias("first"), F.to_csv(F.struct(*cols)).alias("line"))
+    lines = rows.select(F.explode(F.when(F.col("first"), F.array(*head, "line")).otherwise(F.array("line"))).alias("value"))
+    alone = table.sparkSession.range(1, numPartitions=1).select(F.explode(F.array(*head)).alias("value"))
+    lines.unionByName(alone).write.text(path)
     return path

@@ -236,3 +236,30 @@ def test_text_input_is_scanned_twice_in_all(spark):
     plan = frame._jdf.queryExecution().executedPlan().toString()
     assert len(seen) == 2 and "Format: Text" not in plan and "text" not in plan.split("FileScan ", 1)[1][:8]
     assert frame.count() == 50 and meta["mtd_day_cutoff"] == 5 and meta["objective_rows_before"] == 50
+
+
+def test_text_table_is_written_where_its_rows_are(spark):
+    """Files and the rows of a task follow the table's partitions; each file has titles and a header, an empty table too."""
+    import glob
+    from roaslens.sources.mapped import write_text_table
+    from roaslens.sources.raw import read_candidates
+    d = tempfile.mkdtemp(prefix="roaslens-csv-", dir="/tmp")
+    names = LONG.split(",")
+    row = spark.range(0, 3200, 1, 16).select(*[F_lit("x").alias(n) if n != "PRODUCT" else F_col("id").cast("string").alias(n) for n in names])
+    titles = ("Ad export", "Subsidiary,Channel", "")
+    write_text_table(row, f"{d}/data", titles)
+    files = [open(f).read().split("\n")[:-1] for f in glob.glob(f"{d}/data/**/part-*", recursive=True)]
+    assert all(f[:4] == [*titles, LONG] and LONG not in f[4:] for f in files)
+    assert sum(len(f) - 4 for f in files) == 3200 and max(len(f) - 4 for f in files) == 200
+    got = read_candidates(spark, [f"{d}/data"], "csv")
+    assert sorted(int(r.PRODUCT) for r in got.collect()) == list(range(3200))
+    write_text_table(row.limit(0), f"{d}/none", titles)
+    none = read_candidates(spark, [f"{d}/none"], "csv")
+    assert none.columns == got.columns and none.count() == 0
+    write_text_table(row, f"{d}/few", titles, files=2)
+    assert read_candidates(spark, [f"{d}/few"], "csv").count() == 3200
+
+
+def F_col(x):
+    from pyspark.sql import functions as F
+    return F.col(x)
