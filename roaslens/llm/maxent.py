@@ -22,7 +22,9 @@ empty table gives an empty result; a null doc_id counts as the text "" for the s
 
 from __future__ import annotations
 
+import itertools
 import uuid
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,14 +52,6 @@ def held_out(id_col: str = "doc_id"):
 BLOCKS = "block long, doc_ids array<long>, held array<boolean>, ends array<int>, vocab array<long>, tf array<int>, tokens binary"
 
 
-class Numbers(dict):
-    """Numbers keys in the order in which they are first asked for."""
-
-    def __missing__(self, key: bytes) -> int:
-        n = self[key] = len(self)
-        return n
-
-
 def token_blocks(docs: DataFrame) -> DataFrame:
     """Blocks (``BLOCKS``): ``tokens`` number the block's ``vocab`` (hashes); ``tf`` counts training tokens."""
 
@@ -67,7 +61,7 @@ def token_blocks(docs: DataFrame) -> DataFrame:
             for some in runs(pdf["text"].tolist(), BLOCK_CHARS):
                 rows = pdf.iloc[done : done + len(some)]
                 done += len(some)
-                number = Numbers({END: 0})
+                number = defaultdict(itertools.count(1).__next__, {END: 0})  # in the order in which tokens are met
                 parts = []
                 for text in some:
                     words = text.encode("utf-8", "surrogatepass").lower().split()
@@ -123,17 +117,44 @@ def features(one: np.ndarray, two: np.ndarray, first: np.ndarray) -> tuple[np.nd
 
 def _softmax(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
     out = np.empty((len(rows), WAYS), np.float32)
-    for at in range(0, len(rows), 4096):  # what a core's cache holds
-        part, logits = rows[at : at + 4096], out[at : at + 4096]
+    more = np.empty((min(len(rows), 2048), WAYS), np.float32)
+    for at in range(0, len(rows), 2048):  # what a core's cache holds
+        part, logits = rows[at : at + 2048], out[at : at + 2048]
         np.take(weights, part[:, 0], axis=0, out=logits, mode="clip")
         for k in range(1, rows.shape[1]):
-            logits += weights[part[:, k]]
-        logits -= logits.max(axis=1, keepdims=True)
+            logits += np.take(weights, part[:, k], axis=0, out=more[: len(part)], mode="clip")
+        if logits.max() > 80 or logits.min() < -80:  # else no power or sum leaves the range of float32
+            logits -= logits.max(axis=1, keepdims=True)
         np.exp(logits, out=logits)
-        logits /= logits.sum(axis=1, keepdims=True)
+        logits /= np.einsum("ij->i", logits)[:, None]
     return out
 
 
+def _sums(error: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The rows that occur in ``rows``, ascending, how often each does, and the sum of ``error`` over its tokens."""
+    pairs = (rows.T << 32 | np.arange(len(rows))).ravel()  # table row and token
+    pairs.sort()
+    row, token = pairs >> 32, pairs & 0xFFFFFFFF
+    start = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
+    hits = np.diff(start, append=len(row))
+    total = error.take(token[start], axis=0)  # all of it for most rows
+    two = np.flatnonzero(hits > 1)
+    total[two] += error.take(token[start[two] + 1], axis=0)
+    many = np.flatnonzero(hits > 2)
+    if len(many):  # one lane of the softmax at a time, as a lane fits the cache
+        left = np.ones(len(token), bool)
+        left[start] = left[start[two] + 1] = False
+        token = token[left]
+        begins = np.cumsum(hits[many] - 2) - (hits[many] - 2)
+        lanes, held = np.ascontiguousarray(error.T), np.empty(len(token), np.float32)
+        sums = np.empty((WAYS, len(many)), np.float32)
+        for lane in range(WAYS):
+            np.take(lanes[lane], token, out=held, mode="clip")
+            np.add.reduceat(held, begins, out=sums[lane])
+        total[many] += sums.T
+    return row[start], hits, total
+
+
 class Trainer:
     def __init__(self, start: np.ndarray | None):
         self.weights = np.zeros((ROWS, WAYS), np.float32) if start is None else start.astype(np.float32)
@@ -141,24 +162,17 @@ class Trainer:
         self.squares = np.full(ROWS, 1e-6, np.float32)
 
     def update(self, rows: np.ndarray, target: np.ndarray) -> None:
-        """One minibatch gradient step (Adagrad by row): the gradient is summed by row, one lane of the
-        softmax at a time and only over the rows the batch has, before it is applied."""
+        """One minibatch gradient step (Adagrad by row): the gradient is summed by row, over the rows the batch has, before
+        it is applied."""
         error = _softmax(self.weights, rows)
         error[np.arange(len(target)), target] -= 1
-        lanes = np.ascontiguousarray(error.T, np.float64)
-        columns = rows.shape[1]
-        flat = np.ascontiguousarray(rows.T).ravel()
-        hits = np.bincount(flat, minlength=ROWS)
-        row = np.flatnonzero(hits)
-        place = np.empty(ROWS, np.int64)
-        place[row] = np.arange(len(row))
-        at = place[flat]
-        total = np.empty((len(row), WAYS), np.float32)
-        for lane in range(WAYS):
-            total[:, lane] = np.bincount(at, np.tile(lanes[lane], columns), len(row))
-        self.seen[row] += hits[row]
-        self.squares[row] += (total * total).mean(axis=1)
-        self.weights[row] -= (RATE / np.sqrt(self.squares[row]))[:, None] * total
+        row, hits, total = _sums(error, rows)
+        self.seen[row] += hits
+        self.squares[row] += np.einsum("ij,ij->i", total, total) / WAYS
+        total *= (RATE / np.sqrt(self.squares[row]))[:, None]
+        held = self.weights.take(row, axis=0)
+        held -= total
+        self.weights[row] = held
 
     def learn(self, hashes: np.ndarray, ends: np.ndarray) -> None:
         code = code_of(hashes)

@@ -356,6 +356,28 @@ def test_model_is_whole_and_its_update_is_adagrad():
     assert np.allclose(t.weights, weights, atol=1e-4) and (t.seen == seen).all()
 
 
+def test_model_sums_and_shares():
+    """Sums by table row for rows that one, two and all tokens have; shares of very large and usual weights."""
+    rng = np.random.default_rng(5)
+    n = 5000
+    rows = np.stack([np.full(n, 7), rng.integers(10, 40, n), rng.integers(100, 4000, n), 10_000 + np.arange(n)]).astype(np.int64).T
+    error = rng.normal(size=(n, maxent.WAYS)).astype(np.float32)
+    row, hits, total = maxent._sums(error, rows)
+    want = np.zeros((maxent.ROWS, maxent.WAYS))
+    np.add.at(want, rows.ravel(), np.repeat(error.astype(np.float64), 4, axis=0))
+    count = np.bincount(rows.ravel(), minlength=maxent.ROWS)
+    assert (row == np.flatnonzero(count)).all() and (hits == count[row]).all() and {1, 2, n} <= set(hits.tolist())
+    assert np.allclose(total, want[row], atol=1e-3)
+    row, hits, total = maxent._sums(error[:1], rows[:1])
+    assert row.tolist() == sorted(rows[0].tolist()) and hits.tolist() == [1] * 4 and (total == error[0]).all()
+    for scale in (1, 1000):
+        weights = rng.normal(scale=scale, size=(maxent.ROWS, maxent.WAYS)).astype(np.float32)
+        logits = weights[rows].astype(np.float64).sum(axis=1)
+        p = np.exp(logits - logits.max(axis=1, keepdims=True))
+        got = maxent._softmax(weights, rows)
+        assert np.isfinite(got).all() and np.allclose(got, p / p.sum(axis=1, keepdims=True), atol=2e-4)
+
+
 def test_pipeline_on_small_table(spark):
     import corpus_pipeline as c
 
