@@ -115,7 +115,18 @@ def features(one: np.ndarray, two: np.ndarray, first: np.ndarray) -> tuple[np.nd
     return outer.view(np.int64).T, inner.view(np.int64).T
 
 
-def _softmax(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
+def _row_sums(x: np.ndarray) -> np.ndarray:
+    """``x.sum(axis=1, keepdims=True)`` of ``WAYS`` columns, with numpy's order of additions, all rows at a time."""
+    s = x[:, :8] + x[:, 8:16]
+    for at in range(16, WAYS, 8):
+        s += x[:, at : at + 8]
+    while s.shape[1] > 1:
+        s = s[:, ::2] + s[:, 1::2]
+    return s
+
+
+def _powers(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The softmax's numerators: exp of the logits less their greatest."""
     out = np.empty((len(rows), WAYS), np.float32)
     more = np.empty((min(len(rows), 2048), WAYS), np.float32)
     for at in range(0, len(rows), 2048):  # what a core's cache holds
@@ -123,13 +134,26 @@ def _softmax(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
         np.take(weights, part[:, 0], axis=0, out=logits, mode="clip")
         for k in range(1, rows.shape[1]):
             logits += np.take(weights, part[:, k], axis=0, out=more[: len(part)], mode="clip")
-        if logits.max() > 80 or logits.min() < -80:  # else no power or sum leaves the range of float32
-            logits -= logits.max(axis=1, keepdims=True)
+        top = logits
+        while (half := top.shape[1] // 2) > 0:
+            top = np.maximum(top[:, :half], top[:, half:])
+        logits -= top
         np.exp(logits, out=logits)
-        logits /= np.einsum("ij->i", logits)[:, None]
     return out
 
 
+def _softmax(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    out = _powers(weights, rows)
+    out /= _row_sums(out)
+    return out
+
+
+def _share(weights: np.ndarray, rows: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """The softmax at ``target``."""
+    out = _powers(weights, rows)
+    return out[np.arange(len(target)), target] / _row_sums(out)[:, 0]
+
+
 def _sums(error: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The rows that occur in ``rows``, ascending, how often each does, and the sum of ``error`` over its tokens."""
     pairs = (rows.T << 32 | np.arange(len(rows))).ravel()  # table row and token
@@ -138,20 +162,18 @@ def _sums(error: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     start = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
     hits = np.diff(start, append=len(row))
     total = error.take(token[start], axis=0)  # all of it for most rows
-    two = np.flatnonzero(hits > 1)
+    two = np.flatnonzero(hits == 2)
     total[two] += error.take(token[start[two] + 1], axis=0)
     many = np.flatnonzero(hits > 2)
     if len(many):  # one lane of the softmax at a time, as a lane fits the cache
-        left = np.ones(len(token), bool)
-        left[start] = left[start[two] + 1] = False
-        token = token[left]
-        begins = np.cumsum(hits[many] - 2) - (hits[many] - 2)
-        lanes, held = np.ascontiguousarray(error.T), np.empty(len(token), np.float32)
-        sums = np.empty((WAYS, len(many)), np.float32)
+        token = token[np.repeat(hits > 2, hits)]
+        begins = np.cumsum(hits[many]) - hits[many]
+        lanes, held = np.ascontiguousarray(error.T, np.float64), np.empty(len(token))
+        sums = np.empty((WAYS, len(many)))
         for lane in range(WAYS):
             np.take(lanes[lane], token, out=held, mode="clip")
             np.add.reduceat(held, begins, out=sums[lane])
-        total[many] += sums.T
+        total[many] = sums.T
     return row[start], hits, total
 
 
@@ -168,7 +190,7 @@ class Trainer:
         error[np.arange(len(target)), target] -= 1
         row, hits, total = _sums(error, rows)
         self.seen[row] += hits
-        self.squares[row] += np.einsum("ij,ij->i", total, total) / WAYS
+        self.squares[row] += _row_sums(total * total)[:, 0] / WAYS
         total *= (RATE / np.sqrt(self.squares[row]))[:, None]
         held = self.weights.take(row, axis=0)
         held -= total
@@ -287,10 +309,9 @@ def score(blocks: DataFrame, counts: DataFrame, total: int, distinct: int, sums:
                     last = upto
                     for at in range(0, hi - lo, BATCH):
                         part, own = slice(at, min(at + BATCH, hi - lo)), slice(lo + at, min(lo + at + BATCH, hi))
-                        each = np.arange(own.stop - own.start)
                         outer, inner = features(one[part], two[part], codes[own] // WAYS)
-                        value[own] += np.log10(_softmax(table, outer)[each, codes[own] // WAYS].astype(np.float64) + 1e-30)
-                        value[own] += np.log10(_softmax(table, inner)[each, codes[own] % WAYS].astype(np.float64) + 1e-30)
+                        value[own] += np.log10(_share(table, outer, codes[own] // WAYS).astype(np.float64) + 1e-30)
+                        value[own] += np.log10(_share(table, inner, codes[own] % WAYS).astype(np.float64) + 1e-30)
                 base = seen[tokens] - np.log10(total + distinct + 1.0)
                 yield pd.DataFrame({
                     "doc_id": pd.array([None if pd.isna(x) else int(x) for x in b.doc_ids], "Int64"), "held_out": np.asarray(b.held, bool), "n_tokens": ends - begins,

@@ -376,6 +376,9 @@ def test_model_sums_and_shares():
         p = np.exp(logits - logits.max(axis=1, keepdims=True))
         got = maxent._softmax(weights, rows)
         assert np.isfinite(got).all() and np.allclose(got, p / p.sum(axis=1, keepdims=True), atol=2e-4)
+        target = rng.integers(0, maxent.WAYS, n)
+        assert (maxent._share(weights, rows, target) == got[np.arange(n), target]).all()
+    assert (maxent._row_sums(error) == error.sum(axis=1, keepdims=True)).all()  # to the last bit: scores stay as they were
 
 
 def test_pipeline_on_small_table(spark):
