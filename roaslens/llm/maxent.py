@@ -125,12 +125,13 @@ def _row_sums(x: np.ndarray) -> np.ndarray:
     return s
 
 
-def _powers(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """The softmax's numerators: exp of the logits less their greatest."""
-    out = np.empty((len(rows), WAYS), np.float32)
-    more = np.empty((min(len(rows), 2048), WAYS), np.float32)
-    for at in range(0, len(rows), 2048):  # what a core's cache holds
-        part, logits = rows[at : at + 2048], out[at : at + 2048]
+def _powers(weights: np.ndarray, rows: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:
+    """The softmax's numerators, exp of the logits less their greatest, for stretches of ``rows`` that a core's cache
+    holds; the next stretch takes the same memory."""
+    held, more = np.empty((2, min(len(rows), 2048), WAYS), np.float32)
+    for at in range(0, len(rows), 2048):
+        own = slice(at, min(at + 2048, len(rows)))
+        part, logits = rows[own], held[: own.stop - at]
         np.take(weights, part[:, 0], axis=0, out=logits, mode="clip")
         for k in range(1, rows.shape[1]):
             logits += np.take(weights, part[:, k], axis=0, out=more[: len(part)], mode="clip")
@@ -139,19 +140,22 @@ def _powers(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
             top = np.maximum(top[:, :half], top[:, half:])
         logits -= top
         np.exp(logits, out=logits)
-    return out
+        yield own, logits
 
 
 def _softmax(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    out = _powers(weights, rows)
-    out /= _row_sums(out)
+    out = np.empty((len(rows), WAYS), np.float32)
+    for own, x in _powers(weights, rows):
+        np.divide(x, _row_sums(x), out=out[own])
     return out
 
 
 def _share(weights: np.ndarray, rows: np.ndarray, target: np.ndarray) -> np.ndarray:
     """The softmax at ``target``."""
-    out = _powers(weights, rows)
-    return out[np.arange(len(target)), target] / _row_sums(out)[:, 0]
+    out = np.empty(len(rows), np.float32)
+    for own, x in _powers(weights, rows):
+        np.divide(x[np.arange(len(x)), target[own]], _row_sums(x)[:, 0], out=out[own])
+    return out
 
 
 def _sums(error: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -190,11 +194,13 @@ class Trainer:
         error[np.arange(len(target)), target] -= 1
         row, hits, total = _sums(error, rows)
         self.seen[row] += hits
-        self.squares[row] += _row_sums(total * total)[:, 0] / WAYS
-        total *= (RATE / np.sqrt(self.squares[row]))[:, None]
-        held = self.weights.take(row, axis=0)
-        held -= total
-        self.weights[row] = held
+        for at in range(0, len(row), 2048):  # what a core's cache holds
+            r, step = row[at : at + 2048], total[at : at + 2048]
+            self.squares[r] += _row_sums(step * step)[:, 0] / WAYS
+            step *= (RATE / np.sqrt(self.squares[r]))[:, None]
+            held = self.weights.take(r, axis=0)
+            held -= step
+            self.weights[r] = held
 
     def learn(self, hashes: np.ndarray, ends: np.ndarray) -> None:
         code = code_of(hashes)
@@ -235,10 +241,10 @@ def train(blocks: DataFrame, rounds: int = 1) -> np.ndarray:
                         t.learn(hashes[before : before + n], np.cumsum(group))
                         before += n
             if t is not None:
-                for c in range(0, ROWS, CHUNK):
-                    part = slice(c, c + CHUNK)
-                    if t.seen[part].any():
-                        yield pd.DataFrame([(c // CHUNK, trainer, t.seen[part].tobytes(), t.weights[part].astype(np.float16).tobytes())], columns=["chunk", "trainer", "seen", "weights"])
+                chunks = [slice(c, c + CHUNK) for c in range(0, ROWS, CHUNK)]
+                made = [(c.start // CHUNK, trainer, t.seen[c].tobytes(), t.weights[c].astype(np.float16).tobytes()) for c in chunks if t.seen[c].any()]
+                for at in range(0, len(made), 64):
+                    yield pd.DataFrame(made[at : at + 64], columns=["chunk", "trainer", "seen", "weights"])
 
         def mean(pdf: pd.DataFrame) -> pd.DataFrame:
             pdf = pdf.sort_values("trainer")
