@@ -172,11 +172,12 @@ def _sums(error: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     if len(many):  # one lane of the softmax at a time, as a lane fits the cache
         token = token[np.repeat(hits > 2, hits)]
         begins = np.cumsum(hits[many]) - hits[many]
-        lanes, held = np.ascontiguousarray(error.T, np.float64), np.empty(len(token))
+        lanes, held, wide = np.ascontiguousarray(error.T), np.empty(len(token), np.float32), np.empty(len(token))
         sums = np.empty((WAYS, len(many)))
         for lane in range(WAYS):
             np.take(lanes[lane], token, out=held, mode="clip")
-            np.add.reduceat(held, begins, out=sums[lane])
+            wide[:] = held  # sums in float64
+            np.add.reduceat(wide, begins, out=sums[lane])
         total[many] = sums.T
     return row[start], hits, total
 
